@@ -70,14 +70,12 @@ def _queue(push: Series, pop: Series, rows_per_slice: int | None) -> tuple[Slice
             {"_low": F.least(zero, "_min"), "_low_before": F.least(zero, "_min_before")}
         ).drop("_min", "_min_before")
 
-    # reading the row structs here keeps this branch on the shuffle of the main branch
     slices = sl.summary(
         local,
         F.sum(step).alias("_s_raw"),
         F.sum(pushed).alias("_s_pushes"),
         F.min("_raw").alias("_s_min"),
-        F.max(F.xxhash64("_row0", "_row1")).alias("_pin"),
-    ).drop("_pin")
+    )
     starts = slices.select(
         *sl.keys,
         "_s_min",
@@ -130,10 +128,8 @@ def queue_pairs(push: Series, pop: Series, newest: bool, rows_per_slice: int | N
 
     # What a slice could not settle: at most one push and one pop per label and slice.
     near = near.withColumn("_next", F.lead("_side").over(here))
-    open_rows = near.where(
-        (F.col(SLICE) > 0)
-        & F.when(_is_push(), F.col("_next").isNull()).otherwise(F.col("_mate").isNull())
-    )
+    unsettled = F.when(_is_push(), F.col("_next").isNull()).otherwise(F.col("_mate").isNull())
+    open_rows = near.where(F.when(F.col(SLICE) > 0, unsettled).otherwise(False))
     across = Window.partitionBy(*push.by, "_label").orderBy(*_ORDER)
     far = open_rows.withColumn("_mate", F.lag("_row0").over(across))
     far = far.where((F.col("_side") == 1) & F.col("_mate").isNotNull())

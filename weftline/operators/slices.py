@@ -57,14 +57,17 @@ class Sliced:
     def order_key(self) -> Column:
         return F.struct(*self.order)
 
-    def summary(self, df: DataFrame, *aggs: Column, more: tuple[str, ...] = ()) -> DataFrame:
-        """One row per slice of the cut keys.
+    def summary(self, df: DataFrame, *aggs: Column) -> DataFrame:
+        """One row per slice of the cut keys, for a ``df`` that already has windows.
 
-        The filter is on an aggregate, so it stays above the shuffle and a branch
-        that already has windows can reuse the shuffle of the main branch.
+        The conditions are on aggregates (the hash is never null) and read every
+        column, so nothing is filtered or pruned below the shuffle and this branch
+        reuses the shuffle of the branch that it is joined to.
         """
-        grouped = df.groupBy(*self.keys, *more).agg(F.max(SLICE).alias("_cut"), *aggs)
-        return grouped.where("_cut > 0").drop("_cut")
+        grouped = df.groupBy(*self.keys).agg(
+            F.max(SLICE).alias("_cut"), F.max(F.xxhash64(*self.df.columns)).alias("_all"), *aggs
+        )
+        return grouped.where("_cut > 0 and _all is not null").drop("_cut", "_all")
 
     def before(self, *more: str) -> WindowSpec:
         """Over a summary: all earlier slices of the same key."""
