@@ -5,8 +5,8 @@ from tests.cases import as_series, by_case, expected
 from tests.test_queue_joins import points
 from weftline.operators.delta_joins import minimal_delta_join
 
-CASES = simulate.random_cases(400, 2, 12, ties=True, seed=31) | {
-    1000 + k: v for k, v in simulate.random_cases(300, 2, 14, ties=False, seed=32).items()
+CASES = simulate.random_cases(150, 2, 12, ties=True, seed=31) | {
+    1000 + k: v for k, v in simulate.random_cases(100, 2, 14, ties=False, seed=32).items()
 }
 
 

@@ -5,8 +5,8 @@ from tests.cases import as_series, by_case, expected
 from weftline.operators import queue_joins as q
 from weftline.series import Series
 
-CASES = simulate.random_cases(400, 2, 14, ties=True, seed=7) | {
-    1000 + k: v for k, v in simulate.random_cases(200, 2, 14, ties=False, seed=8).items()
+CASES = simulate.random_cases(150, 2, 14, ties=True, seed=7) | {
+    1000 + k: v for k, v in simulate.random_cases(100, 2, 14, ties=False, seed=8).items()
 }
 LONG = simulate.random_cases(1, 2, 400, ties=True, seed=21)
 

@@ -41,6 +41,7 @@ class Sliced:
     by: tuple[str, ...]
     order: tuple[str, ...]
     split: bool
+    pieces: int  # about how many slices' worth of rows there are in all
 
     @property
     def keys(self) -> list[str]:
@@ -86,9 +87,6 @@ class Sliced:
         """Join a per-slice table (bounded by MAX_SLICES) back to the rows."""
         return lookup(df, carry, [*self.keys, *more])
 
-    def with_df(self, df: DataFrame) -> Sliced:
-        return Sliced(df, self.by, self.order, self.split)
-
 
 def lookup(df: DataFrame, table: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Null-safe broadcast join with a small table of unique or few keys."""
@@ -167,19 +165,19 @@ def slice_rows(
         number = F.lit(1)
         if cuts:
             fields = df.select(*cut_on).schema
-            text = json.dumps(sorted([list(c) for c in cuts]))
-            named = f"array<{fields.simpleString()}>"
             listed = F.from_json(
-                F.lit(json.dumps([dict(zip(cut_on, c)) for c in json.loads(text)])), named
+                F.lit(json.dumps([dict(zip(cut_on, c)) for c in sorted(map(tuple, cuts))])),
+                f"array<{fields.simpleString()}>",
             )
             number = _slice_number(F.struct(*cut_on), listed, len(cuts))
-        return Sliced(df.withColumn(SLICE, number), by, order, True)
+        return Sliced(df.withColumn(SLICE, number), by, order, True, max(slices, 1))
 
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     top = sizes.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("most")).first()
     limit = _row_limit(df, top.total or 0, rows_per_slice)
+    pieces = max(-(-(top.total or 0) // limit), 1)
     if (top.most or 0) <= limit:
-        return Sliced(df.withColumn(SLICE, F.lit(0)), by, order, False)
+        return Sliced(df.withColumn(SLICE, F.lit(0)), by, order, False, pieces)
 
     # at most total / limit <= MAX_SLICES keys can be this large
     large = df.sparkSession.createDataFrame(
@@ -201,7 +199,7 @@ def slice_rows(
     number = _slice_number(F.struct(*cut_on), F.col("_cuts"), longest)
     cut = lookup(df, table, list(by))
     cut = cut.withColumn(SLICE, F.when(F.col("_cuts").isNull(), 0).otherwise(number))
-    return Sliced(cut.drop("_cuts"), by, order, True)
+    return Sliced(cut.drop("_cuts"), by, order, True, pieces)
 
 
 # --- running aggregates ------------------------------------------------------------
