@@ -36,9 +36,8 @@ def _neighbours(sl: Sliced) -> DataFrame:
     def rows_of(side: int) -> Column:
         return F.when(F.col("_side") == side, F.struct(*_ORDER, "_row0", "_row1"))
 
-    last = {f"_{{}}{side}": ("last", rows_of(side)) for side in (0, 1)}
-    nexts = running(sl, sl.df, {k.format("next"): v for k, v in last.items()}, exclusive=True, reverse=True)
-    return running(sl, nexts, {k.format("prev"): v for k, v in last.items()}, exclusive=True)
+    specs = {f"_{way}{side}": ("last", rows_of(side)) for way in ("next", "prev") for side in (0, 1)}
+    return running(sl, sl.df, specs, exclusive=True, reverse=("_next0", "_next1"))
 
 
 def _with_turns(sl: Sliced, rows: DataFrame) -> DataFrame:

@@ -62,7 +62,7 @@ def keep_latest(s: Series, n: int, rows_per_slice: int | None = None) -> DataFra
         return s.rows().withColumn("_k", F.row_number().over(newest)).where(F.col("_k") <= n).drop("_k")
     df = s.rows().withColumn("_t", s.ticks())
     sl = slice_rows(df, s.by, ("_t", s.seq), rows_per_slice)
-    counted = running(sl, sl.df, {"_k": ("sum", F.lit(1).cast("long"))}, reverse=True)
+    counted = running(sl, sl.df, {"_k": ("sum", F.lit(1).cast("long"))}, reverse=("_k",))
     return counted.where(F.col("_k") <= n).drop("_k", "_t", SLICE)
 
 

@@ -116,13 +116,13 @@ def _sample(df: DataFrame, columns: list[str], rows_per_slice: int) -> DataFrame
 
 
 def _cut_points(sample: DataFrame, by: list[str], order: list[str], slices: Column) -> list:
-    """First sampled row of every slice but the first; at most MAX_SLICES rows."""
+    """First sampled row of every slice but the first; at most MAX_SLICES rows, in order."""
     w = Window.partitionBy(*by).orderBy(*order)
     n = F.count(F.lit(1)).over(Window.partitionBy(*by))
     place = F.floor((F.row_number().over(w) - 1) * slices / n)
     placed = sample.select(*by, *order, place.alias("_place"))
     placed = placed.withColumn("_last", F.lag("_place").over(w))
-    return placed.where("_place > _last").select(*by, *order).distinct().collect()
+    return sorted(set(placed.where("_place > _last").select(*by, *order).collect()))
 
 
 def _slice_number(key: Column, cuts: Column, longest: int) -> Column:
@@ -166,7 +166,7 @@ def slice_rows(
         if cuts:
             fields = df.select(*cut_on).schema
             listed = F.from_json(
-                F.lit(json.dumps([dict(zip(cut_on, c)) for c in sorted(map(tuple, cuts))])),
+                F.lit(json.dumps([dict(zip(cut_on, c)) for c in cuts])),
                 f"array<{fields.simpleString()}>",
             )
             number = _slice_number(F.struct(*cut_on), listed, len(cuts))
@@ -193,7 +193,7 @@ def slice_rows(
     keyed = df.select(*by).schema.simpleString()[len("struct<") : -1]
     fields = df.select(*cut_on).schema.simpleString()
     table = df.sparkSession.createDataFrame(
-        [(*k, sorted(v)) for k, v in cuts.items()], f"{keyed},_cuts:array<{fields}>"
+        [(*k, v) for k, v in cuts.items()], f"{keyed},_cuts:array<{fields}>"
     )
     longest = max(map(len, cuts.values()), default=0)
     number = _slice_number(F.struct(*cut_on), F.col("_cuts"), longest)
@@ -227,33 +227,36 @@ def running(
     df: DataFrame,
     specs: dict[str, tuple[str, Column]],
     exclusive: bool = False,
-    reverse: bool = False,
+    reverse: tuple[str, ...] = (),
 ) -> DataFrame:
     """Add running aggregates in order: name -> (sum | min | max | last, column).
 
-    ``last`` is the last non-null value. ``exclusive`` leaves the row itself out;
-    ``reverse`` runs from the end to the start.
+    ``last`` is the last non-null value. ``exclusive`` leaves the row itself out; the
+    names in ``reverse`` run from the end to the start.
     """
-    frame = sl.window(reverse=reverse).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
-    out = df.select("*", *[_LOCAL[k](c).over(frame).alias(n) for n, (k, c) in specs.items()])
+    end = -1 if exclusive else 0
+    frames = {n: sl.window(reverse=n in reverse).rowsBetween(Window.unboundedPreceding, end) for n in specs}
+    out = df.select("*", *[_LOCAL[k](c).over(frames[n]).alias(n) for n, (k, c) in specs.items()])
     if not sl.split:
         return out
 
-    pick = F.min_by if reverse else F.max_by
-
-    def collapse(kind: str, c: Column) -> Column:
-        if kind == "last":
-            return pick(c, F.when(c.isNotNull(), sl.order_key()))
-        return _LOCAL[kind](c)
+    def collapse(name: str, kind: str, c: Column) -> Column:
+        if kind != "last":
+            return _LOCAL[kind](c)
+        pick = F.min_by if name in reverse else F.max_by
+        return pick(c, F.when(c.isNotNull(), sl.order_key()))
 
     per_slice = (
         df.where(F.col(SLICE) > 0)
         .groupBy(*sl.keys)
-        .agg(*[collapse(k, c).alias(f"_c_{n}") for n, (k, c) in specs.items()])
+        .agg(*[collapse(n, k, c).alias(f"_c_{n}") for n, (k, c) in specs.items()])
     )
-    earlier = sl.after() if reverse else sl.before()
     carry = per_slice.select(
-        *sl.keys, *[_LOCAL[k](F.col(f"_c_{n}")).over(earlier).alias(f"_c_{n}") for n, (k, _) in specs.items()]
+        *sl.keys,
+        *[
+            _LOCAL[k](F.col(f"_c_{n}")).over(sl.after() if n in reverse else sl.before()).alias(f"_c_{n}")
+            for n, (k, _) in specs.items()
+        ],
     )
     out = sl.attach(out, carry)
     merged = {n: _merge(k, F.col(f"_c_{n}"), F.col(n)) for n, (k, _) in specs.items()}
