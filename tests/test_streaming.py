@@ -11,7 +11,7 @@ from weftline.series import Series
 from weftline.streaming import ordered
 from weftline.streaming.folders import drain, read_folder
 
-FILES = 5
+FILES = 3
 START = datetime(2024, 1, 1)
 SCHEMA = "user int, ts timestamp, seq long, kind string, value double"
 
@@ -25,8 +25,8 @@ def stream(spark, tmp_path_factory):
         for i in range(150)
     ]
     for k in range(FILES):
-        part = rows[k * 30 : (k + 1) * 30]
-        spark.createDataFrame(sorted(part, key=lambda r: r[2] * 11 % 30), SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/f{k}")
+        part = rows[k * 50 : (k + 1) * 50]
+        spark.createDataFrame(sorted(part, key=lambda r: r[2] * 11 % 50), SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/f{k}")
     # a microsecond past the watermark, which is in whole milliseconds: never due
     end = [(u, START + timedelta(days=1, microseconds=1), 1000, "z", 0.0) for u in range(4)]
     spark.createDataFrame(end, SCHEMA).coalesce(1).write.parquet(f"{folder}/f{FILES}")

@@ -108,9 +108,14 @@ def _with_turns(sl: Sliced, rows: DataFrame) -> DataFrame:
     return local.withColumn("_skip", skip)
 
 
-def delta_pairs(one: Series, two: Series, rows_per_slice: int | None = None) -> DataFrame:
-    """Joined rows as ``by..., _side`` (0: one is dominant), ``_row0, _row1``."""
-    sl = slice_rows(merge(one, two), one.by, _ORDER, rows_per_slice)
+def delta_pairs(
+    one: Series,
+    two: Series,
+    rows_per_slice: int | None = None,
+    keep: list[list[str]] | None = None,
+) -> DataFrame:
+    """Joined rows as ``by..., _side`` (0: one is dominant), ``_row0, _row1``; see ``merge``."""
+    sl = slice_rows(merge(one, two, keep=keep), one.by, _ORDER, rows_per_slice)
     rows = _with_turns(sl, _neighbours(sl))
     x, y, t = F.col("_x"), F.col("_y"), F.col("_t")
     walked = rows.where(y.isNotNull() & ~(F.col("_first") & F.col("_skip")))
@@ -133,7 +138,7 @@ def minimal_delta_join(one: Series, two: Series, rows_per_slice: int | None = No
     """
     if len(one.values) != len(two.values):
         raise ValueError("both streams need the same number of values; see delta_pairs")
-    pairs = delta_pairs(one, two, rows_per_slice)
+    pairs = delta_pairs(one, two, rows_per_slice, keep=[["ts", *s.values] for s in (one, two)])
     mine = F.col("_side") == 0
 
     def value(i: int, dominant: bool) -> Column:

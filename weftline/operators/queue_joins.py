@@ -28,20 +28,27 @@ from weftline.series import Series
 _ORDER = ("_t", "_side", "_seq")
 
 
-def merge(*series: Series) -> DataFrame:
-    """All series in one frame: key, ``_t``, ``_side`` (0, 1, ..), ``_seq`` and a row struct per side."""
+def merge(*series: Series, keep: list[list[str]] | None = None) -> DataFrame:
+    """All series in one frame: key, ``_t``, ``_side`` (0, 1, ..), ``_seq`` and a row struct per side.
+
+    The struct ``_row<side>`` has the fields ``ts``, ``seq`` and the values, or those in
+    ``keep``; without any there is no struct. Carry no field that is not used later: then
+    all branches of a plan read the same columns and can share one shuffle.
+    """
     by = series[0].by
     if any(s.by != by for s in series):
         raise ValueError("joined series need the same key columns")
 
     def side(i: int, s: Series) -> DataFrame:
-        row = F.struct(F.col(s.ts).alias("ts"), F.col(s.seq).alias("seq"), *s.values)
+        names = ["ts", "seq", *s.values] if keep is None else keep[i]
+        source = {"ts": s.ts, "seq": s.seq}
+        fields = [F.col(source.get(n, n)).alias(n) for n in names]
         return s.df.select(
             *by,
             s.ticks().alias("_t"),
             F.lit(i).alias("_side"),
             F.col(s.seq).alias("_seq"),
-            row.alias(f"_row{i}"),
+            *([F.struct(*fields).alias(f"_row{i}")] if fields else []),
         )
 
     out = side(0, series[0])
@@ -50,9 +57,11 @@ def merge(*series: Series) -> DataFrame:
     return out
 
 
-def _queue(push: Series, pop: Series, rows_per_slice: int | None) -> tuple[Sliced, DataFrame]:
+def _queue(
+    push: Series, pop: Series, rows_per_slice: int | None, keep: list[list[str]] | None = None
+) -> tuple[Sliced, DataFrame]:
     """Merged rows with ``_raw``, ``_low``, ``_low_before``, ``_pushes`` and ``_all_pushes``."""
-    sl = slice_rows(merge(push, pop), push.by, _ORDER, rows_per_slice)
+    sl = slice_rows(merge(push, pop, keep=keep), push.by, _ORDER, rows_per_slice)
     pushed = F.when(F.col("_side") == 0, 1).otherwise(0).cast("long")
     step = F.when(F.col("_side") == 0, 1).otherwise(-1).cast("long")
     w = sl.window()
@@ -73,7 +82,7 @@ def _queue(push: Series, pop: Series, rows_per_slice: int | None) -> tuple[Slice
     slices = sl.summary(
         local,
         F.sum(step).alias("_s_raw"),
-        F.sum(pushed).alias("_s_pushes"),
+        F.max("_pushes").alias("_s_pushes"),
         F.min("_raw").alias("_s_min"),
     )
     starts = slices.select(
@@ -107,9 +116,15 @@ def _dropped() -> Column:
     return (F.col("_side") == 1) & (F.col("_low") < F.col("_low_before"))
 
 
-def queue_pairs(push: Series, pop: Series, newest: bool, rows_per_slice: int | None = None) -> DataFrame:
-    """Joined rows as ``by..., _row0 (pushed), _row1 (popped by)``."""
-    sl, rows = _queue(push, pop, rows_per_slice)
+def queue_pairs(
+    push: Series,
+    pop: Series,
+    newest: bool,
+    rows_per_slice: int | None = None,
+    keep: list[list[str]] | None = None,
+) -> DataFrame:
+    """Joined rows as ``by..., _row0 (pushed), _row1 (popped by)``; see ``merge`` for ``keep``."""
+    sl, rows = _queue(push, pop, rows_per_slice, keep)
     if newest:
         depth = F.col("_raw") - F.col("_low")
         label = F.when(_is_push(), depth).otherwise(depth + 1)
@@ -138,7 +153,7 @@ def queue_pairs(push: Series, pop: Series, newest: bool, rows_per_slice: int | N
 
 def queue_drops(push: Series, pop: Series, rows_per_slice: int | None = None) -> DataFrame:
     """Pops that found nothing waiting, with the running count and whether pushes follow."""
-    _, rows = _queue(push, pop, rows_per_slice)
+    _, rows = _queue(push, pop, rows_per_slice, keep=[[], ["ts"]])
     return rows.where(_dropped()).select(
         *push.by,
         F.col("_row1.ts").alias("ts"),
@@ -156,7 +171,7 @@ def fuzzy_merge_join(s: Series, t: Series, rows_per_slice: int | None = None) ->
 
     T rows that are passed over are used up as well; S rows without a partner wait.
     """
-    pairs = queue_pairs(s, t, newest=False, rows_per_slice=rows_per_slice)
+    pairs = queue_pairs(s, t, False, rows_per_slice, keep=[["ts", *s.values], [*t.values]])
     return pairs.select(
         *s.by, F.col("_row0.ts").alias("ts"), *_payload("_row0", s, "s"), *_payload("_row1", t, "t")
     )
@@ -170,7 +185,7 @@ def fuzzy_merge_drops(s: Series, t: Series, rows_per_slice: int | None = None) -
 
 def bufferless_newest_join(d: Series, n: Series, rows_per_slice: int | None = None) -> DataFrame:
     """``(ts, d values, n_ts, n values)``: each D with the newest unused N at or before it."""
-    pairs = queue_pairs(n, d, newest=True, rows_per_slice=rows_per_slice)
+    pairs = queue_pairs(n, d, True, rows_per_slice, keep=[["ts", *n.values], ["ts", *d.values]])
     return pairs.select(
         *d.by,
         F.col("_row1.ts").alias("ts"),
@@ -182,7 +197,7 @@ def bufferless_newest_join(d: Series, n: Series, rows_per_slice: int | None = No
 
 def bufferless_oldest_join(d: Series, n: Series, rows_per_slice: int | None = None) -> DataFrame:
     """``(ts, d values, n values)``: each D with the oldest unused N, if that is not later."""
-    pairs = queue_pairs(n, d, newest=False, rows_per_slice=rows_per_slice)
+    pairs = queue_pairs(n, d, False, rows_per_slice, keep=[[*n.values], ["ts", *d.values]])
     return pairs.select(
         *d.by, F.col("_row1.ts").alias("ts"), *_payload("_row1", d, "d"), *_payload("_row0", n, "n")
     )

@@ -15,6 +15,7 @@ there are never more than ``MAX_SLICES`` slices.
 from __future__ import annotations
 
 import json
+import tempfile
 from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -97,6 +98,19 @@ def lookup(df: DataFrame, table: DataFrame, keys: list[str], how: str = "left")
     return df.join(F.broadcast(renamed), match, how).drop(*[f"_key_{k}" for k in keys])
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder and read from there.
+
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; only a session
+    without one, as in tests, gets a local folder.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="weftline-"))
+    return df.checkpoint()
+
+
 def _row_limit(df: DataFrame, total: int, rows_per_slice: int | None) -> int:
     spark = df.sparkSession
     rows = rows_per_slice or int(spark.conf.get(ROWS_PER_SLICE_CONF, "0"))

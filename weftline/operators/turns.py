@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.operators.queue_joins import merge
-from weftline.operators.slices import SLICE, Sliced, lookup, slice_rows
+from weftline.operators.slices import SLICE, Sliced, lookup, settled, slice_rows
 from weftline.series import Series
 
 _ORDER = ("_t", "_side", "_seq")
@@ -88,30 +88,31 @@ class Layout:
 def lay_out(series: list[Series], ahead: int, rows_per_slice: int | None = None) -> Layout:
     """Rank the rows of all streams; let each slice borrow one row before and ``ahead`` after it.
 
-    Slices are cut at times only: rows of one time and key stay together.
+    Slices are cut at times only: rows of one time and key stay together. If keys are cut,
+    the ranked rows are read several times, so they are written to the checkpoint folder once.
     """
     merged = merge(*series)
     sl = slice_rows(merged, series[0].by, _ORDER, rows_per_slice, cut_on=("_t",))
     position = F.row_number().over(Window.partitionBy(*sl.keys, "_side").orderBy("_t", "_seq"))
     ranked = sl.df.withColumn("_rank", position.cast("long") - 1)
-    if sl.split:
-        large = sl.df.where(F.col(SLICE) > 0)
-        counts = large.groupBy(*sl.keys, "_side").agg(F.count(F.lit(1)).alias("_n"))
-        held = counts.groupBy(*sl.keys).agg(
-            F.map_from_entries(F.collect_list(F.struct("_side", "_n"))).alias("_held")
-        )
-        every = F.explode(F.array(*map(F.lit, range(len(series)))))
-        spans = held.select(*sl.keys, "_held", every.alias("_side"))
-        spans = spans.withColumn("_n", F.coalesce(F.element_at("_held", F.col("_side")), F.lit(0)))
-        earlier = F.coalesce(F.sum("_n").over(sl.before("_side")), F.lit(0).cast("long"))
-        spans = spans.select(*sl.keys, "_side", earlier.alias("_from"), "_n")
-        ranked = lookup(ranked, spans.select(*sl.keys, "_side", "_from"), [*sl.keys, "_side"])
-        ranked = ranked.withColumn("_rank", F.col("_rank") + F.coalesce("_from", F.lit(0))).drop("_from")
-
     columns = [*sl.by, SLICE, "_t", "_side", "_rank"]
-    narrow = ranked.select(*columns, F.lit(False).alias(_BORROWED))
     if sl.split:
-        narrow = narrow.unionByName(_borrowed(sl, large, spans, ahead).select(*columns, F.lit(True).alias(_BORROWED)))
+        spans = _spans(sl, len(series))
+        ranked = lookup(ranked, spans.select(*sl.keys, "_side", "_from"), [*sl.keys, "_side"])
+        start = F.coalesce("_from", F.lit(0))
+        ranked = settled(ranked.withColumn("_rank", F.col("_rank") + start).drop("_from"))
+        own = ranked.select(*columns, F.lit(False).alias(_BORROWED))
+        after = F.col("_from") + F.col("_n")
+        wanted = spans.select(
+            *sl.keys,
+            "_side",
+            F.explode(F.array(F.col("_from") - 1, *[after + k for k in range(ahead)])).alias("_rank"),
+        )
+        rows = ranked.select(*sl.by, "_t", "_side", "_rank")
+        borrowed = lookup(rows, wanted, [*sl.by, "_side", "_rank"], how="inner")
+        narrow = own.unionByName(borrowed.select(*columns, F.lit(True).alias(_BORROWED)))
+    else:
+        narrow = ranked.select(*columns, F.lit(False).alias(_BORROWED))
     key = [*sl.by, SLICE]
     group = F.when(F.col(SLICE) > 0, F.xxhash64(*key)).otherwise(
         F.pmod(F.xxhash64(*key), F.lit(sl.pieces))
@@ -119,24 +120,18 @@ def lay_out(series: list[Series], ahead: int, rows_per_slice: int | None = None)
     return Layout(sl, ranked, narrow.withColumn(_GROUP, group))
 
 
-def _borrowed(sl: Sliced, large: DataFrame, spans: DataFrame, ahead: int) -> DataFrame:
-    """For every slice and stream, the row before its own and the ``ahead`` rows after."""
-    narrow = large.select(*sl.keys, "_t", "_side", "_seq")
-    per_side = Window.partitionBy(*sl.keys, "_side")
-    heads = narrow.withColumn("_k", F.row_number().over(per_side.orderBy("_t", "_seq")))
-    tails = narrow.withColumn("_k", F.row_number().over(per_side.orderBy(F.desc("_t"), F.desc("_seq"))))
-    heads = lookup(heads.where(F.col("_k") <= ahead), spans, [*sl.keys, "_side"])
-    tails = lookup(tails.where(F.col("_k") <= 1), spans, [*sl.keys, "_side"])
-    edges = heads.select(*sl.by, "_side", "_t", (F.col("_from") + F.col("_k") - 1).alias("_rank")).union(
-        tails.select(*sl.by, "_side", "_t", (F.col("_from") + F.col("_n") - 1).alias("_rank"))
-    ).distinct()
-    after = F.col("_from") + F.col("_n")
-    wanted = spans.select(
-        *sl.keys,
-        "_side",
-        F.explode(F.array(F.col("_from") - 1, *[after + k for k in range(ahead)])).alias("_rank"),
+def _spans(sl: Sliced, sides: int) -> DataFrame:
+    """Per slice of a large key and stream: rank of the first own row, and how many there are."""
+    large = sl.df.where(F.col(SLICE) > 0)
+    counts = large.groupBy(*sl.keys, "_side").agg(F.count(F.lit(1)).alias("_n"))
+    held = counts.groupBy(*sl.keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("_side", "_n"))).alias("_held")
     )
-    return lookup(wanted, edges, [*sl.by, "_side", "_rank"], how="inner")
+    every = F.explode(F.array(*map(F.lit, range(sides))))
+    spans = held.select(*sl.keys, "_held", every.alias("_side"))
+    spans = spans.withColumn("_n", F.coalesce(F.element_at("_held", F.col("_side")), F.lit(0)))
+    earlier = F.coalesce(F.sum("_n").over(sl.before("_side")), F.lit(0).cast("long"))
+    return spans.select(*sl.keys, "_side", earlier.alias("_from"), "_n")
 
 
 def walk_all(

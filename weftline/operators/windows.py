@@ -152,11 +152,14 @@ def landmark(
     ``start``; ``floor_second`` cuts it to the full second. Earlier rows are dropped.
     """
     sl = _ordered(s, rows_per_slice)
-    if start is None:
-        first = overall(sl, sl.df, {"_first": ("min", F.struct(s.seq, s.ts))})
-        first = first.withColumn("landmark", F.col("_first")[s.ts])
-    else:
+    arrival = F.struct(s.seq, s.ts)
+    if start is not None:
         first = sl.df.withColumn("landmark", F.lit(start).cast(s.df.schema[s.ts].dataType))
+    elif not s.by:
+        first = sl.df.withColumn("landmark", s.df.agg(F.min(arrival)[s.ts]).scalar())
+    else:
+        first = overall(sl, sl.df, {"_first": ("min", arrival)})
+        first = first.withColumn("landmark", F.col("_first")[s.ts])
     if floor_second:
         kind = s.df.schema[s.ts].dataType
         first = first.withColumn("landmark", F.date_trunc("second", "landmark").cast(kind))

@@ -18,6 +18,8 @@ from weftline.series import Series
 from weftline.sources import sinks
 from weftline.sources.prices import parse_prices
 from weftline.sources.series import logical_clock
+from weftline.streaming import ordered
+from weftline.streaming.folders import drain, read_folder, shared_folder, use_rocksdb
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -562,3 +564,36 @@ def m4_output_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m5_state_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = windows.count_sliding(all_events(spark, sf_dir, "user_id"), 30)
     return held.select("user_id", F.col("newest_ts").alias("ts"), metrics.state_bytes(F.col("count")).alias("bytes"))
+
+
+# --- streams -----------------------------------------------------------------------
+# The events file as a stream, run until everything is read; results go to the shared folder.
+
+
+def _live_events(spark: SparkSession, sf_dir: str, kind: str | None, *by: str) -> Series:
+    schema = table(spark, sf_dir, "events").schema
+    df = read_folder(spark, sf_dir, schema, pattern="events.parquet")
+    df = df.where(F.col("event_type") == kind) if kind else df
+    value = F.col("value").cast("decimal(18,2)").alias("value")
+    return Series(df.select(*by, "ts", F.col("event_id").alias("seq"), value), by=by)
+
+
+@query("w1_tumbling_stream", ORACLES["w1_tumbling"])
+def w1_tumbling_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    live = ordered.tumbling(_live_events(spark, sf_dir, None, "event_type"), 3600)
+    closed = drain(live, shared_folder(spark))
+    return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+
+
+def _passed(kind: str) -> str:
+    """Rows that the watermark, the lesser of both streams' newest times, has passed."""
+    newest = "SELECT max(epoch_us(ts) // 1000) AS m FROM events WHERE event_type IN ('purchase', 'view') GROUP BY event_type"
+    return f"SELECT * FROM ({oracles.events(kind)}) WHERE t <= 1000 * (SELECT min(m) FROM ({newest}))"
+
+
+@query("j1_fuzzy_merge_stream", oracles.fuzzy_merge(_passed("purchase"), _passed("view"), "user_id"))
+def j1_fuzzy_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_rocksdb(spark)
+    sides = [_live_events(spark, sf_dir, kind, "user_id") for kind in ("purchase", "view")]
+    joined = drain(ordered.fuzzy_merge_join(*sides), shared_folder(spark))
+    return joined.withColumn("ts", F.col("ts").cast("timestamp_ntz"))

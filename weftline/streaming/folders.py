@@ -16,6 +16,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/weftline-{uuid.uuid4().hex}"
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep keyed state in RocksDB, which the in-order processors need."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+
+
 def read_folder(spark: SparkSession, path: str, schema, files_per_trigger: int = 100, pattern: str = "*.parquet") -> DataFrame:
     """Parquet files as they arrive; ``files_per_trigger`` bounds a micro-batch."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
