@@ -3,6 +3,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from weftline.operators import windows as w
 from weftline.series import Series
@@ -136,6 +137,32 @@ def test_tumbling_golden(spark):
     assert sorted(map(tuple, w.tumbling_filled(Series(later), 10, max_windows=3).collect())) == filled[:3]
 
 
+def test_numeric_clock(spark):
+    df = spark.createDataFrame(
+        [(t, i, v) for i, (t, v) in enumerate([(103.0, 1.0), (107.5, 2.0), (112.0, 5.0), (145.0, 7.0)])],
+        "ts double, seq long, value double",
+    )
+    closed = [(100.0, 110.0, 2, 1.5), (110.0, 120.0, 1, 5.0)]
+    assert sorted(map(tuple, w.tumbling(Series(df), 10).collect())) == closed
+    half = w.tumbling_filled(Series(df), 2.5).collect()
+    assert sorted((r.start, r["count"]) for r in half) == [(102.5, 1), (105.0, 0), (107.5, 1), (110.0, 1)]
+    assert {r.landmark for r in w.landmark_points(Series(df.withColumn("ts", df.ts + 0.5))).collect()} == {103.0}
+
+
+def test_one_key_with_a_third_of_all_rows(spark):
+    """A large key is cut into slices by itself; the small ones stay whole."""
+    rows = spark.range(60_000).selectExpr(
+        "id AS seq", "id * 10 AS ts", "cast(id % 97 AS double) AS value",
+        "CASE WHEN id % 3 = 0 THEN -1 ELSE id % 500 END AS k",
+    )
+    got = w.landmark(Series(rows, by="k"))
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in text and "_slice" in text
+    last = got.groupBy("k").agg(F.max("count").alias("n"), F.max_by("sum", "ts").alias("sum"))
+    want = rows.groupBy("k").agg(F.count("*").alias("n"), F.sum("value").alias("sum"))
+    assert last.exceptAll(want).count() == 0 and last.count() == want.count()
+
+
 def test_landmark_points(spark):
     df = spark.createDataFrame(
         [(clock(1) + timedelta(microseconds=i * 300_000 + 5), i, float(i)) for i in range(6)],

@@ -139,15 +139,24 @@ def _cut_points(sample: DataFrame, by: list[str], order: list[str], slices: Colu
     return sorted(set(placed.where("_place > _last").select(*by, *order).collect()))
 
 
-def _slice_number(key: Column, cuts: Column, longest: int) -> Column:
-    """1 + number of cut points at or before ``key``, by binary search."""
+def _reaches(columns: tuple[str, ...], cut: Column) -> Column:
+    """Whether a row is at or after a cut point; column by column, without building structs."""
+    name = columns[0]
+    value, bound = F.col(name), cut[name]
+    if len(columns) == 1:
+        return value >= bound
+    return (value > bound) | ((value == bound) & _reaches(columns[1:], cut))
+
+
+def _slice_number(columns: tuple[str, ...], cuts: Column, longest: int) -> Column:
+    """1 + number of cut points at or before the row, by binary search."""
     steps = [1 << k for k in reversed(range(longest.bit_length()))]
     if not steps:
         return F.lit(1)
     return F.aggregate(
         F.array(*map(F.lit, steps)),
         F.lit(1),
-        lambda at, step: F.when(key >= F.get(cuts, at + step - 2), at + step).otherwise(at),
+        lambda at, step: F.when(_reaches(columns, F.get(cuts, at + step - 2)), at + step).otherwise(at),
     )
 
 
@@ -183,7 +192,7 @@ def slice_rows(
                 F.lit(json.dumps([dict(zip(cut_on, c)) for c in cuts])),
                 f"array<{fields.simpleString()}>",
             )
-            number = _slice_number(F.struct(*cut_on), listed, len(cuts))
+            number = _slice_number(cut_on, listed, len(cuts))
         return Sliced(df.withColumn(SLICE, number), by, order, True, max(slices, 1))
 
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
@@ -210,7 +219,7 @@ def slice_rows(
         [(*k, v) for k, v in cuts.items()], f"{keyed},_cuts:array<{fields}>"
     )
     longest = max(map(len, cuts.values()), default=0)
-    number = _slice_number(F.struct(*cut_on), F.col("_cuts"), longest)
+    number = _slice_number(cut_on, F.col("_cuts"), longest)
     cut = lookup(df, table, list(by))
     cut = cut.withColumn(SLICE, F.when(F.col("_cuts").isNull(), 0).otherwise(number))
     return Sliced(cut.drop("_cuts"), by, order, True, pieces)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.operators.slices import HALO, SLICE, overall, running, slice_rows, with_halo
 from weftline.series import Series, mean
@@ -29,22 +30,34 @@ def _interval(micros: int) -> str:
 # --- time windows ------------------------------------------------------------------
 
 
+def _has_clock(s: Series) -> bool:
+    """Whether time is a plain number (a logical clock or epoch seconds)."""
+    return isinstance(s.df.schema[s.ts].dataType, T.NumericType)
+
+
+def _step(s: Series, seconds: float) -> Column:
+    if _has_clock(s):
+        return F.lit(float(seconds))
+    return F.expr(f"INTERVAL '{_span(seconds) / 1e6:.6f}' SECOND")
+
+
 def tumbling(s: Series, seconds: float) -> DataFrame:
     """``(start, end, count, avg)`` of every closed epoch-aligned window.
 
     A window is closed once a row at or after its end has arrived in the input, on
     any key; the last, open one is not reported. Empty windows are not reported.
     """
-    size = _interval(_span(seconds))
     newest = s.df.agg(F.max(s.ts)).scalar()
-    grouped = s.rows().groupBy(*s.by, F.window(s.ts, size).alias("_w"))
-    stats = grouped.agg(
+    if _has_clock(s):
+        start = F.floor(F.col(s.ts) / seconds) * F.lit(float(seconds))
+    else:
+        start = F.window(s.ts, _interval(_span(seconds)))["start"]
+    rows = s.rows().withColumn("_start", start)
+    stats = rows.groupBy(*s.by, F.col("_start").alias("start")).agg(
         F.count(F.lit(1)).alias("count"), mean(F.sum(s.value), F.count(s.value)).alias("avg")
     )
-    closed = stats.where(F.col("_w.end") <= newest)
-    return closed.select(
-        *s.by, F.col("_w.start").alias("start"), F.col("_w.end").alias("end"), "count", "avg"
-    )
+    closed = stats.withColumn("end", F.col("start") + _step(s, seconds)).where(F.col("end") <= newest)
+    return closed.select(*s.by, "start", "end", "count", "avg")
 
 
 def tumbling_filled(s: Series, seconds: float, max_windows: int | None = None) -> DataFrame:
@@ -53,21 +66,27 @@ def tumbling_filled(s: Series, seconds: float, max_windows: int | None = None) -
     Runs per key from its first window to its last closed one. ``max_windows`` keeps
     the first windows of each key.
     """
-    micros = _span(seconds)
     found = tumbling(s, seconds)
     ends = found.groupBy(*s.by).agg(F.min("start").alias("_first"), F.max("start").alias("_last"))
-    count = F.expr(f"timestampdiff(MICROSECOND, _first, _last) div {micros}")
+    if _has_clock(s):
+        count = F.round((F.col("_last") - F.col("_first")) / seconds).cast("long")
+    else:
+        count = F.expr(f"timestampdiff(MICROSECOND, _first, _last) div {_span(seconds)}")
     last = count if max_windows is None else F.least(count, F.lit(max_windows - 1).cast("long"))
-    pieces = ends.select(*s.by, "_first", last.alias("_n"))
+    pieces = ends.where(F.col("_first").isNotNull()).select(*s.by, "_first", last.alias("_n"))
     pieces = pieces.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.expr(f"_n div {_FILL_PIECE}"))))
     pieces = pieces.repartition(*s.by, "_piece")
     low = F.col("_piece") * _FILL_PIECE
     steps = pieces.withColumn(
         "_k", F.explode(F.sequence(low, F.least(F.col("_n"), low + (_FILL_PIECE - 1))))
     )
-    step = F.expr(f"INTERVAL '{micros / 1e6:.6f}' SECOND")
+    step = _step(s, seconds)
     grid = steps.select(*s.by, (F.col("_first") + F.col("_k") * step).alias("start"))
-    joined = grid.join(found.drop("end"), [*s.by, "start"], "left")
+    stats = found.drop("end").withColumnsRenamed({c: f"_f_{c}" for c in [*s.by, "start"]})
+    same = grid["start"] == stats["_f_start"]
+    for c in s.by:
+        same = same & grid[c].eqNullSafe(stats[f"_f_{c}"])
+    joined = grid.join(stats, same, "left")
     return joined.select(
         *s.by,
         "start",
@@ -162,7 +181,8 @@ def landmark(
         first = first.withColumn("landmark", F.col("_first")[s.ts])
     if floor_second:
         kind = s.df.schema[s.ts].dataType
-        first = first.withColumn("landmark", F.date_trunc("second", "landmark").cast(kind))
+        full = F.floor("landmark") if _has_clock(s) else F.date_trunc("second", "landmark")
+        first = first.withColumn("landmark", full.cast(kind))
     kept = first.where(F.col(s.ts) >= F.col("landmark"))
     out = running(
         sl, kept, {"count": ("sum", F.lit(1).cast("long")), "sum": ("sum", F.col(s.value))}
