@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from weftline.llm.language import op4_language_id
 from weftline.llm.mixing import OP7_SQL, op7_mix_sources
+from weftline.llm.pieces import op10_piece_codes
 from weftline.llm.secrets import OP9_SQL, op9_secret_scan
+from weftline.llm.token_counts import op2_token_counts
 
 QUERIES = {
+    "op2_token_counts": op2_token_counts,
+    "op4_language_id": op4_language_id,
     "op7_mix_sources": op7_mix_sources,
     "op9_secret_scan": op9_secret_scan,
+    "op10_piece_codes": op10_piece_codes,
 }
 ORACLES = {
     "op7_mix_sources": OP7_SQL,
