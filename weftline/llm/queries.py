@@ -6,12 +6,14 @@ from weftline.llm.language import op4_language_id
 from weftline.llm.mixing import OP7_SQL, op7_mix_sources
 from weftline.llm.pieces import op10_piece_codes
 from weftline.llm.repeats import op8_repetition
+from weftline.llm.resample import op5_importance_resampling
 from weftline.llm.secrets import OP9_SQL, op9_secret_scan
 from weftline.llm.token_counts import op2_token_counts
 
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_language_id": op4_language_id,
+    "op5_importance_resampling": op5_importance_resampling,
     "op7_mix_sources": op7_mix_sources,
     "op8_repetition": op8_repetition,
     "op9_secret_scan": op9_secret_scan,
