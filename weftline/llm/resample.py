@@ -87,7 +87,7 @@ def log_weights(docs: DataFrame, ratios: np.ndarray, orders: tuple[int, ...]) ->
                 weight = np.bincount(owner, weights=ratios[bucket], minlength=n)
                 count = np.bincount(owner, minlength=n)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(count), pa.array(weight)], ["doc_id", "n_features", "log_weight"]
+                    [part.column("doc_id"), pa.array(count, pa.int64()), pa.array(weight, pa.float64())], ["doc_id", "n_features", "log_weight"]
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
