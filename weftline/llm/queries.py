@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from weftline.llm.jaccard import op1_jaccard_join
 from weftline.llm.language import op4_language_id
 from weftline.llm.mixing import OP7_SQL, op7_mix_sources
 from weftline.llm.pieces import op10_piece_codes
@@ -11,6 +12,7 @@ from weftline.llm.secrets import OP9_SQL, op9_secret_scan
 from weftline.llm.token_counts import op2_token_counts
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_token_counts": op2_token_counts,
     "op4_language_id": op4_language_id,
     "op5_importance_resampling": op5_importance_resampling,
