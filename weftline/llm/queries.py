@@ -9,6 +9,7 @@ from weftline.llm.pieces import op10_piece_codes
 from weftline.llm.repeats import op8_repetition
 from weftline.llm.resample import op5_importance_resampling
 from weftline.llm.secrets import OP9_SQL, op9_secret_scan
+from weftline.llm.surrogates import op6_surrogates
 from weftline.llm.token_counts import op2_token_counts
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_language_id": op4_language_id,
     "op5_importance_resampling": op5_importance_resampling,
+    "op6_surrogates": op6_surrogates,
     "op7_mix_sources": op7_mix_sources,
     "op8_repetition": op8_repetition,
     "op9_secret_scan": op9_secret_scan,
