@@ -38,6 +38,9 @@ def training_rows(docs: DataFrame, max_docs: int) -> DataFrame:
     """lang, text of the rows to learn: a bounded number per language, cut on the map side before the shuffle."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id")) != 2))
     light = usable.select("lang", "doc_id", F.xxhash64(F.col("doc_id").cast("string")).alias("_h"))
+    # first within 64 parts of a language, then among those that are left: a common language is never one group
+    in_part = Window.partitionBy("lang", F.pmod("_h", F.lit(64))).orderBy("_h", "doc_id")
+    light = light.withColumn("_r", F.row_number().over(in_part)).where(F.col("_r") <= max_docs)
     first = Window.partitionBy("lang").orderBy("_h", "doc_id")
     chosen = light.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= max_docs)
     # at most max_docs ids per language

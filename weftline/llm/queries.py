@@ -6,6 +6,7 @@ from weftline.llm.jaccard import op1_jaccard_join
 from weftline.llm.language import op4_language_id
 from weftline.llm.mixing import OP7_SQL, op7_mix_sources
 from weftline.llm.pieces import op10_piece_codes
+from weftline.llm.pivots import op3_pivot_near_duplicates
 from weftline.llm.repeats import op8_repetition
 from weftline.llm.resample import op5_importance_resampling
 from weftline.llm.secrets import OP9_SQL, op9_secret_scan
@@ -15,6 +16,7 @@ from weftline.llm.token_counts import op2_token_counts
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_token_counts": op2_token_counts,
+    "op3_pivot_near_duplicates": op3_pivot_near_duplicates,
     "op4_language_id": op4_language_id,
     "op5_importance_resampling": op5_importance_resampling,
     "op6_surrogates": op6_surrogates,
