@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.llm.common import arrow_map, steps, table
 from weftline.llm.words import text_bytes
@@ -205,15 +206,20 @@ def train(docs: DataFrame, *, order: int = 4, max_docs: int = 300) -> Trees:
     return Trees(langs, keys, lang, summed.column("n").to_numpy(), order)
 
 
-def predict(docs: DataFrame, trees: Trees, *, sharpness: float = 8.0) -> DataFrame:
-    """doc_id, lang_pred, score, bits (per byte, of the winner): one row per row of docs; reads doc_id and text only."""
+def predict(docs: DataFrame, trees: Trees, *, sharpness: float = 8.0, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """lang_pred, score, bits (per byte, of the winner) after the columns of `keep`, which are handed on unread: one row per
+    row of docs. Only text is read."""
+    results = ["lang_pred", "score", "bits"]
+    if clash := set(keep) & set(results):
+        raise ValueError(f"columns {sorted(clash)} would appear twice")
+    narrow = docs.select(*keep, F.col("text").alias("_text"))
     sent = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches):
         trees = sent.value
         for batch in batches:
-            for part in steps(batch):
-                texts = part.column("text")
+            for part in steps(batch, "_text"):
+                texts = part.column("_text")
                 data, offsets = text_bytes(texts)
                 ok = np.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()], bool) & bool(trees.langs)
                 names, scores, bits = ["und"] * len(ok), np.zeros(len(ok)), np.full(len(ok), np.nan)
@@ -225,12 +231,17 @@ def predict(docs: DataFrame, trees: Trees, *, sharpness: float = 8.0) -> DataFra
                     names = [trees.langs[b] if o else "und" for b, o in zip(best.tolist(), ok.tolist(), strict=True)]
                     scores, bits = np.where(ok, share, 0.0), np.where(ok, least, np.nan)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(names, pa.string()), pa.array(scores), pa.array(bits, from_pandas=True)],
-                    ["doc_id", "lang_pred", "score", "bits"],
+                    [
+                        *part.columns[:-1],
+                        pa.array(names, pa.string()),
+                        pa.array(scores, pa.float64()),
+                        pa.array(bits, pa.float64(), from_pandas=True),
+                    ],
+                    [*keep, *results],
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs.select("doc_id", "text"), run, f"doc_id {kind}, lang_pred string, score double, bits double")
+    added = T.StructType.fromDDL("lang_pred string, score double, bits double")
+    return narrow.mapInArrow(run, T.StructType(narrow.schema.fields[:-1] + added.fields))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,6 +56,14 @@ def source_targets(sizes: DataFrame, weights: list[int], share: float, epochs: f
     return filled.select("source", "source_size", F.when(F.col("full"), F.col("cap")).otherwise(level).alias("target"))
 
 
+def _sized(docs: DataFrame, keep: list[str], seed: int) -> DataFrame:
+    return docs.select(
+        *keep,
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        seeded(F.col("doc_id"), seed).alias("_key"),
+    ).withColumn("_bucket", F.shiftright("_key", 60 - BUCKET_BITS).cast("int"))
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -63,17 +71,11 @@ def mix(
     share: float = 1.5,
     epochs: float = 2.0,
     seed: int = 7,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken: one row per row of docs; see the module for the rules."""
-    sizes = written(
-        docs.select(
-            "doc_id",
-            "source",
-            F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            seeded(F.col("doc_id"), seed).alias("_key"),
-        ),
-        "mix-sizes",
-    ).withColumn("_bucket", F.shiftright("_key", 60 - BUCKET_BITS).cast("int"))
+    """doc_id, source, size, source_size, target, taken: one row per row of docs; see the module for the rules. `keep`
+    names further columns of docs to hand on; they must not be called like the results."""
+    sizes = written(_sized(docs, ["doc_id", "source"], seed), "mix-sizes")
     targets = written(source_targets(sizes, weights, share, epochs), "mix-targets").select(
         "*", F.floor(F.col("target") + 0.5).alias("_goal")
     )
@@ -106,31 +108,19 @@ def mix(
     )
     if plan.count() <= BROADCAST_SOURCES:
         plan = F.broadcast(plan)
-    within = (
-        Window.partitionBy("source", "_bucket")
-        .orderBy("_key", "doc_id", "size")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    part = (
-        F.when(F.col("_bucket") < F.col("_last"), F.col("size"))
-        .when(
-            F.col("_bucket") == F.col("_last"),
-            F.greatest(F.lit(0), F.least(F.col("size"), F.col("_inside") - F.coalesce(F.col("_before"), F.lit(0)))),
-        )
-        .otherwise(F.lit(0))
-    )
-    return (
-        sizes.withColumn("_before", F.sum("size").over(within))
-        .join(plan, F.col("source").eqNullSafe(F.col("_source")))
-        .select(
-            "doc_id",
-            "source",
-            "size",
-            "source_size",
-            "target",
-            (F.col("_whole") * F.col("size") + part).cast("long").alias("taken"),
-        )
+    rows = sizes if keep is None else _sized(docs, list(dict.fromkeys(["doc_id", "source", *keep])), seed)
+    planned = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
+    # only the last bucket of a source needs its rows in order; of the others it takes all or nothing
+    within = Window.partitionBy("source").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    free = F.col("_inside") - F.coalesce(F.sum("size").over(within), F.lit(0))
+    here = F.coalesce(F.col("_bucket") == F.col("_last"), F.lit(False))
+    inside = planned.where(here).withColumn("_part", F.greatest(F.lit(0), F.least(F.col("size"), free)))
+    others = planned.where(~here).withColumn(
+        "_part", F.when(F.col("_bucket") < F.col("_last"), F.col("size")).otherwise(F.lit(0))
     )
+    taken = (F.col("_whole") * F.col("size") + F.col("_part")).cast("long").alias("taken")
+    named = [c for c in rows.columns if not c.startswith("_") and c != "size"]
+    return others.unionByName(inside).select(*named, "size", "source_size", "target", taken)
 
 
 def op7_mix_sources(spark, sf_dir: str) -> DataFrame:

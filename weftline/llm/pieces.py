@@ -26,6 +26,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.llm.common import arrow_map, steps, table
 
@@ -175,19 +176,22 @@ class Coder:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids.tolist()))[1:].decode("utf-8", "replace")
 
 
-def encode(docs: DataFrame, path: str, *, check: bool = False, cache: int = 200_000) -> DataFrame:
-    """doc_id, ids: one row per row of docs. With `check` also same: whether decoding gives the text again."""
+def encode(
+    docs: DataFrame, path: str, *, check: bool = False, cache: int = 200_000, keep: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """ids after the columns of `keep`: one row per row of docs. With `check` also same: whether decoding gives the text."""
+    narrow = docs.select(*keep, F.col("text").alias("_text"))
 
     def run(batches):
         coder = Coder(path, cache)
         for batch in batches:
-            for part in steps(batch):
-                texts = part.column("text").to_pylist()
+            for part in steps(batch, "_text"):
+                texts = part.column("_text").to_pylist()
                 packed = [coder.encode(t) for t in texts]
                 ends = np.cumsum([0, *[len(p) // 4 for p in packed]], dtype=np.int32)
                 flat = np.frombuffer(b"".join(packed), np.int32)
-                columns = [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
-                names = ["doc_id", "ids"]
+                columns = [*part.columns[:-1], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+                names = [*keep, "ids"]
                 if check:
                     want = [(t or "").replace(SPACE, " ") for t in texts]
                     same = [coder.decode(np.frombuffer(p, np.int32)) == t for p, t in zip(packed, want, strict=True)]
@@ -195,9 +199,8 @@ def encode(docs: DataFrame, path: str, *, check: bool = False, cache: int = 200_
                     names.append("same")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, ids array<int>" + ", same boolean" * check
-    return arrow_map(docs.select("doc_id", "text"), run, schema)
+    added = T.StructType.fromDDL("ids array<int>" + ", same boolean" * check)
+    return narrow.mapInArrow(run, T.StructType(narrow.schema.fields[:-1] + added.fields))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
