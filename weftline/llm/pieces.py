@@ -18,6 +18,7 @@ text; U+2581 in a text comes back as a space, as in the library. Repeated rows a
 
 from __future__ import annotations
 
+import functools
 from itertools import islice
 
 import numpy as np
@@ -74,16 +75,23 @@ class Vocabulary:
 class Coder:
     """Encodes and decodes with one vocabulary; caches are bounded."""
 
-    def __init__(self, path: str, cache: int = 200_000):
+    def __init__(self, path: str, cache: int = 400_000):
         self.vocabulary = Vocabulary(path)
         self._bound = cache
+        self._words: dict[str, bytes] = {}
         self._seen: dict[str, bytes] = {}
         self._agrees: dict[tuple[str, str], bool] = {}
-        self._stable: dict[str, bool] = {}
-
-    def _merged(self, text: str) -> list[str]:
-        """Merges of a short string: best score first, leftmost of equals."""
-        parts, scores = list(text), self.vocabulary.scores
+        self._edges: dict[str, tuple | None] = {}
+        scores = self.vocabulary.scores
+        #: Every beginning of a piece -> the piece's id if it is one that encodes to itself, else -1.
+        self._begins = {p[:i]: -1 for p in scores for i in range(1, len(p))}
+        for piece in scores:
+            self._begins[piece] = self.vocabulary.ids[piece] if self._edge(piece) else -1
+        self._line_ends = "\n" not in "".join(scores)
+
+    def _merged(self, text: str) -> tuple[list[str], list[tuple]]:
+        """Merges of a short string, best score first, leftmost of equals; and (left part, right part, score, place) of each."""
+        parts, scores, done = list(text), self.vocabulary.scores, []
         while len(parts) > 1:
             best = max(
                 ((scores[a + b], -i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in scores),
@@ -92,63 +100,97 @@ class Coder:
             if best is None:
                 break
             i = -best[1]
+            done.append((parts[i], parts[i + 1], best[0], i, i + 2 == len(parts)))
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
-
-    def _whole(self, piece: str) -> bool:
-        if piece not in self._stable:
-            self._stable[piece] = len(piece) == 1 or self._merged(piece) == [piece]
-        return self._stable[piece]
+        return parts, done
+
+    def _edge(self, piece: str) -> tuple | None:
+        """What stands at a piece's left and right end while it is merged: lists of (part, score it came with, score of the
+        merge that used it up; none for the piece itself). Null if the piece does not encode to itself."""
+        if piece not in self._edges:
+            parts, merges = self._merged(piece)
+            if len(parts) > 1:
+                self._edges[piece] = None
+            else:
+                sides = []
+                for at_end in (False, True):
+                    part, came, side = piece[-1] if at_end else piece[0], float("inf"), []
+                    for left, right, score, i, last in merges:
+                        if last if at_end else i == 0:
+                            side.append((part, came, score))
+                            part, came = left + right, score
+                    sides.append((*side, (part, came, float("-inf"))))
+                self._edges[piece] = tuple(sides)
+        return self._edges[piece]
 
     def _pair(self, a: str, b: str) -> bool:
+        """Whether two pieces next to each other stay as they are: no part at a's end merges with one at b's start. That
+        happens if their merge scores better than the merges that use the two up (as well as b's: it is further left)."""
         known = self._agrees.get((a, b))
         if known is None:
             if len(self._agrees) >= 4 * self._bound:
                 self._agrees.clear()
-            known = self._agrees[a, b] = self._merged(a + b) == [a, b]
+            known, scores = True, self.vocabulary.scores
+            for x, x_came, x_used in self._edge(a)[1]:
+                for y, y_came, y_used in self._edge(b)[0]:
+                    score = scores.get(x + y)
+                    if score is not None and score > x_used and score >= y_used:
+                        # scores fall along merges in a trained model; where they don't, merge and see
+                        known = False if score <= x_came and score <= y_came else self._merged(a + b)[0] == [a, b]
+                        break
+                if not known:
+                    break
+            self._agrees[a, b] = known
         return known
 
     def stream(self, text: str, check_every: int = 64):
         """Pieces of a stretch, committed as soon as every surviving path agrees on them."""
-        pieces, longest = self.vocabulary.ids, self.vocabulary.longest
-        base, back = 0, [0]  # back[i]: where the last piece of the encoding up to base + i starts
-        for end in range(1, len(text) + 1):
-            start = end - 1
-            for begin in range(max(base, end - longest), end):
-                piece = text[begin:end]
-                if piece in pieces and self._whole(piece):
-                    if begin == base and base == 0:
-                        start = begin
-                        break
-                    before = text[back[begin - base] : begin]
-                    if before == "" or self._pair(before, piece):
-                        start = begin
-                        break
-            back.append(start)
-            if end % check_every == 0 and end - base > longest:
-                alive = set(range(max(base, end - longest + 1), end + 1))
+        begins, agrees, pieces = self._begins, self._agrees, self.vocabulary.ids
+        n, base, back = len(text), 0, {0: 0}  # back[i]: where the last piece of the encoding of text[:i] starts
+        for start in range(n):
+            if start not in back:
+                back[start] = start - 1  # a character without a piece
+            before = text[back[start] : start]
+            free = start == 0 or before not in pieces
+            end = start + 1
+            while end <= n:
+                piece = text[start:end]
+                known = begins.get(piece)
+                if known is None:
+                    break
+                if known >= 0 and end not in back:
+                    fits = free or agrees.get((before, piece))
+                    if fits is None:
+                        fits = self._pair(before, piece)
+                    if fits:
+                        back[end] = start
+                end += 1
+            if (start + 1) % check_every == 0:
+                alive = {p for p in range(start + 1, start + 1 + self.vocabulary.longest) if p in back} or {start}
                 while len(alive) > 1:
                     last = max(alive)
                     alive.remove(last)
-                    alive.add(back[last - base])
+                    alive.add(back[last])
                 at = alive.pop()
-                # the piece before the boundary stays, as the next piece has to agree with it
-                keep = back[at - base] if at > base else base
-                if keep > base:
-                    yield from self._path(text, base, back, keep)
-                    back = [back[keep - base], *back[keep - base + 1 :]]
-                    base = keep
-        yield from self._path(text, base, back, len(text))
+                if base < at <= start:
+                    yield from self._path(text, base, back, at)
+                    for i in range(base, at):
+                        back.pop(i, None)
+                    back[at], base = max(back[at], base), at
+        if n and n not in back:
+            back[n] = n - 1
+        yield from self._path(text, base, back, n)
 
     @staticmethod
-    def _path(text: str, base: int, back: list[int], to: int) -> list[str]:
+    def _path(text: str, base: int, back: dict[int, int], to: int) -> list[str]:
         path = []
         while to > base:
-            path.append(text[back[to - base] : to])
-            to = back[to - base]
+            path.append(text[back[to] : to])
+            to = back[to]
         return path[::-1]
 
     def _ids(self, stretch: str) -> bytes:
+        """Ids of a stretch that no piece reaches out of."""
         known = self._seen.get(stretch)
         if known is None:
             ids, of = [], self.vocabulary
@@ -158,32 +200,65 @@ class Coder:
                 else:
                     ids.extend(of.byte_id[b] for b in piece.encode())
             known = np.asarray(ids, np.int32).tobytes()
-            if len(stretch) <= 64:
-                if len(self._seen) >= self._bound:
-                    for old in list(islice(self._seen, self._bound // 2)):
-                        del self._seen[old]
-                self._seen[stretch] = known
+            self._keep(self._seen, stretch, known)
         return known
 
+    def _keep(self, cache: dict[str, bytes], text: str, ids: bytes) -> None:
+        if len(text) <= 64:
+            if len(cache) >= self._bound:
+                for old in list(islice(cache, self._bound // 2)):
+                    del cache[old]
+            cache[text] = ids
+
+    def _cut(self, text: str) -> bytes:
+        """Ids of a text with its spaces replaced, cut into stretches."""
+        return b"".join([self._ids(p) for p in self.vocabulary.cuts.findall(text)])
+
+    def _word(self, word: str) -> bytes:
+        ids = self._words[word] = self._cut(SPACE + word)
+        if len(self._words) > self._bound or len(word) > 64:
+            del self._words[word if len(word) > 64 else next(iter(self._words))]
+        return ids
+
     def encode(self, text: str | None) -> bytes:
-        """Ids as packed 32-bit integers."""
+        """Ids as packed 32-bit integers. Most lines are words with one space between: each word is looked up."""
         if not text:
             return b""
-        seen, parts = self._seen, self.vocabulary.cuts.findall(SPACE + text.replace(" ", SPACE))
-        return b"".join([seen.get(p) or self._ids(p) for p in parts])
+        if SPACE in text:
+            return self._cut(SPACE + text.replace(" ", SPACE))
+        words, out = self._words, []
+        newline = np.int32(self.vocabulary.byte_id[10]).tobytes()
+        for i, line in enumerate(text.split("\n") if self._line_ends else [text]):
+            if i:
+                out.append(newline)
+            parts = line.split(" ")
+            if "" in parts:
+                out.append(self._cut((SPACE if i == 0 else "") + line.replace(" ", SPACE)))
+                continue
+            if i:
+                out.append(self._cut(parts[0]))
+                del parts[0]
+            out.extend([words.get(w) or self._word(w) for w in parts])
+        return b"".join(out)
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids.tolist()))[1:].decode("utf-8", "replace")
 
 
+@functools.lru_cache(maxsize=2)
+def _coder(path: str, cache: int) -> Coder:
+    """One coder for all tasks of a worker, with what it has seen."""
+    return Coder(path, cache)
+
+
 def encode(
-    docs: DataFrame, path: str, *, check: bool = False, cache: int = 200_000, keep: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame, path: str, *, check: bool = False, cache: int = 400_000, keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
     """ids after the columns of `keep`: one row per row of docs. With `check` also same: whether decoding gives the text."""
     narrow = docs.select(*keep, F.col("text").alias("_text"))
 
     def run(batches):
-        coder = Coder(path, cache)
+        coder = _coder(path, cache)
         for batch in batches:
             for part in steps(batch, "_text"):
                 texts = part.column("_text").to_pylist()
@@ -203,11 +278,11 @@ def encode(
     return narrow.mapInArrow(run, T.StructType(narrow.schema.fields[:-1] + added.fields))
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
+def decode(encoded: DataFrame, path: str, *, cache: int = 400_000) -> DataFrame:
     """doc_id, text from doc_id, ids; null ids give null."""
 
     def run(batches):
-        coder = Coder(path)
+        coder = _coder(path, cache)
         for batch in batches:
             ids = batch.column("ids")
             texts = [None if not x.is_valid else coder.decode(pc.cast(x.values, pa.int32()).to_numpy()) for x in ids]
