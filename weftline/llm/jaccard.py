@@ -8,12 +8,13 @@ set). Two classes link if 100 * intersection >= percent * union. The work grows
 2. Prefixes: a second pass emits the first n - ceil(percent * n / 100) + 1 shingles of each set in that order. Two linked sets
    share at least one of them. They travel packed by target partition, once per class and task; the entries of a shingle
    that the counts show to be very frequent are dealt over several partitions. Shingles met in one class only end here.
-3. Stars: on an eighth of the shared shingles, each class is paired with the class it shares most with among the least
-   fingerprints of its lists. These pairs, at most one per class, are verified and joined to components. That takes in a
-   group of thousands of near copies with as many pairs as it has members.
+3. Stars: each class is paired with the class it shares most with among the least fingerprints of its lists. These pairs, at
+   most one per class, are verified and joined to components. That takes in a group of thousands of near copies with as
+   many pairs as it has members.
 4. The rest: shingles whose lists still hold two components or more are joined with themselves, on pairs of different
-   components that pass the length and positional filters. Each such pair is verified once, if it was not before.
-   Pairs inside a component cannot change it.
+   components that pass the length and positional filters, and counted by pair: linked sets share a number of prefix shingles
+   that follows from their sizes. Each pair that is left is verified once, if it was not before. Pairs inside a component
+   cannot change it.
 5. Verification gets the sets of both classes, bounds their overlap by counts in 16 ranges of hashes (suffix filter), then
    intersects them.
 
@@ -192,11 +193,23 @@ def _shared(batches):
         yield flush(held)
 
 
+def _small(df: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """A written frame of a few longs a row, marked for broadcast if it has at most `most` rows; else it joins by shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def overlap_needed(a, b, percent: int):
     """Least intersection of sets of these sizes that link: ceil(percent * (a + b) / (100 + percent))."""
     return F.ceil(F.lit(percent) * (a + b) / F.lit(100 + percent))
 
 
+def shared_needed(a, b, percent: int):
+    """Least number of shingles that two linked sets share in their prefixes: common ones up to the smaller of the two last
+    prefix shingles are in both prefixes, and behind it at most the rest of one set is left."""
+    rest = F.ceil(F.lit(percent) * F.greatest(a, b) / F.lit(100)) - 1
+    return F.greatest(F.lit(1), overlap_needed(a, b, percent) - rest)
+
+
 def _verified(batches, percent: int):
     bins = (np.arange(1, 16, dtype=np.uint64)) << np.uint64(60)
     for batch in batches:
@@ -236,6 +249,15 @@ def _set_rows(batches, n: int):
             )
 
 
+def class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """fp, hashes of the classes in pairs, from the text of one row of each."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(classes, "fp")
+    wanted = written(wanted.select(F.col("rep").alias("doc_id")), "jaccard-wanted")
+    texts = docs.select("doc_id", "text").join(_small(wanted), "doc_id", "left_semi")
+    rows = arrow_map(texts, lambda it: _set_rows(it, n), "fp long, hashes binary")
+    return written(rows.dropDuplicates(["fp"]), "jaccard-sets")
+
+
 def class_links(docs: DataFrame, profile: DataFrame, *, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """classes (fp, rep: its smallest doc_id, n) and enough links between them (a, b) for their components to be exact."""
     rows = profile.where("doc_id IS NOT NULL AND fp IS NOT NULL")
@@ -252,30 +274,25 @@ def class_links(docs: DataFrame, profile: DataFrame, *, n: int, percent: int) ->
     shared = written(arrow_map(dealt, _shared, "shingle long, fp long, n int, pos int"), "jaccard-shared")
 
     sizes = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
-    some = shared.where(F.col("shingle") % 8 == 0)
-    first = some.groupBy("shingle").agg(F.min(F.struct("fp", "n")).alias("lead"))
+    first = shared.groupBy("shingle").agg(F.min(F.struct("fp", "n")).alias("lead"))
     stars = (
-        some.join(first, "shingle")
+        shared.join(first, "shingle")
         .where((F.col("fp") != F.col("lead.fp")) & sizes(F.col("n"), F.col("lead.n")))
-        .groupBy("fp", F.col("lead.fp").alias("lead"))
+        .groupBy("fp", "n", F.col("lead.fp").alias("lead"), F.col("lead.n").alias("lead_n"))
         .agg(F.count(F.lit(1)).alias("_c"))
+        .where(F.col("_c") >= shared_needed(F.col("n"), F.col("lead_n"), percent))
         .groupBy("fp")
         .agg(F.max_by("lead", F.struct("_c", "lead")).alias("lead"))
         .select(F.least("fp", "lead").alias("a"), F.greatest("fp", "lead").alias("b"))
         .distinct()
     )
     stars = written(stars, "jaccard-stars")
-    wanted = shared.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id"), F.col("fp").alias("_fp"))
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    sets = written(
-        arrow_map(texts, lambda it: _set_rows(it, n), "fp long, hashes binary").dropDuplicates(["fp"]), "jaccard-sets"
-    )
-    links = written(verify(stars, sets, percent), "jaccard-links")
+    links = written(verify(stars, class_sets(docs, classes, stars, n), percent), "jaccard-links")
     found = components(links).select(F.col("node").alias("fp"), F.col("component").alias("_comp"))
-    placed = shared.join(found, "fp", "left").withColumn("_comp", F.coalesce("_comp", "fp"))
-    placed = written(placed, "jaccard-placed")
+    placed = shared.join(_small(found), "fp", "left").withColumn("_comp", F.coalesce("_comp", "fp"))
     uneven = placed.groupBy("shingle").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi")).where("_lo != _hi")
-    rest = written(placed.join(uneven.select("shingle"), "shingle", "left_semi"), "jaccard-rest")
+    uneven = written(uneven.select("shingle"), "jaccard-uneven")
+    rest = written(placed.join(_small(uneven), "shingle", "left_semi"), "jaccard-rest")
     x, y = rest.alias("x"), rest.alias("y")
     most = F.least("x.pos", "y.pos") + 1 + F.least(F.col("x.n") - F.col("x.pos") - 1, F.col("y.n") - F.col("y.pos") - 1)
     pairs = (
@@ -286,11 +303,14 @@ def class_links(docs: DataFrame, profile: DataFrame, *, n: int, percent: int) ->
             & sizes(F.col("x.n"), F.col("y.n"))
             & (most >= overlap_needed(F.col("x.n"), F.col("y.n"), percent)),
         )
-        .select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b"))
-        .distinct()
+        .groupBy(F.col("x.fp").alias("_x"), F.col("y.fp").alias("_y"), F.col("x.n").alias("_xn"), F.col("y.n").alias("_yn"))
+        .agg(F.count(F.lit(1)).alias("_c"))
+        .where(F.col("_c") >= shared_needed(F.col("_xn"), F.col("_yn"), percent))
+        .select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"))
         .join(stars, ["a", "b"], "left_anti")
     )
-    more = written(verify(written(pairs, "jaccard-pairs"), sets, percent), "jaccard-more")
+    pairs = written(pairs, "jaccard-pairs")
+    more = written(verify(pairs, class_sets(docs, classes, pairs, n), percent), "jaccard-more")
     return classes, links.unionByName(more)
 
 
