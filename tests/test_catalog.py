@@ -5,6 +5,8 @@ import re
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from weftline.plans.catalog import ORACLES as CATALOG_SQL
+from weftline.plans.catalog import QUERIES as CATALOG
 from tests.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -23,7 +25,7 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(QUERIES)
+    assert set(CATALOG_SQL) == set(CATALOG)
 
 
 def test_entry(spark):

@@ -37,7 +37,7 @@ def test_prices(spark, tmp_path):
         folder.mkdir()
         (folder / "prices.csv").write_text(TEXT.replace("observation_date", header))
         assert sorted(map(tuple, read_prices(spark, str(folder), "CLOSE").collect())) == KEPT
-        live = stream_prices(spark, str(folder), "CLOSE", header)
+        live = stream_prices(spark, str(folder), "CLOSE", [header, "CLOSE"])
         assert sorted(map(tuple, drain(live, str(folder) + "-out").collect())) == KEPT
 
 
@@ -120,3 +120,11 @@ def test_metrics(spark):
     assert total.get["rows"] == 3
     rate = spark.range(1).select(metrics.throughput(F.lit(6), F.lit(0.0)), metrics.throughput(F.lit(6), F.lit(4.0)))
     assert tuple(rate.first()) == (0.0, 1.5)
+
+
+def test_columns_are_read_by_name(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("symbol,observation_date,CLOSE\nA,2021-07-01,\t5\nB,2021-07-02, 6 \n")
+    want = [(datetime(2021, 7, 1), 5.0), (datetime(2021, 7, 2), 6.0)]
+    assert sorted(map(tuple, read_prices(spark, str(tmp_path), "CLOSE").collect())) == want
+    live = drain(stream_prices(spark, str(tmp_path), "CLOSE"), str(tmp_path) + "-out")
+    assert sorted(map(tuple, live.collect())) == want

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.series import Series
 
@@ -30,7 +31,7 @@ def relative_time(s: Series) -> Column:
     """Seconds since the first row of the whole series (same unit for a numeric clock)."""
     first = s.df.agg(F.min(s.ticks())).scalar()
     passed = s.ticks() - first
-    return passed / 1e6 if "timestamp" in dict(s.df.dtypes)[s.ts] else passed
+    return passed if isinstance(s.df.schema[s.ts].dataType, T.NumericType) else passed / 1e6
 
 
 def time_label(ts: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from weftline.series import mean
+from weftline.series import Series, mean
 
 # Fixed value: estimated bytes of one buffered row.
 ROW_BYTES = 64
@@ -43,6 +43,11 @@ def state_bytes(rows: Column) -> Column:
     return rows * ROW_BYTES
 
 
+def untimed(s: Series) -> DataFrame:
+    """How many rows without a time the windows and joins leave out, per key."""
+    return s.df.groupBy(*s.by).agg(F.count(F.when(F.col(s.ts).isNull(), 1)).alias("untimed"))
+
+
 def observed(df: DataFrame, name: str = "run") -> tuple[DataFrame, Observation]:
     """``df`` with a counter that is ready once an action has run: ``observation.get["rows"]``."""
     counter = Observation(name)

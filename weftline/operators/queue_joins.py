@@ -29,7 +29,7 @@ _ORDER = ("_t", "_side", "_seq")
 
 
 def merge(*series: Series, keep: list[list[str]] | None = None) -> DataFrame:
-    """All series in one frame: key, ``_t``, ``_side`` (0, 1, ..), ``_seq`` and a row struct per side.
+    """All series in one frame, without rows that have no time: key, ``_t``, ``_side`` (0, 1, ..), ``_seq`` and a row struct per side.
 
     The struct ``_row<side>`` has the fields ``ts``, ``seq`` and the values, or those in
     ``keep``; without any there is no struct. Carry no field that is not used later: then
@@ -43,7 +43,7 @@ def merge(*series: Series, keep: list[list[str]] | None = None) -> DataFrame:
         names = ["ts", "seq", *s.values] if keep is None else keep[i]
         source = {"ts": s.ts, "seq": s.seq}
         fields = [F.col(source.get(n, n)).alias(n) for n in names]
-        return s.df.select(
+        return s.df.where(F.col(s.ts).isNotNull()).select(
             *by,
             s.ticks().alias("_t"),
             F.lit(i).alias("_side"),

@@ -56,11 +56,11 @@ def identity(s: Series) -> DataFrame:
 def keep_latest(s: Series, n: int, rows_per_slice: int | None = None) -> DataFrame:
     """The newest ``n`` rows of each stream: what a full buffer of that size still holds."""
     if n <= _SMALL and not s.by:
-        return s.rows().orderBy(F.desc(s.ts), F.desc(s.seq)).limit(n)
+        return s.timed().orderBy(F.desc(s.ts), F.desc(s.seq)).limit(n)
     if n <= _SMALL:
         newest = Window.partitionBy(*s.by).orderBy(F.desc(s.ts), F.desc(s.seq))
-        return s.rows().withColumn("_k", F.row_number().over(newest)).where(F.col("_k") <= n).drop("_k")
-    df = s.rows().withColumn("_t", s.ticks())
+        return s.timed().withColumn("_k", F.row_number().over(newest)).where(F.col("_k") <= n).drop("_k")
+    df = s.timed().withColumn("_t", s.ticks())
     sl = slice_rows(df, s.by, ("_t", s.seq), rows_per_slice)
     counted = running(sl, sl.df, {"_k": ("sum", F.lit(1).cast("long"))}, reverse=("_k",))
     return counted.where(F.col("_k") <= n).drop("_k", "_t", SLICE)

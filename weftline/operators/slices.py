@@ -14,8 +14,6 @@ there are never more than ``MAX_SLICES`` slices.
 
 from __future__ import annotations
 
-import json
-import tempfile
 from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -24,6 +22,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from weftline.folders import settled
+
+__all__ = ["HALO", "SLICE", "Sliced", "lookup", "overall", "running", "settled", "slice_rows", "with_halo"]
+
 SLICE = "_slice"
 HALO = "_halo"
 
@@ -67,7 +69,7 @@ class Sliced:
         reuses the shuffle of the branch that it is joined to.
         """
         grouped = df.groupBy(*self.keys).agg(
-            F.max(SLICE).alias("_cut"), F.max(F.xxhash64(*self.df.columns)).alias("_all"), *aggs
+            F.max(SLICE).alias("_cut"), F.max(F.xxhash64(*_hashable(self.df))).alias("_all"), *aggs
         )
         return grouped.where("_cut > 0 and _all is not null").drop("_cut", "_all")
 
@@ -98,26 +100,20 @@ def lookup(df: DataFrame, table: DataFrame, keys: list[str], how: str = "left")
     return df.join(F.broadcast(renamed), match, how).drop(*[f"_key_{k}" for k in keys])
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder and read from there.
+def _hashable(df: DataFrame) -> list[Column]:
+    """All columns in a form that can be hashed: maps cannot, so what holds one is hashed as text."""
+    return [
+        F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in df.schema
+    ]
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only a session
-    without one, as in tests, gets a local folder.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="weftline-"))
-    return df.checkpoint()
 
-
-def _row_limit(df: DataFrame, total: int, rows_per_slice: int | None) -> int:
+def _row_limit(df: DataFrame, total: int, rows_per_slice: int | None, least: int) -> int:
     spark = df.sparkSession
     rows = rows_per_slice or int(spark.conf.get(ROWS_PER_SLICE_CONF, "0"))
     if not rows:
         share = -(-total // (2 * spark.sparkContext.defaultParallelism))
         rows = min(max(share, LEAST_ROWS_PER_SLICE), ROWS_PER_SLICE)
-    return max(rows, -(-total // MAX_SLICES), 1)
+    return max(rows, -(-total // MAX_SLICES), least, 1)
 
 
 def _sample(df: DataFrame, columns: list[str], rows_per_slice: int) -> DataFrame:
@@ -136,7 +132,8 @@ def _cut_points(sample: DataFrame, by: list[str], order: list[str], slices: Colu
     place = F.floor((F.row_number().over(w) - 1) * slices / n)
     placed = sample.select(*by, *order, place.alias("_place"))
     placed = placed.withColumn("_last", F.lag("_place").over(w))
-    return sorted(set(placed.where("_place > _last").select(*by, *order).collect()))
+    found = set(placed.where("_place > _last").select(*by, *order).collect())
+    return sorted(found, key=lambda row: [(v is not None, v) for v in row])  # a key may be null
 
 
 def _reaches(columns: tuple[str, ...], cut: Column) -> Column:
@@ -166,9 +163,12 @@ def slice_rows(
     order: tuple[str, ...],
     rows_per_slice: int | None = None,
     cut_on: tuple[str, ...] | None = None,
+    least: int = 1,
 ) -> Sliced:
     """Number the rows of ``df`` by slice. ``order`` columns must be numbers or strings.
 
+    No slice is planned with fewer than ``least`` rows.
+
     ``cut_on`` is a prefix of ``order`` that must not be cut through: with the time
     alone, rows of equal time stay together.
 
@@ -179,25 +179,24 @@ def slice_rows(
     cut_on = tuple(cut_on or order)
     if not by:
         total = df.count()
-        limit = _row_limit(df, total, rows_per_slice)
+        limit = _row_limit(df, total, rows_per_slice, least)
         slices = -(-total // limit)
         cuts = []
         if slices > 1:
             sample = _sample(df.select(*order), list(order), limit)
             cuts = _cut_points(sample.select(*cut_on), [], list(cut_on), F.lit(slices))
-        number = F.lit(1)
-        if cuts:
-            fields = df.select(*cut_on).schema
-            listed = F.from_json(
-                F.lit(json.dumps([dict(zip(cut_on, c)) for c in cuts])),
-                f"array<{fields.simpleString()}>",
-            )
-            number = _slice_number(cut_on, listed, len(cuts))
-        return Sliced(df.withColumn(SLICE, number), by, order, True, max(slices, 1))
+        if not cuts:
+            return Sliced(df.withColumn(SLICE, F.lit(1)), by, order, True, max(slices, 1))
+        fields = df.select(*cut_on).schema.simpleString()
+        listed = df.sparkSession.createDataFrame([([tuple(c) for c in cuts],)], f"_cuts array<{fields}>")
+        # read once as a subquery, typed as the rows are, so any order column can be cut on
+        cut = df.withColumn("_cuts", listed.scalar())
+        cut = cut.withColumn(SLICE, _slice_number(cut_on, F.col("_cuts"), len(cuts)))
+        return Sliced(cut.drop("_cuts"), by, order, True, max(slices, 1))
 
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     top = sizes.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("most")).first()
-    limit = _row_limit(df, top.total or 0, rows_per_slice)
+    limit = _row_limit(df, top.total or 0, rows_per_slice, least)
     pieces = max(-(-(top.total or 0) // limit), 1)
     if (top.most or 0) <= limit:
         return Sliced(df.withColumn(SLICE, F.lit(0)), by, order, False, pieces)

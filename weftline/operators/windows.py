@@ -1,4 +1,7 @@
-"""Tumbling, count-sliding and landmark windows, averages and extrema."""
+"""Tumbling, count-sliding and landmark windows, averages and extrema.
+
+Rows without a time are left out (``metrics.untimed`` counts them). Averages are over the values that are not null.
+"""
 
 from __future__ import annotations
 
@@ -13,10 +16,10 @@ from weftline.series import Series, mean
 _FILL_PIECE = 4096
 
 
-def _ordered(s: Series, rows_per_slice: int | None = None):
-    """Rows of a series with a numeric time, sliced."""
-    df = s.rows().withColumn("_t", s.ticks())
-    return slice_rows(df, s.by, ("_t", s.seq), rows_per_slice)
+def _ordered(s: Series, rows_per_slice: int | None = None, least: int = 1):
+    """Rows of a series that have a time, with a numeric one, sliced."""
+    df = s.timed().withColumn("_t", s.ticks())
+    return slice_rows(df, s.by, ("_t", s.seq), rows_per_slice, least=least)
 
 
 def _span(seconds: float) -> int:
@@ -52,7 +55,7 @@ def tumbling(s: Series, seconds: float) -> DataFrame:
         start = F.floor(F.col(s.ts) / seconds) * F.lit(float(seconds))
     else:
         start = F.window(s.ts, _interval(_span(seconds)))["start"]
-    rows = s.rows().withColumn("_start", start)
+    rows = s.timed().withColumn("_start", start)
     stats = rows.groupBy(*s.by, F.col("_start").alias("start")).agg(
         F.count(F.lit(1)).alias("count"), mean(F.sum(s.value), F.count(s.value)).alias("avg")
     )
@@ -81,9 +84,18 @@ def tumbling_filled(s: Series, seconds: float, max_windows: int | None = None) -
         "_k", F.explode(F.sequence(low, F.least(F.col("_n"), low + (_FILL_PIECE - 1))))
     )
     step = _step(s, seconds)
-    grid = steps.select(*s.by, (F.col("_first") + F.col("_k") * step).alias("start"))
-    stats = found.drop("end").withColumnsRenamed({c: f"_f_{c}" for c in [*s.by, "start"]})
-    same = grid["start"] == stats["_f_start"]
+    if _has_clock(s):
+        # windows meet by number: the start of a fractional step is a rounded product
+        number = lambda start: F.round(start / seconds).cast("long")
+        at = number(F.col("_first")) + F.col("_k")
+        grid = steps.select(*s.by, at.alias("_at"), (at * F.lit(float(seconds))).alias("start"))
+    else:
+        number = lambda start: start
+        at = F.col("_first") + F.col("_k") * step
+        grid = steps.select(*s.by, at.alias("_at"), at.alias("start"))
+    stats = found.drop("end").withColumnsRenamed({c: f"_f_{c}" for c in s.by})
+    stats = stats.withColumn("_f_at", number(F.col("start"))).drop("start")
+    same = grid["_at"] == stats["_f_at"]
     for c in s.by:
         same = same & grid[c].eqNullSafe(stats[f"_f_{c}"])
     joined = grid.join(stats, same, "left")
@@ -101,7 +113,7 @@ def tumbling_filled(s: Series, seconds: float, max_windows: int | None = None) -
 
 def _last_rows(s: Series, n: int, columns: dict[str, Column], rows_per_slice: int | None) -> DataFrame:
     """Aggregates over the last ``n`` rows up to and including each row."""
-    sl = _ordered(s, rows_per_slice)
+    sl = _ordered(s, rows_per_slice, least=n)
     frame = sl.window().rowsBetween(-(n - 1), 0)
     rows = with_halo(sl, sl.df, n - 1)
     out = rows.select("*", *[c.over(frame).alias(name) for name, c in columns.items()])
@@ -117,6 +129,7 @@ def count_sliding(s: Series, n: int = 10, rows_per_slice: int | None = None) ->
             "oldest_ts": F.first(s.ts),
             "count": F.count(F.lit(1)),
             "_sum": F.sum(s.value),
+            "_held": F.count(s.value),
             "min": F.min(s.value),
             "max": F.max(s.value),
         },
@@ -127,7 +140,7 @@ def count_sliding(s: Series, n: int = 10, rows_per_slice: int | None = None) ->
         "oldest_ts",
         F.col(s.ts).alias("newest_ts"),
         "count",
-        mean(F.col("_sum"), F.col("count")).alias("avg"),
+        mean(F.col("_sum"), F.col("_held")).alias("avg"),
         "min",
         "max",
     )
@@ -135,8 +148,8 @@ def count_sliding(s: Series, n: int = 10, rows_per_slice: int | None = None) ->
 
 def moving_average(s: Series, n: int = 20, rows_per_slice: int | None = None) -> DataFrame:
     """Every row with ``moving_avg``: NaN for the first ``n - 1``, then the mean of the last ``n``."""
-    out = _last_rows(s, n, {"_n": F.count(F.lit(1)), "_sum": F.sum(s.value)}, rows_per_slice)
-    average = F.when(F.col("_n") < n, F.lit(float("nan"))).otherwise(mean(F.col("_sum"), F.lit(n)))
+    out = _last_rows(s, n, {"_n": F.count(F.lit(1)), "_sum": F.sum(s.value), "_held": F.count(s.value)}, rows_per_slice)
+    average = F.when(F.col("_n") < n, F.lit(float("nan"))).otherwise(mean(F.col("_sum"), F.col("_held")))
     return out.select(*s.columns, average.alias("moving_avg"))
 
 
@@ -175,7 +188,7 @@ def landmark(
     if start is not None:
         first = sl.df.withColumn("landmark", F.lit(start).cast(s.df.schema[s.ts].dataType))
     elif not s.by:
-        first = sl.df.withColumn("landmark", s.df.agg(F.min(arrival)[s.ts]).scalar())
+        first = sl.df.withColumn("landmark", s.timed().agg(F.min(arrival)[s.ts]).scalar())
     else:
         first = overall(sl, sl.df, {"_first": ("min", arrival)})
         first = first.withColumn("landmark", F.col("_first")[s.ts])
@@ -184,8 +197,11 @@ def landmark(
         full = F.floor("landmark") if _has_clock(s) else F.date_trunc("second", "landmark")
         first = first.withColumn("landmark", full.cast(kind))
     kept = first.where(F.col(s.ts) >= F.col("landmark"))
+    held = F.when(F.col(s.value).isNotNull(), 1).otherwise(0).cast("long")
     out = running(
-        sl, kept, {"count": ("sum", F.lit(1).cast("long")), "sum": ("sum", F.col(s.value))}
+        sl,
+        kept,
+        {"count": ("sum", F.lit(1).cast("long")), "sum": ("sum", F.col(s.value)), "_held": ("sum", held)},
     )
     return out.select(
         *s.by,
@@ -193,12 +209,12 @@ def landmark(
         F.col(s.ts).alias("ts"),
         "count",
         "sum",
-        mean(F.col("sum"), F.col("count")).alias("avg"),
+        mean(F.col("sum"), F.col("_held")).alias("avg"),
     )
 
 
-def landmark_points(s: Series, max_points: int | None = 50, rows_per_slice: int | None = None) -> DataFrame:
-    """``(landmark, ts, count, avg)`` with the landmark on the full second; first points only."""
+def landmark_points(s: Series, max_points: int | None = None, rows_per_slice: int | None = None) -> DataFrame:
+    """``(landmark, ts, count, avg)`` with the landmark on the full second; ``max_points`` keeps the first."""
     points = landmark(s, floor_second=True, rows_per_slice=rows_per_slice).drop("sum")
     return points if max_points is None else points.where(F.col("count") <= max_points)
 

@@ -7,16 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.folders import settled
 from weftline.functions import scalars
 from weftline.operators import metrics, relational, windows
 from weftline.operators import queue_joins as queues
 from weftline.operators.delta_joins import minimal_delta_join
 from weftline.operators.turn_joins import alternating_delta_join, three_way_delta_join
 from weftline.plans import oracles
-from weftline.plans.tables import all_events, events, order_status, plain, shipments, table
+from weftline.plans.tables import all_events, events, order_status, orders, plain, shipments, table
 from weftline.series import Series
 from weftline.sources import sinks
-from weftline.sources.prices import parse_prices
+from weftline.sources.prices import parse_prices, read_prices
 from weftline.sources.series import logical_clock
 from weftline.streaming import ordered
 from weftline.streaming.folders import drain, read_folder, shared_folder, use_rocksdb
@@ -61,9 +62,15 @@ _RAW_PRICES = """SELECT event_id AS seq,
 WHERE try_strptime(coalesce(nullif(a, ''), b), '%Y-%m-%d') IS NOT NULL AND TRY_CAST(trim(price) AS DOUBLE) IS NOT NULL""",
 )
 def s1_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The text of a price file made from the events, with the usual defects, and parsed."""
+    """The text of a price file made from the events, parsed."""
+    raw = _raw_prices(spark, sf_dir)
+    return parse_prices(raw, "close", "seq").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def _raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as the text of a price file with the usual defects."""
     seq, day = F.col("event_id"), F.date_format("ts", "yyyy-MM-dd")
-    raw = table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         seq.alias("seq"),
         F.when(seq % 3 == 0, "").when(seq % 19 == 0, "x").otherwise(day).alias("observation_date"),
         F.when(seq % 3 == 0, day).alias("observation date"),
@@ -73,7 +80,19 @@ def s1_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("  "), F.col("value").cast("decimal(18,2)").cast("string"), F.lit(" ")))
         .alias("close"),
     )
-    return parse_prices(raw, "close", "seq").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query(
+    "s1_price_file",
+    f"""SELECT strptime(day, '%Y-%m-%d') AS ts, TRY_CAST(trim(price) AS DOUBLE) AS price
+FROM (SELECT *, coalesce(nullif(a, ''), b) AS day FROM ({_RAW_PRICES}))
+WHERE try_strptime(day, '%Y-%m-%d') IS NOT NULL AND TRY_CAST(trim(price) AS DOUBLE) IS NOT NULL""",
+)
+def s1_price_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same text, written as CSV files and read by name."""
+    path = shared_folder(spark)
+    _raw_prices(spark, sf_dir).drop("seq").write.option("header", True).csv(path)
+    return read_prices(spark, path, "close").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query("s2_named_series", f"SELECT ts, event_id AS seq, {_DOUBLE} AS value FROM events WHERE event_type = 'view'")
@@ -248,6 +267,18 @@ def p7_relative_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.df.select("seq", scalars.relative_time(s).alias("since"))
 
 
+@query(
+    "p7_relative_date",
+    """SELECT o_orderkey AS seq, CAST(date_diff('day', (SELECT min(CAST(o_orderdate AS DATE)) FROM orders),
+  CAST(o_orderdate AS DATE)) * 86400 AS DOUBLE) AS since FROM orders""",
+)
+def p7_relative_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time as a date."""
+    s = orders(spark, sf_dir)
+    s = s.with_df(s.df.withColumn("ts", F.col("ts").cast("date")))
+    return s.df.select("seq", scalars.relative_time(s).alias("since"))
+
+
 @query("p8_time_label", "SELECT event_id AS seq, strftime(ts, '%H:%M:%S') AS label FROM events")
 def p8_time_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_columns(spark, sf_dir, label=scalars.time_label(F.col("ts")))
@@ -326,6 +357,25 @@ def w2_tumbling_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.tumbling_filled(all_events(spark, sf_dir, "event_type"), 600)
 
 
+@query(
+    "w2_tumbling_filled_clock",
+    """WITH c AS (
+  SELECT event_type, (row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1) * 0.05::DOUBLE AS t,
+    event_id, CAST(value AS DECIMAL(18,2)) AS v FROM events),
+r AS (SELECT event_type, CAST(floor(t / 0.1::DOUBLE) AS BIGINT) AS k, t, v FROM c WHERE event_id % 11 < 3),
+w AS (
+  SELECT event_type, k, count(*) AS n, CAST(sum(v) AS DOUBLE) / count(*) AS a FROM r
+  WHERE k * 0.1::DOUBLE + 0.1::DOUBLE <= (SELECT max(t) FROM r) GROUP BY event_type, k),
+g AS (SELECT event_type, unnest(generate_series(min(k), max(k))) AS k FROM w GROUP BY event_type)
+SELECT g.event_type, g.k * 0.1::DOUBLE AS start, g.k * 0.1::DOUBLE + 0.1::DOUBLE AS "end", coalesce(n, 0) AS count,
+  coalesce(a, 0) AS avg FROM g LEFT JOIN w ON w.event_type = g.event_type AND w.k = g.k""",
+)
+def w2_tumbling_filled_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A logical clock with a step and a window that are no binary fractions, and gaps."""
+    s = logical_clock(all_events(spark, sf_dir, "event_type"), 0.05)
+    return windows.tumbling_filled(s.with_df(s.df.where("seq % 11 < 3")), 0.1)
+
+
 def _over(key: str | None, order: str) -> str:
     return f"PARTITION BY {key} ORDER BY {order}" if key else f"ORDER BY {order}"
 
@@ -349,6 +399,22 @@ def w3_count_sliding_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.count_sliding(all_events(spark, sf_dir), 30)
 
 
+_GAPPY = "(SELECT * REPLACE (CASE WHEN event_type <> 'error' THEN value END AS value) FROM events)"
+
+
+@query(
+    "w3_count_sliding_nulls",
+    _sliding_sql(_GAPPY, "user_id", "ts, event_id", "ts", "value", 4).replace(
+        "AS DOUBLE) / count(*) OVER w", "AS DOUBLE) / nullif(count(value) OVER w, 0)"
+    ),
+)
+def w3_count_sliding_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An error event has no value; averages are over the values there are."""
+    s = all_events(spark, sf_dir, "user_id", "event_type")
+    value = F.when(F.col("event_type") != "error", F.col("value"))
+    return windows.count_sliding(Series(s.df.withColumn("value", value), by="user_id"), 4)
+
+
 _SHIPPED = "l_shipdate, l_orderkey, l_linenumber, l_partkey"
 
 
@@ -424,9 +490,10 @@ def w7_running_min_max_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.running_min_max(all_events(spark, sf_dir))
 
 
-def _records_sql(aggregate: str, op: str) -> str:
-    return f"""SELECT user_id, ts, event_id AS seq, {_DOUBLE} AS value FROM (
-  SELECT *, {aggregate}({_VALUE}) OVER (PARTITION BY user_id ORDER BY ts, event_id
+def _records_sql(aggregate: str, op: str, key: str | None = "user_id") -> str:
+    keyed, part = (f"{key}, ", f"PARTITION BY {key} ") if key else ("", "")
+    return f"""SELECT {keyed}ts, event_id AS seq, {_DOUBLE} AS value FROM (
+  SELECT *, {aggregate}({_VALUE}) OVER ({part}ORDER BY ts, event_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM events)
 WHERE best IS NULL OR {_VALUE} {op} best"""
 
@@ -441,12 +508,23 @@ def w8_record_lows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.record_extrema(all_events(spark, sf_dir, "user_id"), largest=False)
 
 
-def _extrema_sql(order: str) -> str:
-    return f"""SELECT a.user_id, a.ts AS at_ts, b.ts AS ts, CAST(b.v AS DOUBLE) AS value
-FROM (SELECT *, {_VALUE} AS v, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events) a
-JOIN (SELECT *, {_VALUE} AS v, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events) b
-  ON b.user_id = a.user_id AND b.r BETWEEN a.r - 7 AND a.r
-QUALIFY row_number() OVER (PARTITION BY a.user_id, a.r ORDER BY b.v {order}, b.ts, b.event_id) = 1"""
+@query("w8_record_highs_unkeyed", _records_sql("max", ">", None))
+def w8_record_highs_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.record_extrema(all_events(spark, sf_dir), largest=True)
+
+
+def _extrema_sql(order: str, key: str | None = "user_id") -> str:
+    part = f"PARTITION BY {key} " if key else ""
+    keyed, same = (f"a.{key}, ", f"b.{key} = a.{key} AND ") if key else ("", "")
+    ranked = f"(SELECT *, {_VALUE} AS v, row_number() OVER ({part}ORDER BY ts, event_id) AS r FROM events)"
+    return f"""SELECT {keyed}a.ts AS at_ts, b.ts AS ts, CAST(b.v AS DOUBLE) AS value
+FROM {ranked} a JOIN {ranked} b ON {same}b.r >= a.r - 7 AND b.r <= a.r AND b.r // 8 >= a.r // 8 - 1 AND b.r // 8 <= a.r // 8
+QUALIFY row_number() OVER (PARTITION BY {keyed}a.r ORDER BY b.v {order}, b.ts, b.event_id) = 1"""
+
+
+@query("w9_window_highs_unkeyed", _extrema_sql("DESC", None))
+def w9_window_highs_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.window_extrema(all_events(spark, sf_dir), 8, largest=True)
 
 
 @query("w9_window_highs", _extrema_sql("DESC"))
@@ -510,6 +588,37 @@ def j9_select_then_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minimal_delta_join(relational.select(first, [(0, ">", 1), (1, ">=", 20)]), second)
 
 
+@query(
+    "j9_select_then_join_unkeyed",
+    oracles.symmetric(
+        oracles.clocked("click", 1.0, "ts > 1 AND v >= 20", "0"), oracles.clocked("signup", 0.5, key="0"), None
+    ),
+)
+def j9_select_then_join_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = logical_clock(events(spark, sf_dir, "click"), 1.0)
+    second = logical_clock(events(spark, sf_dir, "signup"), 0.5)
+    return minimal_delta_join(relational.select(first, [(0, ">", 1), (1, ">=", 20)]), second)
+
+
+def _gap(sql: str) -> str:
+    """An event whose number is divisible by 13 has lost its time."""
+    return f"SELECT * FROM ({sql}) WHERE seq % 13 <> 0"
+
+
+def _gappy(spark: SparkSession, sf_dir: str, kind: str) -> Series:
+    s = events(spark, sf_dir, kind, "user_id")
+    return s.with_df(s.df.withColumn("ts", F.when(F.col("seq") % 13 != 0, F.col("ts"))))
+
+
+for _name, _join, _sql in [
+    ("j1_fuzzy_merge_untimed", queues.fuzzy_merge_join, oracles.fuzzy_merge),
+    ("j7_minimal_delta_untimed", minimal_delta_join, oracles.symmetric),
+]:
+    query(_name, _sql(_gap(oracles.events("purchase")), _gap(oracles.events("view")), "user_id"))(
+        lambda spark, sf_dir, join=_join: join(_gappy(spark, sf_dir, "purchase"), _gappy(spark, sf_dir, "view"))
+    )
+
+
 # --- run metrics -------------------------------------------------------------------
 
 
@@ -556,6 +665,14 @@ def m4_output_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy("user_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("m4_observed_count", f"SELECT count(*) AS rows FROM ({_JOINED})")
+def m4_observed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the counter saw while the results were written."""
+    joined, counter = metrics.observed(_joined(spark, sf_dir, "user_id").rows(), "joined")
+    settled(joined)
+    return spark.createDataFrame([(counter.get["rows"],)], "rows long")
+
+
 @query(
     "m5_state_bytes",
     """SELECT user_id, ts, 64 * count(*) OVER (PARTITION BY user_id ORDER BY ts, event_id

@@ -21,10 +21,10 @@ def order_status(status: str) -> str:
     )
 
 
-def clocked(kind: str, step: float, where: str = "true") -> str:
+def clocked(kind: str, step: float, where: str = "true", key: str = "user_id") -> str:
     """A source with a logical clock per key."""
     clock = f"(row_number() OVER (PARTITION BY k ORDER BY ts, seq) - 1) * CAST({step} AS DOUBLE)"
-    stamped = f"SELECT k, {clock} AS ts, {clock} AS t, seq, v FROM ({events(kind)})"
+    stamped = f"SELECT k, {clock} AS ts, {clock} AS t, seq, v FROM ({events(kind, key)})"
     return f"SELECT * FROM ({stamped}) WHERE {where}"
 
 

@@ -50,8 +50,8 @@ def shipments(spark: SparkSession, sf_dir: str, *by: str, value: str = "l_extend
     df = table(spark, sf_dir, "lineitem").select(
         *by,
         F.col("l_shipdate").alias("ts"),
-        # order, line and part: no two rows of a supplier share all three
-        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")).alias("seq"),
+        # order, line and part: no two rows of a supplier share all three; text of fixed width sorts as the numbers do
+        F.concat(*[F.lpad(F.col(c).cast("string"), 19, "0") for c in ("l_orderkey", "l_linenumber", "l_partkey")]).alias("seq"),
         F.col(value).cast("decimal(18,2)").alias("value"),
     )
     return Series(df, by=by)

@@ -45,6 +45,10 @@ class Series:
         """Only the columns that belong to the series."""
         return self.df.select(*self.columns)
 
+    def timed(self) -> DataFrame:
+        """The rows that windows and joins work on: those with a time."""
+        return self.rows().where(F.col(self.ts).isNotNull())
+
     def with_df(self, df: DataFrame) -> Series:
         return replace(self, df=df)
 

@@ -18,7 +18,7 @@ _NUMBER = (
 
 def _number(text: Column) -> Column:
     """Double value of a decimal literal, null for anything else."""
-    plain = F.trim(text)
+    plain = F.regexp_replace(text, r"^\s+|\s+$", "")
     return F.when(plain.rlike(_NUMBER), F.regexp_replace(plain, "_", "").try_cast("double"))
 
 
@@ -31,12 +31,25 @@ def parse_prices(df: DataFrame, value: str, *keep: str) -> DataFrame:
     return parsed.where(F.col("ts").isNotNull() & F.col("price").isNotNull())
 
 
+def _named(reader, columns: list[str]):
+    """All columns of a file as text; a file whose header names other columns in that order is an error."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return reader.schema(schema).option("header", True).option("enforceSchema", False)
+
+
+def header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of the files, read from their first line."""
+    return spark.read.option("header", True).csv(path).columns
+
+
 def read_prices(spark: SparkSession, path: str, value: str) -> DataFrame:
-    """``(ts, price)`` from CSV files."""
-    return parse_prices(spark.read.option("header", True).csv(path), value)
+    """``(ts, price)`` from CSV files of one header, by name."""
+    return parse_prices(_named(spark.read, header(spark, path)).csv(path), value)
+
 
+def stream_prices(spark: SparkSession, path: str, value: str, columns: list[str] | None = None) -> DataFrame:
+    """``(ts, price)`` from CSV files as they arrive in a folder, by name.
 
-def stream_prices(spark: SparkSession, path: str, value: str, date: str = DATE_HEADERS[0]) -> DataFrame:
-    """``(ts, price)`` from CSV files as they arrive in a folder."""
-    schema = T.StructType([T.StructField(date, T.StringType()), T.StructField(value, T.StringType())])
-    return parse_prices(spark.readStream.schema(schema).option("header", True).csv(path), value)
+    ``columns`` is their header, in order; without it, it is read from the files that are there.
+    """
+    return parse_prices(_named(spark.readStream, columns or header(spark, path)).csv(path), value)

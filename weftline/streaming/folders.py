@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-CHECKPOINT_CONF = "spark.checkpoint.dir"
-
+from weftline.folders import shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one the cluster names; a local one only if it names none."""
-    root = spark.conf.get(CHECKPOINT_CONF, None) or tempfile.gettempdir()
-    return f"{root.rstrip('/')}/weftline-{uuid.uuid4().hex}"
+__all__ = ["drain", "read_folder", "shared_folder", "use_rocksdb"]
 
 
 def use_rocksdb(spark: SparkSession) -> None:
