@@ -8,9 +8,9 @@ set). Two classes link if 100 * intersection >= percent * union. The work grows
 2. Prefixes: a second pass emits the first n - ceil(percent * n / 100) + 1 shingles of each set in that order. Two linked sets
    share at least one of them. They travel packed by target partition, once per class and task; the entries of a shingle
    that the counts show to be very frequent are dealt over several partitions. Shingles met in one class only end here.
-3. Stars: each class is paired with the class it shares most with among the least fingerprints of its lists. These pairs, at
-   most one per class, are verified and joined to components. That takes in a group of thousands of near copies with as
-   many pairs as it has members.
+3. Stars: each list has a lead, the class whose prefix is shared to the largest part, which in a group of edited copies is
+   the one nearest to all. Each class is paired with the lead it shares most with. These pairs, at most one per class, are
+   verified and joined to components. That takes in a group of thousands of near copies with as many pairs as it has members.
 4. The rest: shingles whose lists still hold two components or more are joined with themselves, on pairs of different
    components that pass the length and positional filters, and counted by pair: linked sets share a number of prefix shingles
    that follows from their sizes. Each pair that is left is verified once, if it was not before. Pairs inside a component
@@ -274,7 +274,11 @@ def class_links(docs: DataFrame, profile: DataFrame, *, n: int, percent: int) ->
     shared = written(arrow_map(dealt, _shared, "shingle long, fp long, n int, pos int"), "jaccard-shared")
 
     sizes = lambda x, y: F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y)
-    first = shared.groupBy("shingle").agg(F.min(F.struct("fp", "n")).alias("lead"))
+    # the original of a group of edited copies shares almost all of its prefix; an edited copy starts with its own shingles
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    share = shared.groupBy("fp").agg((F.count(F.lit(1)) / F.first(prefix)).alias("_share"))
+    placed = shared.join(_small(written(share, "jaccard-share")), "fp")
+    first = placed.groupBy("shingle").agg(F.max_by(F.struct("fp", "n"), F.struct("_share", "fp")).alias("lead"))
     stars = (
         shared.join(first, "shingle")
         .where((F.col("fp") != F.col("lead.fp")) & sizes(F.col("n"), F.col("lead.n")))
