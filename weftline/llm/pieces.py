@@ -215,9 +215,8 @@ class Coder:
         return b"".join([self._ids(p) for p in self.vocabulary.cuts.findall(text)])
 
     def _word(self, word: str) -> bytes:
-        ids = self._words[word] = self._cut(SPACE + word)
-        if len(self._words) > self._bound or len(word) > 64:
-            del self._words[word if len(word) > 64 else next(iter(self._words))]
+        ids = self._cut(SPACE + word)
+        self._keep(self._words, word, ids)
         return ids
 
     def encode(self, text: str | None) -> bytes:
