@@ -8,8 +8,8 @@ from weftline.operators import queue_joins as q
 from weftline.operators import windows as w
 from weftline.operators.turn_joins import alternating_delta_join
 from weftline.series import Series
-from weftline.streaming import ordered
-from weftline.streaming.folders import drain, read_folder
+from weftline.streaming import machines, ordered
+from weftline.streaming.folders import drain, ending, read_folder
 
 FILES = 3
 START = datetime(2024, 1, 1)
@@ -98,3 +98,28 @@ def test_joins(stream, tmp_path):
     oldest = q.bufferless_oldest_join(a, b)
     check(ordered.bufferless_join(live_a, live_b, newest=False), oldest, tmp_path / "c")
     check(ordered.alternating_delta_join(live_a, live_b), alternating_delta_join(a, b), tmp_path / "d")
+
+
+def test_rows_keep_their_types_and_none_is_left_waiting(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    rows = [(i % 2, START + timedelta(seconds=i), i, "ab"[i % 3 == 0], i * 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "user int, ts timestamp, seq long, kind string, n int").select(
+        "user", F.when(F.col("seq") % 17 != 5, F.col("ts")).alias("ts"), "seq", "kind",
+        (F.col("n") / 8).cast("decimal(12,3)").alias("exact"), F.array("n").alias("list"),
+    )
+    df.write.parquet(folder)
+    live = ending(read_folder(spark, folder, df.schema), "ts")
+    one, two = (Series(df.where(F.col("kind") == k), values=("exact", "list"), by="user") for k in "ab")
+    live_one, live_two = (Series(live.where(F.col("kind").eqNullSafe(k) | F.col("kind").isNull()), values=("exact", "list"), by="user") for k in "ab")
+    got, want = ordered.fuzzy_merge_join(live_one, live_two), q.fuzzy_merge_join(one, two)
+    assert dict(got.dtypes) == dict(want.dtypes)
+    check(got, want, tmp_path / "a")
+    with pytest.raises(ValueError, match="single_key"):
+        ordered.landmark(Series(live, values=("exact",)))
+
+
+def test_landmark_is_the_first_arrival():
+    machine, memory = machines.landmark(), {}
+    due = [machines.Row(t, 0, seq, None, "") for t, seq in [(3, 2), (5, 1), (8, 3)]]
+    machine.begin(memory, due)
+    assert [r for row in due for r in machine.step(memory, row)] == [(5, 5, 1, None, None), (5, 8, 2, None, None)]

@@ -20,7 +20,7 @@ from weftline.sources import sinks
 from weftline.sources.prices import parse_prices, read_prices
 from weftline.sources.series import logical_clock
 from weftline.streaming import ordered
-from weftline.streaming.folders import drain, read_folder, shared_folder, use_rocksdb
+from weftline.streaming.folders import drain, ending, read_folder, shared_folder, use_rocksdb
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -702,15 +702,56 @@ def w1_tumbling_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
 
 
-def _passed(kind: str) -> str:
-    """Rows that the watermark, the lesser of both streams' newest times, has passed."""
-    newest = "SELECT max(epoch_us(ts) // 1000) AS m FROM events WHERE event_type IN ('purchase', 'view') GROUP BY event_type"
-    return f"SELECT * FROM ({oracles.events(kind)}) WHERE t <= 1000 * (SELECT min(m) FROM ({newest}))"
+def _finished(spark: SparkSession, sf_dir: str, kind: str | None, *by: str) -> Series:
+    s = _live_events(spark, sf_dir, kind, *by)
+    return s.with_df(ending(s.df, "ts"))
 
 
-@query("j1_fuzzy_merge_stream", oracles.fuzzy_merge(_passed("purchase"), _passed("view"), "user_id"))
-def j1_fuzzy_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _drained(spark: SparkSession, live: DataFrame) -> DataFrame:
+    """All rows of a finished stream, with times as the batch operators have them."""
+    rows = drain(live, shared_folder(spark))
+    return rows.withColumns({n: F.col(n).cast("timestamp_ntz") for n, k in rows.dtypes if k == "timestamp"})
+
+
+def _stream(name: str, sql: str, *kinds: str | None, **more) -> None:
+    """A stream operator over finished streams of events by user has to give what the batch operator gives."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        use_rocksdb(spark)
+        operator = more.get("operator")
+        return _drained(spark, operator(*[_finished(spark, sf_dir, k, "user_id") for k in kinds]))
+
+    query(name, sql)(run)
+
+
+_stream("j1_fuzzy_merge_stream", ORACLES["j1_fuzzy_merge_join"], "purchase", "view", operator=ordered.fuzzy_merge_join)
+_stream(
+    "j3_bufferless_newest_stream",
+    ORACLES["j3_bufferless_newest_join"],
+    *["purchase", "view"],
+    operator=lambda d, n: ordered.bufferless_join(d, n, newest=True),
+)
+_stream(
+    "j4_bufferless_drops_stream",
+    ORACLES["j4_bufferless_drops"],
+    *["purchase", "view"],
+    operator=lambda d, n: ordered.queue_drops(n, d),
+)
+_stream(
+    "j6_alternating_delta_stream",
+    ORACLES["j6_alternating_delta_join"],
+    *["purchase", "view"],
+    operator=ordered.alternating_delta_join,
+)
+_stream("w3_count_sliding_stream", ORACLES["w3_count_sliding"], None, operator=ordered.count_sliding)
+
+_SHUFFLED = "(SELECT * REPLACE (event_id * 7919 % 1000003 AS event_id) FROM events)"
+
+
+@query("w4_landmark_stream", _landmark_sql("user_id").replace("FROM events)", f"FROM {_SHUFFLED})"))
+def w4_landmark_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrival order is not time order: rows before the first arrival are dropped."""
     use_rocksdb(spark)
-    sides = [_live_events(spark, sf_dir, kind, "user_id") for kind in ("purchase", "view")]
-    joined = drain(ordered.fuzzy_merge_join(*sides), shared_folder(spark))
-    return joined.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    s = _live_events(spark, sf_dir, None, "user_id")
+    s = s.with_df(ending(s.df.withColumn("seq", F.col("seq") * 7919 % 1000003), "ts"))
+    return _drained(spark, ordered.landmark(s))

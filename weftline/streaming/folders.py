@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.folders import shared_folder
 
-__all__ = ["drain", "read_folder", "shared_folder", "use_rocksdb"]
+__all__ = ["drain", "ending", "read_folder", "shared_folder", "use_rocksdb"]
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -23,6 +25,20 @@ def read_folder(spark: SparkSession, path: str, schema, files_per_trigger: int =
     return reader.option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
+def ending(live: DataFrame, ts: str) -> DataFrame:
+    """A live frame with one more row, null but for a time in the year 2250 (pandas ends in 2262): it lets the watermark pass all that is there.
+
+    For inputs that are finished: rows that come later are behind the watermark.
+    """
+    spark = live.sparkSession
+    path = shared_folder(spark)
+    end = F.lit("2250-01-01 00:00:00").cast(live.schema[ts].dataType)
+    columns = [end.alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in live.schema]
+    spark.range(1).select(*columns).write.parquet(path)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in live.schema])
+    return live.unionByName(spark.readStream.schema(schema).parquet(path))
+
+
 def drain(df: DataFrame, folder: str) -> DataFrame:
     """Run a stream over all that is there, append the results to parquet, and read them."""
     run = (

@@ -1,14 +1,16 @@
 """What one stream key remembers between rows, for operators that streams need state for.
 
-A machine is fed rows ``(t, side, seq, value)`` in order, ``t`` in microseconds. Its memory
-is a small JSON object; a step changes it and returns output rows. The first ``times``
-columns of an output row are times in microseconds.
+A machine is fed the due rows ``(t, side, seq, value, row)`` in order: ``t`` in microseconds, ``value`` the first value as an
+exact decimal, ``row`` all values as JSON text, which joins hand on unread. Its memory is a dictionary that JSON can hold; a
+step changes it and returns output rows. Columns named in ``times`` are microseconds.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 from typing import NamedTuple
 
 
@@ -16,7 +18,8 @@ class Row(NamedTuple):
     t: int
     side: int
     seq: int
-    value: float
+    value: Decimal | None
+    row: str
 
 
 @dataclass(frozen=True)
@@ -24,13 +27,24 @@ class Machine:
     columns: str
     times: tuple[int, ...]  # positions of the time columns
     step: Callable[[dict, Row], list[tuple]]
+    begin: Callable[[dict, list[Row]], None] | None = None  # sees all rows that are due before the first step
+
+
+def _double(x) -> float | None:
+    return None if x is None else float(x)
+
+
+def _mean(values: list[Decimal]) -> float | None:
+    return float(sum(values)) / len(values) if values else None
 
 
 def count_sliding(n: int) -> Machine:
     def step(memory: dict, row: Row) -> list[tuple]:
-        held = memory["held"] = [*memory.get("held", []), (row.t, row.value)][-n:]
-        v = [x for _, x in held]
-        return [(held[0][0], row.t, len(v), sum(v) / len(v), min(v), max(v))]
+        held = memory.setdefault("held", [])
+        held.append((row.t, None if row.value is None else str(row.value)))
+        del held[:-n]
+        v = [Decimal(x) for _, x in held if x is not None]
+        return [(held[0][0], row.t, len(held), _mean(v), _double(min(v, default=None)), _double(max(v, default=None)))]
 
     return Machine(
         "oldest_ts timestamp, newest_ts timestamp, count long, avg double, min double, max double", (0, 1), step
@@ -38,31 +52,45 @@ def count_sliding(n: int) -> Machine:
 
 
 def landmark() -> Machine:
+    """The landmark is the time of the lowest ``seq`` among the first rows that fall due together; it stays, also if a lower
+    ``seq`` comes later. Rows before it are dropped, as in the batch form."""
+
+    def begin(memory: dict, due: list[Row]) -> None:
+        if "start" not in memory:
+            memory["start"] = min(due, key=lambda r: r.seq).t
+
     def step(memory: dict, row: Row) -> list[tuple]:
-        start = memory.setdefault("start", row.t)
+        if row.t < memory["start"]:
+            return []
         memory["count"] = count = memory.get("count", 0) + 1
-        memory["sum"] = total = memory.get("sum", 0.0) + row.value
-        return [(start, row.t, count, total, total / count)]
+        if row.value is not None:
+            memory["sum"] = str(Decimal(memory.get("sum", "0")) + row.value)
+            memory["held"] = memory.get("held", 0) + 1
+        total = _double(memory["sum"]) if "sum" in memory else None
+        return [(memory["start"], row.t, count, total, None if total is None else total / memory["held"])]
 
-    return Machine("landmark timestamp, ts timestamp, count long, sum double, avg double", (0, 1), step)
+    return Machine("landmark timestamp, ts timestamp, count long, sum double, avg double", (0, 1), step, begin)
 
 
 def running_min_max() -> Machine:
     def step(memory: dict, row: Row) -> list[tuple]:
-        memory["min"] = low = min(memory.get("min", row.value), row.value)
-        memory["max"] = high = max(memory.get("max", row.value), row.value)
-        return [(low, high)]
+        if row.value is not None:
+            memory["min"] = min(memory.get("min", float(row.value)), float(row.value))
+            memory["max"] = max(memory.get("max", float(row.value)), float(row.value))
+        return [(memory.get("min"), memory.get("max"))]
 
     return Machine("min double, max double", (), step)
 
 
 def record_extrema(largest: bool) -> Machine:
     def step(memory: dict, row: Row) -> list[tuple]:
-        best = memory.get("best")
-        if best is not None and not (row.value > best if largest else row.value < best):
+        if row.value is None:
             return []
-        memory["best"] = row.value
-        return [(row.t, row.seq, row.value)]
+        value, best = float(row.value), memory.get("best")
+        if best is not None and not (value > best if largest else value < best):
+            return []
+        memory["best"] = value
+        return [(row.t, row.seq, value)]
 
     return Machine("ts timestamp, seq long, value double", (0,), step)
 
@@ -71,74 +99,82 @@ def shed_oldest(n: int) -> Machine:
     """Reports each row that a full buffer of ``n`` rows loses, with the running count."""
 
     def step(memory: dict, row: Row) -> list[tuple]:
-        held = [*memory.get("held", []), (row.t, row.value)]
-        memory["held"] = held[-n:]
+        held = memory.setdefault("held", [])
+        held.append((row.t, _double(row.value)))
         if len(held) <= n:
             return []
+        lost = held[0]
+        del held[0]
         memory["shed"] = shed = memory.get("shed", 0) + 1
-        return [(*held[0], shed)]
+        return [(*lost, shed)]
 
     return Machine("ts timestamp, value double, shed_so_far long", (0,), step)
 
 
-def fuzzy_merge() -> Machine:
-    """Side 0 waits in line, side 1 serves the front."""
-
-    def step(memory: dict, row: Row) -> list[tuple]:
-        line = memory.setdefault("line", [])
-        if row.side == 0:
-            line.append((row.t, row.value))
-            return []
-        return [(*line.pop(0), row.value)] if line else []
-
-    return Machine("ts timestamp, s_value double, t_value double", (0,), step)
-
+def queue(newest: bool, max_age_seconds: float | None = None, drops: bool = False) -> Machine:
+    """Side 0 is pushed, side 1 pops the oldest or the newest and is joined with it; a pop that finds none is dropped.
 
-def bufferless(newest: bool, max_age_seconds: float | None = None) -> Machine:
-    """Side 0 (recessive) waits, side 1 (dominant) takes the newest or the oldest.
-
-    ``max_age_seconds`` forgets waiting rows that are older than that, so that the
-    memory stays bounded; without it none is forgotten.
+    ``max_age_seconds`` forgets waiting rows that are older than that, so that the memory stays bounded; without it none is
+    forgotten. ``drops`` reports the dropped pops with their running count instead of the pairs.
     """
 
     def step(memory: dict, row: Row) -> list[tuple]:
-        waiting = memory.setdefault("waiting", [])
+        waiting, head = memory.setdefault("waiting", []), memory.get("head", 0)
         if row.side == 0:
-            waiting.append((row.t, row.value))
+            waiting.append((row.t, row.row))
             return []
         if max_age_seconds is not None:
             oldest = row.t - max_age_seconds * 1_000_000
-            waiting = memory["waiting"] = [w for w in waiting if w[0] >= oldest]
-        if not waiting:
-            return []
-        partner = waiting.pop(-1 if newest else 0)
-        return [(row.t, partner[0], row.value, partner[1])]
-
-    return Machine("ts timestamp, n_ts timestamp, d_value double, n_value double", (0, 1), step)
+            while head < len(waiting) and waiting[head][0] < oldest:
+                head += 1
+        if head == len(waiting):
+            memory["head"] = head
+            memory["dropped"] = dropped = memory.get("dropped", 0) + 1
+            return [(row.t, dropped)] if drops else []
+        if newest:
+            taken = waiting.pop()
+        else:
+            taken, head = waiting[head], head + 1
+        if head > 64 and 2 * head > len(waiting):  # what is used up goes in large pieces
+            del waiting[:head]
+            head = 0
+        memory["head"] = head
+        return [] if drops else [(taken[1], row.row)]
+
+    columns = "ts timestamp, dropped_so_far long" if drops else "row0 string, row1 string"
+    return Machine(columns, (0,) if drops else (), step)
 
 
 def alternating() -> Machine:
+    """Each side's rows wait in order of time, in lists with a head. Of the two rows of the other side around the dominant
+    head the nearer one is joined, the earlier one if they are equally near; that then makes its own side dominant."""
+
     def step(memory: dict, row: Row) -> list[tuple]:
-        pending = memory.setdefault("pending", [[], []])
+        lines, heads = memory.setdefault("lines", [[], []]), memory.setdefault("heads", [0, 0])
         side = memory.get("side", 0)
-        pending[row.side].append((row.t, row.value))
+        lines[row.side].append((row.t, row.row))
         out = []
-        while pending[side]:
-            mine, other = pending[side], pending[1 - side]
-            t, value = mine[0]
-            at = next((i for i, r in enumerate(other) if r[0] >= t), None)
-            if at is None:
+        while heads[side] < len(lines[side]):
+            mine, other = lines[side], lines[1 - side]
+            t, payload = mine[heads[side]]
+            first = heads[1 - side]
+            after = bisect_left(other, t, lo=first, key=lambda r: r[0])
+            if after == len(other):
                 break
-            before = at > 0 and t - other[at - 1][0] <= other[at][0] - t
-            partner = other[at - 1] if before else other[at]
-            out.append((t, value, partner[1]) if side == 0 else (t, partner[1], value))
-            # the partner is used up only if it was the head; what lies before it is gone
-            pending[1 - side] = other[1:] if at == 0 else other[at:]
-            if before:
+            earlier = after > first and t - other[after - 1][0] <= other[after][0] - t
+            partner = other[after - 1 if earlier else after][1]
+            out.append((side, payload, partner) if side == 0 else (side, partner, payload))
+            # rows before the two are passed over; the partner itself is used up only at the head
+            heads[1 - side] = after if after > first else first + 1
+            if earlier:
                 side = 1 - side
             else:
-                mine.pop(0)
+                heads[side] += 1
+        for i in (0, 1):
+            if heads[i] > 64 and 2 * heads[i] > len(lines[i]):
+                del lines[i][: heads[i]]
+                heads[i] = 0
         memory["side"] = side
         return out
 
-    return Machine("ts timestamp, value_1 double, value_2 double", (0,), step)
+    return Machine("side int, row0 string, row1 string", (), step)

@@ -4,18 +4,22 @@ Rows wait in state until the watermark has passed them and are then fed to a mac
 ``(ts, side, seq)`` order. So a stream gives what the batch operator gives for the rows
 the watermark has passed (it has millisecond steps); newer rows wait, and rows that come
 behind the watermark are dropped and counted by Spark (``numRowsDroppedByWatermark``).
+Rows without a time are left out. ``folders.ending`` adds a row that closes a finished input,
+so that no row is left waiting.
 
-State is kept per key, so a key is processed by one task at a time. Needs the RocksDB
-state store provider.
+All values of a row travel as JSON text and come back with their types. State is kept per
+key, so a key is processed by one task at a time; a stream without a key needs ``single_key=True``,
+as all of it is one task's work. Needs the RocksDB state store provider.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from decimal import Decimal
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -25,8 +29,11 @@ from weftline.streaming import machines
 from weftline.streaming.machines import Machine, Row
 
 # no leading underscores: the rows reach the processor as named tuples
-_WAITING = "in_t long, in_side int, in_seq long, in_value double"
+_WAITING = "in_t long, in_side int, in_seq long, in_row string"
 _ALL = "in_all"
+_END = -1
+# Fixed: microseconds and zone, so that times in values survive the text form.
+_TEXT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 class InOrder(StatefulProcessor):
@@ -44,8 +51,9 @@ class InOrder(StatefulProcessor):
         fresh = []
         for pdf in rows:
             fresh += [
-                (int(t), int(side), int(seq), float(v))
-                for t, side, seq, v in zip(pdf["in_t"], pdf["in_side"], pdf["in_seq"], pdf["in_value"])
+                (int(t), int(side), int(seq), row)
+                for t, side, seq, row in zip(pdf["in_t"], pdf["in_side"], pdf["in_seq"], pdf["in_row"])
+                if side != _END
             ]
         if fresh:
             self.waiting.appendList(fresh)
@@ -54,17 +62,19 @@ class InOrder(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(Row(*map(_plain, r)) for r in self.waiting.get())
-        due = [r for r in rows if r.t <= passed]
+        rows = sorted((tuple(map(_plain, r)) for r in self.waiting.get()), key=lambda r: r[:3])
+        due = [_row(*r) for r in rows if r[0] <= passed]
         if not due:
             return
-        later = [tuple(r) for r in rows if r.t > passed]
+        later = rows[len(due) :]
         if later:
             self.waiting.put(later)
             self._wake(later[0][0])
         else:
             self.waiting.clear()
         memory = json.loads(self.memory.get()[0]) if self.memory.exists() else {}
+        if self.machine.begin:
+            self.machine.begin(memory, due)
         out = [found for row in due for found in self.machine.step(memory, row)]
         self.memory.update((json.dumps(memory),))
         if out:
@@ -86,20 +96,40 @@ def _plain(v):
     return v.item() if hasattr(v, "item") else v
 
 
-def in_order(machine: Machine, *series: Series, delay: str = "0 seconds") -> DataFrame:
+def _row(t: int, side: int, seq: int, text: str) -> Row:
+    value = json.loads(text, parse_float=Decimal, parse_int=Decimal)["first"]
+    return Row(t, side, seq, value if isinstance(value, Decimal) else None, text)
+
+
+def _payload(s: Series) -> tuple[Column, T.StructType]:
+    """A row's time and values as JSON, and the type to read them back."""
+    fields = [F.col(s.ts).alias("ts"), *[F.col(v).alias(f"v{i}") for i, v in enumerate(s.values)]]
+    packed = F.struct(*fields)
+    kind = s.df.select(packed.alias("p")).schema["p"].dataType
+    text = F.to_json(F.struct(F.col(s.value).alias("first"), *fields), _TEXT)
+    return text, kind
+
+
+def in_order(machine: Machine, *series: Series, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
     """Feed one or more streaming series, merged by time, to a machine per key."""
     by = list(series[0].by)
+    if not by and not single_key:
+        raise ValueError("a stream without a key is one task's work; say single_key=True if that is meant")
 
     def side(i: int, s: Series) -> DataFrame:
         stamped = s.df.withColumn("in_ts", F.col(s.ts).cast("timestamp")).withWatermark("in_ts", delay)
-        keys = by or [F.lit(0).alias(_ALL)]
-        return stamped.select(
+        # the closing row gets some key that is not null: a null would turn the whole numbers of its batch into floats
+        some = {c: F.lit("" if isinstance(s.df.schema[c].dataType, T.StringType) else 0) for c in by}
+        ends = F.col(s.seq).isNull()
+        keys = [F.when(ends, some[c].try_cast(s.df.schema[c].dataType)).otherwise(F.col(c)).alias(c) for c in by]
+        keys = keys or [F.lit(0).alias(_ALL)]
+        return stamped.where("in_ts is not null").select(
             *keys,
             "in_ts",
             F.unix_micros("in_ts").alias("in_t"),
-            F.lit(i).alias("in_side"),
-            F.col(s.seq).cast("long").alias("in_seq"),
-            F.col(s.value).cast("double").alias("in_value"),
+            F.when(ends, _END).otherwise(i).alias("in_side"),
+            F.coalesce(F.col(s.seq).cast("long"), F.lit(0)).alias("in_seq"),
+            _payload(s)[0].alias("in_row"),
         )
 
     rows = side(0, series[0])
@@ -117,6 +147,17 @@ def in_order(machine: Machine, *series: Series, delay: str = "0 seconds") -> Dat
     return out.drop(_ALL)
 
 
+def _unpacked(out: DataFrame, *series: Series) -> DataFrame:
+    """The text of ``row0, row1`` as structs with the fields ``ts`` and the values by number."""
+    return out.withColumns(
+        {f"row{i}": F.from_json(f"row{i}", _payload(s)[1], _TEXT) for i, s in enumerate(series)}
+    )
+
+
+def _values(row: str, s: Series, name: str) -> list[Column]:
+    return [F.col(row)[f"v{i}"].alias(name.format(v)) for i, v in enumerate(s.values)]
+
+
 def tumbling(s: Series, seconds: float, delay: str = "0 seconds") -> DataFrame:
     """``(start, end, count, avg)`` of windows the watermark has closed; append mode."""
     stamped = s.df.withColumn("_ts", F.col(s.ts).cast("timestamp")).withWatermark("_ts", delay)
@@ -148,15 +189,41 @@ def shed_oldest(s: Series, n: int, delay: str = "0 seconds") -> DataFrame:
     return in_order(machines.shed_oldest(n), s, delay=delay)
 
 
-def fuzzy_merge_join(s: Series, t: Series, delay: str = "0 seconds") -> DataFrame:
-    return in_order(machines.fuzzy_merge(), s, t, delay=delay)
+def fuzzy_merge_join(
+    s: Series, t: Series, max_age_seconds: float | None = None, delay: str = "0 seconds"
+) -> DataFrame:
+    """``(ts, s values, t values)``, as the batch operator."""
+    out = in_order(machines.queue(False, max_age_seconds), s, t, delay=delay)
+    return _unpacked(out, s, t).select(
+        *s.by, F.col("row0.ts").alias("ts"), *_values("row0", s, "s_{}"), *_values("row1", t, "t_{}")
+    )
 
 
 def bufferless_join(
     d: Series, n: Series, newest: bool, max_age_seconds: float | None = None, delay: str = "0 seconds"
 ) -> DataFrame:
-    return in_order(machines.bufferless(newest, max_age_seconds), n, d, delay=delay)
+    """``(ts, d values, n_ts, n values)``; oldest first has no ``n_ts``, as the batch operator."""
+    out = _unpacked(in_order(machines.queue(newest, max_age_seconds), n, d, delay=delay), n, d)
+    return out.select(
+        *d.by,
+        F.col("row1.ts").alias("ts"),
+        *_values("row1", d, "d_{}"),
+        *([F.col("row0.ts").alias("n_ts")] if newest else []),
+        *_values("row0", n, "n_{}"),
+    )
+
+
+def queue_drops(push: Series, pop: Series, newest: bool = False, max_age_seconds: float | None = None, delay: str = "0 seconds") -> DataFrame:
+    """``(ts, dropped_so_far)`` of every pop that found nothing waiting."""
+    return in_order(machines.queue(newest, max_age_seconds, drops=True), push, pop, delay=delay)
 
 
 def alternating_delta_join(one: Series, two: Series, delay: str = "0 seconds") -> DataFrame:
-    return in_order(machines.alternating(), one, two, delay=delay)
+    """``(ts, values of one, values of two)``, as the batch operator."""
+    out = _unpacked(in_order(machines.alternating(), one, two, delay=delay), one, two)
+    return out.select(
+        *one.by,
+        F.when(F.col("side") == 0, F.col("row0.ts")).otherwise(F.col("row1.ts")).alias("ts"),
+        *_values("row0", one, "{}_1"),
+        *_values("row1", two, "{}_2"),
+    )
