@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from weftline.folders import shared_root
+
 #: What a word is: a run of anything but blank and the five control characters from tab on.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -16,29 +18,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 STEP_BYTES = 1 << 20
 
 
-#: The folder of a local run whose session names none.
-_own: str | None = None
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir. Only a local master may go without one."""
-    there = spark.conf.get("spark.checkpoint.dir", None)
-    if there:
-        return there.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    global _own
-    _own = _own or tempfile.mkdtemp(prefix="weftline-")
-    return _own
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame written once to the shared folder and read back: later steps, and retries, read the same rows."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -47,8 +33,6 @@ def steps(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatc
     """Slices of a batch with about STEP_BYTES of text each, at least one row, so that scratch arrays stay small."""
     texts = batch.column(column)
     wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
-    import numpy as np
-
     offsets = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1]
     at = 0
     while at < len(texts):
