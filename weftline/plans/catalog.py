@@ -20,7 +20,7 @@ from weftline.sources import sinks
 from weftline.sources.prices import parse_prices, read_prices
 from weftline.sources.series import logical_clock
 from weftline.streaming import ordered
-from weftline.streaming.folders import drain, ending, read_folder, shared_folder, use_rocksdb
+from weftline.streaming.folders import drain, drain_watched, ending, read_folder, shared_folder, use_rocksdb
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -745,6 +745,17 @@ _stream(
 )
 _stream("w3_count_sliding_stream", ORACLES["w3_count_sliding"], None, operator=ordered.count_sliding)
 
+
+@query("m5_stream_state", "SELECT count(*) + 1 AS input_rows, CAST(0 AS BIGINT) AS late_rows, true AS has_state FROM events")
+def m5_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What Spark reports of a stream's input and state; the closing row counts as read."""
+    use_rocksdb(spark)
+    live = ordered.running_min_max(_finished(spark, sf_dir, None, "user_id"))
+    _, progress = drain_watched(live, shared_folder(spark))
+    total = (sum(p["input_rows"] for p in progress), sum(p["late_rows"] for p in progress), any(p["state_bytes"] for p in progress))
+    return spark.createDataFrame([total], "input_rows long, late_rows long, has_state boolean")
+
+
 _SHUFFLED = "(SELECT * REPLACE (event_id * 7919 % 1000003 AS event_id) FROM events)"
 
 

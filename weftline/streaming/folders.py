@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from weftline.folders import shared_folder
 
-__all__ = ["drain", "ending", "read_folder", "shared_folder", "use_rocksdb"]
+__all__ = ["drain", "drain_watched", "ending", "read_folder", "shared_folder", "use_rocksdb"]
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -41,6 +41,12 @@ def ending(live: DataFrame, ts: str) -> DataFrame:
 
 def drain(df: DataFrame, folder: str) -> DataFrame:
     """Run a stream over all that is there, append the results to parquet, and read them."""
+    return drain_watched(df, folder)[0]
+
+
+def drain_watched(df: DataFrame, folder: str) -> tuple[DataFrame, list[dict]]:
+    """As ``drain``, and per micro-batch what Spark reports of input and state: rows read, rows and bytes of state,
+    and rows that came behind the watermark."""
     run = (
         df.writeStream.format("parquet")
         .outputMode("append")
@@ -50,4 +56,14 @@ def drain(df: DataFrame, folder: str) -> DataFrame:
         .start()
     )
     run.awaitTermination()
-    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
+    progress = [
+        {
+            "batch": p.batchId,
+            "input_rows": p.numInputRows,
+            "state_rows": sum(o.numRowsTotal for o in p.stateOperators),
+            "state_bytes": sum(o.memoryUsedBytes for o in p.stateOperators),
+            "late_rows": sum(o.numRowsDroppedByWatermark for o in p.stateOperators),
+        }
+        for p in run.recentProgress
+    ]
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows"), progress
