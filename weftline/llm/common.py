@@ -15,7 +15,7 @@ from weftline.folders import shared_root
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text that one numpy step handles; a longer text is a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

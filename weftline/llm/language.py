@@ -212,14 +212,14 @@ def predict(docs: DataFrame, trees: Trees, *, sharpness: float = 8.0, keep: tupl
     results = ["lang_pred", "score", "bits"]
     if clash := set(keep) & set(results):
         raise ValueError(f"columns {sorted(clash)} would appear twice")
-    narrow = docs.select(*keep, F.col("text").alias("_text"))
+    narrow = docs.select(*dict.fromkeys([*keep, "text"]))
     sent = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches):
         trees = sent.value
         for batch in batches:
-            for part in steps(batch, "_text"):
-                texts = part.column("_text")
+            for part in steps(batch):
+                texts = part.column("text")
                 data, offsets = text_bytes(texts)
                 ok = np.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()], bool) & bool(trees.langs)
                 names, scores, bits = ["und"] * len(ok), np.zeros(len(ok)), np.full(len(ok), np.nan)
@@ -232,7 +232,7 @@ def predict(docs: DataFrame, trees: Trees, *, sharpness: float = 8.0, keep: tupl
                     scores, bits = np.where(ok, share, 0.0), np.where(ok, least, np.nan)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *part.columns[:-1],
+                        *(part.column(c) for c in keep),
                         pa.array(names, pa.string()),
                         pa.array(scores, pa.float64()),
                         pa.array(bits, pa.float64(), from_pandas=True),
@@ -241,7 +241,7 @@ def predict(docs: DataFrame, trees: Trees, *, sharpness: float = 8.0, keep: tupl
                 )
 
     added = T.StructType.fromDDL("lang_pred string, score double, bits double")
-    return narrow.mapInArrow(run, T.StructType(narrow.schema.fields[:-1] + added.fields))
+    return narrow.mapInArrow(run, T.StructType(narrow.select(*keep).schema.fields + added.fields))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -254,17 +254,17 @@ def encode(
     docs: DataFrame, path: str, *, check: bool = False, cache: int = 400_000, keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
     """ids after the columns of `keep`: one row per row of docs. With `check` also same: whether decoding gives the text."""
-    narrow = docs.select(*keep, F.col("text").alias("_text"))
+    narrow = docs.select(*dict.fromkeys([*keep, "text"]))
 
     def run(batches):
         coder = _coder(path, cache)
         for batch in batches:
-            for part in steps(batch, "_text"):
-                texts = part.column("_text").to_pylist()
+            for part in steps(batch):
+                texts = part.column("text").to_pylist()
                 packed = [coder.encode(t) for t in texts]
                 ends = np.cumsum([0, *[len(p) // 4 for p in packed]], dtype=np.int32)
                 flat = np.frombuffer(b"".join(packed), np.int32)
-                columns = [*part.columns[:-1], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+                columns = [*(part.column(c) for c in keep), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
                 names = [*keep, "ids"]
                 if check:
                     want = [(t or "").replace(SPACE, " ") for t in texts]
@@ -274,7 +274,7 @@ def encode(
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     added = T.StructType.fromDDL("ids array<int>" + ", same boolean" * check)
-    return narrow.mapInArrow(run, T.StructType(narrow.schema.fields[:-1] + added.fields))
+    return narrow.mapInArrow(run, T.StructType(narrow.select(*keep).schema.fields + added.fields))
 
 
 def decode(encoded: DataFrame, path: str, *, cache: int = 400_000) -> DataFrame:
