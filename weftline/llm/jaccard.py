@@ -12,9 +12,8 @@ set). Two classes link if 100 * intersection >= percent * union. The work grows
    the one nearest to all. Each class is paired with the lead it shares most with. These pairs, at most one per class, are
    verified and joined to components. That takes in a group of thousands of near copies with as many pairs as it has members.
 4. The rest: shingles whose lists still hold two components or more are joined with themselves, on pairs of different
-   components that pass the length and positional filters, and counted by pair: linked sets share a number of prefix shingles
-   that follows from their sizes. Each pair that is left is verified once, if it was not before. Pairs inside a component
-   cannot change it.
+   components that pass the length and positional filters, where the shingle is in the prefix that the two sizes call for. Each
+   pair that is left is verified once, if it was not before. Pairs inside a component cannot change it.
 5. Verification gets the sets of both classes, bounds their overlap by counts in 16 ranges of hashes (suffix filter), then
    intersects them.
 
@@ -298,6 +297,7 @@ def class_links(docs: DataFrame, profile: DataFrame, *, n: int, percent: int) ->
     uneven = written(uneven.select("shingle"), "jaccard-uneven")
     rest = written(placed.join(_small(uneven), "shingle", "left_semi"), "jaccard-rest")
     x, y = rest.alias("x"), rest.alias("y")
+    needed = overlap_needed(F.col("x.n"), F.col("y.n"), percent)
     most = F.least("x.pos", "y.pos") + 1 + F.least(F.col("x.n") - F.col("x.pos") - 1, F.col("y.n") - F.col("y.pos") - 1)
     pairs = (
         x.join(
@@ -305,12 +305,14 @@ def class_links(docs: DataFrame, profile: DataFrame, *, n: int, percent: int) ->
             (F.col("x.shingle") == F.col("y.shingle"))
             & (F.col("x._comp") < F.col("y._comp"))
             & sizes(F.col("x.n"), F.col("y.n"))
-            & (most >= overlap_needed(F.col("x.n"), F.col("y.n"), percent)),
+            # two sets that share `needed` shingles share one of the first n - needed + 1 of each: for sets of like
+            # sizes that is little more than half of the prefix, without its frequent end
+            & (F.col("x.pos") <= F.col("x.n") - needed)
+            & (F.col("y.pos") <= F.col("y.n") - needed)
+            & (most >= needed),
         )
-        .groupBy(F.col("x.fp").alias("_x"), F.col("y.fp").alias("_y"), F.col("x.n").alias("_xn"), F.col("y.n").alias("_yn"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .where(F.col("_c") >= shared_needed(F.col("_xn"), F.col("_yn"), percent))
-        .select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"))
+        .select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b"))
+        .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
     pairs = written(pairs, "jaccard-pairs")
