@@ -14,6 +14,7 @@ there are never more than ``MAX_SLICES`` slices.
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -188,11 +189,10 @@ def slice_rows(
         if not cuts:
             return Sliced(df.withColumn(SLICE, F.lit(1)), by, order, True, max(slices, 1))
         fields = df.select(*cut_on).schema.simpleString()
-        listed = df.sparkSession.createDataFrame([([tuple(c) for c in cuts],)], f"_cuts array<{fields}>")
-        # read once as a subquery, typed as the rows are, so any order column can be cut on
-        cut = df.withColumn("_cuts", listed.scalar())
-        cut = cut.withColumn(SLICE, _slice_number(cut_on, F.col("_cuts"), len(cuts)))
-        return Sliced(cut.drop("_cuts"), by, order, True, max(slices, 1))
+        # a literal, as branches with the same literal share a shuffle; decimals go as text and come back typed
+        text = json.dumps([dict(zip(cut_on, c)) for c in cuts], default=str)
+        cut = df.withColumn(SLICE, _slice_number(cut_on, F.from_json(F.lit(text), f"array<{fields}>"), len(cuts)))
+        return Sliced(cut, by, order, True, max(slices, 1))
 
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     top = sizes.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("most")).first()
