@@ -83,3 +83,24 @@ def test_rows_and_query(spark):
         if not sum(new[i][f"n_{k}"] for k in surrogates.KINDS):
             assert text == new[i].text
     assert len(pairs) > 20 and len(set(pairs.values())) == len(pairs)
+
+
+def test_later_mentions_and_one_surrogate_a_name(spark):
+    rows = [
+        (1, "Keller rang. Mrs. Anna Keller called. Keller said: KELLER's kellers, Anna-Lena and Kellermann stay. keller too."),
+        (2, "Dr. Anna Keller and Anna"), (3, "my name is Anna"), (4, "Keller and Anna without a title"),
+        (5, "Herr Kim-Lee Braun met Kim-Lee and Braun-Kim"), (6, "Mr. Sasha Ott and Mrs. Sasha Ott"),
+    ]
+    got = {r.doc_id: r for r in surrogates.with_surrogates(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    first = re.fullmatch(
+        r"(\w+) rang\. Mrs\. (\w+) (\w+) called\. (\w+) said: (\w+)'s kellers, (\w+)-Lena and Kellermann stay\. keller too\.", got[1].text
+    )
+    keller, anna = first[3], first[2]
+    assert first[1] == first[4] == keller != "Keller" and first[5] == keller.upper() and first[6] == anna != "Anna"
+    assert anna.endswith(("a", "ina", "ela")) and got[1].n_person == 6
+    assert got[2].text == f"Dr. {anna} {keller} and {anna}" and got[3].text == f"my name is {anna}"
+    assert got[4].text == rows[3][1]
+    five = re.fullmatch(r"Herr (\w+) (\w+) met (\w+) and (\w+)-Kim", got[5].text)
+    assert five[1] == five[3] and five[2] == five[4] != "Braun"
+    six = re.fullmatch(r"Mr\. (\w+) (\w+) and Mrs\. (\w+) (\w+)", got[6].text)
+    assert six[1] == six[3] and six[2] == six[4]

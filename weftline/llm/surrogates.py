@@ -1,18 +1,22 @@
 """Personal data replaced by keyed surrogates of the same type, format, script and gender.
 
 Found are e-mail addresses, IBANs (check digits right), payment cards (Luhn right), IPv4 addresses, US social security numbers,
-phone numbers (with country code, or three, three and four digits), and persons named after a title or an introduction.
-The same entity gets the same surrogate everywhere in the corpus under one key, also where its case or punctuation differ.
+phone numbers (with country code, or three, three and four digits), and persons named after a title or an introduction, with
+every other capitalised whole-word mention of their names in the same text. The same entity gets the same surrogate everywhere
+in the corpus under one key, also where its case or punctuation differ.
 
 Numbers, addresses and the letters of e-mail addresses go through a keyed permutation (a Feistel network over the digits or
 letters of one alphabet, tweaked by type and pattern). A permutation cannot map two entities to one surrogate, so they stay
 distinct without a table: cards keep issuer digit, length and Luhn, IBANs country and check digits, phones country code
 and punctuation, IP addresses stay public or private, e-mail addresses keep their pattern and move below `.example`.
 
-Names are built from syllables: the ending follows the gender of the title, the letters the script. Two names can meet on one
+Names are built from syllables: the ending follows the gender, the letters the script. A name is one entity in the whole corpus,
+whether given or family name; its gender is what most of its mentions as a given name after a title tell, "" if as many tell
+the other. Two names can meet on one
 surrogate, or on a name that really occurs. So all names of the corpus are collected as distinct rows, their surrogates are
 grouped, and all but the first of a group, and those that really occur, move on to their next candidate, until none meet.
 The names that had to move are few; they are broadcast up to `most_moved` rows, beyond which an error asks for more syllables.
+Also broadcast, without a limit, are the names to which some text alone gives another gender than the corpus does.
 
 Rules. Null text stays null, text without findings stays as it is. Findings that overlap: the kind named first above wins.
 Rows that repeat get the same text; columns other than text are handed on untouched. An empty table gives no rows.
@@ -70,6 +74,7 @@ _PERSON = re.compile(
     r"(?<!\w)(" + "|".join(re.escape(t) for t in sorted(_GENDER_OF, key=len, reverse=True)) + r")[ \xa0]"
     r"([^\W\d_a-z][^\W\d_]+(?:-[^\W\d_]+)?)(?:[ \xa0]([^\W\d_a-z][^\W\d_]+(?:-[^\W\d_]+)?))?"
 )
+_WORD = re.compile(r"(?<!\w)[^\W\d_a-z][^\W\d_]+(?!\w)")
 
 
 def luhn(digits: str) -> int:
@@ -142,9 +147,10 @@ class Permuter:
 class Surrogates:
     """Finds entities in a text and writes their surrogates."""
 
-    def __init__(self, key: str, moved: dict[tuple[str, str, str], int] | None = None, syllables: int = 4):
+    def __init__(self, key: str, known: dict[str, tuple[str, int]] | None = None, syllables: int = 4):
+        """known: gender and attempt of the names that have another than their text tells, or an attempt above 0."""
         self.permuter = Permuter(hashlib.blake2b(key.encode(), digest_size=32).digest())
-        self.moved, self.syllables = moved or {}, syllables
+        self.known, self.syllables = known or {}, syllables
 
     # what is found: (start, end, kind, surrogate)
 
@@ -166,8 +172,8 @@ class Surrogates:
                     found.append((m.start(), m.end(), "ip", self.ip(m[0])))
             found += [(m.start(), m.end(), "ssn", self.permuter.pattern(m[0], "ssn")) for m in _SSN.finditer(text)]
             found += [(m.start(), m.end(), "phone", self.phone(m[0])) for m in _PHONE.finditer(text)]
-        for start, end, role, gender, name in persons(text):
-            found.append((start, end, "person", self.name(role, gender, name)))
+        spans, genders = mentions(text)
+        found += [(start, end, "person", self.name("", genders[name.lower()], name)) for start, end, name in spans]
         if len(found) < 2:
             return found
         spans: list[tuple[int, int]] = []
@@ -238,15 +244,17 @@ class Surrogates:
                 return ".".join(map(str, value))
 
     def name(self, role: str, gender: str, name: str) -> str:
+        """Given and family names alike; the gender is what the text tells, unless the corpus knows better."""
         low = name.lower()
-        new = self.candidate(role, gender, low, self.moved.get((role, gender, low), 0))
+        gender, attempt = self.known.get(low, (gender, 0))
+        new = self.candidate(low, gender, attempt)
         return new.upper() if name.isupper() else new.capitalize()
 
-    def candidate(self, role: str, gender: str, low: str, attempt: int) -> str:
+    def candidate(self, low: str, gender: str, attempt: int) -> str:
         """The attempt-th name for this one, in small letters."""
         script = next((s for s in ("cyrillic", "greek") if any(c in ALPHABETS[s] for c in low)), "latin")
         consonants, vowels, endings = SYLLABLES[script]
-        number = self.permuter.number("name", role, gender, low, attempt)
+        number = self.permuter.number("name", low, attempt)
         out = []
         for _ in range(self.syllables):
             number, c = divmod(number, len(consonants))
@@ -274,54 +282,96 @@ def persons(text: str):
             yield m.start(2), m.end(2), "family", "", m[2]
 
 
+def _told(votes: int) -> str:
+    return "f" if votes > 0 else "m" if votes < 0 else ""
+
+
+def mentions(text: str) -> tuple[list[tuple[int, int, str]], dict[str, str]]:
+    """(start, end, name) of all mentions of the names that follow a title somewhere in the text, and the gender that the
+    text tells of each name in small letters."""
+    titled = list(persons(text))
+    if not titled:
+        return [], {}
+    votes: dict[str, int] = {}
+    for _, _, _, gender, name in titled:
+        low = name.lower()
+        votes[low] = votes.get(low, 0) + {"f": 1, "m": -1, "": 0}[gender]
+    spans = {start: (start, end, name) for start, end, _, _, name in titled}
+    taken = sorted((start, end) for start, end, _ in spans.values())
+    double = [name for name in votes if "-" in name]
+    if double:
+        pattern = "|".join(re.escape(name) for name in sorted(double, key=lambda n: (-len(n), n)))
+        further = [m for m in re.finditer(rf"(?<!\w)(?:{pattern})(?!\w)", text, re.IGNORECASE) if not m[0][0].islower()]
+    else:
+        further = []
+    for m in [*further, *_WORD.finditer(text)]:
+        if m[0].lower() not in votes:
+            continue
+        i = bisect.bisect_left(taken, m.span())
+        if (i and taken[i - 1][1] > m.start()) or (i < len(taken) and taken[i][0] < m.end()):
+            continue
+        taken.insert(i, m.span())
+        spans[m.start()] = (m.start(), m.end(), m[0])
+    return sorted(spans.values()), {name: _told(v) for name, v in votes.items()}
+
+
 def _names(batches):
-    seen = set()
+    """name, what one text tells of its gender, net votes for "f", summed up over a step."""
     for batch in batches:
         for part in steps(batch):
-            new = {(r, g, n.lower()) for t in part.column("text").to_pylist() if t for _, _, r, g, n in persons(t)} - seen
-            if len(seen) < 100_000:
-                seen |= new
-            rows = sorted(new)
+            votes: dict[tuple[str, str], int] = {}
+            for text in part.column("text").to_pylist():
+                mine: dict[str, int] = {}
+                for _, _, _, gender, name in persons(text or ""):
+                    low = name.lower()
+                    mine[low] = mine.get(low, 0) + {"f": 1, "m": -1, "": 0}[gender]
+                for name, v in mine.items():
+                    votes[name, _told(v)] = votes.get((name, _told(v)), 0) + v
+            rows = sorted(votes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["role", "gender", "name"]
+                [*[pa.array([r[i] for r in rows], pa.string()) for i in range(2)], pa.array([votes[r] for r in rows], pa.int64())],
+                ["name", "told", "votes"],
             )
 
 
-def moved_names(docs: DataFrame, key: str, syllables: int, most_rounds: int = 20) -> DataFrame:
-    """role, gender, name, attempt of the names whose first candidate met another name's."""
-    names = arrow_map(docs.select("text"), _names, "role string, gender string, name string")
-    real = written(names.distinct(), "surrogate-names")
+def known_names(docs: DataFrame, key: str, syllables: int, most_rounds: int = 20) -> DataFrame:
+    """name, gender, attempt of the names whose first candidate met another name's, or to which a text gives another gender."""
+    told = arrow_map(docs.select("text"), _names, "name string, told string, votes long")
+    names = told.groupBy("name").agg(F.sum("votes").alias("_votes"), F.min("told").alias("_least"), F.max("told").alias("_most"))
+    gender = F.when(F.col("_votes") > 0, "f").when(F.col("_votes") < 0, "m").otherwise("")
+    names = names.withColumn("gender", gender).withColumn("mixed", (F.col("_least") != F.col("gender")) | (F.col("_most") != F.col("gender")))
+    real = written(names.select("name", "gender", "mixed"), "surrogate-names")
 
     def candidates(batches):
         maker = Surrogates(key, syllables=syllables)
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("role", "gender", "name", "attempt")), strict=True)
+            rows = zip(*(batch.column(c).to_pylist() for c in ("name", "gender", "attempt")), strict=True)
             new = [maker.candidate(*r) for r in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], [*batch.schema.names, "new"])
 
-    schema = "role string, gender string, name string, attempt int, new string"
+    schema = "name string, gender string, mixed boolean, attempt int, new string"
     now = real.withColumn("attempt", F.lit(0))
     for _ in range(most_rounds):
         made = arrow_map(now, candidates, schema)
         # whoever moved least stays; the names that meet on one candidate are few
-        order = Window.partitionBy("new").orderBy("attempt", "role", "gender", "name")
-        taken = real.select(F.col("name").alias("new")).distinct().withColumn("_real", F.lit(True))
+        order = Window.partitionBy("new").orderBy("attempt", "name")
+        taken = real.select(F.col("name").alias("new")).withColumn("_real", F.lit(True))
         judged = made.withColumn("_r", F.row_number().over(order)).join(taken, "new", "left")
         meets = (F.col("_r") > 1) | F.col("_real").isNotNull()
-        now = written(judged.select("role", "gender", "name", (F.col("attempt") + meets.cast("int")).alias("attempt"), meets.alias("_m")), "surrogate-round")
+        now = written(judged.select("name", "gender", "mixed", (F.col("attempt") + meets.cast("int")).alias("attempt"), meets.alias("_m")), "surrogate-round")
         done = now.where("_m").limit(1).count() == 0
         now = now.drop("_m")
         if done:
-            return now.where("attempt > 0")
+            return now.where("attempt > 0 OR mixed").drop("mixed")
     raise RuntimeError("names still meet; use more syllables")
 
 
 def with_surrogates(docs: DataFrame, key: str, *, syllables: int = 4, most_moved: int = 100_000) -> DataFrame:
     """docs with text replaced, and n_email ... n_person: how many of each kind were replaced."""
-    moved = moved_names(docs, key, syllables)
-    if moved.count() > most_moved:
+    known = known_names(docs, key, syllables)
+    if known.where("attempt > 0").count() > most_moved:
         raise ValueError(f"more than {most_moved} names met; use more syllables")
-    table_ = {(r.role, r.gender, r.name): r.attempt for r in moved.collect()}
+    table_ = {r.name: (r.gender, r.attempt) for r in known.collect()}
     sent = docs.sparkSession.sparkContext.broadcast(table_)
     names = docs.columns
     at = names.index("text")
