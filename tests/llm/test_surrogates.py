@@ -104,3 +104,20 @@ def test_later_mentions_and_one_surrogate_a_name(spark):
     assert five[1] == five[3] and five[2] == five[4] != "Braun"
     six = re.fullmatch(r"Mr\. (\w+) (\w+) and Mrs\. (\w+) (\w+)", got[6].text)
     assert six[1] == six[3] and six[2] == six[4]
+
+
+def test_digits_of_all_scripts():
+    s = surrogates.Surrogates(KEY)
+    plain = {
+        "email": "a7.b42@mail5.com", "iban": "DE89 3704 0044 0532 0130 00", "card": "4111 1111 1111 1111", "ip": "8.8.4.204",
+        "ssn": "123-45-6789", "phone": "+966 50 123 4567",
+    }
+    for zero in "٠۰०０𝟎":
+        put = str.maketrans({str(d): chr(ord(zero) + d) for d in range(10)})
+        for kind, text in plain.items():
+            new, kinds = s.replace(f"see {text.translate(put)}.")
+            assert kinds == [kind]
+            assert new == s.replace(f"see {text}.")[0].translate(put) != f"see {text.translate(put)}."
+            assert [k for _, _, k, _ in s.find(new)] == [kind]
+    mixed = s.replace("+٩٦٦ 50 ١٢٣ 4567")[0]
+    assert re.fullmatch(r"\+٩٦٦ [0-9]{2} [٠-٩]{3} [0-9]{4}", mixed)

@@ -7,7 +7,8 @@ in the corpus under one key, also where its case or punctuation differ.
 
 Numbers, addresses and the letters of e-mail addresses go through a keyed permutation (a Feistel network over the digits or
 letters of one alphabet, tweaked by type and pattern). A permutation cannot map two entities to one surrogate, so they stay
-distinct without a table: cards keep issuer digit, length and Luhn, IBANs country and check digits, phones country code
+distinct without a table. Decimal digits of any script are permuted by value and written in the script of the digit whose
+place they take: cards keep issuer digit, length and Luhn, IBANs country and check digits, phones country code
 and punctuation, IP addresses stay public or private, e-mail addresses keep their pattern and move below `.example`.
 
 Names are built from syllables: the ending follows the gender, the letters the script. A name is one entity in the whole corpus,
@@ -28,6 +29,7 @@ import bisect
 import functools
 import hashlib
 import re
+import unicodedata
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -63,7 +65,7 @@ SYLLABLES = {
 
 KINDS = ["email", "iban", "card", "ip", "ssn", "phone", "person"]
 _EMAIL = re.compile(r"[\w.+-]*[\w+-]@[\w-]+(?:\.[\w-]+)+")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z\d])[A-Z]{2}\d{2}(?: ?[A-Z\d]{4}){2,7}(?: ?[A-Z\d]{1,3})?(?![A-Za-z\d])")
 _CARD = re.compile(r"(?<![\d.,-])\d(?:[ -]?\d){12,18}(?![\d]|[.,-]\d)")
 _IP = re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)")
 _SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
@@ -77,6 +79,16 @@ _PERSON = re.compile(
 _WORD = re.compile(r"(?<!\w)[^\W\d_a-z][^\W\d_]+(?!\w)")
 
 
+def values(text: str) -> str:
+    """Decimal digits of any script as 0 to 9, the rest as it is."""
+    return text if text.isascii() else "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text)
+
+
+def like(digit: str, place: str) -> str:
+    """A digit 0 to 9 in the script of the digit at its place."""
+    return digit if place.isascii() else chr(ord(place) - unicodedata.decimal(place) + int(digit))
+
+
 def luhn(digits: str) -> int:
     """Sum over a number with its check digit; right if divisible by ten."""
     odd, even = digits[-1::-2], digits[-2::-2]
@@ -132,6 +144,7 @@ class Permuter:
         low = text.lower()
         if len(low) != len(text):
             low = text
+        low = values(low)
         kinds = [_ALPHABET_OF.get(c, "") for c in low]
         shape = tweak + "|" + "".join(k[:1] or c for k, c in zip(kinds, low, strict=True))
         out = list(text)
@@ -140,7 +153,10 @@ class Permuter:
             if at:
                 new = self.letters("".join(low[i] for i in at), alphabet, shape)
                 for i, c in zip(at, new, strict=True):
-                    out[i] = c.upper() if text[i] != low[i] and len(c.upper()) == 1 else c
+                    if name == "digit":
+                        out[i] = like(c, text[i])
+                    else:
+                        out[i] = c.upper() if text[i] != low[i] and len(c.upper()) == 1 else c
         return "".join(out)
 
 
@@ -160,11 +176,11 @@ class Surrogates:
             found += [(m.start(), m.end(), "email", self.email(m[0])) for m in _EMAIL.finditer(text)]
         if _HAS_DIGITS.search(text):
             for m in _IBAN.finditer(text):
-                plain = m[0].replace(" ", "")
+                plain = values(m[0]).replace(" ", "")
                 if 15 <= len(plain) <= 34 and iban_rest(plain) == 1:
                     found.append((m.start(), m.end(), "iban", self.iban(m[0])))
             for m in _CARD.finditer(text):
-                digits = re.sub(r"\D", "", m[0])
+                digits = re.sub(r"\D", "", values(m[0]))
                 if luhn(digits) % 10 == 0 and len(set(digits)) > 1:
                     found.append((m.start(), m.end(), "card", self.card(m[0])))
             for m in _IP.finditer(text):
@@ -209,27 +225,28 @@ class Surrogates:
     def _into(self, text: str, digits: str) -> str:
         """The digits put in the places of text's digits."""
         it = iter(digits)
-        return "".join(next(it) if c.isdigit() else c for c in text)
+        return "".join(like(next(it), c) if c.isdecimal() else c for c in text)
 
     def card(self, text: str) -> str:
-        digits = re.sub(r"\D", "", text)
+        digits = re.sub(r"\D", "", values(text))
         middle = self.permuter.letters(digits[1:-1], ALPHABETS["digit"], f"card {digits[0]}")
         body = digits[0] + middle
         return self._into(text, body + str(-luhn(body + "0") % 10))
 
     def iban(self, text: str) -> str:
-        plain = text.replace(" ", "")
+        plain = values(text).replace(" ", "")
         body = self.permuter.pattern(plain[4:], "iban " + plain[:2])
         check = 98 - iban_rest(plain[:2] + "00" + body)
         it = iter(f"{plain[:2]}{check:02d}{body}")
-        return "".join(c if c == " " else next(it) for c in text)
+        new = "".join(c if c == " " else next(it) for c in text)
+        return "".join(like(c, old) if old.isdecimal() else c for c, old in zip(new, text, strict=True))
 
     def phone(self, text: str) -> str:
         code = re.match(r"\+\d{1,3}(?=[ .(-])", text)
         head = code[0] if code else ""
         rest = text[len(head) :]
-        digits = re.sub(r"\D", "", rest)
-        return head + self._into(rest, self.permuter.letters(digits, ALPHABETS["digit"], f"phone {head}"))
+        digits = re.sub(r"\D", "", values(rest))
+        return head + self._into(rest, self.permuter.letters(digits, ALPHABETS["digit"], f"phone {values(head)}"))
 
     def ip(self, text: str) -> str:
         octets = [int(x) for x in text.split(".")]
@@ -241,7 +258,8 @@ class Surrogates:
                 left, right = right, left ^ self.permuter.number("ip", i, right) & 0xFFFF
             value = [left >> 8, left & 255, right >> 8, right & 255]
             if _private(value) == private:
-                return ".".join(map(str, value))
+                octets = zip(value, text.split("."), strict=True)
+                return ".".join("".join(like(d, old[0]) for d in str(v)) for v, old in octets)
 
     def name(self, role: str, gender: str, name: str) -> str:
         """Given and family names alike; the gender is what the text tells, unless the corpus knows better."""
