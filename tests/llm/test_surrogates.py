@@ -121,3 +121,25 @@ def test_digits_of_all_scripts():
             assert [k for _, _, k, _ in s.find(new)] == [kind]
     mixed = s.replace("+٩٦٦ 50 ١٢٣ 4567")[0]
     assert re.fullmatch(r"\+٩٦٦ [0-9]{2} [٠-٩]{3} [0-9]{4}", mixed)
+
+
+def test_numbers_next_to_other_groups():
+    s = surrogates.Surrogates(KEY)
+    card, amex, iban, norway = "4111 1111 1111 1111", "3782 822463 10005", "BE68 5390 0754 7034", "NO93 8601 1117 947"
+    texts = [
+        f"Card {card} 05/27", f"Card {card} 123", f"Card {card} 12.50 paid", f"Card {card.replace(' ', '-')}-05 x", f"Card {amex} 1234 05/27",
+        f"No 12 {card}", f"No 2024 {card} 05/27", f"{card} 5555 5555 5555 4444 12", f"٤١١١ ١١١١ ١١١١ ١١١١ ٠٥/٢٧",
+    ]
+    for text in texts:
+        new, kinds = s.replace(text)
+        assert kinds == ["card"] * (2 if "5555" in text else 1), text
+        if text.startswith("Card 4"):
+            assert new.replace("-", " ") == text.replace("-", " ").replace(card, s.card(card))
+    assert s.replace(texts[-2])[0] == f"{s.card(card)} {s.card('5555 5555 5555 4444')} 12"
+    for text in (f"{iban} ABCD", f"AB12 {iban} ABCD EFGH", f"{norway} AB", f"{iban} {norway}", f"{iban} 12"):
+        new, kinds = s.replace(text)
+        assert kinds == ["iban"] * (text.count(iban) + text.count(norway)), text
+        assert new == text.replace(iban, s.iban(iban)).replace(norway, s.iban(norway))
+    phones = "499-555-6503 499-555-6504 and 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20"
+    assert s.replace(phones)[1] == ["phone", "phone"]
+    assert s.replace("1" * 100_000 + " " + "5 " * 100_000)[1] == []

@@ -63,10 +63,24 @@ SYLLABLES = {
     "greek": ("βγδζκλμνπρστ", "αειου", {"f": ["α", "η", "ου"], "m": ["ος", "ης", "ας"], "": ["ι", "ιδ", "ου"]}),
 }
 
+#: Fixed: characters of an IBAN by country.
+IBAN_LENGTHS = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST",
+        26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+        28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+        31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
 KINDS = ["email", "iban", "card", "ip", "ssn", "phone", "person"]
 _EMAIL = re.compile(r"[\w.+-]*[\w+-]@[\w-]+(?:\.[\w-]+)+")
 _IBAN = re.compile(r"(?<![A-Za-z\d])[A-Z]{2}\d{2}(?: ?[A-Z\d]{4}){2,7}(?: ?[A-Z\d]{1,3})?(?![A-Za-z\d])")
-_CARD = re.compile(r"(?<![\d.,-])\d(?:[ -]?\d){12,18}(?![\d]|[.,-]\d)")
+_CARD_RUN = re.compile(r"(?<![\d.,-])\d(?:[ -]?\d){12,}")
+_DIGITS = re.compile(r"\d+")
 _IP = re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)")
 _SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
 _PHONE = re.compile(
@@ -100,6 +114,58 @@ def iban_rest(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in moved)) % 97
 
 
+def ibans(text: str):
+    """(start, end) of IBANs: by the length of the country if a group ends there, else all of a match."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        at = m.start() + 1
+        length = IBAN_LENGTHS.get(m[0][:2])
+        ends = {}  # characters without blanks -> end, where no letter or digit follows
+        n = 0
+        for end in range(m.start() + 1, m.end() + 1):
+            n += text[end - 1] != " "
+            if end == m.end() or text[end] == " ":
+                ends.setdefault(n, end)
+        for k in (length, n):
+            if k in ends and 15 <= k <= 34 and iban_rest(values(text[m.start() : ends[k]]).replace(" ", "")) == 1:
+                yield m.start(), ends[k]
+                at = ends[k]
+                break
+
+
+def cards(text: str):
+    """(start, end) of cards in runs of digits with single blanks or hyphens: the longest of 13 to 19 digits that fits, in any
+    groups, and if its check digit fails, shorter ones and later starts at the borders of groups of four digits or more."""
+    for run in _CARD_RUN.finditer(text):
+        groups = [(run.start() + m.start(), run.start() + m.end(), values(m[0])) for m in _DIGITS.finditer(run[0])]
+        i = loose = 0  # from loose on, groups of any size may begin a card
+        while i < len(groups):
+            start, digits, ends, even = groups[i][0], "", [], True
+            for j in range(i, len(groups)):
+                _, end, more = groups[j]
+                digits += more
+                if len(digits) > 19:
+                    break
+                if len(digits) >= 13:
+                    whole = not (text[end : end + 1] in (".", ",", "-") and text[end + 1 : end + 2].isdecimal())
+                    inside = text[end : end + 1] == "-" and j + 1 < len(groups)
+                    if whole or (inside and even):
+                        ends.append((j, end, digits, whole, even))
+                even &= len(more) >= 4
+            first = next((e for e in reversed(ends) if e[3]), None)
+            begins = i >= loose and (i == 0 or text[start - 1] == " ")
+            tried = [first] if begins and first else []
+            tried += [e for e in reversed(ends) if e[4] and e not in tried]
+            good = next((e for e in tried if luhn(e[2]) % 10 == 0 and len(set(e[2])) > 1), None)
+            if good:
+                yield start, good[1]
+                i = loose = good[0] + 1
+                continue
+            if begins and first:
+                loose = first[0] + 1
+            i += 1
+
+
 class Permuter:
     """Keyed permutations of strings over one alphabet."""
 
@@ -175,14 +241,8 @@ class Surrogates:
         if "@" in text:
             found += [(m.start(), m.end(), "email", self.email(m[0])) for m in _EMAIL.finditer(text)]
         if _HAS_DIGITS.search(text):
-            for m in _IBAN.finditer(text):
-                plain = values(m[0]).replace(" ", "")
-                if 15 <= len(plain) <= 34 and iban_rest(plain) == 1:
-                    found.append((m.start(), m.end(), "iban", self.iban(m[0])))
-            for m in _CARD.finditer(text):
-                digits = re.sub(r"\D", "", values(m[0]))
-                if luhn(digits) % 10 == 0 and len(set(digits)) > 1:
-                    found.append((m.start(), m.end(), "card", self.card(m[0])))
+            found += [(start, end, "iban", self.iban(text[start:end])) for start, end in ibans(text)]
+            found += [(start, end, "card", self.card(text[start:end])) for start, end in cards(text)]
             for m in _IP.finditer(text):
                 if all(int(x) < 256 for x in m[0].split(".")):
                     found.append((m.start(), m.end(), "ip", self.ip(m[0])))
