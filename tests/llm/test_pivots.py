@@ -91,3 +91,18 @@ def test_recall_at_the_limit(spark):
 
 def test_empty_table(spark):
     assert result(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")) == []
+
+
+@pytest.mark.parametrize("numbers", [1 << 24, 0])
+def test_rare_lengths(spark, monkeypatch, numbers):
+    # far more classes than sampled rows: of lengths 8 and 5 none, or few, are among the lowest hashes; without numbers left, none is sampled
+    monkeypatch.setattr(pivots, "SAMPLE_NUMBERS", numbers)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=16).tolist(), i % 2) for i in range(120)]
+    for size, at in ((8, 200), (5, 300)):
+        base = rng.normal(size=size)
+        rows += [(at + i, (base + rng.normal(size=size) * 0.02).tolist(), 1) for i in range(4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = result(df, sample=4, tile=7)
+    assert got == plain(rows)
+    assert sorted(r[1] for r in got if r[0] >= 200) == [3] * 8

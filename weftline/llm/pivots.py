@@ -1,7 +1,7 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
 A vector is described by its `nearest` nearest reference points in order of closeness. Reference points are vectors of a
-bounded sample (lowest hashes), taken only if they are not close to one taken before, so that a large group of near copies
+bounded sample of each length (lowest hashes), taken only if they are not close to one taken before, so that a large group of near copies
 does not use them up. Lists of vectors are kept under pairs of pivots: two vectors that share at least two pivots meet in a
 list, so the shared-pivot count is two or more for all that meet, and each pair is looked at only in the list of the two
 smallest pivots they share. Every vector is indexed; a list longer than `tile` is cut into blocks and handled by pairs
@@ -39,14 +39,33 @@ def matrix(vectors: pa.ListArray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
+#: Numbers that the samples of all lengths hold together, unless that of the most frequent length needs more.
+SAMPLE_NUMBERS = 1 << 24
+
+
 def reference_points(classes: DataFrame, *, pivots: int, sample: int, apart: float) -> dict[int, np.ndarray]:
-    """By length of vectors: up to `pivots` unit vectors from at most `sample` rows, no two closer than `apart` if there
-    are enough such."""
-    rows = classes.orderBy(F.xxhash64("cid"), "cid").limit(sample).select("dim", "vector").toArrow()
+    """By length of vectors: up to `pivots` unit vectors from at most `sample` rows of that length, no two closer than `apart`
+    if there are enough such. Lengths are served by frequency; those for which SAMPLE_NUMBERS leaves nothing are not in it."""
+    counts = classes.groupBy("dim").count().orderBy(F.desc("count"), "dim").collect()
+    left = max(SAMPLE_NUMBERS, sample * counts[0]["dim"]) if counts else 0
+    shares = {}
+    for dim, n in counts:
+        if take := min(n, sample, left // dim):
+            shares[dim] = (take, min(2.0, (1.1 * take + 200) / n))  # a little more than wanted; cut to it below
+            left -= take * dim
+    if not shares:
+        return {}
+    part = classes.sparkSession.createDataFrame([(d, s) for d, (_, s) in shares.items()], "dim int, _share double")
+    place = F.xxhash64("cid", "label", "vector")
+    rows = classes.join(F.broadcast(part), "dim").withColumn("_place", place)
+    rows = rows.where(F.col("_place") / 2.0**64 + 0.5 < F.col("_share")).select("dim", "vector", "_place").toArrow()
     out = {}
-    dims = np.asarray(rows.column("dim"))
+    dims, places = np.asarray(rows.column("dim")), np.asarray(rows.column("_place"))
+    vectors = rows.column("vector").combine_chunks()
     for dim in sorted(set(dims.tolist())):
-        units = matrix(rows.column("vector").combine_chunks().take(pa.array(np.flatnonzero(dims == dim))))
+        mine = np.flatnonzero(dims == dim)
+        mine = mine[np.argsort(places[mine], kind="stable")][: shares[dim][0]]
+        units = matrix(vectors.take(pa.array(mine)))
         taken = np.zeros((0, int(dim)))
         for unit in units:
             if len(taken) < pivots and (not len(taken) or (taken @ unit).max() < apart):
@@ -63,7 +82,10 @@ def _postings(batches, points: dict[int, np.ndarray], nearest: int):
             dims = np.asarray(batch.column("dim"))
             for dim in sorted(set(dims.tolist())):
                 mine = batch.take(pa.array(np.flatnonzero(dims == dim)))
-                close = matrix(mine.column("vector")) @ points[dim].T
+                if dim in points:
+                    close = matrix(mine.column("vector")) @ points[dim].T
+                else:  # no reference points: one list for all of this length
+                    close = np.zeros((mine.num_rows, 1))
                 k = min(nearest, close.shape[1])
                 tops = np.sort(np.argsort(-close, axis=1, kind="stable")[:, :k], axis=1).astype(np.int64)
                 if k < 2:  # a single reference point is one list
