@@ -1,6 +1,7 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
-A vector is described by its `nearest` nearest reference points in order of closeness. Reference points are vectors of a
+A vector is described by the set of its `nearest` nearest reference points; the order of closeness among them is not used, so
+more pairs are looked at than an ordered description would leave, and none is lost. Reference points are vectors of a
 bounded sample of each length (lowest hashes), taken only if they are not close to one taken before, so that a large group of near copies
 does not use them up. Lists of vectors are kept under pairs of pivots: two vectors that share at least two pivots meet in a
 list, so the shared-pivot count is two or more for all that meet, and each pair is looked at only in the list of the two
