@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from weftline.llm.infill import OP13_SQL, op13_fill_in_middle
 from weftline.llm.jaccard import op1_jaccard_join
 from weftline.llm.language import op4_language_id
 from weftline.llm.mixing import OP7_SQL, op7_mix_sources
@@ -24,8 +25,10 @@ QUERIES = {
     "op8_repetition": op8_repetition,
     "op9_secret_scan": op9_secret_scan,
     "op10_piece_codes": op10_piece_codes,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLES = {
     "op7_mix_sources": OP7_SQL,
     "op9_secret_scan": OP9_SQL,
+    "op13_fill_in_middle": OP13_SQL,
 }
