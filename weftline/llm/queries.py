@@ -8,6 +8,7 @@ from weftline.llm.language import op4_language_id
 from weftline.llm.mixing import OP7_SQL, op7_mix_sources
 from weftline.llm.pieces import op10_piece_codes
 from weftline.llm.pivots import op3_pivot_near_duplicates
+from weftline.llm.ranking import OP11_SQL, op11_ranked_search
 from weftline.llm.repeats import op8_repetition
 from weftline.llm.resample import op5_importance_resampling
 from weftline.llm.secrets import OP9_SQL, op9_secret_scan
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_repetition": op8_repetition,
     "op9_secret_scan": op9_secret_scan,
     "op10_piece_codes": op10_piece_codes,
+    "op11_ranked_search": op11_ranked_search,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLES = {
     "op7_mix_sources": OP7_SQL,
     "op9_secret_scan": OP9_SQL,
+    "op11_ranked_search": OP11_SQL,
     "op13_fill_in_middle": OP13_SQL,
 }
