@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from weftline.llm.html_text import op12_main_text
 from weftline.llm.infill import OP13_SQL, op13_fill_in_middle
 from weftline.llm.jaccard import op1_jaccard_join
 from weftline.llm.language import op4_language_id
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_piece_codes": op10_piece_codes,
     "op11_ranked_search": op11_ranked_search,
+    "op12_main_text": op12_main_text,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLES = {
