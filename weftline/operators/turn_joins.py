@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.turns import Stretch, join_ranks, lay_out, walk_all
+from weftline.operators.turns import END, OPENS, PART, Stretch, join_ranks, lay_out, stretch_codes, stretches, walk_all
 from weftline.series import Series
 
-_END = -1
-
 # --- alternating -------------------------------------------------------------------
 #
 # State: (dominant side, rank of its head, rank of the other head). The dominant head
@@ -21,106 +20,198 @@ _END = -1
 #   * a later row, and the row before that is at least as near: that row is joined, and
 #     the other stream becomes dominant from the later row on;
 #   * a later row that is nearer: it is joined but stays, only the dominant head moves on.
-# The lead is the other head's rank minus the dominant head's. In step it does not change,
-# so a slice is left in step if no own row asks for a larger lead than there is.
-
-
-def _meeting(st: Stretch, side: int, rank: int) -> tuple[int, bool, bool]:
-    """First row of the other stream not before this one: (rank, exists, row before it is chosen)."""
-    other = st.times[1 - side]
-    t = st.times[side][rank - st.base[side]]
-    at = bisect_left(other, t)
-    exists = at < len(other)
-    before = exists and at > 0 and t - other[at - 1] <= other[at] - t
-    return st.base[1 - side] + at, exists, before
-
-
-def _walk_alternating(st: Stretch, state: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
-    side, mine, other = state
-    while st.low[side] <= mine < st.high[side]:
-        meets, exists, before = _meeting(st, side, mine)
-        if other >= meets:
-            found = other
-            step = side, mine + 1, other + 1
-        elif not exists:
-            return
-        elif before:
-            found = meets - 1
-            step = 1 - side, meets, mine
-        else:
-            found = meets
-            step = side, mine + 1, meets
-        yield (side, mine, found) if side == 0 else (side, found, mine)
-        side, mine, other = step
-
-
-def _reduce_alternating(st: Stretch) -> list[tuple[int, ...]]:
-    """Rows (side, lead, exit side, exit head, exit other head): used if the lead is smaller.
-
-    Own rows from the last to the first. Per side, ``asks`` holds the rows that ask for a
-    larger lead than all own rows between them and here, the nearest last.
-    """
-    own = sorted(
-        (st.times[s][r - st.base[s]], s, r) for s in (0, 1) for r in range(st.low[s], st.high[s])
-    )
-    asks: list[list[int]] = [[], []]  # negative leads, ascending
-    exits: list[list[tuple[int, int, int]]] = [[], []]
-    for t, side, rank in reversed(own):
-        meets, exists, before = _meeting(st, side, rank)
-        if not exists:
-            leave = (_END, 0, 0)
-        else:
-            if before:
-                to, head, rest = 1 - side, meets, rank
-                if side == 1:  # rows of stream one at this very time follow in step
-                    equal = bisect_right(st.times[0], t) + st.base[0] - meets
-                    head, rest = head + equal, rest + equal
-            else:
-                to, head, rest = side, rank + 1, meets
-            stops = bisect_left(asks[to], head - rest) - 1
-            if stops >= 0:
-                leave = exits[to][stops]
-            else:
-                leave = (to, st.high[to], st.high[to] + rest - head)
-        lead = rank - meets
-        while asks[side] and asks[side][-1] >= lead:
-            asks[side].pop()
-            exits[side].pop()
-        asks[side].append(lead)
-        exits[side].append(leave)
-    rules = []
-    for side in (0, 1):
-        for lead, leave in zip(asks[side], exits[side]):
-            if rules and rules[-1][0] == side and rules[-1][2:] == leave:
-                continue
-            rules.append((side, -lead, *leave))
-    return rules
-
-
-def _follow_alternating(state, edges, rules):
-    side, mine, other = state
-    high = edges[f"_high{side}"]
-    if mine >= high:
-        return state
-    leads = [r for r in rules if r[0] == side and r[1] > other - mine]
-    if not leads:
-        return side, high, high + other - mine
-    leave = min(leads, key=lambda r: r[1])[2:]
-    return None if leave[0] == _END else leave
+# The lead is the other head's rank minus the dominant head's; in step it does not change. A
+# row asks for a lead: the rank of the row it meets minus its own. It is in step if it asks
+# for no more than there is; else the step is broken there, and what comes next follows from that row alone.
+# So a slice is a forest: each row points to the next row at which the step after it would
+# be broken. The dominant head only moves on in the order (t, side, seq), so a state between two slices is
+# the dominant side and the lead.
+
+
+def _ladder(values: np.ndarray) -> list[np.ndarray]:
+    """Greatest values of 1, 2, 4, .. neighbours."""
+    levels = [values]
+    while len(levels[-1]) > 1:
+        v = levels[-1]
+        if len(v) % 2:
+            v = np.r_[v, np.iinfo(np.int64).min]
+        levels.append(np.maximum(v[::2], v[1::2]))
+    return levels
+
+
+def _first_above(levels: list[np.ndarray], start: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """For each query, the first place from ``start`` on with a value above ``bound``; the number of values if there is none."""
+    found = np.full(len(start), len(levels[0]), np.int64)
+    query, at, climbed = np.arange(len(start)), start, []
+    for k, values in enumerate(levels):
+        inside = at < len(values)
+        query, at, bound = query[inside], at[inside], bound[inside]
+        hit = values[at] > bound
+        climbed.append((k, query[hit], at[hit], bound[hit]))
+        query, at, bound = query[~hit], at[~hit] + 1, bound[~hit]
+        odd = at % 2 == 1  # the node beside it, before going up
+        hit = odd & (at < len(values))
+        hit[hit] = values[at[hit]] > bound[hit]
+        climbed.append((k, query[hit], at[hit], bound[hit]))
+        query, at, bound = query[~hit], (at[~hit] + odd[~hit]) >> 1, bound[~hit]
+    for k, query, at, bound in climbed:
+        for values in reversed(levels[:k]):
+            at = 2 * at
+            at = at + (values[at] <= bound)
+        found[query] = at
+    return found
+
+
+class _Forest:
+    """The own rows of all (key, slice) stretches of a pandas frame, in order of (stretch, side, rank), and what follows a
+    step that is broken at each of them."""
+
+    def __init__(self, pdf: pd.DataFrame, by: list[str]):
+        code = stretch_codes(pdf, by)
+        side, rank, t, part, opens = (pdf[c].to_numpy() for c in ("_side", "_rank", "_t", PART, OPENS))
+        order = np.lexsort((rank, side, t, code))
+        code, side, rank, t, part, opens = (c[order] for c in (code, side, rank, t, part, opens))
+        self.n_codes = int(code[-1]) + 1
+        n = len(code)
+        line = 2 * code + side  # a stream of a stretch
+        listed = np.argsort(line, kind="stable")
+        first = np.searchsorted(line[listed], np.arange(2 * self.n_codes + 1))
+        held = np.diff(first)
+        # rows of the other stream that are earlier: before the row, or for side one before all rows of its time
+        begins = np.searchsorted(code, np.arange(self.n_codes))
+        group = np.ones(n, bool)
+        group[1:] = (code[1:] != code[:-1]) | (t[1:] != t[:-1])
+        group = np.maximum.accumulate(np.where(group, np.arange(n), 0))
+        before = [np.cumsum(side == s) - (side == s) for s in (0, 1)]
+        place = np.where(side == 0, before[1] - before[1][begins[code]], before[0][group] - before[0][begins[code]])
+        other = line ^ 1
+        some = held[other] > 0
+        head = listed[np.minimum(first[other], n - 1)]  # first listed row of the other stream
+        exists = place < held[other]
+        after = listed[np.minimum(first[other] + place, n - 1)]
+        prior = listed[np.maximum(first[other] + place - 1, 0)]
+        meets = np.where(some, rank[head] + place, 0)
+        # the row borrowed from before may have this time too; so may others before that one
+        same = some & (side == 1) & (place == 0) & (part[head] == -1) & (t[head] == t)
+        meets[same] = opens[head[same]].astype(np.int64)
+        earlier = exists & (place > 0) & (t - t[prior] <= t[after] - t)
+
+        own = listed[part[listed] == 0]
+        lines = np.arange(2 * self.n_codes)
+        self.start = np.searchsorted(line[own], np.r_[lines, 2 * self.n_codes])  # of the own rows of a line
+        count = np.diff(self.start)
+        low = np.zeros(2 * self.n_codes, np.int64)
+        any_ = held > 0
+        top = listed[np.minimum(first[:-1], n - 1)]
+        low[any_] = rank[top[any_]] + (part[top[any_]] == -1)
+        self.low, self.high = low, low + count
+        self.row, self.line, self.side, self.rank = order[own], line[own], side[own], rank[own]
+        self.met, self.earlier = meets[own], earlier[own]
+        asks = self.met - self.rank
+        self.asks = asks
+        # after the break: side, its head, and the lead
+        self.to = np.where(exists[own], np.where(self.earlier, 1 - self.side, self.side), END)
+        self.head = np.where(self.earlier, self.met, self.rank + 1)
+        self.rest = np.where(self.earlier, -asks, asks - 1)
+        self.levels = _ladder(asks)
+        size = len(own)
+        self.next = np.full(size, size, np.int64)
+        goes = np.flatnonzero(self.to != END)
+        self.next[goes] = self.breaks(self.line[goes] - self.side[goes] + self.to[goes], self.head[goes], self.rest[goes])
+
+    def breaks(self, line: np.ndarray, head: np.ndarray, lead: np.ndarray) -> np.ndarray:
+        """The own row at which a step from ``head`` with a lead is broken; the number of own rows if that is beyond the stretch."""
+        at = self.start[line] + np.maximum(head - self.low[line], 0)
+        found = np.full(len(line), len(self.rank), np.int64)
+        inside = np.flatnonzero(at < self.start[line + 1])
+        if len(inside):
+            place = _first_above(self.levels, at[inside], lead[inside])
+            place[place >= self.start[line[inside] + 1]] = len(self.rank)
+            found[inside] = place
+        return found
+
+    def rules(self) -> list[np.ndarray]:
+        """Arrays (row of the frame, side, lead, exit side, exit lead)."""
+        size = len(self.rank)
+        if not size:
+            return [np.zeros(0, np.int64)] * 5
+        last = np.where(self.next < size, self.next, np.arange(size))  # from where the way from a row leaves the slice
+        while True:
+            then = last[last]
+            if (then == last).all():
+                break
+            last = then
+        # only rows that ask for more than all own rows of their stream before them can break the first step
+        chosen = np.flatnonzero(_new_highs(self.asks, self.start[:-1]))
+        leave = last[chosen]
+        return [self.row[chosen], self.side[chosen], self.asks[chosen], self.to[leave], np.where(self.to[leave] == END, 0, self.rest[leave])]
+
+    def pairs(self, on: np.ndarray, lead: np.ndarray) -> list[np.ndarray]:
+        """Arrays (row of the frame, dominant side, rank of stream one, rank of stream two), from a state per own row's stretch."""
+        size = len(self.rank)
+        codes = np.arange(self.n_codes)
+        line = 2 * codes + on
+        at = self.breaks(line, self.low[line], lead)
+        visited, steps = [], self.next.tolist()
+        for k in at.tolist():
+            while k < size:
+                visited.append(k)
+                k = steps[k]
+        v = np.array(visited, np.int64)
+        # what is in step: from each entry, and after each break, up to the next break or the end of the slice
+        to_line = self.line[v] - self.side[v] + self.to[v]
+        goes = self.to[v] != END
+        lines = np.r_[line, to_line[goes]]
+        begin = np.r_[self.low[line], self.head[v][goes]]
+        until = np.r_[at, self.next[v][goes]]
+        end = np.where(until < size, self.rank[np.minimum(until, size - 1)], self.high[lines]) if size else self.high[lines]
+        leads = np.r_[lead, self.rest[v][goes]]
+        sizes = np.maximum(end - begin, 0)
+        inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        mine = np.repeat(begin, sizes) + inside
+        side = np.repeat(lines % 2, sizes)
+        row = self.start[np.repeat(lines, sizes)] + mine - self.low[np.repeat(lines, sizes)]
+        side = np.r_[side, self.side[v]]
+        theirs = np.r_[mine + np.repeat(leads, sizes), self.met[v] - self.earlier[v]]
+        mine = np.r_[mine, self.rank[v]]
+        row = self.row[np.r_[row, v].astype(np.int64)]
+        broken = np.r_[np.ones(len(mine) - len(v), bool), goes]
+        return [c[broken] for c in (row, side, np.where(side == 0, mine, theirs), np.where(side == 0, theirs, mine))]
+
+
+def _new_highs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Whether each value is above all values before it in its segment."""
+    n = len(values)
+    segment = np.zeros(n, np.int64)
+    np.add.at(segment, starts[starts < n], 1)
+    segment = np.cumsum(segment)
+    # one running maximum over (segment, value): ranks of the values keep it within 64 bits
+    order = np.argsort(values, kind="stable")
+    dense = np.empty(n, np.int64)
+    sorted_ = values[order]
+    dense[order] = np.cumsum(np.r_[True, sorted_[1:] != sorted_[:-1]]) if n else 0
+    key = segment * (n + 1) + dense
+    best = np.maximum.accumulate(key)
+    return np.r_[True, key[1:] > best[:-1]] if n else np.zeros(0, bool)
 
 
 def alternating_pairs(one: Series, two: Series, rows_per_slice: int | None = None) -> DataFrame:
     """Joined rows as ``by..., _side`` (0: one is dominant), ``_row0, _row1``."""
     layout = lay_out([one, two], ahead=1, rows_per_slice=rows_per_slice)
+    by = layout.by
+
+    def walk(pdf: pd.DataFrame, on: np.ndarray, lead: np.ndarray) -> list[np.ndarray]:
+        if pdf.empty:
+            return [np.zeros(0, np.int64)] * 4
+        first = np.unique(stretch_codes(pdf, by), return_index=True)[1]
+        return _Forest(pdf, by).pairs(on[first], lead[first])
+
     found = walk_all(
         layout,
-        sides=2,
-        start=(0, 0, 0),
-        walk=_walk_alternating,
-        reduce_slice=_reduce_alternating,
-        follow=_follow_alternating,
+        start=(0, 0),
+        reduce_slices=lambda pdf: _Forest(pdf, by).rules(),
+        walk=walk,
         columns=["_side", "_rank0", "_rank1"],
-        rule_columns=["_on", "_lead", "_to", "_head", "_rest"],
     )
     return join_ranks(found, layout, {"_rank0": 0, "_rank1": 1})
 
@@ -140,13 +231,15 @@ def alternating_delta_join(one: Series, two: Series, rows_per_slice: int | None
 #
 # State: (dominant side, rank of the head of each stream). The dominant head is joined with
 # the nearer of the first two rows of each other stream, the second one if they are equally
-# near. The stream of the earliest of the three drops its head and becomes dominant. A head
-# is never more than one row behind the earliest row chosen so far, so a slice can only be
-# entered with each head at its first own row or one before it, the dominant one at it.
+# near. The stream of the earliest of the three (by time, then by stream) drops its head and becomes dominant. A step
+# belongs to the slice of that earliest row. Until the first step whose earliest row lies behind a cut, no row behind the
+# cut was dropped, and in that step each chosen row, the head or the one after it, lies behind it. So a
+# slice is entered with each head at its first own row or one before it, the dominant one at it: the state between two slices
+# is the dominant side, and for each stream whether its head is one before.
 
 
 def _step_three(st: Stretch, state: tuple[int, ...]):
-    """(chosen ranks, their earliest time, next state), or None if the join waits for ever."""
+    """(chosen ranks, the stream that goes ahead, next state), or None if the join waits for ever."""
     dominant, heads = state[0], state[1:]
     at = heads[dominant] - st.base[dominant]
     if at >= len(st.times[dominant]):
@@ -165,72 +258,75 @@ def _step_three(st: Stretch, state: tuple[int, ...]):
         times.append(st.times[side][rank - st.base[side]])
     ahead = times.index(min(times))
     moved = [h + (side == ahead) for side, h in enumerate(heads)]
-    return chosen, times[ahead], (ahead, *moved)
+    return chosen, ahead, (ahead, *moved)
+
+
+def _three_code(state: tuple[int, ...], at: list[int]) -> int:
+    """A state as one number, by how far its heads are before the ranks ``at``."""
+    return 8 * state[0] + sum((a - h) << side for side, (h, a) in enumerate(zip(state[1:], at)))
 
 
-def _walk_three(st: Stretch, state: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
+def _walk_three(st: Stretch, code: int) -> Iterator[tuple[int, ...]]:
+    state = (code // 8, *[low - (code >> side & 1) for side, low in enumerate(st.low)])
     while step := _step_three(st, state):
-        chosen, earliest, then = step
-        if earliest > st.last:
+        chosen, ahead, then = step
+        if chosen[ahead] >= st.high[ahead]:
             return
         yield (state[0], *chosen)
         state = then
 
 
-def _reduce_three(st: Stretch) -> list[tuple[int, ...]]:
-    """Rows (entry state, exit state) for the twelve possible ways in."""
+def _reduce_three(st: Stretch) -> list[tuple[int, int]]:
+    """(entry, exit) for the twelve possible ways in."""
     rules, passed = [], {}
-    for dominant in range(3):
-        a, b = [s for s in range(3) if s != dominant]
-        for back_a in (0, 1):
-            for back_b in (0, 1):
-                heads = list(st.low)
-                heads[a] -= back_a
-                heads[b] -= back_b
-                if heads[a] < st.base[a] or heads[b] < st.base[b]:
-                    continue
-                entry = state = (dominant, *heads)
-                trail, leave = [], None
-                while leave is None:
-                    # ways that meet stay together; look every 16 steps
-                    if sum(state[1:]) % 16 == 0:
-                        if state in passed:
-                            leave = passed[state]
-                            break
-                        trail.append(state)
-                    step = _step_three(st, state)
-                    if step is None:
-                        leave = (_END, 0, 0, 0)
-                    elif step[1] > st.last:
-                        leave = state
-                    else:
-                        state = step[2]
-                passed.update(dict.fromkeys(trail, leave))
-                rules.append((*entry, *leave))
+    for code in range(24):
+        dominant, back = code // 8, [code >> side & 1 for side in range(3)]
+        heads = [low - b for low, b in zip(st.low, back)]
+        if back[dominant] or any(b and h < base for b, h, base in zip(back, heads, st.base)):
+            continue
+        state = (dominant, *heads)
+        trail, leave = [], None
+        while leave is None:
+            # ways that meet stay together; look every 16 steps
+            if sum(state[1:]) % 16 == 0:
+                if state in passed:
+                    leave = passed[state]
+                    break
+                trail.append(state)
+            step = _step_three(st, state)
+            if step is None:
+                leave = END
+            elif step[0][step[1]] >= st.high[step[1]]:
+                leave = _three_code(state, st.high)
+            else:
+                state = step[2]
+        passed.update(dict.fromkeys(trail, leave))
+        rules.append((code, leave))
     return rules
 
 
-def _follow_three(state, edges, rules):
-    for rule in rules:
-        if rule[:4] == state:
-            return None if rule[4] == _END else rule[4:]
-    raise AssertionError(f"no way into the slice from {state}")
-
-
 def three_way_pairs(
     one: Series, two: Series, three: Series, rows_per_slice: int | None = None
 ) -> DataFrame:
     """Joined rows as ``by..., _side`` (the dominant one), ``_row0, _row1, _row2``."""
     layout = lay_out([one, two, three], ahead=2, rows_per_slice=rows_per_slice)
+    by = layout.by
+
+    def reduce_slices(pdf: pd.DataFrame) -> list[np.ndarray]:
+        # a state has no lead here: all of it is in the number
+        rules = [(st.row, on, 1, to, 0) for st in stretches(pdf, by, 3) for on, to in _reduce_three(st)]
+        return list(np.array(rules, np.int64).reshape(-1, 5).T)
+
+    def walk(pdf: pd.DataFrame, on: np.ndarray, lead: np.ndarray) -> list[np.ndarray]:
+        found = [(st.row, *step) for st in stretches(pdf, by, 3) for step in _walk_three(st, int(on[st.row]))]
+        return list(np.array(found, np.int64).reshape(-1, 5).T)
+
     found = walk_all(
         layout,
-        sides=3,
-        start=(0, 0, 0, 0),
-        walk=_walk_three,
-        reduce_slice=_reduce_three,
-        follow=_follow_three,
+        start=(0, 0),
+        reduce_slices=reduce_slices,
+        walk=walk,
         columns=["_side", "_rank0", "_rank1", "_rank2"],
-        rule_columns=["_on", "_in0", "_in1", "_in2", "_to", "_out0", "_out1", "_out2"],
     )
     return join_ranks(found, layout, {"_rank0": 0, "_rank1": 1, "_rank2": 2})
 

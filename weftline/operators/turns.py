@@ -1,16 +1,16 @@
 """Joins whose next step depends on the step before: shared layout.
 
-The alternating and the three-way delta join keep a small state: which stream is
-dominant, and the rank of the head of each stream. They are walked in order, but never
-over more than one slice at a time:
+The alternating and the three-way delta join keep a small state: which stream is dominant, and how the heads of the streams
+stand to each other. They are walked in order, but never over more than one slice at a time:
 
 1. every slice of a large key is reduced to a table "state on entry -> state on exit";
-2. per large key these small tables are followed from slice to slice, which gives the
-   state on entry of every slice;
+2. the tables of neighbouring slices are put together, block by block, in rounds: each round leaves one table for a block,
+   until a key is one block; then the state on entry is handed down the same rounds, from block to block;
 3. all slices are walked at the same time, each from its own entry state.
 
-Small keys are walked directly, many to a task. The walks report ranks; values are
-joined back by Spark.
+A block is two tables, or more if all of them together have at most ``RULES_PER_BLOCK`` rows. So no task holds more than that,
+however many slices a key has. Slices are cut anywhere in the order ``(t, side, seq)``, also through rows of equal time. Small
+keys are walked directly, many to a task. The walks report ranks; values are joined back by Spark.
 """
 
 from __future__ import annotations
@@ -30,7 +30,12 @@ from weftline.series import Series
 
 _ORDER = ("_t", "_side", "_seq")
 _GROUP = "_group"
-_BORROWED = "_borrowed"
+#: Where a row comes from: 0 its own slice, -1 the row before it, 1, 2, .. the rows after it.
+PART = "_part"
+#: On the row before a slice: the rank of the first row of its stream with the same time.
+OPENS = "_opens"
+END = -1
+RULES_PER_BLOCK = 200_000
 
 
 @dataclass
@@ -42,40 +47,50 @@ class Stretch:
     base: list[int]  # per stream, rank of the first time listed
     low: list[int]  # per stream, rank of the first own row
     high: list[int]  # per stream, rank after the last own row
-    last: float  # newest own time
+
+
+def stretch_codes(pdf: pd.DataFrame, by: list[str]) -> np.ndarray:
+    """A number per (key, slice), from 0 on."""
+    return pdf.groupby([*by, SLICE], sort=False, dropna=False).ngroup().to_numpy()
+
+
+def own_ranks(rank: np.ndarray, part: np.ndarray) -> tuple[int, int]:
+    """First rank of a stream's own rows and the rank after the last, from its listed rows in order."""
+    own = rank[part == 0]
+    if len(own):
+        return int(own[0]), int(own[-1]) + 1
+    # without own rows the borrowed ones still tell where the stream stands
+    low = 0 if not len(rank) else int(rank[0]) + (1 if part[0] < 0 else 0)
+    return low, low
 
 
 def stretches(pdf: pd.DataFrame, by: list[str], sides: int) -> Iterator[Stretch]:
     """Split a pandas frame into its (key, slice) stretches."""
     if pdf.empty:
         return
-    code = pdf.groupby([*by, SLICE], sort=False, dropna=False).ngroup().to_numpy()
+    code = stretch_codes(pdf, by)
     side, rank = pdf["_side"].to_numpy(), pdf["_rank"].to_numpy()
     order = np.lexsort((rank, side, code))
     code, side, rank = code[order], side[order], rank[order]
-    time, own = pdf["_t"].to_numpy()[order], ~pdf[_BORROWED].to_numpy()[order]
+    time, part = pdf["_t"].to_numpy()[order], pdf[PART].to_numpy()[order]
     starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
     for begin, end in zip(starts, np.r_[starts[1:], len(code)]):
         marks = begin + np.searchsorted(side[begin:end], np.arange(sides + 1))
-        mine_all = time[begin:end][own[begin:end]]
-        opens, last = mine_all.min(), mine_all.max()
-        times, base, low, high = [], [], [], []
-        for a, b in zip(marks[:-1], marks[1:]):
-            mine = np.flatnonzero(own[a:b])
-            times.append(time[a:b].tolist())
-            base.append(int(rank[a]) if b > a else 0)
-            # without own rows the borrowed ones still tell where the stream stands
-            before = int(np.count_nonzero(time[a:b] < opens))
-            low.append(int(rank[a + mine[0]]) if len(mine) else base[-1] + before)
-            high.append(int(rank[a + mine[-1]]) + 1 if len(mine) else low[-1])
-        yield Stretch(int(order[begin]), times, base, low, high, last)
+        spans = [own_ranks(rank[a:b], part[a:b]) for a, b in zip(marks[:-1], marks[1:])]
+        yield Stretch(
+            int(order[begin]),
+            [time[a:b].tolist() for a, b in zip(marks[:-1], marks[1:])],
+            [int(rank[a]) if b > a else 0 for a, b in zip(marks[:-1], marks[1:])],
+            [low for low, _ in spans],
+            [high for _, high in spans],
+        )
 
 
 @dataclass(frozen=True)
 class Layout:
     sl: Sliced
     ranked: DataFrame  # by, _slice, order, _row<i>, _rank (0-based, per key and stream)
-    narrow: DataFrame  # by, _slice, _t, _side, _rank, _borrowed, _group
+    narrow: DataFrame  # by, _slice, _t, _side, _rank, _part, _opens, _group
 
     @property
     def by(self) -> list[str]:
@@ -88,31 +103,30 @@ class Layout:
 def lay_out(series: list[Series], ahead: int, rows_per_slice: int | None = None) -> Layout:
     """Rank the rows of all streams; let each slice borrow one row before and ``ahead`` after it.
 
-    Slices are cut at times only: rows of one time and key stay together. If keys are cut,
-    the ranked rows are read several times, so they are written to the checkpoint folder once.
+    If keys are cut, the ranked rows are read several times, so they are written to the checkpoint folder once.
     """
     merged = merge(*series)
-    sl = slice_rows(merged, series[0].by, _ORDER, rows_per_slice, cut_on=("_t",))
+    sl = slice_rows(merged, series[0].by, _ORDER, rows_per_slice)
     position = F.row_number().over(Window.partitionBy(*sl.keys, "_side").orderBy("_t", "_seq"))
     ranked = sl.df.withColumn("_rank", position.cast("long") - 1)
     columns = [*sl.by, SLICE, "_t", "_side", "_rank"]
+    nothing = F.lit(None).cast("long").alias(OPENS)
     if sl.split:
         spans = _spans(sl, len(series))
         ranked = lookup(ranked, spans.select(*sl.keys, "_side", "_from"), [*sl.keys, "_side"])
         start = F.coalesce("_from", F.lit(0))
         ranked = settled(ranked.withColumn("_rank", F.col("_rank") + start).drop("_from"))
-        own = ranked.select(*columns, F.lit(False).alias(_BORROWED))
-        after = F.col("_from") + F.col("_n")
-        wanted = spans.select(
-            *sl.keys,
-            "_side",
-            F.explode(F.array(F.col("_from") - 1, *[after + k for k in range(ahead)])).alias("_rank"),
-        )
+        own = ranked.select(*columns, F.lit(0).alias(PART), nothing)
+        spans = lookup(spans, _opens(sl, ranked, len(series)), [*sl.keys, "_side"])
+        places = [F.struct((F.col("_from") - 1).alias("_rank"), F.lit(-1).alias(PART), F.col(OPENS).alias(OPENS))]
+        for k in range(ahead):
+            places.append(F.struct((F.col("_from") + F.col("_n") + k).alias("_rank"), F.lit(k + 1).alias(PART), nothing))
+        wanted = spans.select(*sl.keys, "_side", F.inline(F.array(*places)))
         rows = ranked.select(*sl.by, "_t", "_side", "_rank")
         borrowed = lookup(rows, wanted, [*sl.by, "_side", "_rank"], how="inner")
-        narrow = own.unionByName(borrowed.select(*columns, F.lit(True).alias(_BORROWED)))
+        narrow = own.unionByName(borrowed.select(*columns, PART, OPENS))
     else:
-        narrow = ranked.select(*columns, F.lit(False).alias(_BORROWED))
+        narrow = ranked.select(*columns, F.lit(0).alias(PART), nothing)
     key = [*sl.by, SLICE]
     group = F.when(F.col(SLICE) > 0, F.xxhash64(*key)).otherwise(
         F.pmod(F.xxhash64(*key), F.lit(sl.pieces))
@@ -120,99 +134,196 @@ def lay_out(series: list[Series], ahead: int, rows_per_slice: int | None = None)
     return Layout(sl, ranked, narrow.withColumn(_GROUP, group))
 
 
+def _every_side(sl: Sliced, held: DataFrame, name: str, sides: int) -> DataFrame:
+    """A row for each slice and stream, also for streams without rows in the slice."""
+    packed = held.groupBy(*sl.keys).agg(F.map_from_entries(F.collect_list(F.struct("_side", name))).alias("_held"))
+    every = packed.select(*sl.keys, "_held", F.explode(F.array(*map(F.lit, range(sides)))).alias("_side"))
+    return every.select(*sl.keys, "_side", F.element_at("_held", F.col("_side")).alias(name))
+
+
 def _spans(sl: Sliced, sides: int) -> DataFrame:
     """Per slice of a large key and stream: rank of the first own row, and how many there are."""
     large = sl.df.where(F.col(SLICE) > 0)
     counts = large.groupBy(*sl.keys, "_side").agg(F.count(F.lit(1)).alias("_n"))
-    held = counts.groupBy(*sl.keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("_side", "_n"))).alias("_held")
-    )
-    every = F.explode(F.array(*map(F.lit, range(sides))))
-    spans = held.select(*sl.keys, "_held", every.alias("_side"))
-    spans = spans.withColumn("_n", F.coalesce(F.element_at("_held", F.col("_side")), F.lit(0)))
+    spans = _every_side(sl, counts, "_n", sides).fillna(0, ["_n"])
     earlier = F.coalesce(F.sum("_n").over(sl.before("_side")), F.lit(0).cast("long"))
     return spans.select(*sl.keys, "_side", earlier.alias("_from"), "_n")
 
 
+def _opens(sl: Sliced, ranked: DataFrame, sides: int) -> DataFrame:
+    """Per slice and stream with rows in an earlier slice: rank of the first row with the time of the last such row."""
+    large = ranked.where(F.col(SLICE) > 0)
+    newest = large.groupBy(*sl.keys, "_side").agg(
+        F.max("_t").alias("_newest"), F.min_by("_rank", F.struct(-F.col("_t"), F.col("_rank"))).alias("_first")
+    )
+    # the same time may go through several slices
+    newest = newest.withColumn("_first", F.min("_first").over(Window.partitionBy(*sl.by, "_side", "_newest")))
+    whole = _every_side(sl, newest, "_first", sides)
+    last = F.last("_first", ignorenulls=True).over(sl.before("_side"))
+    return whole.select(*sl.keys, "_side", last.alias(OPENS))
+
+
+# --- tables of slices --------------------------------------------------------------
+
+#: A rule: who is in state ``_on`` with a lead below ``_lead`` leaves in state ``_to`` with the lead ``_rest``. The rule with the
+#: least ``_lead`` above one's own counts; without any the state stays.
+RULE = ["_on", "_lead", "_to", "_rest"]
+
+
+class Table:
+    """The rules of one slice, or of several slices in a row."""
+
+    def __init__(self, on: np.ndarray, lead: np.ndarray, to: np.ndarray, rest: np.ndarray):
+        order = np.lexsort((lead, on))
+        self.on, self.lead, self.to, self.rest = (c[order] for c in (on, lead, to, rest))
+        states = np.unique(self.on)
+        self.spans = {int(s): (int(np.searchsorted(self.on, s)), int(np.searchsorted(self.on, s, "right"))) for s in states}
+
+    def leave(self, on: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states in which these states leave."""
+        to, rest = on.copy(), lead.copy()
+        for state, (a, b) in self.spans.items():
+            here = np.flatnonzero(on == state)
+            at = a + np.searchsorted(self.lead[a:b], lead[here], side="right")
+            here, at = here[at < b], at[at < b]
+            to[here], rest[here] = self.to[at], self.rest[at]
+        return to, rest
+
+    def then(self, after: Table) -> Table:
+        """Both one after the other, as one table."""
+        to, rest = after.leave(self.to, self.rest)
+        last = {s: self.lead[b - 1] for s, (_, b) in self.spans.items()}
+        beyond = np.array([last.get(int(s), np.iinfo(np.int64).min) for s in after.on], np.int64)
+        kept = after.lead > beyond  # leads that pass through the first table unchanged
+        return Table(
+            np.r_[self.on, after.on[kept]], np.r_[self.lead, after.lead[kept]],
+            np.r_[to, after.to[kept]], np.r_[rest, after.rest[kept]],
+        ).shorter()
+
+    def shorter(self) -> Table:
+        """Without rules that say the same as the next one."""
+        same = np.zeros(len(self.on), bool)
+        same[:-1] = (self.on[:-1] == self.on[1:]) & (self.to[:-1] == self.to[1:]) & (self.rest[:-1] == self.rest[1:])
+        return Table(*(c[~same] for c in (self.on, self.lead, self.to, self.rest)))
+
+    def frame(self) -> pd.DataFrame:
+        columns = dict(zip(RULE, (self.on, self.lead, self.to, self.rest)))
+        # a slice without rules has one empty row, so that it is not forgotten
+        return pd.DataFrame({n: pd.array(c if len(c) else [None], "Int64") for n, c in columns.items()})
+
+
+def _tables(pdf: pd.DataFrame) -> Iterator[tuple[int, Table]]:
+    """Number and table of each node in order."""
+    pdf = pdf.sort_values("_node", kind="stable")
+    node = pdf["_node"].to_numpy()
+    held = pdf["_on"].notna().to_numpy()
+    columns = [pdf[n].fillna(0).to_numpy().astype(np.int64) for n in RULE]
+    starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+    for a, b in zip(starts, np.r_[starts[1:], len(node)]):
+        yield int(node[a]), Table(*(c[a:b][held[a:b]] for c in columns))
+
+
+def _entries(rules: DataFrame, by: list[str], start: tuple[int, int]) -> DataFrame:
+    """The state on entry of every node: ``by``, ``_node``, ``_on``, ``_lead``; the rules have ``by``, ``_node`` and RULE."""
+    keys = [rules.schema[c] for c in by]
+    long = T.LongType()
+    node = T.StructField("_node", long)
+    rule_schema = T.StructType([*keys, node, *[T.StructField(n, long) for n in RULE]])
+    state_schema = T.StructType([*keys, node, T.StructField("_on", long), T.StructField("_lead", long)])
+
+    def keyed(pdf: pd.DataFrame, out: pd.DataFrame) -> pd.DataFrame:
+        for c in reversed(by):
+            out.insert(0, c, [pdf[c].iloc[0]] * len(out))
+        return out
+
+    def put_together(pdf: pd.DataFrame) -> pd.DataFrame:
+        whole = None
+        for _, table in _tables(pdf):
+            whole = table if whole is None else whole.then(table)
+        out = whole.frame()
+        out.insert(0, "_node", pdf["_block"].iloc[0])
+        return keyed(pdf, out)
+
+    def hand_down(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf[pdf["_node"].isna()]
+        state = (int(first["_on"].iloc[0]), int(first["_lead"].iloc[0])) if len(first) else start
+        out = []
+        for number, table in _tables(pdf[pdf["_node"].notna()]):
+            out.append((number, *state))
+            to, rest = table.leave(np.array([state[0]]), np.array([state[1]]))
+            state = int(to[0]), int(rest[0])
+        return keyed(pdf, pd.DataFrame(out, columns=["_node", "_on", "_lead"]))
+
+    levels = []
+    while True:
+        sizes = rules.groupBy(*by, "_node").agg(F.count(F.lit(1)).alias("_rules"))
+        most = sizes.agg(F.max("_rules").alias("rules"), F.max("_node").alias("node")).first()
+        width = max(2, RULES_PER_BLOCK // (most.rules or 1))
+        blocks = rules.withColumn("_block", F.expr(f"_node div {width}"))
+        levels.append(blocks)
+        if (most.node or 0) < width:
+            break
+        rules = settled(blocks.groupBy(*by, "_block").applyInPandas(put_together, rule_schema))
+    entries = None
+    for blocks in reversed(levels):
+        if entries is not None:
+            entered = entries.select(*by, F.col("_node").alias("_block"), "_on", "_lead")
+            blocks = blocks.unionByName(entered, allowMissingColumns=True)
+        entries = blocks.groupBy(*by, "_block").applyInPandas(hand_down, state_schema)
+    return entries
+
+
 def walk_all(
     layout: Layout,
-    sides: int,
-    start: tuple[int, ...],
-    walk: Callable[[Stretch, tuple[int, ...]], Iterator[tuple[int, ...]]],
-    reduce_slice: Callable[[Stretch], list[tuple[int, ...]]],
-    follow: Callable[[tuple[int, ...], dict, list[tuple[int, ...]]], tuple[int, ...] | None],
+    start: tuple[int, int],
+    reduce_slices: Callable[[pd.DataFrame], list[np.ndarray]],
+    walk: Callable[[pd.DataFrame, np.ndarray, np.ndarray], list[np.ndarray]],
     columns: list[str],
-    rule_columns: list[str],
 ) -> DataFrame:
-    """Run a join: ``by...`` and the long ``columns`` that ``walk`` yields.
+    """Run a join: ``by...`` and the long ``columns`` that ``walk`` finds.
 
-    ``reduce_slice`` gives the rows of a slice's entry -> exit table. ``follow`` takes a
-    state, a slice (low and high per stream) and its table to the exit state; it returns
-    the same state if the slice is not entered, None if the join ends there.
+    ``reduce_slices`` gives the rules of the slices of a pandas frame, as the arrays (row of the frame, *RULE). ``walk`` gets a frame with the
+    state on entry of every row's slice and gives the arrays (row of the frame, *columns).
     """
-    by = layout.by
-    state = [f"_s{i}" for i in range(len(start))]
-    spans = [f"_{w}{i}" for w in ("low", "high") for i in range(sides)]
-    long = T.LongType()
-
-    def schema(names: list[str], *extra: T.StructField) -> T.StructType:
-        return T.StructType([*layout.by_schema(), *extra, *[T.StructField(n, long) for n in names]])
+    by, long = layout.by, T.LongType()
 
     rows = layout.narrow
     if layout.sl.split:
-        slice_field = T.StructField(SLICE, T.IntegerType())
+        node = T.StructField("_node", long)
+        rule_schema = T.StructType([*layout.by_schema(), node, *[T.StructField(n, long) for n in RULE]])
 
         def tabulate(pdf: pd.DataFrame) -> pd.DataFrame:
-            at, out = [], []
-            for stretch in stretches(pdf, by, sides):
-                for rule in reduce_slice(stretch) or [(None,) * len(rule_columns)]:
-                    at.append(stretch.row)
-                    out.append((*stretch.low, *stretch.high, *rule))
-            keys = pdf[[*by, SLICE]].iloc[at].reset_index(drop=True)
-            return pd.concat([keys, pd.DataFrame(out, columns=spans + rule_columns, dtype="Int64")], axis=1)
-
-        table = (
-            rows.where(F.col(SLICE) > 0)
-            .groupBy(_GROUP)
-            .applyInPandas(tabulate, schema(spans + rule_columns, slice_field))
-        )
-
-        def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-            at, entered = start, []
-            for number, part in pdf.groupby(SLICE, sort=True):
-                edges = {n: int(part[n].iloc[0]) for n in spans}
-                rules = [tuple(map(int, r)) for r in part[rule_columns].dropna().itertuples(index=False)]
-                then = follow(at, edges, rules)
-                if then != at:
-                    entered.append((number, *at))
-                if then is None:
-                    break
-                at = then
-            out = pd.DataFrame(entered, columns=[SLICE, *state])
-            for c in reversed(by):
-                out.insert(0, c, [pdf[c].iloc[0]] * len(out))
+            found = reduce_slices(pdf)
+            # one empty row for each slice without rules
+            code = stretch_codes(pdf, by)
+            first = np.unique(code, return_index=True)[1]
+            bare = first[~np.isin(code[first], code[found[0]])]
+            at = np.r_[found[0], bare].astype(np.int64)
+            out = pdf[[*by, SLICE]].iloc[at].reset_index(drop=True).rename(columns={SLICE: "_node"})
+            out["_node"] = out["_node"].astype("int64") - 1
+            for name, values in zip(RULE, found[1:]):
+                held = np.r_[np.ones(len(values), bool), np.zeros(len(bare), bool)]
+                out[name] = pd.arrays.IntegerArray(np.r_[values, np.zeros(len(bare))].astype(np.int64), ~held)
             return out
 
-        entries = table.groupBy(*by).applyInPandas(chain, schema(state, slice_field))
+        rules = rows.where(F.col(SLICE) > 0).groupBy(_GROUP).applyInPandas(tabulate, rule_schema)
+        entries = _entries(settled(rules), by, start)
+        entries = entries.withColumn(SLICE, (F.col("_node") + 1).cast("int")).drop("_node")
         rows = lookup(rows, entries, [*by, SLICE])
-        first = [F.when(F.col(SLICE) == 0, F.lit(v)).otherwise(F.col(n)) for n, v in zip(state, start)]
-        rows = rows.withColumns({n: c.cast("long") for n, c in zip(state, first)}).where(F.col(state[0]).isNotNull())
-        given = state
+        first = {n: F.when(F.col(SLICE) == 0, F.lit(v)).otherwise(F.col(n)).cast("long") for n, v in zip(("_on", "_lead"), start)}
+        rows = rows.withColumns(first).where(F.col("_on") >= 0)
     else:
-        given = []
+        rows = rows.withColumns({n: F.lit(v).cast("long") for n, v in zip(("_on", "_lead"), start)})
+    schema = T.StructType([*layout.by_schema(), *[T.StructField(n, long) for n in columns]])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        entry = pdf[given].to_numpy() if given else None
-        at, out = [], []
-        for stretch in stretches(pdf, by, sides):
-            begin = start if entry is None else tuple(int(v) for v in entry[stretch.row])
-            for found in walk(stretch, begin):
-                at.append(stretch.row)
-                out.append(found)
-        keys = pdf[by].iloc[at].reset_index(drop=True)
-        return pd.concat([keys, pd.DataFrame(out, columns=columns, dtype="int64")], axis=1)
-
-    return rows.groupBy(_GROUP).applyInPandas(run, schema(columns))
+        found = walk(pdf, pdf["_on"].to_numpy(), pdf["_lead"].to_numpy())
+        out = pdf[by].iloc[found[0]].reset_index(drop=True)
+        for name, values in zip(columns, found[1:]):
+            out[name] = values
+        return out
+
+    return rows.groupBy(_GROUP).applyInPandas(run, schema)
 
 
 def side_rows(layout: Layout, side: int) -> DataFrame:
