@@ -25,10 +25,11 @@ def test_blocks():
     assert texts("<script>var t='</p>';</script>a<!-- <p>x</p> -->b<style>p{}</STYLE>c<textarea><p>d</textarea>e") == ["abc", "e"]
     assert texts("a < b <3 </3> c<p x='y") == ["a < b <3 c"]
     assert texts("<select><option>x</select><button>y</button><head><p>z</head>t") == ["t"]
-    assert texts(None) == texts("") == texts(" ") == texts("<div> </div>") == texts("<!-- open <p>x") == texts("<") == texts("<a") == []
+    assert texts(None) == texts("") == texts(" ") == texts("<div> </div>") == texts("<!-- open <p>x") == texts("<a") == []
+    assert texts("<") == ["<"]
     assert texts("x</p></div></nothing><script>never closed <p>y") == ["x"]
     (b,) = blocks('<div class="Side-bar mainNav" id=top role=\'navigation\'><p><a href="/">four</a> six66')
-    assert b.path == ("div", ".side", ".bar", ".main", ".nav", ".top", ".navigation", "p") and b.linked == 4
+    assert b.path == ("div", ".side", ".bar", ".main", ".nav", ".top", ".navigation", "p", "a") and b.linked == 4
 
 
 def test_deep_and_long_pages_take_time_in_proportion():

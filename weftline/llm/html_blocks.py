@@ -40,7 +40,7 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 class Block(NamedTuple):
     text: str
-    path: tuple[str, ...]  # tags, and the words of their classes, ids and roles with a dot before
+    path: tuple[str, ...]  # of the first text: tags, and the words of their classes, ids and roles with a dot before
     linked: int  # characters inside links
 
 
