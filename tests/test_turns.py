@@ -3,7 +3,7 @@
 import random
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,14 +32,16 @@ def cut_up(streams, cuts, ahead):
                 out.append((number, t, side, low - 1, -1, next(r for r, (u, _) in enumerate(stream) if u == t)))
             out += [(number, stream[r][0], side, r, k + 1, None) for k, r in enumerate(range(high, min(high + ahead, len(stream))))]
     random.Random(len(rows)).shuffle(out)
-    return pd.DataFrame(out, columns=[SLICE, "_t", "_side", "_rank", turns.PART, turns.OPENS])
+    names = [SLICE, "_t", "_side", "_rank", turns.PART, turns.OPENS]
+    return pa.table([pa.array(c, pa.int64()) for c in zip(*out)] or [pa.array([], pa.int64())] * 6, names=names)
 
 
 def tables(pdf, reduce_slices):
     """The table of each slice."""
     found = reduce_slices(pdf)
-    number = pdf[SLICE].to_numpy()[found[0].astype(np.int64)]
-    return {k: turns.Table(*(c[number == k].astype(np.int64) for c in found[1:])) for k in pdf[SLICE].unique()}
+    slices = turns.numbers(pdf, SLICE)
+    number = slices[found[0].astype(np.int64)]
+    return {k: turns.Table(*(c[number == k].astype(np.int64) for c in found[1:])) for k in set(slices.tolist())}
 
 
 def folded(parts, rng):
@@ -53,7 +55,7 @@ def folded(parts, rng):
 def joined(streams, cuts, ahead, reduce_slices, walk, rng):
     """Results from slices walked each from its own entry state, which the tables give."""
     pdf = cut_up(streams, cuts, ahead)
-    if pdf.empty:
+    if not len(pdf):
         return []
     by_slice = tables(pdf, reduce_slices)
     state, entry = (np.array([0]), np.array([0])), {}
@@ -63,16 +65,16 @@ def joined(streams, cuts, ahead, reduce_slices, walk, rng):
         state = by_slice[k].leave(*state)
     whole = folded([by_slice[k] for k in numbers], rng)
     assert [int(c[0]) for c in whole.leave(np.array([0]), np.array([0]))] == [int(c[0]) for c in state]
-    on, lead = (pdf[SLICE].map({k: e[i] for k, e in entry.items()}).to_numpy() for i in (0, 1))
+    on, lead = (np.array([entry[k][i] for k in turns.numbers(pdf, SLICE).tolist()]) for i in (0, 1))
     alive = on >= 0
-    pdf = pdf[alive].reset_index(drop=True)
+    pdf = pdf.filter(pa.array(alive))
     return [tuple(int(c[i]) for c in found[1:]) for found in [walk(pdf, on[alive], lead[alive])] for i in range(len(found[0]))]
 
 
 def alternating(pdf, on, lead):
-    if pdf.empty:
+    if not len(pdf):
         return [np.zeros(0, np.int64)] * 4
-    first = np.unique(turns.stretch_codes(pdf, []), return_index=True)[1]
+    first = np.unique(turns.codes(pdf, [SLICE]), return_index=True)[1]
     return turn_joins._Forest(pdf, []).pairs(on[first], lead[first])
 
 
@@ -133,7 +135,7 @@ def same(a, b):
 def test_many_slices_in_pairs(spark, monkeypatch, sides):
     """Thousands of slices of one key, never more than two tables at a time."""
     t = (F.pmod(F.xxhash64("id"), F.lit(9)) + F.col("id") * 3).cast("double")
-    series = numbered(spark, 12_000 if sides == 2 else 3_000, t, sides)
+    series = numbered(spark, 6_000 if sides == 2 else 3_000, t, sides)
     join = turn_joins.alternating_delta_join if sides == 2 else turn_joins.three_way_delta_join
     whole = join(*series, rows_per_slice=1_000_000)
     monkeypatch.setattr(turns, "RULES_PER_BLOCK", 1)

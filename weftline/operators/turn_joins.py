@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.turns import END, OPENS, PART, Stretch, join_ranks, lay_out, stretch_codes, stretches, walk_all
+from weftline.operators.slices import SLICE
+from weftline.operators.turns import END, OPENS, PART, Stretch, codes, join_ranks, lay_out, numbers, stretches, walk_all
 from weftline.series import Series
 
 # --- alternating -------------------------------------------------------------------
@@ -63,12 +64,12 @@ def _first_above(levels: list[np.ndarray], start: np.ndarray, bound: np.ndarray)
 
 
 class _Forest:
-    """The own rows of all (key, slice) stretches of a pandas frame, in order of (stretch, side, rank), and what follows a
+    """The own rows of all (key, slice) stretches of a table, in order of (stretch, side, rank), and what follows a
     step that is broken at each of them."""
 
-    def __init__(self, pdf: pd.DataFrame, by: list[str]):
-        code = stretch_codes(pdf, by)
-        side, rank, t, part, opens = (pdf[c].to_numpy() for c in ("_side", "_rank", "_t", PART, OPENS))
+    def __init__(self, rows: pa.Table, by: list[str]):
+        code = codes(rows, [*by, SLICE])
+        side, rank, t, part, opens = (numbers(rows, c) for c in ("_side", "_rank", "_t", PART, OPENS))
         order = np.lexsort((rank, side, t, code))
         code, side, rank, t, part, opens = (c[order] for c in (code, side, rank, t, part, opens))
         self.n_codes = int(code[-1]) + 1
@@ -131,7 +132,7 @@ class _Forest:
         return found
 
     def rules(self) -> list[np.ndarray]:
-        """Arrays (row of the frame, side, lead, exit side, exit lead)."""
+        """Arrays (row of the table, side, lead, exit side, exit lead)."""
         size = len(self.rank)
         if not size:
             return [np.zeros(0, np.int64)] * 5
@@ -147,7 +148,7 @@ class _Forest:
         return [self.row[chosen], self.side[chosen], self.asks[chosen], self.to[leave], np.where(self.to[leave] == END, 0, self.rest[leave])]
 
     def pairs(self, on: np.ndarray, lead: np.ndarray) -> list[np.ndarray]:
-        """Arrays (row of the frame, dominant side, rank of stream one, rank of stream two), from a state per own row's stretch."""
+        """Arrays (row of the table, dominant side, rank of stream one, rank of stream two), from a state per own row's stretch."""
         size = len(self.rank)
         codes = np.arange(self.n_codes)
         line = 2 * codes + on
@@ -200,16 +201,14 @@ def alternating_pairs(one: Series, two: Series, rows_per_slice: int | None = Non
     layout = lay_out([one, two], ahead=1, rows_per_slice=rows_per_slice)
     by = layout.by
 
-    def walk(pdf: pd.DataFrame, on: np.ndarray, lead: np.ndarray) -> list[np.ndarray]:
-        if pdf.empty:
-            return [np.zeros(0, np.int64)] * 4
-        first = np.unique(stretch_codes(pdf, by), return_index=True)[1]
-        return _Forest(pdf, by).pairs(on[first], lead[first])
+    def walk(rows: pa.Table, on: np.ndarray, lead: np.ndarray) -> list[np.ndarray]:
+        first = np.unique(codes(rows, [*by, SLICE]), return_index=True)[1]
+        return _Forest(rows, by).pairs(on[first], lead[first])
 
     found = walk_all(
         layout,
         start=(0, 0),
-        reduce_slices=lambda pdf: _Forest(pdf, by).rules(),
+        reduce_slices=lambda rows: _Forest(rows, by).rules(),
         walk=walk,
         columns=["_side", "_rank0", "_rank1"],
     )
@@ -312,13 +311,13 @@ def three_way_pairs(
     layout = lay_out([one, two, three], ahead=2, rows_per_slice=rows_per_slice)
     by = layout.by
 
-    def reduce_slices(pdf: pd.DataFrame) -> list[np.ndarray]:
+    def reduce_slices(rows: pa.Table) -> list[np.ndarray]:
         # a state has no lead here: all of it is in the number
-        rules = [(st.row, on, 1, to, 0) for st in stretches(pdf, by, 3) for on, to in _reduce_three(st)]
+        rules = [(st.row, on, 1, to, 0) for st in stretches(rows, by, 3) for on, to in _reduce_three(st)]
         return list(np.array(rules, np.int64).reshape(-1, 5).T)
 
-    def walk(pdf: pd.DataFrame, on: np.ndarray, lead: np.ndarray) -> list[np.ndarray]:
-        found = [(st.row, *step) for st in stretches(pdf, by, 3) for step in _walk_three(st, int(on[st.row]))]
+    def walk(rows: pa.Table, on: np.ndarray, lead: np.ndarray) -> list[np.ndarray]:
+        found = [(st.row, *step) for st in stretches(rows, by, 3) for step in _walk_three(st, int(on[st.row]))]
         return list(np.array(found, np.int64).reshape(-1, 5).T)
 
     found = walk_all(

@@ -15,11 +15,12 @@ keys are walked directly, many to a task. The walks report ranks; values are joi
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,16 +43,53 @@ RULES_PER_BLOCK = 200_000
 class Stretch:
     """The rows of one key in one slice, with a few rows borrowed from both neighbours."""
 
-    row: int  # position of some row of it in the pandas frame
+    row: int  # position of some row of it in the table
     times: list[list]  # per stream, in order
     base: list[int]  # per stream, rank of the first time listed
     low: list[int]  # per stream, rank of the first own row
     high: list[int]  # per stream, rank after the last own row
 
 
-def stretch_codes(pdf: pd.DataFrame, by: list[str]) -> np.ndarray:
-    """A number per (key, slice), from 0 on."""
-    return pdf.groupby([*by, SLICE], sort=False, dropna=False).ngroup().to_numpy()
+def numbers(rows: pa.Table, name: str) -> np.ndarray:
+    return rows.column(name).combine_chunks().to_numpy(zero_copy_only=False)
+
+
+def codes(rows: pa.Table, keys: list[str]) -> np.ndarray:
+    """A number per combination of keys, from 0 on; null is a key like others."""
+    code = np.zeros(len(rows), np.int64)
+    for k in keys:
+        found = pc.dictionary_encode(rows.column(k).combine_chunks(), null_encoding="encode").indices.to_numpy()
+        code = np.unique(code * (len(rows) + 1) + found, return_inverse=True)[1].astype(np.int64)
+    return code
+
+
+def whole_groups(
+    df: DataFrame, group: str, function: Callable[[pa.Table], pa.Table], schema: T.StructType
+) -> DataFrame:
+    """``function`` over tables of whole groups, many small ones or one large one at a time; ``group`` is a number per group.
+
+    One call for many groups costs far less than one for each.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for batch in batches:
+            if not len(batch):
+                continue
+            number = batch.column(group).to_numpy()
+            if held and number[0] != last:
+                yield from function(pa.Table.from_batches(held)).to_batches()
+                held = []
+            last = number[-1]
+            opens = int(np.searchsorted(number, last))
+            if opens:
+                yield from function(pa.Table.from_batches([*held, batch.slice(0, opens)])).to_batches()
+                held = []
+            held.append(batch.slice(opens))
+        if held:
+            yield from function(pa.Table.from_batches(held)).to_batches()
+
+    return df.repartition(group).sortWithinPartitions(group).mapInArrow(run, schema)
 
 
 def own_ranks(rank: np.ndarray, part: np.ndarray) -> tuple[int, int]:
@@ -64,15 +102,14 @@ def own_ranks(rank: np.ndarray, part: np.ndarray) -> tuple[int, int]:
     return low, low
 
 
-def stretches(pdf: pd.DataFrame, by: list[str], sides: int) -> Iterator[Stretch]:
-    """Split a pandas frame into its (key, slice) stretches."""
-    if pdf.empty:
+def stretches(rows: pa.Table, by: list[str], sides: int) -> Iterator[Stretch]:
+    """The (key, slice) stretches of a table."""
+    if not len(rows):
         return
-    code = stretch_codes(pdf, by)
-    side, rank = pdf["_side"].to_numpy(), pdf["_rank"].to_numpy()
+    code, side, rank = codes(rows, [*by, SLICE]), numbers(rows, "_side"), numbers(rows, "_rank")
     order = np.lexsort((rank, side, code))
     code, side, rank = code[order], side[order], rank[order]
-    time, part = pdf["_t"].to_numpy()[order], pdf[PART].to_numpy()[order]
+    time, part = numbers(rows, "_t")[order], numbers(rows, PART)[order]
     starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
     for begin, end in zip(starts, np.r_[starts[1:], len(code)]):
         marks = begin + np.searchsorted(side[begin:end], np.arange(sides + 1))
@@ -206,20 +243,24 @@ class Table:
         same[:-1] = (self.on[:-1] == self.on[1:]) & (self.to[:-1] == self.to[1:]) & (self.rest[:-1] == self.rest[1:])
         return Table(*(c[~same] for c in (self.on, self.lead, self.to, self.rest)))
 
-    def frame(self) -> pd.DataFrame:
-        columns = dict(zip(RULE, (self.on, self.lead, self.to, self.rest)))
-        # a slice without rules has one empty row, so that it is not forgotten
-        return pd.DataFrame({n: pd.array(c if len(c) else [None], "Int64") for n, c in columns.items()})
+    def columns(self) -> list[np.ndarray]:
+        return [self.on, self.lead, self.to, self.rest]
 
 
-def _tables(pdf: pd.DataFrame) -> Iterator[tuple[int, Table]]:
+def _rule_arrays(columns: list[np.ndarray], bare: int) -> list[pa.Array]:
+    """The rules, and so many empty ones: a slice without rules has one empty row, so that it is not forgotten."""
+    return [pa.array(np.r_[c, np.zeros(bare, np.int64)], mask=np.arange(len(c) + bare) >= len(c)) for c in columns]
+
+
+def _tables(rows: pa.Table, chosen: np.ndarray) -> Iterator[tuple[int, Table]]:
     """Number and table of each node in order."""
-    pdf = pdf.sort_values("_node", kind="stable")
-    node = pdf["_node"].to_numpy()
-    held = pdf["_on"].notna().to_numpy()
-    columns = [pdf[n].fillna(0).to_numpy().astype(np.int64) for n in RULE]
-    starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-    for a, b in zip(starts, np.r_[starts[1:], len(node)]):
+    node = numbers(rows, "_node")[chosen].astype(np.int64)
+    order = np.argsort(node, kind="stable")
+    node, chosen = node[order], chosen[order]
+    held = rows.column("_on").is_valid().to_numpy()[chosen]
+    columns = [numbers(rows.select([n]).set_column(0, n, pc.fill_null(rows.column(n), 0)), n)[chosen] for n in RULE]
+    starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else []
+    for a, b in zip(starts, np.r_[starts[1:], len(node)].astype(int)):
         yield int(node[a]), Table(*(c[a:b][held[a:b]] for c in columns))
 
 
@@ -227,86 +268,92 @@ def _entries(rules: DataFrame, by: list[str], start: tuple[int, int]) -> DataFra
     """The state on entry of every node: ``by``, ``_node``, ``_on``, ``_lead``; the rules have ``by``, ``_node`` and RULE."""
     keys = [rules.schema[c] for c in by]
     long = T.LongType()
-    node = T.StructField("_node", long)
-    rule_schema = T.StructType([*keys, node, *[T.StructField(n, long) for n in RULE]])
-    state_schema = T.StructType([*keys, node, T.StructField("_on", long), T.StructField("_lead", long)])
-
-    def keyed(pdf: pd.DataFrame, out: pd.DataFrame) -> pd.DataFrame:
-        for c in reversed(by):
-            out.insert(0, c, [pdf[c].iloc[0]] * len(out))
-        return out
-
-    def put_together(pdf: pd.DataFrame) -> pd.DataFrame:
-        whole = None
-        for _, table in _tables(pdf):
-            whole = table if whole is None else whole.then(table)
-        out = whole.frame()
-        out.insert(0, "_node", pdf["_block"].iloc[0])
-        return keyed(pdf, out)
-
-    def hand_down(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf[pdf["_node"].isna()]
-        state = (int(first["_on"].iloc[0]), int(first["_lead"].iloc[0])) if len(first) else start
+    rule_schema = T.StructType([*keys, *[T.StructField(n, long) for n in ("_node", *RULE)]])
+    state_schema = T.StructType([*keys, *[T.StructField(n, long) for n in ("_node", "_on", "_lead")]])
+
+    def in_blocks(rows: pa.Table) -> Iterator[np.ndarray]:
+        """The places of the rows of each block."""
+        code = codes(rows, [*by, "_block"])
+        order = np.argsort(code, kind="stable")
+        return iter(np.split(order, np.flatnonzero(np.diff(code[order])) + 1))
+
+    def put_together(rows: pa.Table) -> pa.Table:
         out = []
-        for number, table in _tables(pdf[pdf["_node"].notna()]):
-            out.append((number, *state))
-            to, rest = table.leave(np.array([state[0]]), np.array([state[1]]))
-            state = int(to[0]), int(rest[0])
-        return keyed(pdf, pd.DataFrame(out, columns=["_node", "_on", "_lead"]))
+        for chosen in in_blocks(rows):
+            whole = None
+            for _, table in _tables(rows, chosen):
+                whole = table if whole is None else whole.then(table)
+            columns = whole.columns()
+            bare = int(not len(whole.on))
+            key = rows.select([*by, "_block"]).take(np.full(len(whole.on) + bare, chosen[0])).rename_columns([*by, "_node"])
+            out.append(pa.table([*key.columns, *_rule_arrays(columns, bare)], names=[*by, "_node", *RULE]))
+        return pa.concat_tables(out)
+
+    def hand_down(rows: pa.Table) -> pa.Table:
+        out = []
+        is_state = rows.column("_node").is_null().to_numpy()
+        for chosen in in_blocks(rows):
+            state = start
+            for at in chosen[is_state[chosen]]:
+                state = rows.column("_on")[int(at)].as_py(), rows.column("_lead")[int(at)].as_py()
+            found = []
+            for number, table in _tables(rows, chosen[~is_state[chosen]]):
+                found.append((number, *state))
+                to, rest = table.leave(np.array([state[0]]), np.array([state[1]]))
+                state = int(to[0]), int(rest[0])
+            key = rows.select(by).take(np.full(len(found), chosen[0]))
+            columns = [pa.array(c, pa.int64()) for c in zip(*found)] or [pa.array([], pa.int64())] * 3
+            out.append(pa.table([*key.columns, *columns], names=[*by, "_node", "_on", "_lead"]))
+        return pa.concat_tables(out)
 
     levels = []
     while True:
         sizes = rules.groupBy(*by, "_node").agg(F.count(F.lit(1)).alias("_rules"))
         most = sizes.agg(F.max("_rules").alias("rules"), F.max("_node").alias("node")).first()
         width = max(2, RULES_PER_BLOCK // (most.rules or 1))
-        blocks = rules.withColumn("_block", F.expr(f"_node div {width}"))
+        blocks = rules.withColumn("_block", F.expr(f"_node div {width}")).withColumn(_GROUP, F.xxhash64(*by, "_block"))
         levels.append(blocks)
         if (most.node or 0) < width:
             break
-        rules = settled(blocks.groupBy(*by, "_block").applyInPandas(put_together, rule_schema))
+        rules = settled(whole_groups(blocks, _GROUP, put_together, rule_schema))
     entries = None
     for blocks in reversed(levels):
         if entries is not None:
-            entered = entries.select(*by, F.col("_node").alias("_block"), "_on", "_lead")
+            entered = entries.select(*by, F.col("_node").alias("_block"), "_on", "_lead", F.xxhash64(*by, "_node").alias(_GROUP))
             blocks = blocks.unionByName(entered, allowMissingColumns=True)
-        entries = blocks.groupBy(*by, "_block").applyInPandas(hand_down, state_schema)
+        entries = whole_groups(blocks, _GROUP, hand_down, state_schema)
     return entries
 
 
 def walk_all(
     layout: Layout,
     start: tuple[int, int],
-    reduce_slices: Callable[[pd.DataFrame], list[np.ndarray]],
-    walk: Callable[[pd.DataFrame, np.ndarray, np.ndarray], list[np.ndarray]],
+    reduce_slices: Callable[[pa.Table], list[np.ndarray]],
+    walk: Callable[[pa.Table, np.ndarray, np.ndarray], list[np.ndarray]],
     columns: list[str],
 ) -> DataFrame:
     """Run a join: ``by...`` and the long ``columns`` that ``walk`` finds.
 
-    ``reduce_slices`` gives the rules of the slices of a pandas frame, as the arrays (row of the frame, *RULE). ``walk`` gets a frame with the
-    state on entry of every row's slice and gives the arrays (row of the frame, *columns).
+    ``reduce_slices`` gives the rules of the slices of a table, as the arrays (row of the table, *RULE). ``walk`` gets a table with
+    the state on entry of every row's slice and gives the arrays (row of the table, *columns).
     """
     by, long = layout.by, T.LongType()
-
     rows = layout.narrow
     if layout.sl.split:
-        node = T.StructField("_node", long)
-        rule_schema = T.StructType([*layout.by_schema(), node, *[T.StructField(n, long) for n in RULE]])
+        rule_schema = T.StructType([*layout.by_schema(), *[T.StructField(n, long) for n in ("_node", *RULE)]])
 
-        def tabulate(pdf: pd.DataFrame) -> pd.DataFrame:
-            found = reduce_slices(pdf)
-            # one empty row for each slice without rules
-            code = stretch_codes(pdf, by)
+        def tabulate(part: pa.Table) -> pa.Table:
+            found = [c.astype(np.int64) for c in reduce_slices(part)]
+            code = codes(part, [*by, SLICE])
             first = np.unique(code, return_index=True)[1]
             bare = first[~np.isin(code[first], code[found[0]])]
-            at = np.r_[found[0], bare].astype(np.int64)
-            out = pdf[[*by, SLICE]].iloc[at].reset_index(drop=True).rename(columns={SLICE: "_node"})
-            out["_node"] = out["_node"].astype("int64") - 1
-            for name, values in zip(RULE, found[1:]):
-                held = np.r_[np.ones(len(values), bool), np.zeros(len(bare), bool)]
-                out[name] = pd.arrays.IntegerArray(np.r_[values, np.zeros(len(bare))].astype(np.int64), ~held)
-            return out
-
-        rules = rows.where(F.col(SLICE) > 0).groupBy(_GROUP).applyInPandas(tabulate, rule_schema)
+            at = np.r_[found[0], bare]
+            node = pa.array(numbers(part, SLICE)[at].astype(np.int64) - 1)
+            return pa.table(
+                [*part.select(by).take(at).columns, node, *_rule_arrays(found[1:], len(bare))], names=[*by, "_node", *RULE]
+            )
+
+        rules = whole_groups(rows.where(F.col(SLICE) > 0), _GROUP, tabulate, rule_schema)
         entries = _entries(settled(rules), by, start)
         entries = entries.withColumn(SLICE, (F.col("_node") + 1).cast("int")).drop("_node")
         rows = lookup(rows, entries, [*by, SLICE])
@@ -316,14 +363,11 @@ def walk_all(
         rows = rows.withColumns({n: F.lit(v).cast("long") for n, v in zip(("_on", "_lead"), start)})
     schema = T.StructType([*layout.by_schema(), *[T.StructField(n, long) for n in columns]])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = walk(pdf, pdf["_on"].to_numpy(), pdf["_lead"].to_numpy())
-        out = pdf[by].iloc[found[0]].reset_index(drop=True)
-        for name, values in zip(columns, found[1:]):
-            out[name] = values
-        return out
+    def run(part: pa.Table) -> pa.Table:
+        at, *found = (c.astype(np.int64) for c in walk(part, numbers(part, "_on"), numbers(part, "_lead")))
+        return pa.table([*part.select(by).take(at).columns, *map(pa.array, found)], names=[*by, *columns])
 
-    return rows.groupBy(_GROUP).applyInPandas(run, schema)
+    return whole_groups(rows, _GROUP, run, schema)
 
 
 def side_rows(layout: Layout, side: int) -> DataFrame:
