@@ -30,11 +30,15 @@ def check(df, per_key):
 
 
 LIMITS = pytest.mark.parametrize("rows_per_slice", [1000, 12, 1])
+#: Frames read anew for every row, and frames put together from two parts.
+FRAMES = pytest.mark.parametrize("short", [64, 0])
 
 
 @LIMITS
+@FRAMES
 @pytest.mark.parametrize("n", [1, 4, 10])
-def test_count_sliding(keyed, rows_per_slice, n):
+def test_count_sliding(keyed, rows_per_slice, n, short, monkeypatch):
+    monkeypatch.setattr(w, "SHORT_FRAME", short)
     def expect(rows):
         for i in range(len(rows)):
             frame = rows[max(0, i - n + 1) : i + 1]
@@ -45,7 +49,9 @@ def test_count_sliding(keyed, rows_per_slice, n):
 
 
 @LIMITS
-def test_window_extrema(keyed, rows_per_slice):
+@FRAMES
+def test_window_extrema(keyed, rows_per_slice, short, monkeypatch):
+    monkeypatch.setattr(w, "SHORT_FRAME", short)
     for largest in (True, False):
         def expect(rows):
             for i in range(len(rows)):
@@ -171,3 +177,15 @@ def test_landmark_points(spark):
     got = sorted(map(tuple, w.landmark_points(Series(df), max_points=4).collect()))
     assert [r[0] for r in got] == [clock(1)] * 4
     assert [(r[2], r[3]) for r in got] == [(1, 0.0), (2, 0.5), (3, 1.0), (4, 1.5)]
+
+
+@pytest.mark.parametrize("n", [3, 70])
+def test_long_and_short_frames_agree_on_odd_values(spark, monkeypatch, n):
+    rows = [(i % 2, float(i // 3), f"s{i * 7 % 200:03d}", None if i % 5 < 2 else float("nan") if i % 17 == 3 else float(i * 31 % 40)) for i in range(200)]
+    s = Series(spark.createDataFrame(rows, "k int, ts double, seq string, value double"), by="k")
+    found = []
+    for short in (1000, 0):
+        monkeypatch.setattr(w, "SHORT_FRAME", short)
+        ops = [w.count_sliding(s, n, 40), w.moving_average(s, n), w.window_extrema(s, n, True, 40), w.window_extrema(s, n, False)]
+        found.append([sorted(map(repr, op.collect())) for op in ops])
+    assert found[0] == found[1]

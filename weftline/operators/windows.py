@@ -5,7 +5,9 @@ Rows without a time are left out (``metrics.untimed`` counts them). Averages are
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,38 +111,79 @@ def tumbling_filled(s: Series, seconds: float, max_windows: int | None = None) -
 
 
 # --- frames of the last n rows -----------------------------------------------------
+#
+# A short frame is read anew for every row. A long one is put together from two parts that are known for every row: cut the rows
+# into blocks of n, then the last n rows are the end of one block, from the frame's first row on, and the start of the
+# next. Running aggregates over each block, one in order and one from its end, give both; so a row costs the same for every n.
+
+#: Frames up to this length are read anew for every row.
+SHORT_FRAME = 64
+
+_NUMBER = "_number"
+#: An aggregate and how two of its results are put together.
+_Fold = tuple[Column, Callable[[Column, Column], Column]]
+
+
+def _one_or_both(a: Column, b: Column, both: Column) -> Column:
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(both)
 
 
-def _last_rows(s: Series, n: int, columns: dict[str, Column], rows_per_slice: int | None) -> DataFrame:
-    """Aggregates over the last ``n`` rows up to and including each row."""
+def _sum(c: Column) -> _Fold:
+    return F.sum(c), lambda a, b: _one_or_both(a, b, a + b)
+
+
+def _last_rows(s: Series, n: int, folds: dict[str, _Fold], rows_per_slice: int | None) -> DataFrame:
+    """Aggregates over the last ``n`` rows up to and including each row, with ``_oldest`` (their first time) and ``_held`` (their
+    number). Aggregates may use ``_number``, the place of a row among its neighbours."""
     sl = _ordered(s, rows_per_slice, least=n)
-    frame = sl.window().rowsBetween(-(n - 1), 0)
-    rows = with_halo(sl, sl.df, n - 1)
-    out = rows.select("*", *[c.over(frame).alias(name) for name, c in columns.items()])
-    return out.where(~F.col(HALO))
+    rows = with_halo(sl, sl.df, n - 1).withColumn(_NUMBER, F.row_number().over(sl.window()).cast("long"))
+    held = F.least(F.col(_NUMBER), F.lit(n).cast("long"))
+    if n <= SHORT_FRAME:
+        frame = sl.window().rowsBetween(-(n - 1), 0)
+        out = rows.select("*", F.first(s.ts).over(frame).alias("_oldest"), *[c.over(frame).alias(name) for name, (c, _) in folds.items()])
+    else:
+        rows = rows.withColumn("_block", F.expr(f"(_number - 1) div {n}"))
+        start = sl.window("_block").rowsBetween(Window.unboundedPreceding, 0)
+        end = sl.window("_block", reverse=True).rowsBetween(Window.unboundedPreceding, 0)
+        parts = rows.select(
+            "*",
+            *[c.over(start).alias(name) for name, (c, _) in folds.items()],
+            *[c.over(end).alias(f"_to_end_{name}") for name, (c, _) in folds.items()],
+        )
+        across = F.col(_NUMBER) % n != 0  # else the frame is a whole block
+        before = {name: F.lag(f"_to_end_{name}", n - 1).over(sl.window()) for name in folds}
+        out = parts.select(
+            *rows.columns,
+            F.when(F.col(_NUMBER) >= n, F.lag(s.ts, n - 1).over(sl.window()))
+            .otherwise(F.first(s.ts).over(sl.window().rowsBetween(Window.unboundedPreceding, 0)))
+            .alias("_oldest"),
+            *[F.when(across, before[name]).alias(f"_before_{name}") for name in folds],
+            *folds,
+        )
+        out = out.withColumns({name: merge(F.col(f"_before_{name}"), F.col(name)) for name, (_, merge) in folds.items()})
+    return out.where(~F.col(HALO)).withColumn("_held", held)
 
 
 def count_sliding(s: Series, n: int = 10, rows_per_slice: int | None = None) -> DataFrame:
     """``(oldest_ts, newest_ts, count, avg, min, max)`` of the last ``n`` rows, per row."""
+    value = F.col(s.value)
     out = _last_rows(
         s,
         n,
         {
-            "oldest_ts": F.first(s.ts),
-            "count": F.count(F.lit(1)),
-            "_sum": F.sum(s.value),
-            "_held": F.count(s.value),
-            "min": F.min(s.value),
-            "max": F.max(s.value),
+            "_sum": _sum(value),
+            "_values": _sum(F.when(value.isNotNull(), 1).otherwise(0)),
+            "min": (F.min(value), F.least),
+            "max": (F.max(value), F.greatest),
         },
         rows_per_slice,
     )
     return out.select(
         *s.by,
-        "oldest_ts",
+        F.col("_oldest").alias("oldest_ts"),
         F.col(s.ts).alias("newest_ts"),
-        "count",
-        mean(F.col("_sum"), F.col("_held")).alias("avg"),
+        F.col("_held").alias("count"),
+        mean(F.col("_sum"), F.nullif(F.col("_values"), F.lit(0))).alias("avg"),
         "min",
         "max",
     )
@@ -148,24 +191,31 @@ def count_sliding(s: Series, n: int = 10, rows_per_slice: int | None = None) ->
 
 def moving_average(s: Series, n: int = 20, rows_per_slice: int | None = None) -> DataFrame:
     """Every row with ``moving_avg``: NaN for the first ``n - 1``, then the mean of the last ``n``."""
-    out = _last_rows(s, n, {"_n": F.count(F.lit(1)), "_sum": F.sum(s.value), "_held": F.count(s.value)}, rows_per_slice)
-    average = F.when(F.col("_n") < n, F.lit(float("nan"))).otherwise(mean(F.col("_sum"), F.col("_held")))
-    return out.select(*s.columns, average.alias("moving_avg"))
+    value = F.col(s.value)
+    folds = {"_sum": _sum(value), "_values": _sum(F.when(value.isNotNull(), 1).otherwise(0))}
+    out = _last_rows(s, n, folds, rows_per_slice)
+    average = mean(F.col("_sum"), F.nullif(F.col("_values"), F.lit(0)))
+    return out.select(*s.columns, F.when(F.col("_held") < n, F.lit(float("nan"))).otherwise(average).alias("moving_avg"))
 
 
 def window_extrema(s: Series, n: int, largest: bool = True, rows_per_slice: int | None = None) -> DataFrame:
-    """Per row, the row that holds the extremum of the last ``n``; ties go to the earliest."""
-    found = F.struct(F.col(s.ts).alias("ts"), *[F.col(v) for v in s.values])
-    if largest:
-        best = F.max_by(found, F.struct(s.value, -F.col("_t"), -F.col(s.seq)))
-    else:
-        best = F.min_by(found, F.struct(s.value, "_t", s.seq))
-    out = _last_rows(s, n, {"_best": best}, rows_per_slice)
+    """Per row, the row that holds the extremum of the last ``n``; ties go to the earliest. Rows without a value hold none; if no
+    row has a value, all is null."""
+    place = F.struct(F.col(s.value).alias("value"), (F.col(_NUMBER) * (-1 if largest else 1)).alias("at"))
+    found = F.struct(place.alias("place"), F.col(s.ts).alias("ts"), *[F.col(v).alias(f"v{i}") for i, v in enumerate(s.values)])
+    held = F.when(F.col(s.value).isNotNull(), place)
+    best = (F.max_by if largest else F.min_by)(found, held)
+
+    def better(a: Column, b: Column) -> Column:
+        first = a["place"] > b["place"] if largest else a["place"] < b["place"]
+        return _one_or_both(a, b, F.when(first, a).otherwise(b))
+
+    out = _last_rows(s, n, {"_best": (best, better)}, rows_per_slice)
     return out.select(
         *s.by,
         F.col(s.ts).alias("at_ts"),
         F.col("_best.ts").alias("ts"),
-        *[F.col("_best")[v].alias(v) for v in s.values],
+        *[F.col("_best")[f"v{i}"].alias(v) for i, v in enumerate(s.values)],
     )
 
 

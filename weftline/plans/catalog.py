@@ -20,7 +20,7 @@ from weftline.sources import sinks
 from weftline.sources.prices import parse_prices, read_prices
 from weftline.sources.series import logical_clock
 from weftline.streaming import ordered
-from weftline.streaming.folders import drain, drain_watched, ending, read_folder, shared_folder, use_rocksdb
+from weftline.streaming.folders import Closing, drain, drain_watched, flush, flushed, read_folder, shared_folder, use_rocksdb
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -360,9 +360,9 @@ def w2_tumbling_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "w2_tumbling_filled_clock",
     """WITH c AS (
-  SELECT event_type, (row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1) * 0.05::DOUBLE AS t,
+  SELECT event_type, (row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1) * 0.35::DOUBLE AS t,
     event_id, CAST(value AS DECIMAL(18,2)) AS v FROM events),
-r AS (SELECT event_type, CAST(floor(t / 0.1::DOUBLE) AS BIGINT) AS k, t, v FROM c WHERE event_id % 11 < 3),
+r AS (SELECT event_type, CAST(floor(t / 0.1::DOUBLE) AS BIGINT) AS k, t, v FROM c),
 w AS (
   SELECT event_type, k, count(*) AS n, CAST(sum(v) AS DOUBLE) / count(*) AS a FROM r
   WHERE k * 0.1::DOUBLE + 0.1::DOUBLE <= (SELECT max(t) FROM r) GROUP BY event_type, k),
@@ -372,8 +372,7 @@ SELECT g.event_type, g.k * 0.1::DOUBLE AS start, g.k * 0.1::DOUBLE + 0.1::DOUBLE
 )
 def w2_tumbling_filled_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A logical clock with a step and a window that are no binary fractions, and gaps."""
-    s = logical_clock(all_events(spark, sf_dir, "event_type"), 0.05)
-    return windows.tumbling_filled(s.with_df(s.df.where("seq % 11 < 3")), 0.1)
+    return windows.tumbling_filled(logical_clock(all_events(spark, sf_dir, "event_type"), 0.35), 0.1)
 
 
 def _over(key: str | None, order: str) -> str:
@@ -702,58 +701,127 @@ def w1_tumbling_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
 
 
-def _finished(spark: SparkSession, sf_dir: str, kind: str | None, *by: str) -> Series:
+def _finished(spark: SparkSession, sf_dir: str, closing: Closing, kind: str | None, *by: str) -> Series:
     s = _live_events(spark, sf_dir, kind, *by)
-    return s.with_df(ending(s.df, "ts"))
+    return s.with_df(closing.add(s.df, "ts"))
 
 
-def _drained(spark: SparkSession, live: DataFrame) -> DataFrame:
+def _drained(spark: SparkSession, live: DataFrame, closing: Closing | None) -> DataFrame:
     """All rows of a finished stream, with times as the batch operators have them."""
-    rows = drain(live, shared_folder(spark))
+    rows = drain(live, shared_folder(spark), closing)
     return rows.withColumns({n: F.col(n).cast("timestamp_ntz") for n, k in rows.dtypes if k == "timestamp"})
 
 
-def _stream(name: str, sql: str, *kinds: str | None, **more) -> None:
-    """A stream operator over finished streams of events by user has to give what the batch operator gives."""
+def _stream(name: str, sql: str, *kinds: str | None, operator, ends: bool = True) -> None:
+    """A stream operator over streams of events by user, which end, has to give what the batch operator gives."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         use_rocksdb(spark)
-        operator = more.get("operator")
-        return _drained(spark, operator(*[_finished(spark, sf_dir, k, "user_id") for k in kinds]))
+        closing = Closing() if ends else None
+        read = [_finished(spark, sf_dir, closing, k, "user_id") if ends else _live_events(spark, sf_dir, k, "user_id") for k in kinds]
+        return _drained(spark, operator(*read), closing)
 
     query(name, sql)(run)
 
 
-_stream("j1_fuzzy_merge_stream", ORACLES["j1_fuzzy_merge_join"], "purchase", "view", operator=ordered.fuzzy_merge_join)
+_TWO = ("purchase", "view")
+_stream("j1_fuzzy_merge_stream", ORACLES["j1_fuzzy_merge_join"], *_TWO, operator=ordered.fuzzy_merge_join)
+_stream("j2_fuzzy_merge_drops_stream", ORACLES["j2_fuzzy_merge_drops"], *_TWO, operator=ordered.fuzzy_merge_drops)
 _stream(
     "j3_bufferless_newest_stream",
     ORACLES["j3_bufferless_newest_join"],
-    *["purchase", "view"],
+    *_TWO,
     operator=lambda d, n: ordered.bufferless_join(d, n, newest=True),
 )
+_stream("j4_bufferless_drops_stream", ORACLES["j4_bufferless_drops"], *_TWO, operator=lambda d, n: ordered.queue_drops(n, d))
 _stream(
-    "j4_bufferless_drops_stream",
-    ORACLES["j4_bufferless_drops"],
-    *["purchase", "view"],
-    operator=lambda d, n: ordered.queue_drops(n, d),
+    "j5_bufferless_oldest_stream",
+    ORACLES["j5_bufferless_oldest_join"],
+    *_TWO,
+    operator=lambda d, n: ordered.bufferless_join(d, n, newest=False),
 )
+_stream("j6_alternating_delta_stream", ORACLES["j6_alternating_delta_join"], *_TWO, operator=ordered.alternating_delta_join)
+_stream("j7_minimal_delta_join_stream", ORACLES["j7_minimal_delta_join"], *_TWO, operator=ordered.minimal_delta_join)
 _stream(
-    "j6_alternating_delta_stream",
-    ORACLES["j6_alternating_delta_join"],
-    *["purchase", "view"],
-    operator=ordered.alternating_delta_join,
+    "j8_three_way_stream",
+    ORACLES["j8_three_way_delta_join"],
+    *["purchase", "view", "click"],
+    operator=lambda *s: ordered.three_way_delta_join(*s).select("user_id", "dominant.ts", "dominant.value", "joined.*"),
 )
 _stream("w3_count_sliding_stream", ORACLES["w3_count_sliding"], None, operator=ordered.count_sliding)
+_stream("w5_landmark_points_stream", ORACLES["w5_landmark_points"], None, operator=lambda s: ordered.landmark_points(s, 50))
+_stream("w6_moving_average_stream", ORACLES["w6_moving_average"], None, operator=ordered.moving_average)
+_stream("w7_running_min_max_stream", ORACLES["w7_running_min_max"], None, operator=ordered.running_min_max)
+_stream("w8_record_highs_stream", ORACLES["w8_record_highs"], None, operator=lambda s: ordered.record_extrema(s, largest=True))
+_stream("w9_window_highs_stream", ORACLES["w9_window_highs"], None, operator=lambda s: ordered.window_extrema(s, 8, largest=True))
+_stream(
+    "s4_shed_stream",
+    f"""SELECT user_id, ts, event_id AS seq, {_DOUBLE} AS value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS shed_so_far
+FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) > 20""",
+    None,
+    operator=lambda s: ordered.shed_oldest(s, 20),
+)
+
+
+@query("s3_logical_clock_stream", ORACLES["s3_logical_clock"])
+def s3_logical_clock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_rocksdb(spark)
+    closing = Closing()
+    stamped = ordered.logical_clock(_finished(spark, sf_dir, closing, None, "user_id"), 0.5)
+    return _drained(spark, stamped.rows().withColumnRenamed("clock", "ts"), closing)
+
 
+@query("s8_flush_stream", ORACLES["j1_fuzzy_merge_join"])
+def s8_flush_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Joined pairs, handed on flush by flush."""
+    use_rocksdb(spark)
+    closing = Closing()
+    live = ordered.fuzzy_merge_join(*[_finished(spark, sf_dir, closing, k, "user_id") for k in _TWO])
+    folder = shared_folder(spark)
+    flush(live, folder).awaitTermination()
+    closing.close()
+    flush(live, folder).awaitTermination()
+    return flushed(live, folder).drop("flush").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("j9_select_then_join_stream", ORACLES["j9_select_then_join"])
+def j9_select_then_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The demonstrator live: two clocks, each kept in state, a selection, and the join as a third stateful operator behind them."""
+    use_rocksdb(spark)
+    closing = Closing()
+    first = ordered.logical_clock(_finished(spark, sf_dir, closing, "click", "user_id"), 1.0)
+    second = ordered.logical_clock(_finished(spark, sf_dir, closing, "signup", "user_id"), 0.5)
+    joined = ordered.minimal_delta_join_on_clocks(relational.select(first, [(0, ">", 1), (1, ">=", 20)]), second)
+    return _drained(spark, joined, closing)
 
-@query("m5_stream_state", "SELECT count(*) + 1 AS input_rows, CAST(0 AS BIGINT) AS late_rows, true AS has_state FROM events")
+
+@query("w2_tumbling_filled_stream", ORACLES["w2_tumbling_filled"])
+def w2_tumbling_filled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows go out on timers; the last one of a key without any further row."""
+    use_rocksdb(spark)
+    live = ordered.tumbling_filled(_live_events(spark, sf_dir, None, "event_type"), 600)
+    return _drained(spark, live, None)
+
+
+@query(
+    "m5_stream_state",
+    """SELECT count(*) + 1 AS input_rows, CAST(0 AS BIGINT) AS late_rows, count(DISTINCT user_id) AS keys,
+  true AS state_is_counted FROM events""",
+)
 def m5_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What Spark reports of a stream's input and state; the closing row counts as read."""
+    """What Spark reports of a stream's input and state over all micro-batches; the closing row counts as read, and leaves no state."""
     use_rocksdb(spark)
-    live = ordered.running_min_max(_finished(spark, sf_dir, None, "user_id"))
-    _, progress = drain_watched(live, shared_folder(spark))
-    total = (sum(p["input_rows"] for p in progress), sum(p["late_rows"] for p in progress), any(p["state_bytes"] for p in progress))
-    return spark.createDataFrame([total], "input_rows long, late_rows long, has_state boolean")
+    closing = Closing()
+    live = ordered.running_min_max(_finished(spark, sf_dir, closing, None, "user_id"))
+    _, progress = drain_watched(live, shared_folder(spark), closing)
+    total = (
+        sum(p["input_rows"] for p in progress),
+        sum(p["late_rows"] for p in progress),
+        progress[-1]["state_rows"],
+        # RocksDB reports no less than what the keys' memories hold
+        max(p["state_bytes"] for p in progress) >= 64 * progress[-1]["state_rows"],
+    )
+    return spark.createDataFrame([total], "input_rows long, late_rows long, keys long, state_is_counted boolean")
 
 
 _SHUFFLED = "(SELECT * REPLACE (event_id * 7919 % 1000003 AS event_id) FROM events)"
@@ -763,6 +831,7 @@ _SHUFFLED = "(SELECT * REPLACE (event_id * 7919 % 1000003 AS event_id) FROM even
 def w4_landmark_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrival order is not time order: rows before the first arrival are dropped."""
     use_rocksdb(spark)
+    closing = Closing()
     s = _live_events(spark, sf_dir, None, "user_id")
-    s = s.with_df(ending(s.df.withColumn("seq", F.col("seq") * 7919 % 1000003), "ts"))
-    return _drained(spark, ordered.landmark(s))
+    s = s.with_df(closing.add(s.df.withColumn("seq", F.col("seq") * 7919 % 1000003), "ts"))
+    return _drained(spark, ordered.landmark(s), closing)

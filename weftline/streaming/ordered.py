@@ -1,20 +1,23 @@
 """Structured Streaming: rows of a key in event-time order, whatever order they arrive in.
 
-Rows wait in state until the watermark has passed them and are then fed to a machine in
-``(ts, side, seq)`` order. So a stream gives what the batch operator gives for the rows
-the watermark has passed (it has millisecond steps); newer rows wait, and rows that come
-behind the watermark are dropped and counted by Spark (``numRowsDroppedByWatermark``).
-Rows without a time are left out. ``folders.ending`` adds a row that closes a finished input,
-so that no row is left waiting.
-
-All values of a row travel as JSON text and come back with their types. State is kept per
-key, so a key is processed by one task at a time; a stream without a key needs ``single_key=True``,
-as all of it is one task's work. Needs the RocksDB state store provider.
+The rows of a micro-batch are sorted per key and wait in state as one run, until the watermark has passed them; the due parts of the
+runs are merged and fed to a machine in ``(ts, side, seq)`` order. So a stream gives what the batch operator gives for the rows
+the watermark has passed (it has millisecond steps); newer rows wait, and rows that come behind the watermark are dropped and
+counted by Spark (``numRowsDroppedByWatermark``). Rows without a time are left out. ``folders.Closing`` ends a finished input, so
+that no row is left waiting.
+
+Runs, and what a machine keeps of rows that may be many, lie in state by rank (``lines``): a micro-batch reads and writes its own and the due
+rows, not all that wait. All values of a row travel as JSON text and come back with their types; equal times are settled
+by ``seq`` in its own type, null first, as in batch. State is kept per key, so a key is processed by one task at a time;
+a stream without a key needs ``single_key=True``, as all of it is one task's work. Needs the RocksDB state store provider.
 """
 
 from __future__ import annotations
 
+import decimal
+import heapq
 import json
+import math
 from collections.abc import Iterator
 from decimal import Decimal
 
@@ -26,92 +29,199 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from weftline.series import Series
 from weftline.streaming import machines
+from weftline.streaming.folders import CLOSING
+from weftline.streaming.lines import Line, Lines, Store
 from weftline.streaming.machines import Machine, Row
 
 # no leading underscores: the rows reach the processor as named tuples
-_WAITING = "in_t long, in_side int, in_seq long, in_row string"
 _ALL = "in_all"
 _END = -1
-# Fixed: microseconds and zone, so that times in values survive the text form.
-_TEXT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+#: Before the row that closes an input (``folders.Closing``): the last day of 2249.
+_LAST_MS = 8_836_041_600_000
+#: Rows of output that are handed on at once.
+_BLOCK = 4096
+# Fixed: microseconds and zone, so that times in values survive the text form; nulls are written, so that every field is there.
+_TEXT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "ignoreNullFields": "false",
+}
+
+
+def _number(x) -> Decimal | float | None:
+    """A number from JSON: NaN and the infinities come as text."""
+    if isinstance(x, str):
+        x = float(x)
+    return x if x is None or isinstance(x, Decimal) or not math.isfinite(x) else Decimal(str(x))
 
 
 class InOrder(StatefulProcessor):
-    def __init__(self, machine: Machine, by: list[str], columns: list[str]):
+    """``numeric`` says of each side whether its first value and its seq are numbers."""
+
+    def __init__(self, machine: Machine, by: list[str], columns: list[str], doubles: list[str], numeric: list[tuple[bool, bool]]):
         self.machine = machine
         self.by = by
         self.columns = columns
+        self.doubles = doubles
+        self.numeric = numeric
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        decimal.getcontext().prec = 100  # sums of decimals stay exact
         self.handle = handle
-        self.waiting = handle.getListState("waiting", _WAITING)
         self.memory = handle.getValueState("memory", "json string")
+        self.parts = handle.getMapState("parts", "part string", "rows string")
+
+    def _open(self) -> tuple[dict, Lines]:
+        memory = json.loads(self.memory.get()[0]) if self.memory.exists() else {"runs": {}, "made": 0, "own": {}, "ends": {}, "wake": None}
+        return memory, Lines(Store(self.parts), memory["ends"])
+
+    def _row(self, t: int | float, side: int, text: str) -> Row:
+        fields = json.loads(text, parse_float=Decimal, parse_int=Decimal)
+        first_is_number, seq_is_number = self.numeric[side]
+        seq = fields["seq"]
+        if seq is None:
+            order = (0, 0)
+        elif not seq_is_number:
+            order = (1, seq)
+        else:
+            seq = _number(seq)
+            order = (2, 0) if seq != seq else (1, seq)
+        return Row(t, side, order, _number(fields.get("v0")) if first_is_number else None, text)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         fresh = []
         for pdf in rows:
             fresh += [
-                (int(t), int(side), int(seq), row)
-                for t, side, seq, row in zip(pdf["in_t"], pdf["in_side"], pdf["in_seq"], pdf["in_row"])
+                self._row(int(t), int(side), text)
+                for t, side, text in zip(pdf["in_t"], pdf["in_side"], pdf["in_row"])
                 if side != _END
             ]
         if fresh:
-            self.waiting.appendList(fresh)
-            self._wake(min(r[0] for r in fresh))
+            memory, lines = self._open()
+            fresh.sort(key=lambda r: r[:3])
+            if self.machine.arrive:
+                for row in fresh:
+                    self.machine.arrive(memory["own"], row)
+            name = f"run{memory['made']}"
+            memory["made"] += 1
+            memory["runs"][name] = fresh[0].t
+            line = lines[name]
+            for row in fresh:
+                line.push([row.t, row.side, row.row])
+            self._wake(memory)
+            self.memory.update((json.dumps(memory),))
         yield from ()
 
+    def _due(self, line: Line, passed: int) -> Iterator[Row]:
+        while len(line) and line[0][0] <= passed:
+            yield self._row(*line.take())
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted((tuple(map(_plain, r)) for r in self.waiting.get()), key=lambda r: r[:3])
-        due = [_row(*r) for r in rows if r[0] <= passed]
-        if not due:
+        memory, lines = self._open()
+        if memory["wake"] is None or memory["wake"] > passed:
             return
-        later = rows[len(due) :]
-        if later:
-            self.waiting.put(later)
-            self._wake(later[0][0])
-        else:
-            self.waiting.clear()
-        memory = json.loads(self.memory.get()[0]) if self.memory.exists() else {}
-        if self.machine.begin:
-            self.machine.begin(memory, due)
-        out = [found for row in due for found in self.machine.step(memory, row)]
+        due = [name for name, t in memory["runs"].items() if t <= passed]
+        out = []
+        for row in heapq.merge(*[self._due(lines[name], passed) for name in due], key=lambda r: r[:3]):
+            out += self.machine.step(memory["own"], lines, row)
+            if len(out) >= _BLOCK:
+                yield self._frame(key, out)
+                out = []
+        if self.machine.awake:
+            out += self.machine.awake(memory["own"], lines, passed)
+        for name in due:
+            if len(lines[name]):
+                memory["runs"][name] = lines[name][0][0]
+            else:
+                del memory["runs"][name]
+                lines.forget(name)
+        memory["wake"] = None
+        self._wake(memory)
         self.memory.update((json.dumps(memory),))
         if out:
-            pdf = pd.DataFrame(out, columns=self.columns)
-            for i in self.machine.times:
-                pdf[self.columns[i]] = pd.to_datetime(pdf[self.columns[i]], unit="us", utc=True)
-            for c, value in reversed(list(zip(self.by, key))):
-                pdf.insert(0, c, value)
-            yield pdf
-
-    def _wake(self, t: int) -> None:
-        self.handle.registerTimer(-(-t // 1000))
+            yield self._frame(key, out)
+
+    def _frame(self, key, out: list[tuple]) -> pd.DataFrame:
+        pdf = pd.DataFrame(out, columns=self.columns)
+        for i in self.machine.times:
+            pdf[self.columns[i]] = pd.to_datetime(pdf[self.columns[i]], unit="us", utc=True)
+        for c in self.doubles:  # as text: NaN in a frame would arrive as null
+            pdf[c] = [None if x is None else str(x) for x in (row[self.columns.index(c)] for row in out)]
+        for c, value in reversed(list(zip(self.by, key))):
+            pdf.insert(0, c, value)
+        return pdf
+
+    def _wake(self, memory: dict) -> None:
+        """A timer for the earliest waiting row, or for when the machine wants to be called, if none is set for that."""
+        times = list(memory["runs"].values())
+        if self.machine.wake and (t := self.machine.wake(memory["own"])) is not None:
+            times.append(t)
+        if times and (memory["wake"] is None or min(times) < memory["wake"]):
+            memory["wake"] = min(times)
+            self.handle.registerTimer(-(-memory["wake"] // 1000))
 
     def close(self) -> None:
         pass
 
 
-def _plain(v):
-    return v.item() if hasattr(v, "item") else v
+class InClockOrder(InOrder):
+    """Rows of several sides merged by a clock of their own, which only goes up on each side.
 
+    A row is processed once every other side has a row waiting that is not before it, or at the end of the input (``Closing``):
+    nothing else tells that no earlier reading can come. ``in_order`` gives each side's rows in ascending order.
+    """
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        fresh = []
+        for pdf in rows:
+            fresh += zip(pdf["in_clock"].tolist(), pdf["in_side"].tolist(), pdf["in_row"])
+        memory, lines = self._open()
+        for clock, side, text in sorted(fresh):
+            lines[f"side{side}"].push([clock, side, text])
+        yield from self._merged(key, memory, lines, False)
+        if memory["wake"] is None:
+            memory["wake"] = _LAST_MS
+            self.handle.registerTimer(_LAST_MS)
+        self.memory.update((json.dumps(memory),))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        memory, lines = self._open()
+        yield from self._merged(key, memory, lines, True)
+        self.memory.update((json.dumps(memory),))
 
-def _row(t: int, side: int, seq: int, text: str) -> Row:
-    value = json.loads(text, parse_float=Decimal, parse_int=Decimal)["first"]
-    return Row(t, side, seq, value if isinstance(value, Decimal) else None, text)
+    def _merged(self, key, memory: dict, lines: Lines, ended: bool) -> Iterator[pd.DataFrame]:
+        sides, out = [lines[f"side{i}"] for i in range(len(self.numeric))], []
+        while any(map(len, sides)) if ended else all(map(len, sides)):
+            head = min((line for line in sides if len(line)), key=lambda line: line[0][:2])
+            out += self.machine.step(memory["own"], lines, self._row(*head.take()))
+            if len(out) >= _BLOCK:
+                yield self._frame(key, out)
+                out = []
+        if out:
+            yield self._frame(key, out)
 
 
 def _payload(s: Series) -> tuple[Column, T.StructType]:
-    """A row's time and values as JSON, and the type to read them back."""
-    fields = [F.col(s.ts).alias("ts"), *[F.col(v).alias(f"v{i}") for i, v in enumerate(s.values)]]
+    """A row's time, seq and values as JSON, and the type to read them back."""
+    fields = [F.col(s.ts).alias("ts"), F.col(s.seq).alias("seq"), *[F.col(v).alias(f"v{i}") for i, v in enumerate(s.values)]]
     packed = F.struct(*fields)
     kind = s.df.select(packed.alias("p")).schema["p"].dataType
-    text = F.to_json(F.struct(F.col(s.value).alias("first"), *fields), _TEXT)
-    return text, kind
+    return F.to_json(packed, _TEXT), kind
+
+
+def _numeric(s: Series) -> tuple[bool, bool]:
+    kinds = [s.df.schema[c].dataType for c in (s.value, s.seq)] if s.values else [T.StringType(), s.df.schema[s.seq].dataType]
+    return tuple(isinstance(k, T.NumericType) for k in kinds)
 
 
-def in_order(machine: Machine, *series: Series, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
-    """Feed one or more streaming series, merged by time, to a machine per key."""
+def _closing(df: DataFrame) -> Column:
+    return F.col(CLOSING) if CLOSING in df.columns else F.lit(False)
+
+
+def in_order(machine: Machine, *series: Series, delay: str = "0 seconds", single_key: bool = False, event_time: str = "") -> DataFrame:
+    """Feed one or more streaming series, merged by time, to a machine per key. ``event_time`` names a time column of the output
+    for stateful operators that come after."""
     by = list(series[0].by)
     if not by and not single_key:
         raise ValueError("a stream without a key is one task's work; say single_key=True if that is meant")
@@ -120,7 +230,7 @@ def in_order(machine: Machine, *series: Series, delay: str = "0 seconds", single
         stamped = s.df.withColumn("in_ts", F.col(s.ts).cast("timestamp")).withWatermark("in_ts", delay)
         # the closing row gets some key that is not null: a null would turn the whole numbers of its batch into floats
         some = {c: F.lit("" if isinstance(s.df.schema[c].dataType, T.StringType) else 0) for c in by}
-        ends = F.col(s.seq).isNull()
+        ends = _closing(s.df)
         keys = [F.when(ends, some[c].try_cast(s.df.schema[c].dataType)).otherwise(F.col(c)).alias(c) for c in by]
         keys = keys or [F.lit(0).alias(_ALL)]
         return stamped.where("in_ts is not null").select(
@@ -128,7 +238,6 @@ def in_order(machine: Machine, *series: Series, delay: str = "0 seconds", single
             "in_ts",
             F.unix_micros("in_ts").alias("in_t"),
             F.when(ends, _END).otherwise(i).alias("in_side"),
-            F.coalesce(F.col(s.seq).cast("long"), F.lit(0)).alias("in_seq"),
             _payload(s)[0].alias("in_row"),
         )
 
@@ -137,30 +246,38 @@ def in_order(machine: Machine, *series: Series, delay: str = "0 seconds", single
         rows = rows.unionByName(side(i, s))
     found = T.StructType.fromDDL(machine.columns)
     keys = by or [_ALL]
-    schema = T.StructType([*[rows.schema[k] for k in keys], *found.fields])
+    doubles = [f.name for f in found if isinstance(f.dataType, T.DoubleType)]
+    fields = [T.StructField(f.name, T.StringType()) if f.name in doubles else f for f in found]
+    schema = T.StructType([*[rows.schema[k] for k in keys], *fields])
     out = rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=InOrder(machine, keys, found.names),
+        statefulProcessor=InOrder(machine, keys, found.names, doubles, [_numeric(s) for s in series]),
         outputStructType=schema,
         outputMode="Append",
         timeMode="EventTime",
+        eventTimeColumnName=event_time,
     )
-    return out.drop(_ALL)
+    return out.withColumns({c: F.col(c).cast("double") for c in doubles}).drop(_ALL)
 
 
 def _unpacked(out: DataFrame, *series: Series) -> DataFrame:
-    """The text of ``row0, row1`` as structs with the fields ``ts`` and the values by number."""
+    """The text of ``row0, row1, ..`` as structs with the fields ``ts``, ``seq`` and the values by number."""
     return out.withColumns(
         {f"row{i}": F.from_json(f"row{i}", _payload(s)[1], _TEXT) for i, s in enumerate(series)}
     )
 
 
-def _values(row: str, s: Series, name: str) -> list[Column]:
+def _values(row: str, s: Series, name: str = "{}") -> list[Column]:
     return [F.col(row)[f"v{i}"].alias(name.format(v)) for i, v in enumerate(s.values)]
 
 
+def _whole(row: str, s: Series) -> list[Column]:
+    """Time, seq and values of a row under their own names."""
+    return [F.col(row)["ts"].alias(s.ts), F.col(row)["seq"].alias(s.seq), *_values(row, s)]
+
+
 def tumbling(s: Series, seconds: float, delay: str = "0 seconds") -> DataFrame:
     """``(start, end, count, avg)`` of windows the watermark has closed; append mode."""
-    stamped = s.df.withColumn("_ts", F.col(s.ts).cast("timestamp")).withWatermark("_ts", delay)
+    stamped = s.df.withColumn("_ts", F.col(s.ts).cast("timestamp")).withWatermark("_ts", delay).where(~_closing(s.df))
     window = F.window("_ts", f"{round(seconds * 1_000_000)} microseconds").alias("_w")
     stats = stamped.groupBy(*s.by, window).agg(
         F.count(F.lit(1)).alias("count"),
@@ -169,42 +286,75 @@ def tumbling(s: Series, seconds: float, delay: str = "0 seconds") -> DataFrame:
     return stats.select(*s.by, F.col("_w.start").alias("start"), F.col("_w.end").alias("end"), "count", "avg")
 
 
-def count_sliding(s: Series, n: int = 10, delay: str = "0 seconds") -> DataFrame:
-    return in_order(machines.count_sliding(n), s, delay=delay)
+def tumbling_filled(s: Series, seconds: float, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
+    """As ``tumbling``, with the empty windows between two rows of a key as ``count 0, avg 0.0``. A window goes out when the watermark
+    has passed its end, on a timer, also if its key gets no further row."""
+    return in_order(machines.filled(round(seconds * 1_000_000)), s, delay=delay, single_key=single_key)
+
+
+def count_sliding(s: Series, n: int = 10, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
+    return in_order(machines.count_sliding(n), s, delay=delay, single_key=single_key)
+
+
+def moving_average(s: Series, n: int = 20, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
+    """Every row with ``moving_avg``, as the batch operator."""
+    out = _unpacked(in_order(machines.moving_average(n), s, delay=delay, single_key=single_key), s)
+    return out.select(*s.by, *_whole("row0", s), "moving_avg")
+
+
+def window_extrema(s: Series, n: int, largest: bool = True, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
+    """``(at_ts, ts, values)``: per row, the row that holds the extremum of the last ``n``."""
+    out = _unpacked(in_order(machines.window_extrema(n, largest), s, delay=delay, single_key=single_key), s)
+    return out.select(*s.by, "at_ts", F.col("row0.ts").alias("ts"), *_values("row0", s))
 
 
-def landmark(s: Series, delay: str = "0 seconds") -> DataFrame:
-    return in_order(machines.landmark(), s, delay=delay)
+def landmark(s: Series, floor_second: bool = False, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
+    return in_order(machines.landmark(floor_second), s, delay=delay, single_key=single_key)
 
 
-def running_min_max(s: Series, delay: str = "0 seconds") -> DataFrame:
-    return in_order(machines.running_min_max(), s, delay=delay)
+def landmark_points(s: Series, max_points: int | None = None, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
+    """``(landmark, ts, count, avg)`` with the landmark on the full second; ``max_points`` keeps the first."""
+    points = landmark(s, True, delay, single_key).drop("sum")
+    return points if max_points is None else points.where(F.col("count") <= max_points)
 
 
-def record_extrema(s: Series, largest: bool = False, delay: str = "0 seconds") -> DataFrame:
-    return in_order(machines.record_extrema(largest), s, delay=delay)
+def running_min_max(s: Series, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
+    return in_order(machines.running_min_max(), s, delay=delay, single_key=single_key)
 
 
-def shed_oldest(s: Series, n: int, delay: str = "0 seconds") -> DataFrame:
-    return in_order(machines.shed_oldest(n), s, delay=delay)
+def record_extrema(s: Series, largest: bool = False, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
+    """The rows, whole, that strictly beat every earlier value."""
+    out = _unpacked(in_order(machines.record_extrema(largest), s, delay=delay, single_key=single_key), s)
+    return out.select(*s.by, *_whole("row0", s))
+
+
+def shed_oldest(s: Series, n: int, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
+    """The rows that a full buffer of ``n`` rows loses, with ``shed_so_far``."""
+    out = _unpacked(in_order(machines.shed_oldest(n), s, delay=delay, single_key=single_key), s)
+    return out.select(*s.by, *_whole("row0", s), "shed_so_far")
 
 
 def fuzzy_merge_join(
-    s: Series, t: Series, max_age_seconds: float | None = None, delay: str = "0 seconds"
+    s: Series, t: Series, max_age_seconds: float | None = None, delay: str = "0 seconds", single_key: bool = False
 ) -> DataFrame:
     """``(ts, s values, t values)``, as the batch operator."""
-    out = in_order(machines.queue(False, max_age_seconds), s, t, delay=delay)
+    out = in_order(machines.queue(False, max_age_seconds), s, t, delay=delay, single_key=single_key)
     return _unpacked(out, s, t).select(
         *s.by, F.col("row0.ts").alias("ts"), *_values("row0", s, "s_{}"), *_values("row1", t, "t_{}")
     )
 
 
+def fuzzy_merge_drops(s: Series, t: Series, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
+    """``(ts, dropped_so_far)`` of every T the fuzzy merge join passed over, once a later S has come."""
+    return in_order(machines.queue(False, drops="followed"), s, t, delay=delay, single_key=single_key)
+
+
 def bufferless_join(
-    d: Series, n: Series, newest: bool, max_age_seconds: float | None = None, delay: str = "0 seconds"
+    d: Series, n: Series, newest: bool, max_age_seconds: float | None = None, delay: str = "0 seconds", single_key: bool = False
 ) -> DataFrame:
     """``(ts, d values, n_ts, n values)``; oldest first has no ``n_ts``, as the batch operator."""
-    out = _unpacked(in_order(machines.queue(newest, max_age_seconds), n, d, delay=delay), n, d)
-    return out.select(
+    out = in_order(machines.queue(newest, max_age_seconds), n, d, delay=delay, single_key=single_key)
+    return _unpacked(out, n, d).select(
         *d.by,
         F.col("row1.ts").alias("ts"),
         *_values("row1", d, "d_{}"),
@@ -213,17 +363,81 @@ def bufferless_join(
     )
 
 
-def queue_drops(push: Series, pop: Series, newest: bool = False, max_age_seconds: float | None = None, delay: str = "0 seconds") -> DataFrame:
+def queue_drops(
+    push: Series, pop: Series, newest: bool = False, max_age_seconds: float | None = None, delay: str = "0 seconds", single_key: bool = False
+) -> DataFrame:
     """``(ts, dropped_so_far)`` of every pop that found nothing waiting."""
-    return in_order(machines.queue(newest, max_age_seconds, drops=True), push, pop, delay=delay)
+    return in_order(machines.queue(newest, max_age_seconds, drops="all"), push, pop, delay=delay, single_key=single_key)
 
 
-def alternating_delta_join(one: Series, two: Series, delay: str = "0 seconds") -> DataFrame:
+def alternating_delta_join(one: Series, two: Series, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
     """``(ts, values of one, values of two)``, as the batch operator."""
-    out = _unpacked(in_order(machines.alternating(), one, two, delay=delay), one, two)
+    out = _unpacked(in_order(machines.alternating(), one, two, delay=delay, single_key=single_key), one, two)
     return out.select(
         *one.by,
         F.when(F.col("side") == 0, F.col("row0.ts")).otherwise(F.col("row1.ts")).alias("ts"),
         *_values("row0", one, "{}_1"),
         *_values("row1", two, "{}_2"),
     )
+
+
+def minimal_delta_join(one: Series, two: Series, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
+    """``(ts, dominant, d values, p values)``, as the batch operator."""
+    if len(one.values) != len(two.values):
+        raise ValueError("both streams need the same number of values")
+    return _symmetric(_unpacked(in_order(machines.symmetric(), one, two, delay=delay, single_key=single_key), one, two), one, two)
+
+
+def _symmetric(out: DataFrame, one: Series, two: Series) -> DataFrame:
+    mine = F.col("side") == 0
+
+    def pick(a: Column, b: Column, name: str) -> Column:
+        return F.when(mine, a).otherwise(b).alias(name)
+
+    pairs = [(F.col("row0")[f"v{i}"], F.col("row1")[f"v{i}"], v) for i, v in enumerate(one.values)]
+    return out.select(
+        *one.by,
+        pick(F.col("row0.ts"), F.col("row1.ts"), "ts"),
+        (F.col("side") + 1).alias("dominant"),
+        *[pick(a, b, f"d_{v}") for a, b, v in pairs],
+        *[pick(b, a, f"p_{v}") for a, b, v in pairs],
+    )
+
+
+def logical_clock(s: Series, step: float, delay: str = "0 seconds", single_key: bool = False) -> Series:
+    """The k-th row of a stream gets the time ``k * step``, from 0 on. The frame keeps ``event_ts``, the time by which the stream
+    advances, for the operators that come after."""
+    out = _unpacked(in_order(machines.clock(step), s, delay=delay, single_key=single_key, event_time="event_ts"), s)
+    df = out.select(*s.by, "event_ts", "clock", F.col("row0.seq").alias(s.seq), *_values("row0", s))
+    return Series(df, ts="clock", seq=s.seq, values=s.values, by=s.by)
+
+
+def minimal_delta_join_on_clocks(one: Series, two: Series) -> DataFrame:
+    """``minimal_delta_join`` of streams that ``logical_clock`` has stamped, after a selection or not; ``ts`` is the clock."""
+    by = list(one.by)
+    sides = [
+        s.df.select(
+            *(by or [F.lit(0).alias(_ALL)]), "event_ts", F.lit(i).alias("in_side"), F.col(s.ts).alias("in_clock"), _payload(s)[0].alias("in_row")
+        )
+        for i, s in enumerate((one, two))
+    ]
+    rows, keys = sides[0].unionByName(sides[1]), by or [_ALL]
+    machine = machines.symmetric()
+    found = T.StructType.fromDDL(machine.columns)
+    out = rows.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=InClockOrder(machine, keys, found.names, [], [_numeric(s) for s in (one, two)]),
+        outputStructType=T.StructType([*[rows.schema[k] for k in keys], *found.fields]),
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+    return _symmetric(_unpacked(out.drop(_ALL), one, two), one, two)
+
+
+def three_way_delta_join(one: Series, two: Series, three: Series, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
+    """``(dominant: struct<ts, value>, joined: struct<v1, v2, v3>)`` of the first values, as the batch operator."""
+    series = (one, two, three)
+    out = _unpacked(in_order(machines.three_way(), *series, delay=delay, single_key=single_key), *series)
+    heads = [F.struct(F.col(f"row{i}")["ts"].alias("ts"), F.col(f"row{i}")["v0"].alias("value")) for i in range(3)]
+    head = F.when(F.col("side") == 0, heads[0]).when(F.col("side") == 1, heads[1]).otherwise(heads[2])
+    values = [F.col(f"row{i}")["v0"].alias(f"v{i + 1}") for i in range(3)]
+    return out.select(*one.by, head.alias("dominant"), F.struct(*values).alias("joined"))
