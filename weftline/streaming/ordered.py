@@ -37,7 +37,7 @@ from weftline.streaming.machines import Machine, Row
 _ALL = "in_all"
 _END = -1
 #: Before the row that closes an input (``folders.Closing``): the last day of 2249.
-_LAST_MS = 8_836_041_600_000
+_LAST_MS = 8_835_868_800_000
 #: Rows of output that are handed on at once.
 _BLOCK = 4096
 # Fixed: microseconds and zone, so that times in values survive the text form; nulls are written, so that every field is there.
