@@ -8,12 +8,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.operators import queue_joins as q
+from weftline.operators import relational
 from weftline.operators import windows as w
 from weftline.operators.delta_joins import minimal_delta_join
 from weftline.operators.turn_joins import alternating_delta_join, three_way_delta_join
 from weftline.series import Series
+from weftline.sources.series import logical_clock
 from weftline.streaming import lines, ordered
-from weftline.streaming.folders import Closing, drain, drain_watched, read_folder
+from weftline.streaming.folders import Closing, drain, drain_watched, flush, flushed, read_folder
 
 FILES = 3
 START = datetime(2024, 1, 1)
@@ -179,7 +181,37 @@ def test_odd_values_in_joins(odd, tmp_path, live, batch):
 
 def test_odd_values_in_three_streams(odd, tmp_path):
     some, streams, closing = ended(odd, "a", "b", "c", values=("exact",))
-    same(ordered.three_way_delta_join(*streams), three_way_delta_join(*some), closing, tmp_path)
+    some, streams = ([Series(s.df, values=s.values) for s in each] for each in (some, streams))
+    same(ordered.three_way_delta_join(*streams, single_key=True), three_way_delta_join(*some), closing, tmp_path)
+
+
+def test_chained_clocks(odd, tmp_path):
+    some, streams, closing = ended(odd, "a", "b", values=("exact",))
+    one, two = (logical_clock(s, step) for s, step in zip(some, (1.0, 0.5)))
+    live = [ordered.logical_clock(s, step) for s, step in zip(streams, (1.0, 0.5))]
+    chosen = [(0, ">", 2), (1, ">=", 3)]
+    want = minimal_delta_join(relational.select(one, chosen), two)
+    same(ordered.minimal_delta_join_on_clocks(relational.select(live[0], chosen), live[1]), want, closing, tmp_path)
+
+
+def test_a_flush_that_is_run_again_leaves_the_same_rows(odd, tmp_path):
+    (s,), (stream,), closing = ended(odd, None)
+    live, folder = ordered.running_min_max(stream), str(tmp_path)
+    flush(live, folder).awaitTermination()
+    closing.close()
+    flush(live, folder).awaitTermination()
+    want = sorted(map(repr, w.running_min_max(s).collect()))
+    got = flushed(live, folder)
+    assert sorted(map(repr, got.drop("flush").collect())) == want
+    assert got.select("flush").distinct().count() > 3
+    # the last micro-batch was written, but not noted as done
+    last = max(int(n) for n in os.listdir(f"{folder}/progress/commits") if n.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        if os.path.exists(f"{folder}/progress/commits/{name}"):
+            os.unlink(f"{folder}/progress/commits/{name}")
+    flush(live, folder).awaitTermination()
+    assert os.path.exists(f"{folder}/progress/commits/{last}")
+    assert sorted(map(repr, flushed(live, folder).drop("flush").collect())) == want
 
 
 def test_filled_windows_and_progress_of_all_batches(odd, tmp_path):
