@@ -116,30 +116,43 @@ def _groups(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _tile(key: int, rows: dict[str, np.ndarray], least: float, step: int = 1024):
+#: Pairs of a tile that are looked at at once: about 64 bytes each for the shared pivots.
+_PAIRS = 1 << 16
+
+
+def _two_smallest_shared(tops_i: np.ndarray, tops_j: np.ndarray, p: int, q: int) -> np.ndarray:
+    """Whether p and q are the two smallest pivots that both rows have; rows are ascending."""
+    shared = (tops_i[:, :, None] == tops_j[:, None, :]).any(axis=2)
+    rows = np.arange(len(shared))
+    first = shared.argmax(axis=1)
+    here = shared[rows, first] & (tops_i[rows, first] == p)
+    shared[rows, first] = False
+    second = shared.argmax(axis=1)
+    return here & shared[rows, second] & (tops_i[rows, second] == q)
+
+
+def _tile(key: int, rows: dict[str, np.ndarray], least: float, step: int = 256):
     """Partners and a link of each vector in one tile: all pairs of one block, or of two."""
     units, tops, block, lo, hi = rows["unit"], rows["tops"], rows["block"], rows["lo"], rows["hi"]
     first = np.flatnonzero(block == lo)
     second = first if lo == hi else np.flatnonzero(block == hi)
-    pivots = np.zeros((len(units), int(tops.max()) + 1), bool)
-    pivots[np.arange(len(units))[:, None], tops] = True
     p, q = key >> 20, key & ((1 << 20) - 1)
     pairs = []
     for at in range(0, len(first), step):
         mine = first[at : at + step]
         near = units[mine] @ units[second].T
         i, j = np.nonzero(near >= least - 1e-9)
+        cosine = near[i, j]
         i, j = mine[i], second[j]
         if lo == hi:
-            i, j = i[i < j], j[i < j]
-        if len(i):  # exact sums for those close to the limit, and only in the list of the two smallest shared pivots
-            exact = (units[i] * units[j]).sum(axis=1)
-            both = pivots[i] & pivots[j]
-            here = both.argmax(axis=1) == p
-            both[np.arange(len(i)), both.argmax(axis=1)] = False
-            here &= both.argmax(axis=1) == q
-            good = here & (exact >= least)
-            pairs.append((i[good], j[good]))
+            i, j, cosine = i[i < j], j[i < j], cosine[i < j]
+        for begin in range(0, len(i), _PAIRS):  # a pair counts only in the list of the two smallest shared pivots
+            a, b, c = (x[begin : begin + _PAIRS] for x in (i, j, cosine))
+            here = np.flatnonzero(_two_smallest_shared(tops[a], tops[b], p, q))
+            a, b, c = a[here], b[here], c[here]
+            close = np.flatnonzero(c < least + 1e-9)  # summed again in order, as the product's order is not fixed
+            c[close] = (units[a[close]] * units[b[close]]).sum(axis=1)
+            pairs.append((a[c >= least], b[c >= least]))
     i, j = (np.concatenate(c) for c in zip(*pairs, strict=True)) if pairs else (np.zeros(0, int), np.zeros(0, int))
     n = len(units)
     partners = np.bincount(i, weights=rows["mult"][j], minlength=n) + np.bincount(j, weights=rows["mult"][i], minlength=n)
