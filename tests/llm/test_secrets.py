@@ -29,13 +29,13 @@ def plain(rows):
                 every.append((i, source, text, "generic", m.start(), m.end(), m[0]))
         every += [(i, source, text, *s) for s in spans]
     owners, repos = {}, {}
-    for i, source, _, _, _, _, v in every:
+    for i, source, text, _, _, _, v in every:
         owners.setdefault(v, set()).add(source)
-        repos.setdefault(v, set()).add((source, i))
+        repos.setdefault(v, {}).setdefault(text, set()).add("" if i is None else str(i))
     out = []
     for i, text, source in rows:
         mine = {
-            (s, kinds.index(k), e, k, len(owners[v]) <= 1 and len(repos[v]) <= 2)
+            (s, kinds.index(k), e, k, len(owners[v]) <= 1 or len({min(ids) for ids in repos[v].values()}) <= 4)
             for j, src, t, k, s, e, v in every
             if (j, src, t) == (i, source, text or "")
         }
@@ -61,6 +61,9 @@ ROWS = [
     (4, f"copied {'0' * 30} everywhere {'Zz9' * 9}", "b"),
     (5, None, "a"), (6, "", None), (7, "apikey=" + "x" * 50_000 + " " + "deadbeef" * 4000, "c"), (8, LIVE + "\n" + LIVE, None),
     (9, "paſſword=abcdefgh toKen=abcdefgh", "c"), (None, f"token={LIVE}", "d"), (10, "token=abc123 " * 400, "e"), (10, "token=abc123 " * 400, "e"),
+    *[(20 + i, f"near copy {i} of {'Qw7' * 9}", "g") for i in range(7)],  # one owner: looks live however often
+    *[(30 + i, f"one text, copied {'Er8' * 9}", "gh"[i % 2]) for i in range(8)],  # one repository
+    *[(40 + i, f"an example {i} {'Ty9' * 9} and {'0a' * 14}", "gh"[i % 2]) for i in range(6)],  # widely copied
     (11, "tokentoken==abcdef; secret = = x passwd:::abcdefg token: 'a", "e"), (11, "password=abcdef", "e"), (12, "AKIAAKIA" + "A" * 10, "f"),
 ]
 
@@ -69,6 +72,13 @@ def test_spans_and_verdicts(spark):
     check(spark, ROWS)
 
 
+def test_what_is_live(spark):
+    rows = {r.doc_id: r.spans or [] for r in secrets.secret_scan(spark.createDataFrame(ROWS, "doc_id long, text string, source string")).collect()}
+    assert all([(x.kind, x.n_owners, x.n_repos, x.live) for x in rows[20 + i]] == [("generic", 1, 7, True)] for i in range(7))
+    assert all([(x.kind, x.n_owners, x.n_repos, x.live) for x in rows[30 + i]] == [("generic", 2, 1, True)] for i in range(8))
+    assert all([(x.kind, x.n_owners, x.n_repos, x.live) for x in rows[40 + i]] == [("hex", 2, 6, False)] for i in range(6))
+
+
 def test_documents(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     check(spark, [(r.doc_id, r.text, r.source) for r in docs.collect()], docs)

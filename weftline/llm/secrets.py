@@ -86,20 +86,28 @@ def _candidates(scanned: DataFrame) -> DataFrame:
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """_value, n_repos, n_owners, counted in steps so that a value copied everywhere is summed before it is shuffled."""
-    repos = candidates.groupBy("_value", "_owner", "_repo").agg(F.lit(1).alias("_one"))
-    owners = repos.groupBy("_value", "_owner").agg(F.sum("_one").alias("_repos"))
-    return owners.groupBy("_value").agg(F.sum("_repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
+    """_value, n_repos, n_owners, counted in steps so that a value copied everywhere is summed before it is shuffled.
+
+    Copies of one text are one repository, the first of them: a copy tells nothing of how many have written the value down.
+    """
+    texts = candidates.groupBy("_value", "_h").agg(F.min("_repo").alias("_first"))
+    repos = texts.groupBy("_value", "_first").agg(F.lit(1).alias("_one")).groupBy("_value").agg(F.count(F.lit(1)).alias("n_repos"))
+    owners = candidates.groupBy("_value", "_owner").agg(F.lit(1).alias("_one")).groupBy("_value").agg(F.count(F.lit(1)).alias("n_owners"))
+    return repos.join(owners, "_value")
 
 
 def secret_scan(
-    docs: DataFrame, *, repo: str = "doc_id", owner: str = "source", max_owners: int = 1, max_repos: int = 2
+    docs: DataFrame, *, repo: str = "doc_id", owner: str = "source", max_owners: int = 1, max_repos: int = 4
 ) -> DataFrame:
-    """doc_id, spans (array of kind, start, end, n_repos, n_owners, live): one row per row of docs."""
+    """doc_id, spans (array of kind, start, end, n_repos, n_owners, live): one row per row of docs.
+
+    A value is a widely copied example if it has more than `max_owners` owners and more than `max_repos` repositories; else it looks
+    live. So what one owner alone has stays live, however often.
+    """
     scanned = written(scan(docs, repo, owner), "secrets-scan")
     found = written(_candidates(scanned), "secrets-found")
     owned = ownership(found)
-    live = (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
+    live = (F.col("n_owners") <= max_owners) | (F.col("n_repos") <= max_repos)
     judged = found.join(owned, "_value").withColumn("live", live)
     judged = judged.where((F.col("_rank") < _RANK["generic"]) | F.col("live"))
     name = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("_rank") + 1)
@@ -146,7 +154,7 @@ def _sql() -> str:
         if kind == "generic":
             good += " AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]')"
         parts.append(f"""
-          SELECT doc_id, source, {_RANK[kind]} AS kr, '{kind}' AS kind, e - length(m) AS s, e, {value} AS v FROM (
+          SELECT doc_id, source, n, {_RANK[kind]} AS kr, '{kind}' AS kind, e - length(m) AS s, e, {value} AS v FROM (
             SELECT *, sum(length(g) + length(m)) OVER (PARTITION BY n ORDER BY i) AS e FROM (
               SELECT doc_id, source, n, generate_subscripts(ms, 1) AS i, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS g FROM (
                 SELECT doc_id, source, n, regexp_extract_all(t, '{quoted}') AS ms,
@@ -159,8 +167,10 @@ a AS ({rows}),
 b AS (SELECT a.*, kr < 3 OR NOT EXISTS (
         SELECT 1 FROM a x WHERE x.kr < 3 AND x.doc_id = a.doc_id AND x.s < a.e AND a.s < x.e) AS free FROM a),
 c AS (SELECT * FROM b WHERE free),
-o AS (SELECT v, count(DISTINCT coalesce(source, '')) AS n_owners, count(DISTINCT (source, doc_id)) AS n_repos FROM c GROUP BY v),
-j AS (SELECT c.*, n_owners <= 1 AND n_repos <= 2 AS live FROM c JOIN o USING (v)),
+o AS (
+  SELECT v, count(DISTINCT coalesce(source, '')) AS n_owners, count(DISTINCT first) AS n_repos
+  FROM (SELECT v, c.source, min(CAST(c.doc_id AS VARCHAR)) OVER (PARTITION BY v, t) AS first FROM c JOIN d USING (n)) GROUP BY v),
+j AS (SELECT c.*, n_owners <= 1 OR n_repos <= 4 AS live FROM c JOIN o USING (v)),
 k AS (SELECT * FROM j WHERE kr < 3 OR live),
 p AS (
   SELECT doc_id, count(*) FILTER (kr = 0) AS n_assign, count(*) FILTER (kr = 1) AS n_access,
