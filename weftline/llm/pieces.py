@@ -73,20 +73,26 @@ class Vocabulary:
 
 
 class Coder:
-    """Encodes and decodes with one vocabulary; caches are bounded."""
+    """Encodes and decodes with one vocabulary; caches are bounded: a word takes about 250 bytes, a pair of pieces about 100."""
 
     def __init__(self, path: str, cache: int = 400_000):
         self.vocabulary = Vocabulary(path)
         self._bound = cache
         self._words: dict[str, bytes] = {}
         self._seen: dict[str, bytes] = {}
-        self._agrees: dict[tuple[str, str], bool] = {}
+        self._agrees: dict[int, bool] = {}
         self._edges: dict[str, tuple | None] = {}
         scores = self.vocabulary.scores
-        #: Every beginning of a piece -> the piece's id if it is one that encodes to itself, else -1.
-        self._begins = {p[:i]: -1 for p in scores for i in range(1, len(p))}
+        #: Pieces that encode to themselves, a character a step: each node has the next ones, and under "" the id of the piece that ends there.
+        self._pieces: dict = {}
+        self._text_of: dict[int, str] = {}
         for piece in scores:
-            self._begins[piece] = self.vocabulary.ids[piece] if self._edge(piece) else -1
+            if self._edge(piece):
+                node = self._pieces
+                for c in piece:
+                    node = node.setdefault(c, {})
+                node[""] = self.vocabulary.ids[piece]
+                self._text_of[node[""]] = piece
         self._line_ends = "\n" not in "".join(scores)
 
     def _merged(self, text: str) -> tuple[list[str], list[tuple]]:
@@ -123,64 +129,86 @@ class Coder:
                 self._edges[piece] = tuple(sides)
         return self._edges[piece]
 
-    def _pair(self, a: str, b: str) -> bool:
-        """Whether two pieces next to each other stay as they are: no part at a's end merges with one at b's start. That
-        happens if their merge scores better than the merges that use the two up (as well as b's: it is further left)."""
-        known = self._agrees.get((a, b))
-        if known is None:
-            if len(self._agrees) >= 4 * self._bound:
-                self._agrees.clear()
-            known, scores = True, self.vocabulary.scores
-            for x, x_came, x_used in self._edge(a)[1]:
-                for y, y_came, y_used in self._edge(b)[0]:
-                    score = scores.get(x + y)
-                    if score is not None and score > x_used and score >= y_used:
-                        # scores fall along merges in a trained model; where they don't, merge and see
-                        known = False if score <= x_came and score <= y_came else self._merged(a + b)[0] == [a, b]
-                        break
-                if not known:
+    def _pair(self, both: int) -> bool:
+        """Whether two pieces next to each other stay as they are (their ids in one number): no part at a's end merges with one
+        at b's start. That happens if their merge scores better than the merges that use the two up (as well as b's: it is
+        further left)."""
+        if len(self._agrees) >= self._bound:
+            self._agrees.clear()
+        a, b = self._text_of[both >> 32], self._text_of[both & 0xFFFFFFFF]
+        known, scores = True, self.vocabulary.scores
+        for x, x_came, x_used in self._edge(a)[1]:
+            for y, y_came, y_used in self._edge(b)[0]:
+                score = scores.get(x + y)
+                if score is not None and score > x_used and score >= y_used:
+                    # scores fall along merges in a trained model; where they don't, merge and see
+                    known = False if score <= x_came and score <= y_came else self._merged(a + b)[0] == [a, b]
                     break
-            self._agrees[a, b] = known
+            if not known:
+                break
+        self._agrees[both] = known
         return known
 
+    def _search(self, text: str, start: int, end: int, back: dict[int, int], last: dict[int, int]) -> None:
+        """Go through the places from start to end: `back` gets where the last piece of the encoding of text[:i] starts,
+        `last` its id, -1 for a character without a piece."""
+        root, agrees, n = self._pieces, self._agrees, len(text)
+        for at in range(start, end):
+            if at not in back:
+                back[at], last[at] = at - 1, -1
+            before = last[at]
+            node, to = root, at
+            while to < n:
+                node = node.get(text[to])
+                if node is None:
+                    break
+                to += 1
+                if "" in node and to not in back:
+                    piece = node[""]
+                    if before >= 0:
+                        both = before << 32 | piece
+                        fits = agrees.get(both)
+                        if not (self._pair(both) if fits is None else fits):
+                            continue
+                    back[to], last[to] = at, piece
+
     def stream(self, text: str, check_every: int = 64):
         """Pieces of a stretch, committed as soon as every surviving path agrees on them."""
-        begins, agrees, pieces = self._begins, self._agrees, self.vocabulary.ids
-        n, base, back = len(text), 0, {0: 0}  # back[i]: where the last piece of the encoding of text[:i] starts
-        for start in range(n):
-            if start not in back:
-                back[start] = start - 1  # a character without a piece
-            before = text[back[start] : start]
-            free = start == 0 or before not in pieces
-            end = start + 1
-            while end <= n:
-                piece = text[start:end]
-                known = begins.get(piece)
-                if known is None:
-                    break
-                if known >= 0 and end not in back:
-                    fits = free or agrees.get((before, piece))
-                    if fits is None:
-                        fits = self._pair(before, piece)
-                    if fits:
-                        back[end] = start
-                end += 1
-            if (start + 1) % check_every == 0:
-                alive = {p for p in range(start + 1, start + 1 + self.vocabulary.longest) if p in back} or {start}
-                while len(alive) > 1:
-                    last = max(alive)
-                    alive.remove(last)
-                    alive.add(back[last])
-                at = alive.pop()
-                if base < at <= start:
-                    yield from self._path(text, base, back, at)
-                    for i in range(base, at):
-                        back.pop(i, None)
-                    back[at], base = max(back[at], base), at
+        n, base, back, last = len(text), 0, {0: 0}, {0: -1}
+        for start in range(0, n, check_every):
+            end = min(start + check_every, n)
+            self._search(text, start, end, back, last)
+            if end == n:
+                break
+            at = end - 1
+            alive = {p for p in range(end, end + self.vocabulary.longest) if p in back} or {at}
+            while len(alive) > 1:
+                far = max(alive)
+                alive.remove(far)
+                alive.add(back[far])
+            at = alive.pop()
+            if base < at < end:
+                yield from self._path(text, base, back, at)
+                for i in range(base, at):
+                    back.pop(i, None)
+                    last.pop(i, None)
+                back[at], base = max(back[at], base), at
         if n and n not in back:
             back[n] = n - 1
         yield from self._path(text, base, back, n)
 
+    def _letters(self, text: str) -> bytes | None:
+        """Ids of a short row of letters, straight from the search; null if one of them has no piece."""
+        back, last, n = {0: 0}, {0: -1}, len(text)
+        self._search(text, 0, n, back, last)
+        ids, at = [], n
+        while at:
+            if last.get(at, -1) < 0:
+                return None
+            ids.append(last[at])
+            at = back[at]
+        return np.array(ids[::-1], np.int32).tobytes()
+
     @staticmethod
     def _path(text: str, base: int, back: dict[int, int], to: int) -> list[str]:
         path = []
@@ -200,13 +228,13 @@ class Coder:
                 else:
                     ids.extend(of.byte_id[b] for b in piece.encode())
             known = np.asarray(ids, np.int32).tobytes()
-            self._keep(self._seen, stretch, known)
+            self._keep(self._seen, stretch, known, self._bound // 4)
         return known
 
-    def _keep(self, cache: dict[str, bytes], text: str, ids: bytes) -> None:
+    def _keep(self, cache: dict[str, bytes], text: str, ids: bytes, bound: int) -> None:
         if len(text) <= 64:
-            if len(cache) >= self._bound:
-                for old in list(islice(cache, self._bound // 2)):
+            if len(cache) >= bound:
+                for old in list(islice(cache, bound // 2)):
                     del cache[old]
             cache[text] = ids
 
@@ -215,8 +243,11 @@ class Coder:
         return b"".join([self._ids(p) for p in self.vocabulary.cuts.findall(text)])
 
     def _word(self, word: str) -> bytes:
-        ids = self._cut(SPACE + word)
-        self._keep(self._words, word, ids)
+        # no piece reaches out of a word; one of letters alone needs no cuts in it
+        ids = self._letters(SPACE + word) if len(word) <= 64 and word.isalpha() else None
+        if ids is None:
+            ids = self._cut(SPACE + word)
+        self._keep(self._words, word, ids, self._bound)
         return ids
 
     def encode(self, text: str | None) -> bytes:
