@@ -42,7 +42,7 @@ SLICES = 64
 #: Entries of prefixes that a partition gets on average, that a task holds before it hands them on, and that one
 #: partition may get of a single shingle by the counts.
 PER_PARTITION = 400_000
-PER_FLUSH = 1_000_000
+PER_FLUSH = 250_000
 PER_SHINGLE = 50_000
 
 
@@ -211,7 +211,7 @@ def shared_needed(a, b, percent: int):
 
 def _verified(batches, percent: int):
     bins = (np.arange(1, 16, dtype=np.uint64)) << np.uint64(60)
-    for batch in batches:
+    for batch in (part for whole in batches for part in steps(whole, "set_a")):
         ids = [batch.column(c).to_pylist() for c in ("a", "b")]
         left, right = (batch.column(c).to_pylist() for c in ("set_a", "set_b"))
         good = []

@@ -30,11 +30,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the number and of its inverse; those of a long text are not kept."""
     global _powers
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 20)
-        _powers = tuple(np.cumprod(np.r_[np.uint64(1), np.full(size - 1, b, np.uint64)]) for b in (_BASE, _BACK))
-    return _powers[0][:n], _powers[1]
+    if len(_powers[0]) >= n:
+        return _powers[0][:n], _powers[1]
+    size = max(n, 1 << 20)
+    found = tuple(np.cumprod(np.r_[np.uint64(1), np.full(size - 1, b, np.uint64)]) for b in (_BASE, _BACK))
+    if size == 1 << 20:
+        _powers = found
+    return found[0][:n], found[1]
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
