@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.operators.queue_joins import merge
+from weftline.operators.queue_joins import merge, merged_bounds
 from weftline.operators.slices import Sliced, running, slice_rows
 from weftline.series import Series
 
@@ -115,7 +115,7 @@ def delta_pairs(
     keep: list[list[str]] | None = None,
 ) -> DataFrame:
     """Joined rows as ``by..., _side`` (0: one is dominant), ``_row0, _row1``; see ``merge``."""
-    sl = slice_rows(merge(one, two, keep=keep), one.by, _ORDER, rows_per_slice)
+    sl = slice_rows(merge(one, two, keep=keep), one.by, _ORDER, rows_per_slice, bounds=merged_bounds(one, two))
     rows = _with_turns(sl, _neighbours(sl))
     x, y, t = F.col("_x"), F.col("_y"), F.col("_t")
     walked = rows.where(y.isNotNull() & ~(F.col("_first") & F.col("_skip")))

@@ -57,11 +57,18 @@ def merge(*series: Series, keep: list[list[str]] | None = None) -> DataFrame:
     return out
 
 
+def merged_bounds(*series: Series) -> list[tuple[tuple, int]] | None:
+    """Where the slices of written series begin in the order (t, side, seq) of ``merge``; null if one of them has none."""
+    if any(s.bounds is None for s in series):
+        return None
+    return [((first[0], i, *first[1:]), rows) for i, s in enumerate(series) for first, rows in s.bounds]
+
+
 def _queue(
     push: Series, pop: Series, rows_per_slice: int | None, keep: list[list[str]] | None = None
 ) -> tuple[Sliced, DataFrame]:
     """Merged rows with ``_raw``, ``_low``, ``_low_before``, ``_pushes`` and ``_all_pushes``."""
-    sl = slice_rows(merge(push, pop, keep=keep), push.by, _ORDER, rows_per_slice)
+    sl = slice_rows(merge(push, pop, keep=keep), push.by, _ORDER, rows_per_slice, bounds=merged_bounds(push, pop))
     pushed = F.when(F.col("_side") == 0, 1).otherwise(0).cast("long")
     step = F.when(F.col("_side") == 0, 1).otherwise(-1).cast("long")
     w = sl.window()

@@ -32,7 +32,7 @@ def _attribute(s: Series, attribute: str | int) -> str:
 def select(s: Series, predicates: list[tuple[str | int, str, object]]) -> Series:
     """Rows for which every ``(attribute, operator, constant)`` holds; none keeps all."""
     tests = [_COMPARE[op](F.col(_attribute(s, a)), F.lit(c)) for a, op, c in predicates]
-    return s.with_df(s.df.where(reduce(lambda a, b: a & b, tests))) if tests else s
+    return s.where(reduce(lambda a, b: a & b, tests)) if tests else s
 
 
 def project(s: Series, attributes: list[str | int]) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.operators.queue_joins import merge
+from weftline.operators.queue_joins import merge, merged_bounds
 from weftline.operators.slices import SLICE, Sliced, lookup, settled, slice_rows
 from weftline.series import Series
 
@@ -143,7 +143,7 @@ def lay_out(series: list[Series], ahead: int, rows_per_slice: int | None = None)
     If keys are cut, the ranked rows are read several times, so they are written to the checkpoint folder once.
     """
     merged = merge(*series)
-    sl = slice_rows(merged, series[0].by, _ORDER, rows_per_slice)
+    sl = slice_rows(merged, series[0].by, _ORDER, rows_per_slice, bounds=merged_bounds(*series))
     position = F.row_number().over(Window.partitionBy(*sl.keys, "_side").orderBy("_t", "_seq"))
     ranked = sl.df.withColumn("_rank", position.cast("long") - 1)
     columns = [*sl.by, SLICE, "_t", "_side", "_rank"]

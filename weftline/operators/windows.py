@@ -21,7 +21,7 @@ _FILL_PIECE = 4096
 def _ordered(s: Series, rows_per_slice: int | None = None, least: int = 1):
     """Rows of a series that have a time, with a numeric one, sliced."""
     df = s.timed().withColumn("_t", s.ticks())
-    return slice_rows(df, s.by, ("_t", s.seq), rows_per_slice, least=least)
+    return slice_rows(df, s.by, ("_t", s.seq), rows_per_slice, least=least, bounds=s.bounds)
 
 
 def _span(seconds: float) -> int:
@@ -292,9 +292,8 @@ def record_extrema(
 # --- ranks -------------------------------------------------------------------------
 
 
-def ranked(s: Series, name: str = "rank", rows_per_slice: int | None = None) -> DataFrame:
+def ranked(s: Series, name: str = "rank", rows_per_slice: int | None = None, keep_slice: bool = False) -> DataFrame:
     """Every row with its 1-based position in its stream."""
     sl = _ordered(s, rows_per_slice)
     out = running(sl, sl.df, {name: ("sum", F.lit(1).cast("long"))})
-    return out.drop("_t", SLICE)
-
+    return out.drop("_t") if keep_slice else out.drop("_t", SLICE)

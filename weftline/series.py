@@ -7,7 +7,7 @@ stream of its own; without it the whole frame is one stream.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,9 @@ class Series:
     seq: str = "seq"
     values: tuple[str, ...] = ("value",)
     by: tuple[str, ...] = ()
+    #: Of a series without a key that was written in slices: (time as a number, seq) of the first row of each, and how many rows it has. They
+    #: say where to cut; results do not depend on them.
+    bounds: tuple[tuple[tuple, int], ...] | None = field(default=None, compare=False)
 
     def __post_init__(self):
         for name in ("values", "by"):
@@ -50,7 +53,12 @@ class Series:
         return self.rows().where(F.col(self.ts).isNotNull())
 
     def with_df(self, df: DataFrame) -> Series:
-        return replace(self, df=df)
+        """The same columns of another frame, which may be cut elsewhere."""
+        return replace(self, df=df, bounds=None)
+
+    def where(self, condition: Column) -> Series:
+        """Some of the rows; where to cut stays."""
+        return replace(self, df=self.df.where(condition))
 
     def ticks(self) -> Column:
         return ticks(self.df, self.ts)
