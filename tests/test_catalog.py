@@ -21,6 +21,15 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, duck, name):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2" if "stream" in name else before)  # few keys of state need few tasks
+    try:
+        compare(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def compare(spark, duck, name):
     assert difference(spark, duck, SF_DIR, QUERIES[name], SQL[name]) is None
 
 

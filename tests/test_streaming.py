@@ -64,11 +64,6 @@ def of(df, kind=None):
     return Series(df.where(F.col("kind") == kind) if kind else df.where("kind <> 'z'"), by="user")
 
 
-def streamed(df, *kinds):
-    """Streaming series whose closing rows move the watermark on and are never due."""
-    return [Series(df.where(F.col("kind").isin(k, "z")), by="user") for k in kinds]
-
-
 def test_tumbling(stream, tmp_path):
     batch, live = stream
     got = ordered.tumbling(Series(live, by="user"), 10)
@@ -85,26 +80,6 @@ def last_windows(batch):
     return every.join(closed, ["user", "start"], "left_anti")
 
 
-def test_windows(stream, tmp_path):
-    batch, live = stream
-    s, whole = of(batch), Series(live, by="user")
-    check(ordered.count_sliding(whole, 6), w.count_sliding(s, 6), tmp_path / "a")
-    check(ordered.landmark(whole), w.landmark(s), tmp_path / "b")
-    check(ordered.running_min_max(whole), w.running_min_max(s), tmp_path / "c")
-
-
-def test_joins(stream, tmp_path):
-    batch, live = stream
-    a, b = of(batch, "a"), of(batch, "b")
-    live_a, live_b = streamed(live, "a", "b")
-    check(ordered.fuzzy_merge_join(live_a, live_b), q.fuzzy_merge_join(a, b), tmp_path / "a")
-    newest = q.bufferless_newest_join(a, b)
-    check(ordered.bufferless_join(live_a, live_b, newest=True), newest, tmp_path / "b")
-    oldest = q.bufferless_oldest_join(a, b)
-    check(ordered.bufferless_join(live_a, live_b, newest=False), oldest, tmp_path / "c")
-    check(ordered.alternating_delta_join(live_a, live_b), alternating_delta_join(a, b), tmp_path / "d")
-
-
 # --- finished inputs: six files, one a trigger, rows out of order and with all kinds of values ---
 
 KINDS = "user int, ts timestamp_ntz, seq string, kind string, value double, exact decimal(12,3), list array<int>"
@@ -151,9 +126,7 @@ def same(got, want, closing, folder, *leave_out):
     [
         (lambda s: ordered.count_sliding(s, 5), lambda s: w.count_sliding(s, 5)),
         (lambda s: ordered.moving_average(s, 4), lambda s: w.moving_average(s, 4)),
-        (lambda s: ordered.window_extrema(s, 6), lambda s: w.window_extrema(s, 6)),
         (lambda s: ordered.window_extrema(s, 3, largest=False), lambda s: w.window_extrema(s, 3, largest=False)),
-        (ordered.running_min_max, w.running_min_max),
         (ordered.record_extrema, w.record_extrema),
     ],
 )
@@ -169,7 +142,6 @@ def test_odd_values_in_windows(odd, tmp_path, live, batch):
         (ordered.fuzzy_merge_drops, q.fuzzy_merge_drops),
         (lambda d, n: ordered.bufferless_join(d, n, newest=True), q.bufferless_newest_join),
         (lambda d, n: ordered.bufferless_join(d, n, newest=False), q.bufferless_oldest_join),
-        (lambda d, n: ordered.queue_drops(n, d), q.bufferless_drops),
         (ordered.alternating_delta_join, alternating_delta_join),
         (ordered.minimal_delta_join, minimal_delta_join),
     ],
