@@ -5,9 +5,9 @@ one adds ids. Each stage's rows are written and read again before the next. Colu
 doc_id, text, lang, source and n_chars are handed on.
 
 Decisions. Language ID rejects documents whose text is null or has no letter (`und`), and writes the language it finds to lang. Of
-each group of near copies the document with the smallest doc_id stays; rows that repeat it go; rows without a doc_id link with
-nothing and stay. Surrogates replace text and n_chars. The mixture takes whole documents: as many copies as the words
-that it takes fill, the last one if they fill half of it. A document whose share is less leaves the mixture.
+each group of near copies the document with the smallest doc_id stays; of rows with one doc_id, that whose text sorts first (null last);
+rows without a doc_id link with nothing and stay. Surrogates replace text and n_chars. The mixture takes whole documents: as many copies
+as the words that it takes fill, the last one if they fill half of it. A document whose share is less leaves the mixture.
 """
 
 from __future__ import annotations
@@ -35,8 +35,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     docs = docs.select(*COLUMNS)
     groups = jaccard.jaccard_join(docs)
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    stay = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stay.unionByName(docs.where("doc_id IS NULL"))
+    stay = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
+    first = stay.groupBy("doc_id").agg(F.min(F.struct(F.isnull("text"), *COLUMNS[1:])).alias("_first"))
+    return first.select("doc_id", "_first.*").select(*COLUMNS).unionByName(docs.where("doc_id IS NULL"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
