@@ -53,6 +53,15 @@ def test_stages_take_effect(spark):
     assert rows(back) == rows(mixed.select("doc_id", "text"))
 
 
+def test_rows_of_one_doc_id_are_settled_by_their_text(spark):
+    same = [(7, t, "en", s, n) for t, s, n in [("b text of one", "src1", 13), ("another text of it", "src2", 18), ("another text of it", "src1", 18), (None, "src3", 0)]]
+    rest = [(8, "quite other words stand in this one", "en", None, 35), (None, "without an id", "en", "src1", 13), (None, "without an id", "en", "src1", 13)]
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"]
+    for order in (same, same[::-1]):
+        docs = spark.createDataFrame([*order, *rest], table(spark, SF, "documents").select(*corpus_pipeline.COLUMNS).schema)
+        assert rows(stage(spark, docs, SF)) == sorted([same[2], *rest], key=repr)
+
+
 def test_run_on_an_empty_table(spark, tmp_path):
     table(spark, SF, "documents").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
