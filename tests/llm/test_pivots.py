@@ -74,7 +74,16 @@ def test_groups_and_odd_rows(spark, tile):
     assert result(df, tile=tile) == plain([r if r[0] not in (12, 13) else (r[0], [1.0, 1.0], 0) for r in rows])
 
 
-def test_recall_at_the_limit(spark):
+def test_pivots_grow_with_the_table():
+    assert [pivots.pivots_for(n, 8) for n in (0, 9_000_000, 10_000_000, 38_000_000, 39_000_000, 150_000_000, 10**10)] == [
+        1024, 1024, 2048, 2048, 4096, 4096, 8192
+    ]
+
+
+@pytest.mark.parametrize(("expected", "least"), [(512, 0.97), (0.02, 0.96)])
+def test_recall_at_the_limit(spark, monkeypatch, expected, least):
+    monkeypatch.setattr(pivots, "EXPECTED", expected)  # the second: 4,096 pivots are asked for, all that are apart are taken
+    assert pivots.pivots_for(3000, 8) == (1024 if expected > 1 else 4096)
     rng = np.random.default_rng(2)
     x = rng.normal(size=(1500, 64))
     x /= np.linalg.norm(x, axis=1)[:, None]
@@ -85,7 +94,7 @@ def test_recall_at_the_limit(spark):
     rows = [(i, v.tolist(), 0) for i, v in enumerate([*x, *y])]
     got = result(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
     links = sum(r[1] for r in got)
-    assert 0.97 * 3000 <= links <= 3000
+    assert least * 3000 <= links <= 3000
     assert all(r[1] <= 1 for r in got)
 
 
