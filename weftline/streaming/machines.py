@@ -220,49 +220,6 @@ def shed_oldest(n: int) -> Machine:
     return Machine("row0 string, shed_so_far long", (), step)
 
 
-def filled(width: int) -> Machine:
-    """Windows of ``width`` microseconds, one after the other, with the empty ones between two rows. A window goes out once time has passed its end."""
-
-    def window(memory: dict) -> tuple:
-        total = Total(memory["total"])
-        return memory["at"], memory["at"] + width, memory["count"], total.mean() or 0.0
-
-    def close(memory: dict, until: int) -> Iterator[tuple]:
-        """The open window and, if a row lies beyond it, the empty ones before that row's window."""
-        if memory.get("count"):
-            yield window(memory)
-        memory["count"] = 0
-        memory["at"] += width
-        while memory["at"] < until:
-            yield memory["at"], memory["at"] + width, 0, 0.0
-            memory["at"] += width
-
-    def step(memory: dict, lines: Lines, row: Row) -> Iterator[tuple]:
-        start = row.t - row.t % width
-        if "at" not in memory:
-            memory.update(at=start, count=0, total={})
-        elif start >= memory["at"] + width or (not memory["count"] and start > memory["at"]):
-            # after `awake` the window at hand is empty and not reported yet
-            if memory["count"]:
-                yield from close(memory, start)
-            else:
-                memory["at"] -= width
-                yield from close(memory, start)
-            memory["total"] = {}
-        memory["count"] += 1
-        Total(memory["total"]).add(row.value)
-
-    def wake(memory: dict) -> int | None:
-        return memory["at"] + width if memory.get("count") else None
-
-    def awake(memory: dict, lines: Lines, passed: int) -> Iterator[tuple]:
-        if memory.get("count") and passed >= memory["at"] + width:
-            yield from close(memory, 0)
-            memory["total"] = {}
-
-    return Machine("start timestamp, end timestamp, count long, avg double", (0, 1), step, wake=wake, awake=awake)
-
-
 def queue(newest: bool, max_age_seconds: float | None = None, drops: str | None = None) -> Machine:
     """Side 0 is pushed, side 1 pops the oldest or the newest and is joined with it; a pop that finds none is dropped.
 

@@ -202,6 +202,54 @@ class InClockOrder(InOrder):
             yield self._frame(key, out)
 
 
+class Gaps(StatefulProcessor):
+    """The windows of a key, as they are closed, with the empty ones between two of them. A micro-batch closes later ones only."""
+
+    def __init__(self, width: int):
+        self.width = width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.next = handle.getValueState("next", "at long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        found = pd.concat(list(rows)).sort_values("in_t", kind="stable")
+        of, at, out = found["in_key"].iloc[0], self.next.get()[0] if self.next.exists() else None, []
+        for t, count, avg in zip(found["in_t"].tolist(), found["in_count"].tolist(), found["in_avg"]):
+            while at is not None and at < t:
+                out.append((of, at, 0, "0.0"))
+                at += self.width
+                if len(out) >= _BLOCK:
+                    yield self._frame(out)
+                    out = []
+            out.append((of, t, count, avg))
+            at = t + self.width
+        self.next.update((at,))
+        yield self._frame(out)
+
+    def _frame(self, out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=["in_key", "in_t", "count", "avg"])
+
+    def close(self) -> None:
+        pass
+
+
+def _key(df: DataFrame, by: list[str]) -> Column:
+    """A row's key as text."""
+    kinds = {c: df.schema[c].dataType for c in by}
+    # a zero has no sign, as in a grouping
+    columns = [(F.col(c) + F.lit(0.0)).cast(k).alias(c) if isinstance(k, T.DoubleType | T.FloatType) else F.col(c) for c, k in kinds.items()]
+    return F.to_json(F.struct(*columns), _TEXT) if by else F.lit("{}")
+
+
+def _keyed(out: DataFrame, df: DataFrame, by: list[str]) -> DataFrame:
+    """The key's columns instead of its text."""
+    if not by:
+        return out.drop("in_key")
+    kind = T.StructType([T.StructField(c, df.schema[c].dataType) for c in by])
+    read = out.withColumn("in_key", F.from_json("in_key", kind, _TEXT))
+    return read.select(*[F.col("in_key")[c].alias(c) for c in by], *[c for c in out.columns if c != "in_key"])
+
+
 def _payload(s: Series) -> tuple[Column, T.StructType]:
     """A row's time, seq and values as JSON, and the type to read them back."""
     fields = [F.col(s.ts).alias("ts"), F.col(s.seq).alias("seq"), *[F.col(v).alias(f"v{i}") for i, v in enumerate(s.values)]]
@@ -219,6 +267,12 @@ def _closing(df: DataFrame) -> Column:
     return F.col(CLOSING) if CLOSING in df.columns else F.lit(False)
 
 
+def _by(s: Series, single_key: bool) -> list[str]:
+    if not s.by and not single_key:
+        raise ValueError("a stream without a key is one task's work; say single_key=True if that is meant")
+    return list(s.by)
+
+
 def in_order(machine: Machine, *series: Series, delay: str = "0 seconds", single_key: bool = False, event_time: str = "") -> DataFrame:
     """Feed one or more streaming series, merged by time, to a machine per key. ``event_time`` names a time column of the output
     for stateful operators that come after."""
@@ -287,9 +341,31 @@ def tumbling(s: Series, seconds: float, delay: str = "0 seconds") -> DataFrame:
 
 
 def tumbling_filled(s: Series, seconds: float, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
-    """As ``tumbling``, with the empty windows between two rows of a key as ``count 0, avg 0.0``. A window goes out when the watermark
-    has passed its end, on a timer, also if its key gets no further row."""
-    return in_order(machines.filled(round(seconds * 1_000_000)), s, delay=delay, single_key=single_key)
+    """As ``tumbling``, with the empty windows between two closed ones of a key as ``count 0, avg 0.0``. A window goes out when the watermark
+    has passed its end, also if its key gets no further row. Only windows, not rows, go through the operator that fills the gaps."""
+    by = _by(s, single_key)
+    closed = tumbling(s, seconds, delay)
+    rows = closed.select(
+        _key(closed, by).alias("in_key"),
+        F.unix_micros("start").alias("in_t"),
+        F.col("count").alias("in_count"),
+        F.coalesce("avg", F.lit(0.0)).cast("string").alias("in_avg"),
+    )
+    width = round(seconds * 1_000_000)
+    out = rows.groupBy("in_key").transformWithStateInPandas(
+        statefulProcessor=Gaps(width),
+        outputStructType="in_key string, in_t long, count long, avg string",
+        outputMode="Append",
+        timeMode="None",
+    )
+    windows = out.select(
+        "in_key",
+        F.timestamp_micros("in_t").alias("start"),
+        F.timestamp_micros(F.col("in_t") + width).alias("end"),
+        "count",
+        F.col("avg").cast("double").alias("avg"),
+    )
+    return _keyed(windows, s.df, by)
 
 
 def count_sliding(s: Series, n: int = 10, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
