@@ -1,6 +1,6 @@
 """What one stream key remembers between rows, for operators that streams need state for.
 
-A machine is fed the due rows in order. ``t`` is in microseconds, ``value`` the first value as an exact decimal (or a float that is not
+A machine is fed the due rows in order. ``t`` is in microseconds, ``value`` the first value as an exact number (or a float that is not
 finite), ``row`` all values as JSON text, which joins hand on unread. Its memory is a dictionary that JSON can hold, of bounded size;
 what may grow with the rows that wait is in ``lines``. A step changes both and gives output rows. Columns named in ``times`` are
 microseconds.
@@ -21,8 +21,9 @@ class Row(NamedTuple):
     t: int
     side: int
     order: tuple  # of equal times and sides
-    value: Decimal | float | None
+    value: Decimal | int | float | None
     row: str
+    key: str = ""
 
 
 Step = Callable[[dict, Lines, Row], Iterable[tuple]]
@@ -34,8 +35,6 @@ class Machine:
     times: tuple[int, ...]  # positions of the time columns
     step: Step
     arrive: Callable[[dict, Row], None] | None = None  # sees every row when it arrives, in any order
-    wake: Callable[[dict], int | None] | None = None  # when to be called although no row is due
-    awake: Callable[[dict, Lines, int], Iterable[tuple]] | None = None  # is told how far time has passed
 
 
 def _double(x) -> float | None:
@@ -165,7 +164,8 @@ def landmark(floor_second: bool = False) -> Machine:
         if "start" not in memory:
             first = memory.get("first")
             order = [str(x) if isinstance(x, Decimal) else x for x in row.order]
-            if first is None or row.order < tuple(Decimal(x) if d else x for x, d in zip(first[0], first[1])):
+            # of equal ones the earliest, in whatever pieces a micro-batch is seen
+            if first is None or (row.order, row.t) < (tuple(Decimal(x) if d else x for x, d in zip(first[0], first[1])), first[2]):
                 memory["first"] = [order, [isinstance(x, Decimal) for x in row.order], row.t]
 
     def step(memory: dict, lines: Lines, row: Row) -> list[tuple]:

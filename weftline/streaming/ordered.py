@@ -1,14 +1,14 @@
 """Structured Streaming: rows of a key in event-time order, whatever order they arrive in.
 
-The rows of a micro-batch are sorted per key and wait in state as one run, until the watermark has passed them; the due parts of the
-runs are merged and fed to a machine in ``(ts, side, seq)`` order. So a stream gives what the batch operator gives for the rows
+Keys are dealt over bundles. The rows of a micro-batch are sorted per bundle, so many at a time, and wait in state as runs, until the watermark
+has passed them; the due parts of the runs are merged and fed to each key's machine in ``(ts, side, seq)`` order. So a stream gives what the batch operator gives for the rows
 the watermark has passed (it has millisecond steps); newer rows wait, and rows that come behind the watermark are dropped and
 counted by Spark (``numRowsDroppedByWatermark``). Rows without a time are left out. ``folders.Closing`` ends a finished input, so
 that no row is left waiting.
 
 Runs, and what a machine keeps of rows that may be many, lie in state by rank (``lines``): a micro-batch reads and writes its own and the due
 rows, not all that wait. All values of a row travel as JSON text and come back with their types; equal times are settled
-by ``seq`` in its own type, null first, as in batch. State is kept per key, so a key is processed by one task at a time;
+by ``seq`` in its own type, null first, as in batch. State is kept per key, and a key, with its bundle, is processed by one task at a time;
 a stream without a key needs ``single_key=True``, as all of it is one task's work. Needs the RocksDB state store provider.
 """
 
@@ -16,13 +16,15 @@ from __future__ import annotations
 
 import decimal
 import heapq
+import itertools
 import json
 import math
+import operator
 from collections.abc import Iterator
 from decimal import Decimal
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -30,12 +32,17 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from weftline.series import Series
 from weftline.streaming import machines
 from weftline.streaming.folders import CLOSING
-from weftline.streaming.lines import Line, Lines, Store
+from weftline.streaming.lines import Lines, Runs, Store
 from weftline.streaming.machines import Machine, Row
 
-# no leading underscores: the rows reach the processor as named tuples
-_ALL = "in_all"
+# columns of its own have no leading underscores: the rows reach the processor as named tuples
 _END = -1
+#: Keys share a group's state and calls, so that many small keys cost little more than their rows.
+_BUNDLES = 1024
+#: Rows that are sorted, or processed, at once.
+_RUN = 65_536
+_ORDER = operator.itemgetter(0, 1, 2)  # of a Row: t, side, order
+_FIELDS = json.JSONDecoder(parse_float=Decimal)
 #: Before the row that closes an input (``folders.Closing``): the last day of 2249.
 _LAST_MS = 8_835_868_800_000
 #: Rows of output that are handed on at once.
@@ -52,15 +59,21 @@ def _number(x) -> Decimal | float | None:
     """A number from JSON: NaN and the infinities come as text."""
     if isinstance(x, str):
         x = float(x)
-    return x if x is None or isinstance(x, Decimal) or not math.isfinite(x) else Decimal(str(x))
+    return x if x is None or isinstance(x, Decimal | int) or not math.isfinite(x) else Decimal(str(x))
+
+
+def _by_key(rows: list[Row]) -> dict[str, list[Row]]:
+    found = {}
+    for row in rows:
+        found.setdefault(row.key, []).append(row)
+    return found
 
 
 class InOrder(StatefulProcessor):
-    """``numeric`` says of each side whether its first value and its seq are numbers."""
+    """All keys of a bundle. ``numeric`` says of each side whether its first value and its seq are numbers."""
 
-    def __init__(self, machine: Machine, by: list[str], columns: list[str], doubles: list[str], numeric: list[tuple[bool, bool]]):
+    def __init__(self, machine: Machine, columns: list[str], doubles: list[str], numeric: list[tuple[bool, bool]]):
         self.machine = machine
-        self.by = by
         self.columns = columns
         self.doubles = doubles
         self.numeric = numeric
@@ -68,15 +81,24 @@ class InOrder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         decimal.getcontext().prec = 100  # sums of decimals stay exact
         self.handle = handle
-        self.memory = handle.getValueState("memory", "json string")
+        self.waiting = handle.getValueState("waiting", "json string")
         self.parts = handle.getMapState("parts", "part string", "rows string")
+        self.memories = handle.getMapState("memories", "key string", "json string")
+        self.kept = handle.getMapState("kept", "key string, part string", "rows string")
+
+    def _waiting(self) -> dict:
+        """What the bundle waits for: its runs, and the time its timer is set for."""
+        return json.loads(self.waiting.get()[0]) if self.waiting.exists() else {"runs": {}, "wake": None}
 
-    def _open(self) -> tuple[dict, Lines]:
-        memory = json.loads(self.memory.get()[0]) if self.memory.exists() else {"runs": {}, "made": 0, "own": {}, "ends": {}, "wake": None}
-        return memory, Lines(Store(self.parts), memory["ends"])
+    def _open(self, key: str) -> tuple[dict, Lines]:
+        memory = json.loads(self.memories.getValue((key,))[0]) if self.memories.containsKey((key,)) else {"own": {}, "ends": {}}
+        return memory, Lines(Store(self.kept, key), memory["ends"])
 
-    def _row(self, t: int | float, side: int, text: str) -> Row:
-        fields = json.loads(text, parse_float=Decimal, parse_int=Decimal)
+    def _close(self, key: str, memory: dict) -> None:
+        self.memories.updateValue((key,), (json.dumps(memory),))
+
+    def _row(self, t: int | float, side: int, key: str, text: str) -> Row:
+        fields = _FIELDS.decode(text)
         first_is_number, seq_is_number = self.numeric[side]
         seq = fields["seq"]
         if seq is None:
@@ -86,80 +108,76 @@ class InOrder(StatefulProcessor):
         else:
             seq = _number(seq)
             order = (2, 0) if seq != seq else (1, seq)
-        return Row(t, side, order, _number(fields.get("v0")) if first_is_number else None, text)
+        return Row(t, side, order, _number(fields.get("v0")) if first_is_number else None, text, key)
+
+    def _runs(self, waiting: dict) -> Runs:
+        return Runs(self.parts, waiting["runs"], head=lambda row: row[0])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = []
+        waiting, fresh = self._waiting(), []
         for pdf in rows:
             fresh += [
-                self._row(int(t), int(side), text)
-                for t, side, text in zip(pdf["in_t"], pdf["in_side"], pdf["in_row"])
+                self._row(int(t), int(side), of, text)
+                for t, side, of, text in zip(pdf["in_t"], pdf["in_side"], pdf["in_key"], pdf["in_row"])
                 if side != _END
             ]
+            if len(fresh) >= _RUN:
+                self._file(waiting, fresh)
+                fresh = []
         if fresh:
-            memory, lines = self._open()
-            fresh.sort(key=lambda r: r[:3])
-            if self.machine.arrive:
-                for row in fresh:
-                    self.machine.arrive(memory["own"], row)
-            name = f"run{memory['made']}"
-            memory["made"] += 1
-            memory["runs"][name] = fresh[0].t
-            line = lines[name]
-            for row in fresh:
-                line.push([row.t, row.side, row.row])
-            self._wake(memory)
-            self.memory.update((json.dumps(memory),))
+            self._file(waiting, fresh)
+        self._wait(waiting)
         yield from ()
 
-    def _due(self, line: Line, passed: int) -> Iterator[Row]:
-        while len(line) and line[0][0] <= passed:
-            yield self._row(*line.take())
+    def _file(self, waiting: dict, fresh: list[Row]) -> None:
+        fresh.sort(key=_ORDER)
+        if self.machine.arrive:
+            for key, rows in _by_key(fresh).items():
+                memory, _ = self._open(key)
+                for row in rows:
+                    self.machine.arrive(memory["own"], row)
+                self._close(key, memory)
+        self._runs(waiting).add([[row.t, row.side, row.key, row.row] for row in fresh])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        memory, lines = self._open()
-        if memory["wake"] is None or memory["wake"] > passed:
+        waiting = self._waiting()
+        if waiting["wake"] is None or waiting["wake"] > passed:
             return
-        due = [name for name, t in memory["runs"].items() if t <= passed]
+        due = self._runs(waiting).take(passed, lambda row: self._row(*row), _ORDER)
         out = []
-        for row in heapq.merge(*[self._due(lines[name], passed) for name in due], key=lambda r: r[:3]):
-            out += self.machine.step(memory["own"], lines, row)
-            if len(out) >= _BLOCK:
-                yield self._frame(key, out)
-                out = []
-        if self.machine.awake:
-            out += self.machine.awake(memory["own"], lines, passed)
-        for name in due:
-            if len(lines[name]):
-                memory["runs"][name] = lines[name][0][0]
-            else:
-                del memory["runs"][name]
-                lines.forget(name)
-        memory["wake"] = None
-        self._wake(memory)
-        self.memory.update((json.dumps(memory),))
+        while some := list(itertools.islice(due, _RUN)):
+            for of, rows in _by_key(some).items():
+                memory, lines = self._open(of)
+                for row in rows:
+                    out += [(of, *found) for found in self.machine.step(memory["own"], lines, row)]
+                    if len(out) >= _BLOCK:
+                        yield self._frame(out)
+                        out = []
+                self._close(of, memory)
+        waiting["wake"] = None
+        self._wait(waiting)
         if out:
-            yield self._frame(key, out)
+            yield self._frame(out)
 
-    def _frame(self, key, out: list[tuple]) -> pd.DataFrame:
-        pdf = pd.DataFrame(out, columns=self.columns)
-        for i in self.machine.times:
-            pdf[self.columns[i]] = pd.to_datetime(pdf[self.columns[i]], unit="us", utc=True)
+    def _frame(self, out: list[tuple]) -> pd.DataFrame:
+        found = dict(zip(["in_key", *self.columns], map(list, zip(*out))))
         for c in self.doubles:  # as text: NaN in a frame would arrive as null
-            pdf[c] = [None if x is None else str(x) for x in (row[self.columns.index(c)] for row in out)]
-        for c, value in reversed(list(zip(self.by, key))):
-            pdf.insert(0, c, value)
-        return pdf
-
-    def _wake(self, memory: dict) -> None:
-        """A timer for the earliest waiting row, or for when the machine wants to be called, if none is set for that."""
-        times = list(memory["runs"].values())
-        if self.machine.wake and (t := self.machine.wake(memory["own"])) is not None:
-            times.append(t)
-        if times and (memory["wake"] is None or min(times) < memory["wake"]):
-            memory["wake"] = min(times)
-            self.handle.registerTimer(-(-memory["wake"] // 1000))
+            found[c] = [None if x is None else str(x) for x in found[c]]
+        for i in self.machine.times:
+            found[self.columns[i]] = pd.to_datetime(pd.Series(found[self.columns[i]]), unit="us", utc=True)
+        return pd.DataFrame(found)
+
+    def _wait(self, waiting: dict) -> None:
+        """A timer for the earliest row that waits, if none is set for that."""
+        runs = self._runs(waiting)
+        if not len(runs):
+            self.waiting.clear()
+            return
+        if waiting["wake"] is None or runs.first() < waiting["wake"]:
+            waiting["wake"] = runs.first()
+            self.handle.registerTimer(-(-waiting["wake"] // 1000))
+        self.waiting.update((json.dumps(waiting),))
 
     def close(self) -> None:
         pass
@@ -173,33 +191,55 @@ class InClockOrder(InOrder):
     """
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = []
+        waiting, fresh = self._waiting(), []
+        runs = Runs(self.parts, waiting["runs"], head=lambda row: 0)
         for pdf in rows:
-            fresh += zip(pdf["in_clock"].tolist(), pdf["in_side"].tolist(), pdf["in_row"])
-        memory, lines = self._open()
-        for clock, side, text in sorted(fresh):
-            lines[f"side{side}"].push([clock, side, text])
-        yield from self._merged(key, memory, lines, False)
-        if memory["wake"] is None:
-            memory["wake"] = _LAST_MS
+            fresh += map(list, zip(pdf["in_key"], pdf["in_clock"].tolist(), pdf["in_side"].tolist(), pdf["in_row"]))
+            if len(fresh) >= _RUN:
+                fresh.sort()
+                runs.add(fresh)
+                fresh = []
+        fresh.sort()
+        # rows that were filed are taken back at once, in order
+        merged = heapq.merge(runs.take(0, list, list), fresh)
+        out = []
+        while some := list(itertools.islice(merged, _RUN)):
+            for of, rows_of in itertools.groupby(some, key=lambda row: row[0]):
+                memory, lines = self._open(of)
+                for _, clock, side, text in rows_of:
+                    lines[f"side{side}"].push([clock, side, text])
+                for found in self._merged(of, memory, lines, False):
+                    out.append(found)
+                    if len(out) >= _BLOCK:
+                        yield self._frame(out)
+                        out = []
+                self._close(of, memory)
+        if out:
+            yield self._frame(out)
+        if waiting["wake"] is None:
+            waiting["wake"] = _LAST_MS
             self.handle.registerTimer(_LAST_MS)
-        self.memory.update((json.dumps(memory),))
+            self.waiting.update((json.dumps({"runs": {}, "wake": _LAST_MS}),))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        memory, lines = self._open()
-        yield from self._merged(key, memory, lines, True)
-        self.memory.update((json.dumps(memory),))
+        out = []
+        for (of,) in list(self.memories.keys()):
+            memory, lines = self._open(of)
+            for found in self._merged(of, memory, lines, True):
+                out.append(found)
+                if len(out) >= _BLOCK:
+                    yield self._frame(out)
+                    out = []
+            self._close(of, memory)
+        if out:
+            yield self._frame(out)
 
-    def _merged(self, key, memory: dict, lines: Lines, ended: bool) -> Iterator[pd.DataFrame]:
-        sides, out = [lines[f"side{i}"] for i in range(len(self.numeric))], []
+    def _merged(self, key: str, memory: dict, lines: Lines, ended: bool) -> Iterator[tuple]:
+        sides = [lines[f"side{i}"] for i in range(len(self.numeric))]
         while any(map(len, sides)) if ended else all(map(len, sides)):
-            head = min((line for line in sides if len(line)), key=lambda line: line[0][:2])
-            out += self.machine.step(memory["own"], lines, self._row(*head.take()))
-            if len(out) >= _BLOCK:
-                yield self._frame(key, out)
-                out = []
-        if out:
-            yield self._frame(key, out)
+            clock, side, text = min((line for line in sides if len(line)), key=lambda line: line[0][:2]).take()
+            for found in self.machine.step(memory["own"], lines, self._row(clock, side, key, text)):
+                yield key, *found
 
 
 class Gaps(StatefulProcessor):
@@ -241,6 +281,11 @@ def _key(df: DataFrame, by: list[str]) -> Column:
     return F.to_json(F.struct(*columns), _TEXT) if by else F.lit("{}")
 
 
+def _bundled(rows: DataFrame) -> GroupedData:
+    """Keys are dealt over a fixed number of bundles by a hash; that number belongs to a stream's progress."""
+    return rows.withColumn("in_bundle", F.pmod(F.xxhash64("in_key"), F.lit(_BUNDLES)).cast("int")).groupBy("in_bundle")
+
+
 def _keyed(out: DataFrame, df: DataFrame, by: list[str]) -> DataFrame:
     """The key's columns instead of its text."""
     if not by:
@@ -276,22 +321,15 @@ def _by(s: Series, single_key: bool) -> list[str]:
 def in_order(machine: Machine, *series: Series, delay: str = "0 seconds", single_key: bool = False, event_time: str = "") -> DataFrame:
     """Feed one or more streaming series, merged by time, to a machine per key. ``event_time`` names a time column of the output
     for stateful operators that come after."""
-    by = list(series[0].by)
-    if not by and not single_key:
-        raise ValueError("a stream without a key is one task's work; say single_key=True if that is meant")
+    by = _by(series[0], single_key)
 
     def side(i: int, s: Series) -> DataFrame:
         stamped = s.df.withColumn("in_ts", F.col(s.ts).cast("timestamp")).withWatermark("in_ts", delay)
-        # the closing row gets some key that is not null: a null would turn the whole numbers of its batch into floats
-        some = {c: F.lit("" if isinstance(s.df.schema[c].dataType, T.StringType) else 0) for c in by}
-        ends = _closing(s.df)
-        keys = [F.when(ends, some[c].try_cast(s.df.schema[c].dataType)).otherwise(F.col(c)).alias(c) for c in by]
-        keys = keys or [F.lit(0).alias(_ALL)]
         return stamped.where("in_ts is not null").select(
-            *keys,
+            _key(s.df, by).alias("in_key"),
             "in_ts",
             F.unix_micros("in_ts").alias("in_t"),
-            F.when(ends, _END).otherwise(i).alias("in_side"),
+            F.when(_closing(s.df), _END).otherwise(i).alias("in_side"),
             _payload(s)[0].alias("in_row"),
         )
 
@@ -299,18 +337,16 @@ def in_order(machine: Machine, *series: Series, delay: str = "0 seconds", single
     for i, s in enumerate(series[1:], 1):
         rows = rows.unionByName(side(i, s))
     found = T.StructType.fromDDL(machine.columns)
-    keys = by or [_ALL]
     doubles = [f.name for f in found if isinstance(f.dataType, T.DoubleType)]
     fields = [T.StructField(f.name, T.StringType()) if f.name in doubles else f for f in found]
-    schema = T.StructType([*[rows.schema[k] for k in keys], *fields])
-    out = rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=InOrder(machine, keys, found.names, doubles, [_numeric(s) for s in series]),
-        outputStructType=schema,
+    out = _bundled(rows).transformWithStateInPandas(
+        statefulProcessor=InOrder(machine, found.names, doubles, [_numeric(s) for s in series]),
+        outputStructType=T.StructType([T.StructField("in_key", T.StringType()), *fields]),
         outputMode="Append",
         timeMode="EventTime",
         eventTimeColumnName=event_time,
     )
-    return out.withColumns({c: F.col(c).cast("double") for c in doubles}).drop(_ALL)
+    return _keyed(out.withColumns({c: F.col(c).cast("double") for c in doubles}), series[0].df, by)
 
 
 def _unpacked(out: DataFrame, *series: Series) -> DataFrame:
@@ -492,21 +528,18 @@ def minimal_delta_join_on_clocks(one: Series, two: Series) -> DataFrame:
     """``minimal_delta_join`` of streams that ``logical_clock`` has stamped, after a selection or not; ``ts`` is the clock."""
     by = list(one.by)
     sides = [
-        s.df.select(
-            *(by or [F.lit(0).alias(_ALL)]), "event_ts", F.lit(i).alias("in_side"), F.col(s.ts).alias("in_clock"), _payload(s)[0].alias("in_row")
-        )
+        s.df.select(_key(s.df, by).alias("in_key"), "event_ts", F.lit(i).alias("in_side"), F.col(s.ts).alias("in_clock"), _payload(s)[0].alias("in_row"))
         for i, s in enumerate((one, two))
     ]
-    rows, keys = sides[0].unionByName(sides[1]), by or [_ALL]
     machine = machines.symmetric()
     found = T.StructType.fromDDL(machine.columns)
-    out = rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=InClockOrder(machine, keys, found.names, [], [_numeric(s) for s in (one, two)]),
-        outputStructType=T.StructType([*[rows.schema[k] for k in keys], *found.fields]),
+    out = _bundled(sides[0].unionByName(sides[1])).transformWithStateInPandas(
+        statefulProcessor=InClockOrder(machine, found.names, [], [_numeric(s) for s in (one, two)]),
+        outputStructType=T.StructType([T.StructField("in_key", T.StringType()), *found.fields]),
         outputMode="Append",
         timeMode="EventTime",
     )
-    return _symmetric(_unpacked(out.drop(_ALL), one, two), one, two)
+    return _symmetric(_unpacked(_keyed(out, one.df, by), one, two), one, two)
 
 
 def three_way_delta_join(one: Series, two: Series, three: Series, delay: str = "0 seconds", single_key: bool = False) -> DataFrame:
