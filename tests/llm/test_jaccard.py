@@ -2,8 +2,11 @@
 
 import random
 import re
+from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from weftline.llm import jaccard
 from weftline.llm.common import table
@@ -83,6 +86,63 @@ def test_chains_groups_and_edges(spark, monkeypatch):
     same(spark, rows)
 
 
+def frames(monkeypatch):
+    """Names and frames of all that the join writes from here on."""
+    kept, written = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name: kept.append((name, out := written(df, name))) or out)
+    return kept
+
+
+def test_classes_of_pairs_are_written_in_less_than_their_hashes(spark, monkeypatch):
+    rng, kept = random.Random(7), frames(monkeypatch)
+    rows, vocabulary = [], ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(1500)]
+    for i in range(0, 120, 2):
+        text = rng.choices(vocabulary, k=600)
+        rows += [(i, " ".join(text)), (i + 1, edited(rng, text, 3))]
+    for i in range(200, 210, 2):  # few and long words: their hashes are shorter
+        text = [f"{rng.getrandbits(4000):x}" for _ in range(40)]
+        rows += [(i, " ".join(text)), (i + 1, " ".join([*text, "more"]))]
+    same(spark, rows)
+    sizes = {}
+    for name, out in kept:
+        for column in (c for c, kind in out.dtypes if kind == "binary" and c != "counts"):
+            sizes[name] = max(sizes.get(name, 0), out.agg(F.sum(F.octet_length(column))).first()[0] or 0)
+    shingles = sum(len(plain_set(t)) for _, t in rows)
+    assert shingles < max(sizes.values()) < 4 * shingles, sizes
+
+
+def test_pairs_that_share_a_rare_line_only_are_not_verified(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "shingle_levels", lambda profile: np.zeros(1 << jaccard.ORDER_BITS, np.uint8))
+    rng, kept, rows = random.Random(8), frames(monkeypatch), []
+    for i in range(0, 80, 2):
+        line = [f"line{i}_{j}" for j in range(7)]
+        rows += [(i + k, " ".join([*line, *(f"w{rng.randrange(9**9)}" for _ in range(300))])) for k in range(2)]
+    same(spark, rows)
+    counts = {name: out.count() for name, out in kept if name in ("jaccard-shared", "jaccard-stars", "jaccard-pairs")}
+    assert counts.pop("jaccard-shared") > 20 and counts == {"jaccard-stars": 0, "jaccard-pairs": 0}
+
+
+def test_other_pairs_keep_all_that_link(spark):
+    rng, rows, links = random.Random(9), [], set()
+    sets = []
+    for _ in range(60):
+        base = rng.sample(range(3000), rng.choice([4, 9, 30, 70, 150]))
+        for _ in range(4):
+            lost = rng.randint(0, len(base) // 6 + 1)
+            sets.append(sorted({*base[lost:], *rng.sample(range(3000, 6000), rng.randint(0, len(base) // 6 + 1))}))
+    for fp, one in enumerate(sets):
+        rows += [(s, fp, len(one), i, fp) for i, s in enumerate(one[: jaccard.prefix_length(len(one), 75)])]
+        for other in range(fp):
+            shared = len({*one} & {*sets[other]})
+            if 100 * shared >= 75 * (len(one) + len(sets[other]) - shared):
+                links.add((other, fp))
+    lists = Counter(r[0] for r in rows)
+    rows = [r for r in rows if lists[r[0]] > 1]
+    rest = spark.createDataFrame(rows, "shingle long, fp long, n int, pos int, _comp long")
+    got = [tuple(r) for r in jaccard.other_pairs(rest, 75).collect()]
+    assert len(links) > 100 and links <= set(got) and len(got) == len(set(got))
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.jaccard_join(docs).collect() == []

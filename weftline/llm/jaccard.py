@@ -12,10 +12,12 @@ set). Two classes link if 100 * intersection >= percent * union. The work grows
    the one nearest to all. Each class is paired with the lead it shares most with. These pairs, at most one per class, are
    verified and joined to components. That takes in a group of thousands of near copies with as many pairs as it has members.
 4. The rest: shingles whose lists still hold two components or more are joined with themselves, on pairs of different
-   components that pass the length and positional filters, where the shingle is in the prefix that the two sizes call for. Each
-   pair that is left is verified once, if it was not before. Pairs inside a component cannot change it.
-5. Verification gets the sets of both classes, bounds their overlap by counts in 16 ranges of hashes (suffix filter), then
-   intersects them.
+   components that pass the length and positional filters, where the shingle is in the prefix that the two sizes call for. Pairs
+   of which either class shares fewer of its prefix shingles with other components, whichever, than the two sizes call for are
+   left out, and the others verified once, if they were not before. Pairs inside a component cannot change it.
+5. Verification gets one text of either class, compressed, and takes its set anew; for prose that is less than half of the set's
+   hashes, which travel where they are shorter. It bounds the overlap of both sets by counts in 16 ranges of hashes (suffix
+   filter), then intersects them.
 
 Rules. Null text, and text without words, has an empty set and links with nothing; its component is itself. A text with
 fewer than n words is one shingle of all of them. A row without doc_id links with nothing and has no component. Rows that
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm.common import arrow_map, steps, table, written
+from weftline.llm.common import STEP_BYTES, arrow_map, steps, table, written
 from weftline.llm.components import components
 from weftline.llm.words import mixed, shingles, words
 
@@ -62,6 +64,16 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _planes(column: np.ndarray) -> bytes:
+    """All lowest bytes, then all second ones and so on: small numbers compress better so."""
+    return np.ascontiguousarray(column).view(np.uint8).reshape(len(column), -1).T.tobytes()
+
+
+def _unplaned(data: bytes, kind: type, count: int, offset: int = 0) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8, count * size, offset).reshape(size, count).T.copy().view(kind).reshape(-1)
+
+
 def _profile(batches, n: int, percent: int):
     counts = np.zeros(1 << ORDER_BITS, np.uint32)
     names = ["doc_id", "n", "fp", "slice", "counts"]
@@ -82,7 +94,7 @@ def _profile(batches, n: int, percent: int):
                 names,
             )
     if counts.any():
-        packed = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(SLICES, -1)]
+        packed = [zlib.compress(_planes(c), 1) for c in counts.reshape(SLICES, -1)]
         none = pa.nulls(SLICES, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [none, none, none, pa.array(range(SLICES), pa.int32()), pa.array(packed, pa.binary())], names
@@ -94,7 +106,7 @@ def _summed(batches):
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for i, packed in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            one = np.frombuffer(zlib.decompress(packed), np.uint32)
+            one = _unplaned(zlib.decompress(packed), np.uint32, (1 << ORDER_BITS) // SLICES)
             sums[i] = sums[i] + one if i in sums else one.astype(np.uint64)
     levels = [np.minimum(255, np.round(4 * np.log2(1.0 + s))).astype(np.uint8).tobytes() for s in sums.values()]
     yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array(levels, pa.binary())], ["slice", "levels"])
@@ -123,8 +135,8 @@ def _packed(entries: list[tuple], parts: int, levels: np.ndarray):
     blobs = [[] for _ in range(2)]
     for a, b in zip(cuts.tolist(), ends.tolist(), strict=True):
         blobs[0].append(columns[0][a:b].tobytes())
-        rest = b"".join(np.ascontiguousarray(c[a:b]).tobytes() for c in columns[1:])
-        blobs[1].append(zlib.compress(rest, 1))
+        spread, fps, *small = (c[a:b] for c in columns[1:])
+        blobs[1].append(zlib.compress(spread.tobytes() + fps.tobytes() + b"".join(map(_planes, small)), 1))
     return pa.RecordBatch.from_arrays(
         [pa.array(part[cuts].astype(np.int32)), pa.array(blobs[0], pa.binary()), pa.array(blobs[1], pa.binary())],
         ["part", "shingles", "rest"],
@@ -166,8 +178,8 @@ def _shared(batches):
             k, data = len(s) // 8, zlib.decompress(rest)
             spread.append(np.frombuffer(data, bool, k))
             fp.append(np.frombuffer(data, np.int64, k, k))
-            size.append(np.frombuffer(data, np.int32, k, 9 * k))
-            position.append(np.frombuffer(data, np.int32, k, 13 * k))
+            size.append(_unplaned(data, np.int32, k, 9 * k))
+            position.append(_unplaned(data, np.int32, k, 13 * k))
         spread, fp, size, position = map(np.concatenate, (spread, fp, size, position))
         order = np.lexsort((fp, shingle))
         shingle, spread, fp, size, position = (c[order] for c in (shingle, spread, fp, size, position))
@@ -209,52 +221,102 @@ def shared_needed(a, b, percent: int):
     return F.greatest(F.lit(1), overlap_needed(a, b, percent) - rest)
 
 
-def _verified(batches, percent: int):
+def _linked(pairs: list[tuple[int, int]], texts: dict[int, bytes], sets: dict[int, np.ndarray], n: int, percent: int):
     bins = (np.arange(1, 16, dtype=np.uint64)) << np.uint64(60)
-    for batch in (part for whole in batches for part in steps(whole, "set_a")):
-        ids = [batch.column(c).to_pylist() for c in ("a", "b")]
-        left, right = (batch.column(c).to_pylist() for c in ("set_a", "set_b"))
-        good = []
-        for x, y in zip(left, right, strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            needed = -(-percent * (len(x) + len(y)) // (100 + percent))
-            per = [np.diff(np.r_[0, np.searchsorted(s, bins), len(s)]) for s in (x, y)]
-            if np.minimum(*per).sum() < needed:
-                good.append(False)
-                continue
-            merged = np.concatenate([x, y])
-            merged.sort()
-            good.append(int((merged[1:] == merged[:-1]).sum()) >= needed)
-        keep = [(a, b) for a, b, g in zip(*ids, good, strict=True) if g]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([a for a, _ in keep], pa.int64()), pa.array([b for _, b in keep], pa.int64())], ["a", "b"]
-        )
+    if texts:
+        sets = sets | dict(zip(texts, sets_of(pa.array(texts.values(), pa.large_binary()), n), strict=True))
+    keep = []
+    for a, b in pairs:
+        x, y = sets[a], sets[b]
+        needed = -(-percent * (len(x) + len(y)) // (100 + percent))
+        per = [np.diff(np.r_[0, np.searchsorted(s, bins), len(s)]) for s in (x, y)]
+        if np.minimum(*per).sum() < needed:
+            continue
+        merged = np.concatenate([x, y])
+        merged.sort()
+        if int((merged[1:] == merged[:-1]).sum()) >= needed:
+            keep.append((a, b))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([a for a, _ in keep], pa.int64()), pa.array([b for _, b in keep], pa.int64())], ["a", "b"]
+    )
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(batches, n: int, percent: int):
+    """Texts are unpacked one pair after the other, so that a step holds few bytes however well they compress."""
+    for batch in batches:
+        pairs, texts, sets, size = [], {}, {}, 0
+        for a, b, x, y in zip(*(batch.column(c) for c in ("a", "b", "packed_a", "packed_b")), strict=True):
+            pairs.append((a.as_py(), b.as_py()))
+            for fp, packed in zip(pairs[-1], (x.as_py(), y.as_py()), strict=True):
+                if fp in texts or fp in sets:
+                    continue
+                if packed[0]:
+                    texts[fp] = zlib.decompress(packed[1:])
+                    size += len(texts[fp])
+                else:
+                    sets[fp] = np.frombuffer(packed, np.uint64, offset=1)
+                    size += len(packed)
+            if size >= STEP_BYTES:
+                yield _linked(pairs, texts, sets, n, percent)
+                pairs, texts, sets, size = [], {}, {}, 0
+        if pairs:
+            yield _linked(pairs, texts, sets, n, percent)
+
+
+def verify(pairs: DataFrame, texts: DataFrame, *, n: int, percent: int) -> DataFrame:
     """The pairs (a, b: fingerprints) that link."""
-    left = sets.select(F.col("fp").alias("a"), F.col("hashes").alias("set_a"))
-    right = sets.select(F.col("fp").alias("b"), F.col("hashes").alias("set_b"))
-    return arrow_map(pairs.join(left, "a").join(right, "b"), lambda it: _verified(it, percent), "a long, b long")
+    left = texts.select(F.col("fp").alias("a"), F.col("packed").alias("packed_a"))
+    right = texts.select(F.col("fp").alias("b"), F.col("packed").alias("packed_b"))
+    return arrow_map(pairs.join(left, "a").join(right, "b"), lambda it: _verified(it, n, percent), "a long, b long")
 
 
-def _set_rows(batches, n: int):
+def _text_rows(batches, n: int):
     for batch in batches:
         for part in steps(batch):
             sets = sets_of(part.column("text"), n)
+            rows = [
+                (fingerprint(s), min(b"\0" + s.tobytes(), b"\1" + zlib.compress(t), key=len))
+                for s, t in zip(sets, part.column("text").cast(pa.large_binary()).to_pylist(), strict=True)
+                if len(s)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["fp", "hashes"],
+                [pa.array([fp for fp, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.binary())], ["fp", "packed"]
             )
 
 
-def class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """fp, hashes of the classes in pairs, from the text of one row of each."""
+def class_texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """fp, packed of the classes in pairs: a 1 and the whole text of one row of each, compressed, or a 0 and its set if shorter."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(classes, "fp")
     wanted = written(wanted.select(F.col("rep").alias("doc_id")), "jaccard-wanted")
     texts = docs.select("doc_id", "text").join(_small(wanted), "doc_id", "left_semi")
-    rows = arrow_map(texts, lambda it: _set_rows(it, n), "fp long, hashes binary")
-    return written(rows.dropDuplicates(["fp"]), "jaccard-sets")
+    rows = arrow_map(texts, lambda it: _text_rows(it, n), "fp long, packed binary")
+    return written(rows.dropDuplicates(["fp"]), "jaccard-texts")
+
+
+def other_pairs(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that may link; rest: entries (shingle, fp, n, pos, _comp) of all shingles that
+    classes of different components share in their prefixes."""
+    x, y = rest.alias("x"), rest.alias("y")
+    needed = overlap_needed(F.col("x.n"), F.col("y.n"), percent)
+    most = F.least("x.pos", "y.pos") + 1 + F.least(F.col("x.n") - F.col("x.pos") - 1, F.col("y.n") - F.col("y.pos") - 1)
+    met = x.join(
+        y,
+        (F.col("x.shingle") == F.col("y.shingle"))
+        & (F.col("x._comp") < F.col("y._comp"))
+        & (F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n"))
+        # two sets that share `needed` shingles share one of the first n - needed + 1 of each: for sets of like
+        # sizes that is little more than half of the prefix, without its frequent end
+        & (F.col("x.pos") <= F.col("x.n") - needed)
+        & (F.col("y.pos") <= F.col("y.n") - needed)
+        & (most >= needed),
+    )
+    least = shared_needed(F.col("x.n"), F.col("y.n"), percent).alias("_least")
+    pairs = met.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b"), least).distinct()
+    # a class that shares few of its prefix shingles with all others together shares no more with any one of them
+    own = _small(written(rest.groupBy("fp").agg(F.count(F.lit(1)).alias("_own")), "jaccard-own"))
+    for side in ("a", "b"):
+        pairs = pairs.join(own.withColumnRenamed("fp", side), side).where("_own >= _least").drop("_own")
+    return pairs.select("a", "b")
 
 
 def class_links(docs: DataFrame, profile: DataFrame, *, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -290,33 +352,15 @@ def class_links(docs: DataFrame, profile: DataFrame, *, n: int, percent: int) ->
         .distinct()
     )
     stars = written(stars, "jaccard-stars")
-    links = written(verify(stars, class_sets(docs, classes, stars, n), percent), "jaccard-links")
+    links = written(verify(stars, class_texts(docs, classes, stars, n), n=n, percent=percent), "jaccard-links")
     found = components(links).select(F.col("node").alias("fp"), F.col("component").alias("_comp"))
     placed = shared.join(_small(found), "fp", "left").withColumn("_comp", F.coalesce("_comp", "fp"))
     uneven = placed.groupBy("shingle").agg(F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi")).where("_lo != _hi")
     uneven = written(uneven.select("shingle"), "jaccard-uneven")
     rest = written(placed.join(_small(uneven), "shingle", "left_semi"), "jaccard-rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    needed = overlap_needed(F.col("x.n"), F.col("y.n"), percent)
-    most = F.least("x.pos", "y.pos") + 1 + F.least(F.col("x.n") - F.col("x.pos") - 1, F.col("y.n") - F.col("y.pos") - 1)
-    pairs = (
-        x.join(
-            y,
-            (F.col("x.shingle") == F.col("y.shingle"))
-            & (F.col("x._comp") < F.col("y._comp"))
-            & sizes(F.col("x.n"), F.col("y.n"))
-            # two sets that share `needed` shingles share one of the first n - needed + 1 of each: for sets of like
-            # sizes that is little more than half of the prefix, without its frequent end
-            & (F.col("x.pos") <= F.col("x.n") - needed)
-            & (F.col("y.pos") <= F.col("y.n") - needed)
-            & (most >= needed),
-        )
-        .select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
+    pairs = other_pairs(rest, percent).join(stars, ["a", "b"], "left_anti")
     pairs = written(pairs, "jaccard-pairs")
-    more = written(verify(pairs, class_sets(docs, classes, pairs, n), percent), "jaccard-more")
+    more = written(verify(pairs, class_texts(docs, classes, pairs, n), n=n, percent=percent), "jaccard-more")
     return classes, links.unionByName(more)
 
 
