@@ -1,7 +1,10 @@
 """Token counts and piece codes against the libraries."""
 
+import gc
 import random
+import tracemalloc
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import functions as F
@@ -67,3 +70,28 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert token_counts.token_counts(none, BPE).collect() == []
     assert pieces.encode(none, MODEL).collect() == []
+
+
+def test_caches_of_a_worker_stay_small():
+    """Many different words, as in a large table: what the coder keeps of them is bounded in bytes, and ids stay right."""
+    model, coder = sentencepiece.SentencePieceProcessor(model_file=MODEL), pieces.Coder(MODEL, cache=1 << 15)
+    rng = random.Random(3)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(9)) + rng.choice(["", "", ",", "é", "☃"]) for _ in range(40_000)]
+    gc.collect()
+    tracemalloc.start()
+    for text in [" ".join(words[i : i + 200]) for i in range(0, len(words), 200)]:
+        coder.encode(text)
+    coder._agrees.clear()  # not of words
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept + 41 * (1 << 15) < 4_000_000
+    for text in [" ".join(rng.choices(words, k=300)) for _ in range(40)]:
+        assert np.frombuffer(coder.encode(text), np.int32).tolist() == model.encode(text)
+
+
+def test_two_words_of_one_hash_keep_their_ids_apart():
+    coder = pieces.Coder(MODEL, cache=4)
+    first, other = coder._ids(pieces.SPACE + "the"), coder._ids(pieces.SPACE + "of")
+    coder._seen.put(12345, first)
+    assert coder._seen.get(12345, pieces.SPACE + "the") == first != other
+    assert coder._seen.get(12345, pieces.SPACE + "of") is None

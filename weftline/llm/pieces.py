@@ -9,8 +9,9 @@ picks the path.) Only the last `longest` positions can still be reached by a pie
 paths from all of them pass one boundary, the ids before it are committed and forgotten.
 
 Paths also meet, for every text, where no piece of the vocabulary can reach across: before a run of U+2581, around a
-character that no piece holds, and between a letter and a mark that follows letters in no piece. Texts are cut there first,
-and stretches already seen are taken from a bounded cache in the worker.
+character that no piece holds, and between a letter and a mark that follows letters in no piece. Texts are cut there first.
+What a worker has seen it takes from bounded caches: the words met last as strings, many more words and stretches as ids in
+flat arrays.
 
 Rules. Null text and empty text give no ids. A character without a piece becomes its UTF-8 bytes. Decoding gives back the
 text; U+2581 in a text comes back as a space, as in the library. Repeated rows are encoded each; an empty table gives no rows.
@@ -19,7 +20,7 @@ text; U+2581 in a text comes back as a space, as in the library. Repeated rows a
 from __future__ import annotations
 
 import functools
-from itertools import islice
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -72,14 +73,44 @@ class Vocabulary:
         )
 
 
+class Places:
+    """Ids of short strings in flat arrays, one place for each hash, 41 bytes a place: a new string takes the place of an
+    older one with the same last bits. Strings are not kept: ids count if their pieces spell the string asked for."""
+
+    LONGEST = 8
+
+    def __init__(self, size: int, text_of: list[str]):
+        n = 1 << max(size - 1, 1).bit_length()
+        self._mask, self._text_of = n - 1, text_of
+        self._hashes, self._counts, self._ids = array("q", bytes(8 * n)), bytearray(n), array("i", bytes(4 * self.LONGEST * n))
+
+    def get(self, hashed: int, text: str) -> bytes | None:
+        place = hashed & self._mask
+        if self._hashes[place] != hashed:
+            return None
+        at = place * self.LONGEST
+        ids = self._ids[at : at + self._counts[place]]
+        return ids.tobytes() if "".join([self._text_of[i] for i in ids]) == text else None
+
+    def put(self, hashed: int, ids: bytes) -> None:
+        count = len(ids) >> 2
+        if count <= self.LONGEST:
+            place = hashed & self._mask
+            at = place * self.LONGEST
+            self._hashes[place], self._counts[place], self._ids[at : at + count] = hashed, count, array("i", ids)
+
+
 class Coder:
-    """Encodes and decodes with one vocabulary; caches are bounded: a word takes about 250 bytes, a pair of pieces about 100."""
+    """Encodes and decodes with one vocabulary. Caches are bounded by `cache`: so many strings up to the next power of two have
+    a place of 41 bytes, at most a third as many words are kept as strings (about 200 bytes each), and so many pairs of
+    pieces (about 90 bytes each)."""
 
     def __init__(self, path: str, cache: int = 400_000):
         self.vocabulary = Vocabulary(path)
         self._bound = cache
+        #: Words met last: when the first is full it becomes the second, and the second is forgotten.
         self._words: dict[str, bytes] = {}
-        self._seen: dict[str, bytes] = {}
+        self._words_before: dict[str, bytes] = {}
         self._agrees: dict[int, bool] = {}
         self._edges: dict[str, tuple | None] = {}
         scores = self.vocabulary.scores
@@ -93,6 +124,8 @@ class Coder:
                     node = node.setdefault(c, {})
                 node[""] = self.vocabulary.ids[piece]
                 self._text_of[node[""]] = piece
+        #: Words and stretches, but not those with bytes of characters without a piece, which spell nothing.
+        self._seen = Places(cache, [self._text_of.get(i, "") for i in range(len(self.vocabulary.bytes_of))])
         self._line_ends = "\n" not in "".join(scores)
 
     def _merged(self, text: str) -> tuple[list[str], list[tuple]]:
@@ -198,16 +231,34 @@ class Coder:
         yield from self._path(text, base, back, n)
 
     def _letters(self, text: str) -> bytes | None:
-        """Ids of a short row of letters, straight from the search; null if one of them has no piece."""
-        back, last, n = {0: 0}, {0: -1}, len(text)
-        self._search(text, 0, n, back, last)
+        """Ids of a short row of letters by the same search, without commits; null if one of them has no piece."""
+        root, agrees, n = self._pieces, self._agrees, len(text)
+        back, last = list(range(-1, n)), [-1, *[None] * n]
+        for at in range(n):
+            before = last[at]
+            if before is None:
+                before = last[at] = -1
+            node, to = root, at
+            for c in text[at:]:
+                if c not in node:
+                    break
+                node = node[c]
+                to += 1
+                if "" in node and last[to] is None:
+                    piece = node[""]
+                    if before >= 0:
+                        both = before << 32 | piece
+                        fits = agrees.get(both)
+                        if not (self._pair(both) if fits is None else fits):
+                            continue
+                    back[to], last[to] = at, piece
         ids, at = [], n
         while at:
-            if last.get(at, -1) < 0:
+            if last[at] is None or last[at] < 0:
                 return None
             ids.append(last[at])
             at = back[at]
-        return np.array(ids[::-1], np.int32).tobytes()
+        return array("i", ids[::-1]).tobytes()
 
     @staticmethod
     def _path(text: str, base: int, back: dict[int, int], to: int) -> list[str]:
@@ -219,7 +270,7 @@ class Coder:
 
     def _ids(self, stretch: str) -> bytes:
         """Ids of a stretch that no piece reaches out of."""
-        known = self._seen.get(stretch)
+        known = self._seen.get(hash(stretch), stretch)
         if known is None:
             ids, of = [], self.vocabulary
             for piece in self.stream(stretch):
@@ -228,26 +279,32 @@ class Coder:
                 else:
                     ids.extend(of.byte_id[b] for b in piece.encode())
             known = np.asarray(ids, np.int32).tobytes()
-            self._keep(self._seen, stretch, known, self._bound // 4)
+            if len(stretch) <= 64:
+                self._seen.put(hash(stretch), known)
         return known
 
-    def _keep(self, cache: dict[str, bytes], text: str, ids: bytes, bound: int) -> None:
-        if len(text) <= 64:
-            if len(cache) >= bound:
-                for old in list(islice(cache, bound // 2)):
-                    del cache[old]
-            cache[text] = ids
-
     def _cut(self, text: str) -> bytes:
         """Ids of a text with its spaces replaced, cut into stretches."""
         return b"".join([self._ids(p) for p in self.vocabulary.cuts.findall(text)])
 
     def _word(self, word: str) -> bytes:
-        # no piece reaches out of a word; one of letters alone needs no cuts in it
-        ids = self._letters(SPACE + word) if len(word) <= 64 and word.isalpha() else None
+        """Ids of a word that is not among the words met last."""
+        if len(word) > 64:
+            return self._cut(SPACE + word)
+        ids = self._words_before.get(word)
         if ids is None:
-            ids = self._cut(SPACE + word)
-        self._keep(self._words, word, ids, self._bound)
+            stretch, hashed = SPACE + word, hash(word)
+            ids = self._seen.get(hashed, stretch)
+            if ids is None:
+                # no piece reaches out of a word; one of letters alone needs no cuts in it
+                ids = self._letters(stretch) if word.isalpha() else None
+                if ids is None:
+                    ids = self._cut(stretch)
+                self._seen.put(hashed, ids)
+        if len(self._words) >= max(self._bound // 6, 1):
+            self._words_before = self._words.copy()
+            self._words.clear()
+        self._words[word] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:
