@@ -2,6 +2,7 @@
 
 import gc
 import random
+import sys
 import tracemalloc
 
 import numpy as np
@@ -95,3 +96,51 @@ def test_two_words_of_one_hash_keep_their_ids_apart():
     coder._seen.put(12345, first)
     assert coder._seen.get(12345, pieces.SPACE + "the") == first != other
     assert coder._seen.get(12345, pieces.SPACE + "of") is None
+
+
+def test_new_words_are_searched_together():
+    """Words that were never met, as most of the time in a large table goes to them: few calls each, not some for each character."""
+    model, coder = sentencepiece.SentencePieceProcessor(model_file=MODEL), pieces.Coder(MODEL)
+    rng, calls = random.Random(4), [0]
+    parts = ["the", "ing", "tion", "and", "er", "ou", "é", "st", "ent", "aux", "en", "ß"]
+    words = ["".join(rng.choices(parts, k=5)) + rng.choice(["", ".", ",", "%%%"]) for _ in range(12_000)]
+    words = [*dict.fromkeys(words)]
+    coder.encode(" ".join(words[:6000]))
+
+    def count(frame, event, arg):
+        calls[0] += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    got = coder.encode(" ".join(words[6000:]))
+    sys.setprofile(None)
+    assert np.frombuffer(got, np.int32).tolist() == model.encode(" ".join(words[6000:]))
+    assert calls[0] < 10 * len(words[6000:])
+
+
+def test_blanks_line_ends_and_long_words_in_steps_and_blocks(monkeypatch):
+    """Texts taken together, and one text taken block by block, have the library's ids; long words are not kept."""
+    monkeypatch.setattr(pieces, "STEP_BYTES", 200)
+    monkeypatch.setattr(pieces, "PER_SEARCH", 300)
+    model, rng = sentencepiece.SentencePieceProcessor(model_file=MODEL), random.Random(5)
+    marks = "abAB é'stredlmv    \n\n\t\r\x0b\x85\xa0\x00²½.,!-_<>☃日本　😀▁\ufeff"
+    texts = [None, "", "\n", " ", "  \n ", "\n\n a", "a  \n", "x" * 65, " " * 70 + "b", "\n" + "y" * 70]
+    texts += ["▁", "▁\n▁▁", "\x00", "the " * 300]
+    texts += ["".join(rng.choices(marks, k=rng.randint(0, 40))) for _ in range(1500)]
+    texts += ["".join(rng.choices("the  ing\nan ", k=900)) for _ in range(10)]
+    want = [model.encode(t or "") for t in texts]
+    for cache in (60, 400_000):
+        coder = pieces.Coder(MODEL, cache)
+        got = [p for i in range(0, len(texts), 100) for p in coder.encode_all(texts[i : i + 100])]
+        assert [np.frombuffer(p, np.int32).tolist() for p in got] == want
+        assert [np.frombuffer(coder.encode(t), np.int32).tolist() for t in texts] == want
+        assert max(map(len, [*coder._words, *coder._words_before])) <= 64
+
+
+def test_numbers_by_key():
+    """Keys that meet in one place keep their numbers; a full store starts anew."""
+    numbers, rng = pieces.Numbers(1000, np.int8), np.random.default_rng(6)
+    keys = rng.choice(1 << 40, 1500, replace=False)
+    numbers.put(keys[:1000], (keys[:1000] % 100).astype(np.int8))
+    assert (numbers.get(keys) == np.where(np.arange(1500) < 1000, keys % 100, -1)).all()
+    numbers.put(keys[1000:], (keys[1000:] % 100).astype(np.int8))
+    assert (numbers.get(keys) == np.where(np.arange(1500) < 1000, -1, keys % 100)).all()

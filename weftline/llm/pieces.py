@@ -10,8 +10,10 @@ paths from all of them pass one boundary, the ids before it are committed and fo
 
 Paths also meet, for every text, where no piece of the vocabulary can reach across: before a run of U+2581, around a
 character that no piece holds, and between a letter and a mark that follows letters in no piece. Texts are cut there first.
-What a worker has seen it takes from bounded caches: the words met last as strings, many more words and stretches as ids in
-flat arrays.
+The words of a step of texts that the worker has not met lately are searched all at once: each round of the search goes one
+character on in every word, with the back-pointers of all words in one array. A word is shorter than a window, so its path is
+read off at its end; longer stretches are streamed. What a worker has seen it takes from bounded caches: the words met last
+as strings, stretches and pairs of pieces in flat arrays.
 
 Rules. Null text and empty text give no ids. A character without a piece becomes its UTF-8 bytes. Decoding gives back the
 text; U+2581 in a text comes back as a space, as in the library. Repeated rows are encoded each; an empty table gives no rows.
@@ -20,7 +22,9 @@ text; U+2581 in a text comes back as a space, as in the library. Repeated rows a
 from __future__ import annotations
 
 import functools
+import itertools
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +34,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import arrow_map, steps, table
+from weftline.llm.common import STEP_BYTES, arrow_map, steps, table
 
 SPACE = "\u2581"
 
+#: A space between two words of a line.
+BETWEEN = regex.compile(r"(?<=[^ \n\u2581]) (?=[^ \n\u2581])")
+
+#: Characters that one search takes, about, so that its arrays stay small.
+PER_SEARCH = 1 << 16
+
 
 class Vocabulary:
     """Pieces, scores and byte ids of a model file."""
@@ -100,21 +110,65 @@ class Places:
             self._hashes[place], self._counts[place], self._ids[at : at + count] = hashed, count, array("i", ids)
 
 
+class Numbers:
+    """A small number for each key from 0 on, in flat arrays, asked for many keys at once. An array twice the room at least;
+    a key takes the first free place from its hash on. When `room` keys are in, the next ones start anew."""
+
+    def __init__(self, room: int, dtype: type):
+        n = 1 << max(2 * room - 1, 1).bit_length()
+        self._room, self._mask, self._shift, self._held = room, n - 1, np.uint64(64 - n.bit_length() + 1), 0
+        self._keys, self._values = np.full(n, -1, np.int64), np.zeros(n, dtype)
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).view(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 for one that is not in."""
+        places = self._places(keys)
+        held = self._keys[places]
+        values = np.where(held == keys, self._values[places], self._values.dtype.type(-1))
+        left = np.flatnonzero((held != keys) & (held >= 0))
+        while left.size:
+            places[left] = (places[left] + 1) & self._mask
+            held = self._keys[places[left]]
+            right = held == keys[left]
+            values[left[right]] = self._values[places[left[right]]]
+            left = left[~right & (held >= 0)]
+        return values
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Take in different keys that are not in yet."""
+        for at in range(0, len(keys), self._room):
+            part, numbers = keys[at : at + self._room], values[at : at + self._room]
+            if self._held + len(part) > self._room:
+                self._keys.fill(-1)
+                self._held = 0
+            self._held += len(part)
+            places = self._places(part)
+            while len(part):
+                free = np.flatnonzero(self._keys[places] < 0)
+                self._keys[places[free]] = part[free]
+                done = self._keys[places] == part
+                self._values[places[done]] = numbers[done]
+                part, numbers, places = part[~done], numbers[~done], (places[~done] + 1) & self._mask
+
+
 class Coder:
-    """Encodes and decodes with one vocabulary. Caches are bounded by `cache`: so many strings up to the next power of two have
-    a place of 41 bytes, at most a third as many words are kept as strings (about 200 bytes each), and so many pairs of
-    pieces (about 90 bytes each)."""
+    """Encodes and decodes with one vocabulary. Caches are bounded by `cache`: so many stretches up to the next power of two
+    have a place of 41 bytes, at most a third as many words, and those of one step, are kept as strings (about 200 bytes each),
+    and so many pairs of pieces twice: those of words (18 to 36 bytes each) and those of streamed stretches (about 90 each)."""
 
     def __init__(self, path: str, cache: int = 400_000):
         self.vocabulary = Vocabulary(path)
         self._bound = cache
-        #: Words met last: when the first is full it becomes the second, and the second is forgotten.
+        #: Words met last, and those of the step in hand. When the first is full it becomes the second; the second is forgotten.
         self._words: dict[str, bytes] = {}
         self._words_before: dict[str, bytes] = {}
         self._agrees: dict[int, bool] = {}
         self._edges: dict[str, tuple | None] = {}
         scores = self.vocabulary.scores
-        #: Pieces that encode to themselves, a character a step: each node has the next ones, and under "" the id of the piece that ends there.
+        #: Pieces that encode to themselves, a character a step: each node has the next ones, and under "" the id of the piece that
+        #: ends there.
         self._pieces: dict = {}
         self._text_of: dict[int, str] = {}
         for piece in scores:
@@ -124,9 +178,28 @@ class Coder:
                     node = node.setdefault(c, {})
                 node[""] = self.vocabulary.ids[piece]
                 self._text_of[node[""]] = piece
-        #: Words and stretches, but not those with bytes of characters without a piece, which spell nothing.
+        #: Streamed stretches, but not those with bytes of characters without a piece, which spell nothing.
         self._seen = Places(cache, [self._text_of.get(i, "") for i in range(len(self.vocabulary.bytes_of))])
         self._line_ends = "\n" not in "".join(scores)
+        self._byte_ids = np.array(self.vocabulary.byte_id, np.int32)
+        #: The same pieces for many words at once: number of a character, the node after a node and a character, the piece that
+        #: ends at a node.
+        held = sorted(set("".join(self._text_of.values())))
+        self._number_of = np.zeros(max(map(ord, held), default=0) + 2, np.int32)
+        self._number_of[[ord(c) for c in held]] = np.arange(1, len(held) + 1)
+        self._width = len(held) + 1
+        nodes, ways, self._ends_in = [self._pieces], [], []
+        for number, node in enumerate(nodes):
+            self._ends_in.append(node.get("", -1))
+            for c, after in node.items():
+                if c:
+                    ways.append((number * self._width + int(self._number_of[ord(c)]), len(nodes)))
+                    nodes.append(after)
+        self._ends_in = np.array(self._ends_in, np.int32)
+        self._ways = Numbers(max(len(ways), 1), np.int32)
+        self._ways.put(*(x.copy() for x in np.array(ways, np.int64).reshape(-1, 2).T))
+        self._first = self._ways.get(np.arange(self._width)).astype(np.int64)
+        self._pairs = Numbers(max(cache, 1), np.int8)
 
     def _merged(self, text: str) -> tuple[list[str], list[tuple]]:
         """Merges of a short string, best score first, leftmost of equals; and (left part, right part, score, place) of each."""
@@ -162,12 +235,10 @@ class Coder:
                 self._edges[piece] = tuple(sides)
         return self._edges[piece]
 
-    def _pair(self, both: int) -> bool:
+    def _fits(self, both: int) -> bool:
         """Whether two pieces next to each other stay as they are (their ids in one number): no part at a's end merges with one
         at b's start. That happens if their merge scores better than the merges that use the two up (as well as b's: it is
         further left)."""
-        if len(self._agrees) >= self._bound:
-            self._agrees.clear()
         a, b = self._text_of[both >> 32], self._text_of[both & 0xFFFFFFFF]
         known, scores = True, self.vocabulary.scores
         for x, x_came, x_used in self._edge(a)[1]:
@@ -179,7 +250,13 @@ class Coder:
                     break
             if not known:
                 break
-        self._agrees[both] = known
+        return known
+
+    def _pair(self, both: int) -> bool:
+        """Whether two pieces fit, kept for the next time."""
+        if len(self._agrees) >= self._bound:
+            self._agrees.clear()
+        known = self._agrees[both] = self._fits(both)
         return known
 
     def _search(self, text: str, start: int, end: int, back: dict[int, int], last: dict[int, int]) -> None:
@@ -230,35 +307,72 @@ class Coder:
             back[n] = n - 1
         yield from self._path(text, base, back, n)
 
-    def _letters(self, text: str) -> bytes | None:
-        """Ids of a short row of letters by the same search, without commits; null if one of them has no piece."""
-        root, agrees, n = self._pieces, self._agrees, len(text)
-        back, last = list(range(-1, n)), [-1, *[None] * n]
-        for at in range(n):
-            before = last[at]
-            if before is None:
-                before = last[at] = -1
-            node, to = root, at
-            for c in text[at:]:
-                if c not in node:
-                    break
-                node = node[c]
-                to += 1
-                if "" in node and last[to] is None:
-                    piece = node[""]
-                    if before >= 0:
-                        both = before << 32 | piece
-                        fits = agrees.get(both)
-                        if not (self._pair(both) if fits is None else fits):
-                            continue
-                    back[to], last[to] = at, piece
-        ids, at = [], n
-        while at:
-            if last[at] is None or last[at] < 0:
-                return None
-            ids.append(last[at])
+    def _search_all(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts of at most 64 characters, by one search for all, without commits. A place is a character or the end of a
+        part; what is kept at it is about the text of its part before it. In round i each part goes on from its place i."""
+        gap = "\0" + SPACE
+        codes = np.frombuffer(gap.join(["", *parts, ""]).encode("utf-32-le"), np.uint32).astype(np.int32)
+        codes[codes == 32] = ord(SPACE)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) + 2
+        ends = np.cumsum(sizes)
+        starts = ends - sizes + 1
+        numbers = self._number_of[np.minimum(codes, len(self._number_of) - 1)]
+        numbers[ends], numbers[-1] = 0, 0
+        round_of = np.arange(len(codes))
+        round_of[1:-1] -= np.repeat(starts, sizes)
+        if self._line_ends:
+            starts += codes[starts + 1] == 10
+        # all pieces in all parts: at which place they start, and at which they end
+        at = np.flatnonzero(numbers)
+        node, found = self._first[numbers[at]], []
+        for length in range(1, self.vocabulary.longest + 1):
+            on = np.flatnonzero(node >= 0)
+            at, node = at[on], node[on]
+            piece = self._ends_in[node]
+            here = np.flatnonzero(piece >= 0)
+            found.append((at[here], at[here] + length, piece[here]))
+            node = self._ways.get(node * self._width + numbers[at + length]).astype(np.int64)
+        froms, tos, pieces = (np.concatenate(x) for x in zip(*found, strict=True))
+        rounds = round_of[froms].astype(np.uint8)
+        order = np.argsort(rounds, kind="stable")
+        froms, tos, pieces = froms[order], tos[order], pieces[order]
+        back, last = np.arange(-1, len(codes) - 1), np.full(len(codes), -1, np.int32)
+        begin = 0
+        for end in np.cumsum(np.bincount(rounds)).tolist():
+            new = np.flatnonzero(last[tos[begin:end]] < 0) + begin
+            new = new[self._agree(last[froms[new]], pieces[new])]
+            back[tos[new]], last[tos[new]] = froms[new], pieces[new]
+            begin = end
+        # the paths, from the ends back; characters without a piece become their bytes
+        on_path, first, at = np.zeros(len(codes), bool), np.zeros(len(codes), bool), ends
+        first[starts] = True
+        while at.size:
+            on_path[at] = True
             at = back[at]
-        return array("i", ids[::-1]).tobytes()
+            at = at[~first[at]]
+        places = np.flatnonzero(on_path)
+        ids = last[places]
+        alone = codes[places[ids < 0] - 1]
+        sizes = np.ones(len(places), np.int64)
+        sizes[ids < 0] += (alone >= 0x80).astype(np.int64) + (alone >= 0x800) + (alone >= 0x10000)
+        cuts = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(places, ends, side="right")] * 4
+        ids = np.repeat(ids, sizes)
+        ids[ids < 0] = self._byte_ids[np.frombuffer(alone.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)]
+        packed, cuts = ids.tobytes(), cuts.tolist()
+        return [*map(packed.__getitem__, map(slice, [0, *cuts[:-1]], cuts))]
+
+    def _agree(self, before: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+        """Whether each piece fits behind the one before it; any does where there is none (-1)."""
+        both = before.astype(np.int64) << 32 | pieces
+        fits = self._pairs.get(np.maximum(both, 0))
+        fits[before < 0] = 1
+        asked = np.flatnonzero(fits < 0)
+        if asked.size:
+            new, where = np.unique(both[asked], return_inverse=True)
+            known = np.array([self._fits(b) for b in new.tolist()], np.int8)
+            self._pairs.put(new, known)
+            fits[asked] = known[where]
+        return fits > 0
 
     @staticmethod
     def _path(text: str, base: int, back: dict[int, int], to: int) -> list[str]:
@@ -287,46 +401,58 @@ class Coder:
         """Ids of a text with its spaces replaced, cut into stretches."""
         return b"".join([self._ids(p) for p in self.vocabulary.cuts.findall(text)])
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a word that is not among the words met last."""
-        if len(word) > 64:
-            return self._cut(SPACE + word)
-        ids = self._words_before.get(word)
-        if ids is None:
-            stretch, hashed = SPACE + word, hash(word)
-            ids = self._seen.get(hashed, stretch)
-            if ids is None:
-                # no piece reaches out of a word; one of letters alone needs no cuts in it
-                ids = self._letters(stretch) if word.isalpha() else None
-                if ids is None:
-                    ids = self._cut(stretch)
-                self._seen.put(hashed, ids)
-        if len(self._words) >= max(self._bound // 6, 1):
-            self._words_before = self._words.copy()
-            self._words.clear()
-        self._words[word] = ids
-        return ids
+    def _parts(self, text: str) -> list[str]:
+        """A text without its spaces: each part stands for a space and what follows it up to the next run of spaces, with the
+        spaces beyond the first in front. A part that begins with a line's end stands for that alone and what follows."""
+        text = text.replace(SPACE, " ")
+        parts = (text.replace("\n", " \n") if self._line_ends else text).split(" ")
+        if "" not in parts:
+            return parts
+        joined, blanks = [], 0
+        for part in parts:
+            if not part:
+                blanks += 1
+            elif blanks and self._line_ends and part[0] == "\n":
+                joined += [" " * (blanks - 1), part]
+                blanks = 0
+            else:
+                joined.append(" " * blanks + part)
+                blanks = 0
+        return joined + [" " * (blanks - 1)] * (blanks > 0)
+
+    def _learn(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Parts with their ids."""
+        short = [p for p in parts if len(p) <= 64]
+        groups = 1 + sum(map(len, short)) // PER_SEARCH
+        for group in filter(None, [short[i::groups] for i in range(groups)]):
+            yield from zip(group, self._search_all(group), strict=True)
+        for part in parts:
+            if len(part) > 64:
+                of_line = self._line_ends and part[0] == "\n"
+                yield part, self._cut(part if of_line else SPACE + part.replace(" ", SPACE))
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as packed 32-bit integers; the texts' new words are searched together."""
+        rows = [self._parts(t) if t else [] for t in texts]
+        words, before = self._words, self._words_before
+        missing = set(itertools.chain.from_iterable(rows)).difference(words)
+        new = missing.difference(before)
+        words.update([(p, before[p]) for p in missing - new])
+        words.update(self._learn([*new]))
+        packed = [b"".join(map(words.__getitem__, parts)) for parts in rows]
+        for part in [p for p in missing if len(p) > 64]:
+            del words[part]
+        if len(words) > self._bound // 6:
+            self._words, self._words_before = {}, words
+        return packed
 
     def encode(self, text: str | None) -> bytes:
-        """Ids as packed 32-bit integers. Most lines are words with one space between: each word is looked up."""
-        if not text:
-            return b""
-        if SPACE in text:
-            return self._cut(SPACE + text.replace(" ", SPACE))
-        words, out = self._words, []
-        newline = np.int32(self.vocabulary.byte_id[10]).tobytes()
-        for i, line in enumerate(text.split("\n") if self._line_ends else [text]):
-            if i:
-                out.append(newline)
-            parts = line.split(" ")
-            if "" in parts:
-                out.append(self._cut((SPACE if i == 0 else "") + line.replace(" ", SPACE)))
-                continue
-            if i:
-                out.append(self._cut(parts[0]))
-                del parts[0]
-            out.extend([words.get(w) or self._word(w) for w in parts])
-        return b"".join(out)
+        """Ids as packed 32-bit integers. A long text is cut at single spaces, where paths meet, and taken block by block."""
+        text, packed, at = text or "", [], 0
+        while len(text) - at > STEP_BYTES and (cut := BETWEEN.search(text, at + STEP_BYTES)):
+            packed += self.encode_all([text[at : cut.start()]])
+            at = cut.end()
+        return b"".join([*packed, *self.encode_all([text[at:]])])
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids.tolist()))[1:].decode("utf-8", "replace")
@@ -349,7 +475,7 @@ def encode(
         for batch in batches:
             for part in steps(batch):
                 texts = part.column("text").to_pylist()
-                packed = [coder.encode(t) for t in texts]
+                packed = coder.encode_all(texts) if len(texts) > 1 else [coder.encode(t) for t in texts]
                 ends = np.cumsum([0, *[len(p) // 4 for p in packed]], dtype=np.int32)
                 flat = np.frombuffer(b"".join(packed), np.int32)
                 columns = [*(part.column(c) for c in keep), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
