@@ -99,7 +99,7 @@ def test_two_words_of_one_hash_keep_their_ids_apart():
 
 
 def test_new_words_are_searched_together():
-    """Words that were never met, as most of the time in a large table goes to them: few calls each, not some for each character."""
+    """Words that were never met, where most of the time goes in a large table: few calls each, not some for each character."""
     model, coder = sentencepiece.SentencePieceProcessor(model_file=MODEL), pieces.Coder(MODEL)
     rng, calls = random.Random(4), [0]
     parts = ["the", "ing", "tion", "and", "er", "ou", "é", "st", "ent", "aux", "en", "ß"]

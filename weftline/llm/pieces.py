@@ -167,8 +167,8 @@ class Coder:
         self._agrees: dict[int, bool] = {}
         self._edges: dict[str, tuple | None] = {}
         scores = self.vocabulary.scores
-        #: Pieces that encode to themselves, a character a step: each node has the next ones, and under "" the id of the piece that
-        #: ends there.
+        #: Pieces that encode to themselves, a character a step: each node has the next ones, and under "" the id of the piece
+        #: that ends there.
         self._pieces: dict = {}
         self._text_of: dict[int, str] = {}
         for piece in scores:
